@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborline.llm import mixing, packing, sharding
+from arborline.llm import jaccard, mixing, packing, sharding
 from arborline.llm.common import table
 
 SHARDS = 8
+WIDTH, THRESHOLD = 5, 0.8
 CAPACITY = 1024
 END_ID = 2
 MIX_SEED, MIX_ALPHA = 17, 0.5
@@ -30,6 +31,10 @@ def op1_jump_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(sized, "doc_id", SHARDS).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"), "doc_id", "text", WIDTH, THRESHOLD)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     packed = packing.pack_documents(docs, "doc_id", "text", bpe_file(), CAPACITY, END_ID, keep_ids=False)
@@ -42,7 +47,7 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jump_hash_sharding, op3_best_fit_packing, op4_mix_sources)}
+    return {f.__name__: f for f in (op1_jump_hash_sharding, op2_ngram_jaccard_join, op3_best_fit_packing, op4_mix_sources)}
 
 
 SQL_OP1 = """
@@ -69,6 +74,21 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS
 FROM part
 """
 
+SQL_OP2 = f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, text, regexp_extract_all(lower(text), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM documents WHERE text IS NOT NULL),
+shingle AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {WIDTH} THEN list_transform(range(1, len(w) - {WIDTH} + 2), lambda i: array_to_string(w[i : i + {WIDTH} - 1], ' '))
+    WHEN len(w) > 0 THEN ['words ' || array_to_string(w, ' ')] ELSE ['text ' || text] END) AS s FROM split),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM common JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y WHERE c >= {THRESHOLD} * (p.n + q.n - c) - 1e-9),
+way AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach(x, y) AS (SELECT x, y FROM way UNION SELECT r.x, w.y FROM reach r JOIN way w ON r.y = w.x)
+SELECT doc_id, least(doc_id, (SELECT min(y) FROM reach WHERE reach.x = d.doc_id)) AS class_id, (SELECT count(*) FROM way WHERE way.x = d.doc_id) AS n_links
+FROM documents d
+"""
+
 SQL_OP4 = f"""
 WITH RECURSIVE own AS (
   SELECT source, sum(octet_length(encode(coalesce(text, ''))) + 1)::DOUBLE AS n FROM documents GROUP BY source),
@@ -90,4 +110,4 @@ FROM (SELECT *, unnest(range(times)) AS copy FROM counted)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_jump_hash_sharding": SQL_OP1, "op4_mix_sources": SQL_OP4}
+    return {"op1_jump_hash_sharding": SQL_OP1, "op2_ngram_jaccard_join": SQL_OP2, "op4_mix_sources": SQL_OP4}
