@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborline.llm.common import checkpointed
+from arborline.llm.common import checkpointed, fresh
 from arborline.llm.components import components
 from arborline.llm.grouped import map_groups
 from arborline.llm.words import in_chunks, mix64, shingle_sets
@@ -300,3 +300,16 @@ def jaccard_join(df: DataFrame, key: str, text: str, width: int = 5, threshold:
     by_class = by_class.select("set_a", "set_b", F.coalesce("root", "node").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     rows = sketches.select(key, "set_a", "set_b").join(by_class, ["set_a", "set_b"], "left")
     return rows.select(key, F.coalesce("class_id", node).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def representatives(df: DataFrame, key: str, text: str, width: int = 5, threshold: float = 0.8, **how) -> DataFrame:
+    """The rows of df that stand for their classes: of each class of linked texts the one with the least key.
+
+    Cases: those of jaccard_join; of rows that share the key and the text of a class's least one remains; every null text is a class of its own.
+    """
+    node = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
+    classes = jaccard_join(df, key, text, width, threshold, **how)
+    kept = classes.where(F.col("class_id") == node).select(node.alias(fresh(df, "kept"))).distinct()
+    name = kept.columns[0]
+    there = df.join(kept, node == kept[name], "left_semi")
+    return there.where(F.col(text).isNotNull()).dropDuplicates([key, text]).union(there.where(F.col(text).isNull()))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborline.llm import jaccard, mixing, packing, sharding
+from arborline.llm import imatch, jaccard, langid, license, mixing, packing, pii, sharding, tokencount, topk
 from arborline.llm.common import table
 
 SHARDS = 8
@@ -15,13 +15,14 @@ WIDTH, THRESHOLD = 5, 0.8
 CAPACITY = 1024
 END_ID = 2
 MIX_SEED, MIX_ALPHA = 17, 0.5
+TOP_K, SCALE, QUERY_EVERY = 10, 1024, 100
 
 
-def bpe_file() -> str:
-    """The tokenizer file of the packing query; the operator takes any path."""
+def tokenizer_file(name: str) -> str:
+    """The path of a public tokenizer file for the queries; the operators take any path."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_jump_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +38,7 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    packed = packing.pack_documents(docs, "doc_id", "text", bpe_file(), CAPACITY, END_ID, keep_ids=False)
+    packed = packing.pack_documents(docs, "doc_id", "text", tokenizer_file("byte_bpe_50k.json"), CAPACITY, END_ID, keep_ids=False)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
@@ -46,8 +47,42 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, "doc_id", "source", F.octet_length(F.coalesce("text", F.lit(""))) + F.lit(1), alpha=MIX_ALPHA, seed=MIX_SEED)
 
 
+def op5_histogram_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % QUERY_EVERY == 0, TOP_K, SCALE)
+
+
+def op6_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
+def op7_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs, "doc_id", "text", "lang").select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op8_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    number = lambda k: F.size(F.filter("base_spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    named = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select("doc_id", *map(number, pii.KINDS), F.sha2(named("base_spans"), 256).alias("base_sha256"), named("spans").alias("spans"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license.scan_licenses(docs, "text").select("doc_id", "license", "n_licensed", "n_unknown", "probability")
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokencount.count_tokens(docs, "text", tokenizer_file("byte_bpe_50k.tiktoken")).select("doc_id", "n_words", "n_tokens")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jump_hash_sharding, op2_ngram_jaccard_join, op3_best_fit_packing, op4_mix_sources)}
+    every = (
+        op1_jump_hash_sharding, op2_ngram_jaccard_join, op3_best_fit_packing, op4_mix_sources, op5_histogram_top_k,
+        op6_imatch_fingerprints, op7_string_kernel_language, op8_semi_markov_pii, op9_license_scan, op10_token_counts,
+    )
+    return {f.__name__: f for f in every}
 
 
 SQL_OP1 = """
@@ -109,5 +144,17 @@ FROM (SELECT *, unnest(range(times)) AS copy FROM counted)
 """
 
 
+SQL_OP5 = f"""
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % {QUERY_EVERY} = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= {TOP_K}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_jump_hash_sharding": SQL_OP1, "op2_ngram_jaccard_join": SQL_OP2, "op4_mix_sources": SQL_OP4}
+    return {"op1_jump_hash_sharding": SQL_OP1, "op2_ngram_jaccard_join": SQL_OP2, "op4_mix_sources": SQL_OP4, "op5_histogram_top_k": SQL_OP5, "op9_license_scan": license.sql()}
