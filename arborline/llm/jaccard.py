@@ -150,6 +150,29 @@ def _forest(similar: np.ndarray) -> np.ndarray:
         root = least
 
 
+def _spanning(own: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest, (child, parent) row numbers, of the graph of rows that agree in at least ``need`` places.
+
+    Breadth first: a row is compared with the rows not reached yet only, so a group of near copies costs one pass, not all its pairs.
+    """
+    child, parent = [], []
+    left = np.arange(len(own))
+    reached: list[int] = []
+    while len(left):
+        if not reached:
+            reached.append(int(left[0]))
+            left = left[1:]
+        i = reached.pop()
+        hit = (own[left] == own[i]).sum(axis=1) >= need
+        if hit.any():
+            new = left[hit]
+            child.append(new), parent.append(np.full(len(new), i))
+            reached.extend(new.tolist())
+            left = left[~hit]
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *child]), np.concatenate([none, *parent])
+
+
 def candidate_links(buckets: DataFrame, least: float) -> DataFrame:
     """(a, b): a spanning forest of each bucket's classes whose min-hash rows agree in a share of at least ``least``."""
     need = math.ceil(least * COORDINATES)
@@ -162,13 +185,8 @@ def candidate_links(buckets: DataFrame, least: float) -> DataFrame:
         hit = two[(sig[two] == sig[two + 1]).sum(axis=1) >= need]
         a, b = [node[hit]], [node[hit + 1]]
         for s, e in zip(starts[size > 2], ends[size > 2]):
-            own = sig[s:e]
-            similar = np.zeros((e - s, e - s), bool)
-            for i in range(e - s):
-                similar[i, i:] = (own[i:] == own[i]).sum(axis=1) >= need
-            root = _forest(similar | similar.T)
-            i = np.flatnonzero(root != np.arange(e - s))
-            a.append(node[s:e][i]), b.append(node[s:e][root[i]])
+            child, parent = _spanning(sig[s:e], need)
+            a.append(node[s:e][child]), b.append(node[s:e][parent])
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     return map_groups(buckets, ["path"], work, "a long, b long", ["node", "sig"])
@@ -268,7 +286,7 @@ def _sets(rows: DataFrame, width: int) -> DataFrame:
     return rows.select("text", "set_a", "set_b", "cluster", "number", "node", "copies", "n").mapInArrow(run, "cluster long, number int, node long, copies long, n long, shingles binary")
 
 
-def jaccard_join(df: DataFrame, key: str, text: str, width: int = 5, threshold: float = 0.8, recall: float = 0.999, bucket_limit: int = 1000, slack: float = 0.14) -> DataFrame:
+def jaccard_join(df: DataFrame, key: str, text: str, width: int = 5, threshold: float = 0.8, recall: float = 0.999, bucket_limit: int = 4000, slack: float = 0.14) -> DataFrame:
     """One row per row of df: key, class_id (the least key it is linked to, over any number of links) and n_links.
 
     Linked are texts whose sets of ``width``-word shingles have a Jaccard similarity of at least ``threshold``; n_links
