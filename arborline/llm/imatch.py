@@ -1,8 +1,8 @@
 """Operator 6: document fingerprints by I-Match with randomised lexicons (Chowdhury et al., 2002; Kolcz and Chowdhury, 2004).
 
 The lexicon is the terms whose document frequency lies in a band. A text's distinct lexicon terms, sorted, are hashed once for each of
-64 random subsets of the lexicon, which keep from all terms down to one in 256. The likeness of two fingerprints is the
-share of equal hashes among the subsets that keep a term of either text: coarse subsets tell small edits, fine ones large.
+64 random subsets of the lexicon, which keep from all terms down to one in 256. The likeness of two fingerprints is a
+share of equal hashes: subsets of many terms tell small edits, those of few terms large ones.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from arborline.llm.words import in_chunks, mix64, word_hashes
 SUBSETS = 64
 #: A text with fewer lexicon terms is hashed by all its terms.
 LEAST_TERMS = 8
+LEAST_SUBSETS = 8
 #: Document shares of the lexicon's terms. The lower one bounds the lexicon: (mean distinct terms of a text) / LOW terms.
 LOW, HIGH = 0.002, 0.25
 MOST_LEXICON = 8_000_000
@@ -74,9 +75,15 @@ def fingerprints(texts: Sequence[str], lexicon: np.ndarray) -> np.ndarray:
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Of rows of fingerprints: the share of equal hashes among the subsets that keep a term of either."""
+    """Of rows of fingerprints: the share of equal hashes among the subsets that keep a term of either, in the best pool of subsets.
+
+    The pools are all subsets, all but the finest eight, and so on, as long as LEAST_SUBSETS keep a term: fine subsets differ at the first edit.
+    """
     some = (a != 0) | (b != 0)
-    return ((a == b) & some).sum(axis=1) / some.sum(axis=1)
+    upto = lambda x: x.reshape(len(x), 8, -1).sum(axis=2)[:, ::-1].cumsum(axis=1)[:, ::-1]
+    same, n = upto((a == b) & some), upto(some)
+    share = same / np.maximum(n, 1)
+    return np.maximum(share[:, 0], np.where(n >= LEAST_SUBSETS, share, 0).max(axis=1))
 
 
 def lexicon_of(df: DataFrame, text: str, low: float, high: float) -> np.ndarray:
