@@ -85,7 +85,10 @@ def learn(df: DataFrame, key: str, text: str, lang: str, learnable: Column, per_
     counts = there.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(most_languages)
     rank = Window.partitionBy("l").orderBy("h", "k")
     keyed = there.select(F.col(key).alias("k"), F.col(lang).alias("l"), F.xxhash64(F.lit(7), F.col(key)).alias("h"))
-    chosen = keyed.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= per_language).join(F.broadcast(counts.select(F.col(lang).alias("l"))), "l", "left_semi")
+    # of a large language only hashes that can be among the smallest go on: about four times as many as are wanted
+    near = F.col("h") / F.lit(2.0**64) + F.lit(0.5) < F.lit(4.0 * per_language) / F.col("count")
+    keyed = keyed.join(F.broadcast(counts.withColumnRenamed(lang, "l")), "l").where(near)
+    chosen = keyed.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= per_language).select("k", "l", "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
