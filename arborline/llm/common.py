@@ -2,37 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from arborline.checkpoints import checkpointed, ensure_checkpoint_dir
+
+__all__ = ["checkpointed", "ensure_checkpoint_dir", "fresh", "gapless_rank", "table"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the supplied Parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's spark.checkpoint.dir; only a local session without one gets a folder of its own."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        shared = tempfile.mkdtemp(prefix="arborline-checkpoint-")
-    sc.setCheckpointDir(shared)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write df once to the shared checkpoint folder and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def fresh(df: DataFrame, base: str) -> str:
     """A column name like base that df does not have, whatever its letter case."""
     taken = {c.lower() for c in df.columns}
@@ -42,13 +26,13 @@ def fresh(df: DataFrame, base: str) -> str:
     return name
 
 
-def gapless_rank(df: DataFrame, groups: Sequence[str], bucket: Column, order: Sequence[Column], out: str, buckets: int) -> DataFrame:
+def gapless_rank(df: DataFrame, groups: Sequence[str], bucket: Column, order: Sequence[Column], out: str) -> DataFrame:
     """Number the rows of each group from 0 without gaps and without gathering a group in one task.
 
-    ``bucket`` (an int from 0 to buckets - 1) splits every group; rows are ranked inside (group, bucket) and
+    ``bucket`` (a small int from 0) splits every group; rows are ranked inside (group, bucket) and
     moved up by the number of rows in the group's earlier buckets. df is read twice, so it should be a table or
-    checkpointed. The offsets have at most (number of groups) x buckets rows: groups must be bounded, as
-    shards or lengths are. Rows that tie in ``order`` get distinct numbers in any order.
+    checkpointed. The offsets, one row a group and bucket, are broadcast: callers
+    bound their number. Rows that tie in ``order`` get distinct numbers in any order.
     """
     b, off, n = fresh(df, "bucket"), fresh(df, "off"), fresh(df, "n")
     df = df.withColumn(b, bucket)

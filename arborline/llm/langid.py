@@ -81,7 +81,9 @@ def learn(df: DataFrame, key: str, text: str, lang: str, learnable: Column, per_
 
     The bounds are the parameters per_language and most_languages; the driver gets their product of 4 kB rows at most.
     """
-    there = df.where(learnable & F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
+    whole = df.where(learnable).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    key, text, lang = "key", "text", "lang"
+    there = whole.dropna()
     counts = there.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(most_languages)
     rank = Window.partitionBy("l").orderBy("h", "k")
     keyed = there.select(F.col(key).alias("k"), F.col(lang).alias("l"), F.xxhash64(F.lit(7), F.col(key)).alias("h"))
@@ -97,7 +99,7 @@ def learn(df: DataFrame, key: str, text: str, lang: str, learnable: Column, per_
                 bits = [np.packbits(row).tobytes() for row in presence(part.column(2).to_pylist())]
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(bits, pa.binary())], names=["l", "h", "bits"])
 
-    rows = df.join(F.broadcast(chosen), (df[key] == F.col("k")) & (df[lang] == F.col("l"))).where(F.col(text).rlike(r"\p{L}")).select("l", "h", text)
+    rows = there.join(F.broadcast(chosen), (F.col(key) == F.col("k")) & (F.col(lang) == F.col("l"))).where(F.col(text).rlike(r"\p{L}")).select("l", "h", text)
     sample = sorted(rows.mapInArrow(run, "l string, h long, bits binary").collect(), key=lambda r: (r.h, r.l, r.bits))
     return fit([bytes(r.bits) for r in sample], [r.l for r in sample]) if sample else None
 

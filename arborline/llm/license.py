@@ -22,8 +22,8 @@ from arborline.llm.common import fresh
 #: Notices by which works name their licences; fixed values.
 TEMPLATES = {
     "apache-2.0": ("Licensed under the Apache License, Version 2.0.", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    "bsd-3-clause": ("Licensed under the BSD 3-Clause License.", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
-    "cc-by-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    "bsd-3-clause": ("Licensed under the BSD 3-Clause License.", "Governed by a BSD-style license."),
+    "cc-by-4.0": ("Licensed under CC BY 4.0.", "Licensed under a Creative Commons Attribution 4.0 International License."),
     "cc-by-nc-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "cc-by-sa-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     "cc0-1.0": ("Released under CC0 1.0 Universal.", "Dedicated to the public domain under the Creative Commons CC0 1.0 license."),
@@ -41,7 +41,7 @@ OTHERS = (
 UNKNOWN, NONE = "unknown", "none"
 CONFIRM = 0.8
 #: Every paragraph that holds CONFIRM of a template's n-grams holds one of these; the others need no scoring.
-ANCHORS = ("licen[sc]", "cc[^a-z0-9]+by", "cc0", "public domain")
+ANCHORS = ("licen[sc]", "cc[^a-z0-9]+by", r"\bcc0\b", "public domain", r"\bbsd\b", r"\bgnu\b", r"\bmozilla\b")
 _SIZES = (1, 2, 3)
 
 

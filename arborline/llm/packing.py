@@ -197,11 +197,15 @@ def solve(counts: dict[int, int], capacity: int) -> list[Pattern]:
 # ---------------------------------------------------------------- the operator
 
 
-def pack(pieces: DataFrame, capacity: int, spread: list[str], buckets: int = 64) -> DataFrame:
+#: Rows of one length are ranked in parts of at least so many rows, in so many parts altogether at most (and one a length): a broadcast's bound.
+PART_ROWS, MOST_PARTS = 2_000, 500_000
+
+
+def pack(pieces: DataFrame, capacity: int, spread: list[str]) -> DataFrame:
     """Add sequence_id and offset (gapless from 0 in each sequence) to rows with a ``length`` of 1 to capacity.
 
     Rows of one length are interchangeable: each gets a rank (``spread`` names the columns that tell rows apart and
-    deal them into ``buckets``), and the solution's runs of ranks say where it goes. The histogram on the driver and the
+    deal them into parts), and the solution's runs of ranks say where it goes. The histogram on the driver and the
     runs have at most ``capacity`` lengths. pieces is read several times: pass a table or a checkpointed DataFrame. Cases: an
     empty table stays empty; rows that tie in ``spread`` are packed like others; a length out of range raises
     ValueError; columns named sequence_id or offset are replaced.
@@ -221,8 +225,10 @@ def pack(pieces: DataFrame, capacity: int, spread: list[str], buckets: int = 64)
         base += n
     spark = pieces.sparkSession
     solution = spark.createDataFrame(runs, "length long, first long, beyond long, base long, each long, at long")
-    bucket = F.pmod(F.xxhash64(*spread), F.lit(buckets)).cast("int")
-    ranked = gapless_rank(pieces, ["length"], bucket, [F.col(c) for c in spread], "rank_", buckets)
+    each_part = max(PART_ROWS, sum(counts.values()) // MOST_PARTS)
+    parts = F.lit([-(-counts.get(w, 1) // each_part) for w in range(1, capacity + 1)])
+    part = F.pmod(F.xxhash64(*spread), F.element_at(parts, F.col("length").cast("int"))).cast("int")
+    ranked = gapless_rank(pieces, ["length"], part, [F.col(c) for c in spread], "rank_")
     run = F.col("rank_") - F.col("s.first")
     where = (F.col("p.length") == F.col("s.length")) & (F.col("rank_") >= F.col("s.first")) & (F.col("rank_") < F.col("s.beyond"))
     return ranked.alias("p").join(F.broadcast(solution).alias("s"), where).select(

@@ -62,4 +62,4 @@ def shard(df: DataFrame, key: str, shards: int, buckets: int = 1024) -> DataFram
     k = key_of(df, key)
     placed = df.withColumns({"shard": jump_shard(k, shards), "grown_shard": jump_shard(k, shards + 1)})
     part = F.shiftrightunsigned(next_state(k), 64 - (buckets.bit_length() - 1)).cast("int")
-    return gapless_rank(placed, ["shard"], part, [F.col(key)], "slot", buckets)
+    return gapless_rank(placed, ["shard"], part, [F.col(key)], "slot")
