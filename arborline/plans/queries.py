@@ -257,7 +257,7 @@ def bracketed_quantiles(spark, d):
     return q.select("l_returnflag", F.round(e[0], 6).alias("a"), F.round(e[1], 6).alias("b"), F.round(e[2], 6).alias("c"), F.round(F.col("l_quantity__q")[1], 6).alias("m"))
 
 
-@query(sql("""SELECT orch_id, season_sort, round((b - a) / greatest(a, b), 6) AS silhouette FROM (SELECT x.orch_id, x.season_sort,
+@query(sql("""SELECT orch_id, season_sort, CASE WHEN b IS NULL THEN NULL WHEN a IS NULL THEN 0 ELSE round((b - a) / greatest(a, b), 6) END AS silhouette FROM (SELECT x.orch_id, x.season_sort,
   avg(sqrt((x.f_1 - y.f_1) ^ 2 + (x.f_2 - y.f_2) ^ 2)) FILTER (x.cluster = y.cluster) AS a, avg(sqrt((x.f_1 - y.f_1) ^ 2 + (x.f_2 - y.f_2) ^ 2)) FILTER (x.cluster <> y.cluster) AS b
   FROM asg x JOIN asg y ON x.season_sort = y.season_sort AND x.orch_id <> y.orch_id GROUP BY 1, 2)""", "asg"))
 def season_silhouette(spark, d):
