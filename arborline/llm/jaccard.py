@@ -327,7 +327,8 @@ def representatives(df: DataFrame, key: str, text: str, width: int = 5, threshol
     """
     node = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
     classes = jaccard_join(df, key, text, width, threshold, **how)
-    kept = classes.where(F.col("class_id") == node).select(node.alias(fresh(df, "kept"))).distinct()
-    name = kept.columns[0]
-    there = df.join(kept, node == kept[name], "left_semi")
-    return there.where(F.col(text).isNotNull()).dropDuplicates([key, text]).union(there.where(F.col(text).isNull()))
+    kept = classes.where(F.col("class_id") == node).select(node.alias("kept")).distinct()
+    number = fresh(df, "node")
+    # the semi join deals rows by number alone, and that is fine for what follows: texts are moved once
+    there = df.withColumn(number, node).join(kept.withColumnRenamed("kept", number), number, "left_semi")
+    return there.where(F.col(text).isNotNull()).dropDuplicates([number, text]).union(there.where(F.col(text).isNull())).select(*df.columns)
