@@ -198,6 +198,14 @@ def test_languages_held_out(spark):
     assert langid.identify(docs.withColumn("lang", F.lit(None).cast("string")), "doc_id", "text", "lang").where("lang_pred <> 'und'").count() == 0
 
 
+def test_language_sample_holds_a_repeated_key_once(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(langid, "fit", lambda packed, labels, **_: sizes.append(sorted(labels)))
+    rows = [(1, f"one hot key {i}", "en") for i in range(300)] + [(k, "autre texte", "fr") for k in range(2, 12)]
+    langid.learn(spark.createDataFrame(rows, "k long, t string, l string"), "k", "t", "l", F.lit(True), per_language=100)
+    assert sizes == [["en"] + ["fr"] * 10]
+
+
 def naive_spans(t):
     out = [(m.start(), m.end(), "email") for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [(m.start(), m.end(), "ip") for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
