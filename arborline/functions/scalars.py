@@ -166,6 +166,16 @@ def bsi(swir: Column, red: Column, nir: Column, blue: Column) -> Column:
     return F.try_divide((swir + red) - (nir + blue), (swir + red) + (nir + blue))
 
 
+def savi_fill(index: Column) -> Column:
+    """1 for a green pixel, 0 for another; null stays null."""
+    return (index > num(0.3)).cast("double")
+
+
+def bsi_fill(index: Column) -> Column:
+    """1 for a pixel that is not bare, 0 for another; null stays null."""
+    return (index < num(0.1)).cast("double")
+
+
 def clear_pixel(cloud: Column, nir: Column, most_cloud: float = 40, least_nir: float = 3000) -> Column:
     """Neither cloudy nor dark in the near infrared."""
     return ~((cloud > most_cloud) | (nir < least_nir))

@@ -328,6 +328,15 @@ def vegetation_indices(spark, d):
     return out.select("l_orderkey", "l_linenumber", *r6("evi2", "savi", "bsi"))
 
 
+@query("""SELECT l_suppkey, count(*) AS n, round(avg((1.5 * ((l_discount * 10 - l_tax) / nullif(l_discount * 10 + l_tax + 0.5, 0)) > 0.3)::INTEGER), 6) AS green,
+  round(avg(((l_quantity - 25) / nullif(l_quantity + 25, 0) < 0.1)::INTEGER), 6) AS covered FROM lineitem GROUP BY 1""")
+def fill_fractions(spark, d):
+    q = F.col("l_quantity")
+    rows = table(spark, d, "lineitem").select("l_suppkey", S.savi_fill(S.savi(F.col("l_discount") * F.lit(10.0), F.col("l_tax"))).alias("g"), S.bsi_fill(S.bsi(q, F.lit(0.0), F.lit(25.0), F.lit(0.0))).alias("c"))
+    out = rows.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"), F.avg("g").alias("green"), F.avg("c").alias("covered"))
+    return out.select("l_suppkey", "n", *r6("green", "covered"))
+
+
 @query("SELECT p_partkey, ((p_size % 4 = 1)::INTEGER + (p_size % 3 = 1)::INTEGER + (p_size % 2 = 1)::INTEGER) AS stability_score FROM part WHERE stability_score >= 2")
 def stability_score(spark, d):
     yearly = table(spark, d, "part").select("p_partkey", *[(F.when(F.col("p_size") % k != 0, F.col("p_size") % k)).alias(f"CDL{k}") for k in (4, 3, 2)])
