@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborline.llm.common import checkpointed, fresh
@@ -87,8 +87,10 @@ def children(paths: np.ndarray, rows: np.ndarray, threshold: float) -> tuple[np.
 
 
 def sketch(df: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """(key, set_a, set_b, n, sig) of every text; a null text has null set_a."""
+    """(key, mark, set_a, set_b, n, sig) of every text; mark names the text; a null text has null mark and set_a."""
     kind = df.select(key).schema[0].dataType.simpleString()
+    mark = fresh(df.select(key), "mark")
+    names = [key, mark, "set_a", "set_b", "n", "sig"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,12 +101,13 @@ def sketch(df: DataFrame, key: str, text: str, width: int) -> DataFrame:
                 sets = shingle_sets(whole[a:b], width)
                 set_a, set_b = set_keys(sets)
                 sig = [r.tobytes() for r in min_hashes(sets)]
-                yield pa.record_batch([batch.column(0).take(pa.array(there[a:b])), pa.array(set_a), pa.array(set_b), pa.array([len(s) for s in sets], pa.int64()), pa.array(sig, pa.binary())], names=[key, "set_a", "set_b", "n", "sig"])
+                own = [batch.column(c).take(pa.array(there[a:b])) for c in (0, 2)]
+                yield pa.record_batch([*own, pa.array(set_a), pa.array(set_b), pa.array([len(s) for s in sets], pa.int64()), pa.array(sig, pa.binary())], names=names)
             if none := [i for i, t in enumerate(texts) if t is None]:
-                nulls = [pa.nulls(len(none), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
-                yield pa.record_batch([batch.column(0).take(pa.array(none)), *nulls], names=[key, "set_a", "set_b", "n", "sig"])
+                nulls = [pa.nulls(len(none), t) for t in (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+                yield pa.record_batch([batch.column(0).take(pa.array(none)), *nulls], names=names)
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, set_a long, set_b long, n long, sig binary")
+    return df.select(key, text, F.md5(text)).mapInArrow(run, f"`{key}` {kind}, `{mark}` string, set_a long, set_b long, n long, sig binary")
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -270,7 +273,7 @@ def verified(blocks: DataFrame, threshold: float) -> DataFrame:
 
 
 def _sets(rows: DataFrame, width: int) -> DataFrame:
-    """Add the shingle set to rows (text, set_a, set_b, cluster, number, node, copies, n); another text of the same key goes."""
+    """Add the shingle set to rows (text, set_a, set_b, cluster, blocks, node, copies, n); a text with another set goes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -281,54 +284,73 @@ def _sets(rows: DataFrame, width: int) -> DataFrame:
                 part = batch.slice(a, b - a)
                 same = np.flatnonzero((set_a == part.column(1).to_numpy()) & (set_b == part.column(2).to_numpy()))
                 took = part.take(pa.array(same))
-                yield pa.record_batch([*took.columns[3:], pa.array([sets[k].astype("<u8").tobytes() for k in same], pa.binary())], names=["cluster", "number", "node", "copies", "n", "shingles"])
+                yield pa.record_batch([*took.columns[3:], pa.array([sets[k].astype("<u8").tobytes() for k in same], pa.binary())], names=["cluster", "blocks", "node", "copies", "n", "shingles"])
 
-    return rows.select("text", "set_a", "set_b", "cluster", "number", "node", "copies", "n").mapInArrow(run, "cluster long, number int, node long, copies long, n long, shingles binary")
+    return rows.select("text", "set_a", "set_b", "cluster", "blocks", "node", "copies", "n").mapInArrow(run, "cluster long, blocks int, node long, copies long, n long, shingles binary")
 
 
-def jaccard_join(df: DataFrame, key: str, text: str, width: int = 5, threshold: float = 0.8, recall: float = 0.999, bucket_limit: int = 4000, slack: float = 0.14) -> DataFrame:
-    """One row per row of df: key, class_id (the least key it is linked to, over any number of links) and n_links.
+def _number(key: str) -> Column:
+    return F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
 
-    Linked are texts whose sets of ``width``-word shingles have a Jaccard similarity of at least ``threshold``; n_links
-    counts the other documents linked directly, copies included. slack: how far under the threshold the share of equal
-    min-hash values of a pair may be for it to be compared exactly (0.14 is four standard deviations).
 
-    Cases: key must be a whole number, a null key counts as the least long; a null text is linked to none and is a class of its
-    own; a text of fewer words than ``width`` is one shingle; a text without a word is linked to equal texts only; rows that share
-    a key share a class if one is a class's least; an empty table stays empty; further columns are left out.
+def _linked(df: DataFrame, key: str, text: str, width: int = 5, threshold: float = 0.8, recall: float = 0.999, bucket_limit: int = 4000, slack: float = 0.14) -> tuple[DataFrame, DataFrame]:
+    """(the texts' sketches, the classes: set_a, set_b, node, first, root, top, n_links).
+
+    A class's node is a number of its own, whatever its keys. first is the least (number, mark) of the class's texts, top that of all
+    classes linked to it; root is their least node.
     """
-    node = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
     sketches = checkpointed(sketch(df, key, text, width))
-    classes = checkpointed(
-        sketches.where("set_a is not null").groupBy("set_a", "set_b").agg(F.min(node).alias("node"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("sig").alias("sig"))
-    )
+    mark = sketches.columns[1]
+    first = F.min(F.struct(_number(key).alias("number"), F.col(mark).alias("mark"))).alias("first")
+    named = checkpointed(sketches.where("set_a is not null").groupBy("set_a", "set_b").agg(first, F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("sig").alias("sig")))
+    # the checkpoint fixes rows and their order, so each reading numbers them alike
+    classes = named.withColumn("node", F.monotonically_increasing_id())
     links = chosen_path_links(classes, threshold, recall, bucket_limit, slack)
     clusters = checkpointed(components(links))
     sized = clusters.join(classes.drop("sig"), "node")
-    totals = sized.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("number"))
-    wanted = sized.join(totals, "root").withColumnRenamed("root", "cluster")
-    texts = df.select(node.alias("node"), F.col(text).alias("text"))
-    sets = _sets(texts.join(wanted, "node"), width).withColumn("block", F.pmod(F.xxhash64("node"), F.col("number")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("number") - 1), lambda x: F.struct(F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j")))
+    totals = sized.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    wanted = sized.join(totals, "root").select("first.number", "first.mark", "set_a", "set_b", F.col("root").alias("cluster"), "blocks", "node", "copies", "n")
+    # one text for each key and mark: repeated rows don't meet a class many times, and a key with many texts is dealt by mark
+    texts = df.where(F.col(text).isNotNull()).select(_number(key).alias("number"), F.md5(text).alias("mark"), F.col(text).alias("text")).dropDuplicates(["number", "mark"])
+    sets = _sets(texts.join(wanted, ["number", "mark"]), width).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j")))
     blocks = sets.withColumn("pair", F.explode(pairs)).select("cluster", "pair.i", "pair.j", "block", "node", "copies", "n", "shingles")
     found = checkpointed(verified(blocks, threshold))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
-    roots = components(found.select(F.col("node").alias("a"), F.col("parent").alias("b")))
-    by_class = classes.select("set_a", "set_b", "node", "copies").join(counts, "node", "left").join(roots, "node", "left")
-    by_class = by_class.select("set_a", "set_b", F.coalesce("root", "node").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    rows = sketches.select(key, "set_a", "set_b").join(by_class, ["set_a", "set_b"], "left")
-    return rows.select(key, F.coalesce("class_id", node).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    roots = checkpointed(components(found.select(F.col("node").alias("a"), F.col("parent").alias("b"))))
+    tops = roots.join(classes.select("node", "first"), "node").groupBy("root").agg(F.min("first").alias("top"))
+    by_class = classes.select("set_a", "set_b", "node", "copies", "first").join(counts, "node", "left").join(roots.join(tops, "root"), "node", "left")
+    return sketches, by_class.select(
+        "set_a", "set_b", "node", "first", F.coalesce("root", "node").alias("root"), F.coalesce("top", "first").alias("top"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+    )
+
+
+def jaccard_join(df: DataFrame, key: str, text: str, width: int = 5, threshold: float = 0.8, recall: float = 0.999, bucket_limit: int = 4000, slack: float = 0.14) -> DataFrame:
+    """One row per row of df: key, class_id (the least key it is linked to, over any number of links) and n_links.
+
+    Linked are texts whose sets of ``width``-word shingles have a Jaccard similarity of at least ``threshold``; n_links
+    counts the other documents linked directly, copies included. slack: how far under the threshold the share of equal
+    min-hash values of a pair may be for it to be compared exactly (0.14 is four standard deviations).
+
+    Cases: key must be a whole number, a null key counts as the least long; a null text is linked to none and is a class of its
+    own; a text of fewer words than ``width`` is one shingle; a text without a word is linked to equal texts only; rows that share
+    a key are linked by their texts only, so that classes whose least key is the same, null keys' too, have one class_id but each its own
+    links; an empty table stays empty; further columns are left out.
+    """
+    sketches, classes = _linked(df, key, text, width, threshold, recall, bucket_limit, slack)
+    rows = sketches.select(key, "set_a", "set_b").join(classes.select("set_a", "set_b", F.col("top.number").alias("class_id"), "n_links"), ["set_a", "set_b"], "left")
+    return rows.select(key, F.coalesce("class_id", _number(key)).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def representatives(df: DataFrame, key: str, text: str, width: int = 5, threshold: float = 0.8, **how) -> DataFrame:
     """The rows of df that stand for their classes: of each class of linked texts the one with the least key.
 
-    Cases: those of jaccard_join; of rows that share the key and the text of a class's least one remains; every null text is a class of its own.
+    Cases: those of jaccard_join; one row of a class remains, of different texts under its least key that with the least md5;
+    every null text is a class of its own.
     """
-    node = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
-    classes = jaccard_join(df, key, text, width, threshold, **how)
-    kept = classes.where(F.col("class_id") == node).select(node.alias("kept")).distinct()
-    number = fresh(df, "node")
-    # the semi join deals rows by number alone, and that is fine for what follows: texts are moved once
-    there = df.withColumn(number, node).join(kept.withColumnRenamed("kept", number), number, "left_semi")
-    return there.where(F.col(text).isNotNull()).dropDuplicates([number, text]).union(there.where(F.col(text).isNull())).select(*df.columns)
+    _, classes = _linked(df, key, text, width, threshold, **how)
+    number, mark = fresh(df, "node"), fresh(df, "mark")
+    kept = classes.where(F.col("top") == F.col("first")).select(F.col("first.number").alias(number), F.col("first.mark").alias(mark))
+    # texts are moved once: the semi join's rows come dealt by number and mark already
+    there = df.where(F.col(text).isNotNull()).withColumn(number, _number(key)).withColumn(mark, F.md5(text)).dropDuplicates([number, mark]).join(kept, [number, mark], "left_semi")
+    return there.select(*df.columns).union(df.where(F.col(text).isNull()))

@@ -119,6 +119,25 @@ def test_jaccard_join_is_brute_force(spark, limit):
     assert got == {i: (root[i], links[i]) for i in range(len(texts))}
 
 
+def test_texts_under_one_key_have_links_of_their_own(spark):
+    r = random.Random(9)
+    made = lambda: [r.choice([f"v{i}" for i in range(500)]) for _ in range(60)]
+    near = lambda base: " ".join(["other", *base[1:]])
+    one, two, three, four, five = (made() for _ in range(5))
+    rows = [(3, " ".join(one)), (5, near(one)), (5, " ".join(two)), (7, near(two)), (5, " ".join(three)), (5, " ".join(three))]
+    rows += [(None, " ".join(four)), (None, near(four)), (None, " ".join(five)), (9, near(five)), (None, None), (None, None)]
+    rows += [(11, " ".join(made())) for _ in range(40)]
+    root, links = brute_classes([t for _, t in rows])
+    number = [-(1 << 63) if k is None else k for k, _ in rows]
+    df = spark.createDataFrame(rows, "id long, t string")
+    got = sorted((-(1 << 63) if x.id is None else x.id, x.class_id, x.n_links) for x in jaccard.jaccard_join(df, "id", "t").collect())
+    assert got == sorted((number[i], min(number[j] for j in range(len(rows)) if root[j] == root[i]), links[i]) for i in range(len(rows)))
+    kept = [(x.id, x.t) for x in jaccard.representatives(df, "id", "t").collect()]
+    at = [next(i for i, row in enumerate(rows) if row == x) for x in kept if x[1] is not None]
+    assert sorted(root[i] for i in at) == sorted({root[i] for i, row in enumerate(rows) if row[1] is not None})
+    assert all(number[i] == min(number[j] for j in range(len(rows)) if root[j] == root[i]) for i in at) and kept.count((None, None)) == 2
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
