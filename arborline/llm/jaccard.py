@@ -7,7 +7,8 @@
 3. Candidate links are joined into clusters, and all pairs of a cluster are compared by their whole shingle sets, in
    blocks of bounded size. Numbers of links are added up inside the tasks.
 
-A pair at the threshold takes part in one run with the probability that ``run_recall`` gives; runs repeat until the target.
+A pair at the threshold takes part in one run with the probability that ``run_recall`` gives; runs repeat until the target. It is
+lower for deeper paths, so classes whose buckets are still too large at ``RECKONED_DEPTH`` go through ``deep_runs`` more.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from arborline.llm.grouped import map_groups
 from arborline.llm.words import in_chunks, mix64, shingle_sets
 
 COORDINATES = 128
-#: Depth for which the number of runs is reckoned, and to which large buckets are split before blocks take over.
+#: Depth for which every class's number of runs is reckoned, and to which large buckets are split before blocks take over.
 RECKONED_DEPTH, MOST_DEPTH = 4, 12
 BLOCK_CLASSES, BLOCK_SHINGLES = 256, 4_000_000
 _MULTIPLIERS = mix64(np.arange(COORDINATES, dtype=np.uint64), 11) | np.uint64(1)
@@ -45,8 +46,23 @@ def run_recall(threshold: float, depth: int) -> float:
     return q
 
 
+#: Share of the pairs that may be missed which is kept for paths beyond RECKONED_DEPTH, at least.
+DEEP_SHARE = 0.1
+
+
 def runs_for(threshold: float, recall: float) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - run_recall(threshold, RECKONED_DEPTH)))
+    return math.ceil(math.log((1 - DEEP_SHARE) * (1 - recall)) / math.log(1 - run_recall(threshold, RECKONED_DEPTH)))
+
+
+def deep_runs(threshold: float, recall: float) -> int:
+    """Further runs for the classes of buckets that are too large at RECKONED_DEPTH.
+
+    A pair is missed if it shares no path of that depth in any of the first runs, or if both are such classes and share
+    no path of MOST_DEPTH in the first runs and these; together that is at most 1 - recall.
+    """
+    runs = runs_for(threshold, recall)
+    spare = (1 - recall) - (1 - run_recall(threshold, RECKONED_DEPTH)) ** runs
+    return max(0, math.ceil(math.log(spare) / math.log(1 - run_recall(threshold, MOST_DEPTH))) - runs)
 
 
 def min_hashes(sets: list[np.ndarray]) -> np.ndarray:
@@ -114,7 +130,7 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, COORDINATES)
 
 
-def first_paths(classes: DataFrame, runs: int, threshold: float) -> DataFrame:
+def first_paths(classes: DataFrame, runs: range, threshold: float) -> DataFrame:
     """(path, node) of every run's first split."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +138,7 @@ def first_paths(classes: DataFrame, runs: int, threshold: float) -> DataFrame:
             if not batch.num_rows:
                 continue
             node, rows = batch.column(0).to_numpy(), _matrix(batch.column(1))
-            for r in range(runs):
+            for r in runs:
                 at, path = children(np.full(len(node), mix64(np.array([r], np.uint64), 35)[0]), rows, threshold)
                 yield pa.record_batch([pa.array(path.view(np.int64)), pa.array(node[at])], names=["path", "node"])
 
@@ -205,11 +221,10 @@ def blocks_of_bucket(large: DataFrame, limit: int) -> DataFrame:
     return dealt.select(F.xxhash64("path", "pair.i", "pair.j").alias("path"), "node")
 
 
-def chosen_path_links(classes: DataFrame, threshold: float, recall: float, bucket_limit: int, slack: float) -> DataFrame:
-    """Candidate links (a, b) of all runs over classes (node, sig)."""
-    sigs = classes.select("node", "sig")
-    members = checkpointed(first_paths(sigs, runs_for(threshold, recall), threshold))
-    links = None
+def _links_of_runs(sigs: DataFrame, runs: range, threshold: float, bucket_limit: int, slack: float) -> tuple[DataFrame, DataFrame | None]:
+    """(candidate links of these runs, the nodes of buckets too large at RECKONED_DEPTH or None)."""
+    members = checkpointed(first_paths(sigs, runs, threshold))
+    links = deep = None
     for depth in range(1, MOST_DEPTH + 1):
         sizes = members.groupBy("path").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
         sized = checkpointed(members.join(sizes, "path"))
@@ -217,11 +232,25 @@ def chosen_path_links(classes: DataFrame, threshold: float, recall: float, bucke
         found = candidate_links(small.join(sigs, "node"), threshold - slack)
         links = found if links is None else links.union(found)
         if large.isEmpty():
-            return links
+            return links, deep
+        if depth == RECKONED_DEPTH:
+            deep = checkpointed(large.select("node").distinct())
         if depth < MOST_DEPTH:
             members = checkpointed(next_paths(large.join(sigs, "node"), threshold))
     rest = blocks_of_bucket(large, bucket_limit)
-    return links.union(candidate_links(rest.join(sigs, "node"), threshold - slack))
+    return links.union(candidate_links(rest.join(sigs, "node"), threshold - slack)), deep
+
+
+def chosen_path_links(classes: DataFrame, threshold: float, recall: float, bucket_limit: int, slack: float) -> DataFrame:
+    """Candidate links (a, b) of all runs over classes (node, sig)."""
+    sigs = classes.select("node", "sig")
+    runs = runs_for(threshold, recall)
+    links, deep = _links_of_runs(sigs, range(runs), threshold, bucket_limit, slack)
+    more = deep_runs(threshold, recall)
+    if deep is None or not more:
+        return links
+    again, _ = _links_of_runs(checkpointed(sigs.join(deep, "node", "left_semi")), range(runs, runs + more), threshold, bucket_limit, slack)
+    return links.union(again)
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:

@@ -138,6 +138,18 @@ def test_texts_under_one_key_have_links_of_their_own(spark):
     assert all(number[i] == min(number[j] for j in range(len(rows)) if root[j] == root[i]) for i in at) and kept.count((None, None)) == 2
 
 
+def test_recall_holds_at_the_deepest_paths(spark):
+    r, n = np.random.default_rng(6), 3000
+    one = r.integers(0, 1 << 32, (n, jaccard.COORDINATES), dtype=np.uint32)
+    two = one.copy()
+    for row in two:
+        row[r.choice(jaccard.COORDINATES, round(0.2 * jaccard.COORDINATES), replace=False)] ^= np.uint32(1)
+    rows = [(k * n + i, bytearray(m[i].tobytes())) for k, m in enumerate((one, two)) for i in range(n)]
+    # with a limit of one class every bucket that holds a pair is split to the last depth
+    links = jaccard.chosen_path_links(spark.createDataFrame(rows, "node long, sig binary"), 0.8, 0.999, 1, 0.14)
+    assert n - links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().count() <= 0.003 * n
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
