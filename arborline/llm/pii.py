@@ -80,7 +80,10 @@ _AT, _DOT = r"(?:\s?@\s?|\s?[(\[{]\s?at\s?[)\]}]\s?|\sat\s)", r"(?:\.|\s?[(\[{]\
 _MAILY = re.compile(rf"(?<![\w.+-])[A-Za-z0-9_+-]{{1,64}}(?:{_DOT}[A-Za-z0-9_+-]{{1,64}}){{0,4}}{_AT}[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,5}}", re.I)
 _MAIL_WHOLE = re.compile(rf"[A-Za-z0-9_+-]+(?:{_DOT}[A-Za-z0-9_+-]+)*{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)*{_DOT}[A-Za-z]{{2,}}", re.I)
 _QUAD = re.compile(r"([0-9]{1,3})(\s?\.\s?|\s?[(\[]\.[)\]]\s?)([0-9]{1,3})\2([0-9]{1,3})\2([0-9]{1,3})")
-_MAIL_HINT = re.compile(r"@|dot|[(\[{]\s?at", re.I)
+#: Quads of any number of digits; they may overlap.
+_QUADDY = re.compile(rf"(?<![0-9])(?={_QUAD.pattern}(?![0-9]))")
+#: Every match of _MAILY holds one, so a text without one needs no search.
+_MAIL_HINT = re.compile(_AT, re.I)
 _MORE_MAIL = re.compile(rf"{_DOT}[A-Za-z0-9-]+", re.I)
 #: Cue words before a segment, by kind; fixed values.
 CUES = {
@@ -269,6 +272,7 @@ def added_spans(text: str, base: list[Span], weights: dict[tuple[str, str], floa
     regions = []
     if any(map(text.__contains__, "0123456789")):
         regions += [m.span() for m in _DIGITY.finditer(text)]
+        regions += [(m.start(), m.end(5)) for m in _QUADDY.finditer(text)]
     if _MAIL_HINT.search(text):
         regions += [m.span() for m in _MAILY.finditer(text)]
     if not regions:

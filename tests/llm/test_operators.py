@@ -264,6 +264,14 @@ def test_field_finds_odd_spellings():
         assert pii.find_spans(clean, weights) == ([], [])
 
 
+def test_field_sees_short_quads_and_plain_at():
+    weights = pii.train()
+    for text, span, kind in (("host 10[.]0[.]0[.]1 is up", "10[.]0[.]0[.]1", "ip"), ("go to 8[.]8[.]8[.]8.", "8[.]8[.]8[.]8", "ip"), ("see 127 . 0 . 0 . 1 now", "127 . 0 . 0 . 1", "ip"), ("write to john at example.com", "john at example.com", "email")):
+        found = [(text[s:e], k) for s, e, k in pii.find_spans(text, weights)[1]]
+        assert found == [(span, kind)]
+        assert [(t[s:e], k) for t in [text + ", see the anecdote (attached)"] for s, e, k in pii.find_spans(t, weights)[1]] == found
+
+
 def test_field_is_linear_in_text():
     for t in ("1" * 200_000, "1 " * 50_000, "a" * 200_000 + "@", "a.b" * 50_000, "x at " * 30_000 + "dot", "+1 " * 50_000):
         pii.find_spans(t, pii.train())
