@@ -76,21 +76,21 @@ def fit(packed: Sequence[bytes], labels: Sequence[str], landmarks: int = 256, ri
     return LanguageModel(languages, (marks.T @ (root @ beta).astype(np.float32)), (y_mean - mean @ beta).astype(np.float32))
 
 
-def learn(df: DataFrame, key: str, text: str, lang: str, learnable: Column, per_language: int = 400, most_languages: int = 64) -> LanguageModel | None:
-    """Fit on a bounded sample: of each of the most frequent languages the learnable keys with the smallest hashes, one row a key.
+def learn(df: DataFrame, key: str, text: str, lang: str, learnable: Column, per_language: int = 400) -> LanguageModel | None:
+    """Fit on a bounded sample: of each language the learnable keys with the smallest hashes, one row a key, of texts with a letter.
 
-    The bounds are the parameters per_language and most_languages; the driver gets their product of 4 kB rows at most, however
-    often a key repeats: of its rows the one with the least presence bits counts.
+    Every language is learnt; the driver gets at most per_language rows of 4 kB for each, however often a key
+    repeats: of its rows the one with the least presence bits counts.
     """
     whole = df.where(learnable).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     key, text, lang = "key", "text", "lang"
-    there = whole.dropna()
-    counts = there.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(most_languages)
+    there = whole.dropna().where(F.col(text).rlike(r"\p{L}"))
     rank = Window.partitionBy("l").orderBy("h", "k")
-    keyed = there.select(F.col(key).alias("k"), F.col(lang).alias("l"), F.xxhash64(F.lit(7), F.col(key)).alias("h"))
+    keyed = there.select(F.col(key).alias("k"), F.col(lang).alias("l"), F.xxhash64(F.lit(7), F.col(key)).alias("h")).distinct()
+    counts = keyed.groupBy("l").count()
     # of a large language only hashes that can be among the smallest go on: about four times as many as are wanted
     near = F.col("h") / F.lit(2.0**64) + F.lit(0.5) < F.lit(4.0 * per_language) / F.col("count")
-    keyed = keyed.join(F.broadcast(counts.withColumnRenamed(lang, "l")), "l").where(near).distinct()
+    keyed = keyed.join(F.broadcast(counts), "l").where(near)
     chosen = keyed.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= per_language).select("k", "l", "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +100,7 @@ def learn(df: DataFrame, key: str, text: str, lang: str, learnable: Column, per_
                 bits = [np.packbits(row).tobytes() for row in presence(part.column(2).to_pylist())]
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(bits, pa.binary())], names=["l", "h", "bits"])
 
-    rows = there.join(F.broadcast(chosen), (F.col(key) == F.col("k")) & (F.col(lang) == F.col("l"))).where(F.col(text).rlike(r"\p{L}")).select("l", "h", text)
+    rows = there.join(F.broadcast(chosen), (F.col(key) == F.col("k")) & (F.col(lang) == F.col("l"))).select("l", "h", text)
     once = rows.mapInArrow(run, "l string, h long, bits binary").groupBy("l", "h").agg(F.min("bits").alias("bits"))
     sample = sorted(once.collect(), key=lambda r: (r.h, r.l, r.bits))
     return fit([bytes(r.bits) for r in sample], [r.l for r in sample]) if sample else None

@@ -237,6 +237,16 @@ def test_language_sample_holds_a_repeated_key_once(spark, monkeypatch):
     assert sizes == [["en"] + ["fr"] * 10]
 
 
+def test_language_sample_counts_keys_and_learns_every_label(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda packed, labels, **_: seen.append({x: labels.count(x) for x in labels}))
+    rows = [(1, f"hot key {i}", "en") for i in range(4000)] + [(k, "another text", "en") for k in range(2, 22)]
+    rows += [(k, "12 34", "fr") for k in range(100, 4100)] + [(k, "autre texte", "fr") for k in range(5000, 5020)]
+    rows += [(k, "word", f"x{k}") for k in range(6000, 6070)]
+    langid.learn(spark.createDataFrame(rows, "k long, t string, l string"), "k", "t", "l", F.lit(True), per_language=10)
+    assert seen == [{"en": 10, "fr": 10} | {f"x{k}": 1 for k in range(6000, 6070)}]
+
+
 def naive_spans(t):
     out = [(m.start(), m.end(), "email") for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [(m.start(), m.end(), "ip") for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
