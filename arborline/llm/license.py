@@ -207,15 +207,16 @@ def _window_keys(paragraph: Column, tables: _Tables) -> Column:
         at = F.filter(F.sequence(F.lit(0), F.lit(STRIDE - 1)), lambda i: F.coalesce(F.get(part, i) > 0, F.lit(False)))
 
         def from_(i: Column) -> Column:
-            u, v, t = F.get(part, i), F.get(part, i + F.lit(1)), F.get(part, i + F.lit(2))
-            two = F.when(v > 0, u * base + v)
-            return F.array(u, two, F.when(t > 0, two * base + t))
+            one, two = F.get(part, i), F.get(part, i + F.lit(1))
+            pair = F.when(two > 0, one * base + two)
+            three = lambda k: F.when(F.get(part, i + F.lit(2)) > 0, k * base + F.get(part, i + F.lit(2)))
+            return F.when(two > 0, _bound(pair, lambda k: F.array(one, k, three(k)))).otherwise(F.array(one))
 
         return F.filter(F.flatten(F.transform(at, from_)), lambda k: F.when(k.isNotNull(), there(k)).otherwise(F.lit(False)))
 
     def windows(ids: Column) -> Column:
         starts = F.sequence(F.lit(0), F.floor((F.greatest(F.size(ids), F.lit(1)) - F.lit(1)) / F.lit(STRIDE)).cast("int"))
-        parts = F.transform(starts, lambda c: grams(F.slice(ids, c * F.lit(STRIDE) + F.lit(1), STRIDE + 2)))
+        parts = F.transform(starts, lambda c: _bound(F.slice(ids, c * F.lit(STRIDE) + F.lit(1), STRIDE + 2), grams))
         none = F.array().cast("array<bigint>")
         return _bound(parts, lambda ps: F.transform(ps, lambda p, c: F.array_distinct(F.concat(p, F.coalesce(F.get(ps, c + F.lit(1)), none)))))
 
@@ -229,7 +230,7 @@ def _judged(keys_: Column, model: LicenseModel, tables: _Tables) -> Column:
     slot = lambda k: (k % F.lit(_GRAM_BUCKETS)).cast("int") + F.lit(1)
     row = lambda k: F.element_at(F.element_at(weights, slot(k)), F.array_position(F.element_at(keys, slot(k)), k).cast("int"))
     scores = F.aggregate(keys_, _constant(model.bias, "array<int>"), lambda a, k: F.zip_with(a, row(k), lambda x, y: x + y))
-    known = _constant(tables.templates, "array<struct<c:int,g:array<bigint>,n:int,m:array<bigint>>")
+    known = _constant(tables.templates, "array<struct<c:int,g:array<bigint>,n:int,m:array<bigint>>>")
 
     def judge(s: Column) -> Column:
         unknown, none = F.element_at(s, n - 1), F.element_at(s, n)

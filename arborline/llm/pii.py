@@ -85,13 +85,16 @@ _DIGITY = re.compile(rf"[+(]?[0-9](?:{_MARKS}{{0,3}}[0-9]){{6,}}")
 _AT = r"(?:\s?[@\uff20]\s?|\s?[(\[{<]\s?at\s?[)\]}>]\s?|\s?\(@\)\s?|\sat\s|_at_|&#64;|%40)"
 _DOT = r"(?:\.|\s?[(\[{<]\s?dot\s?[)\]}>]\s?|\s?[(\[]\.[)\]]\s?|\sdot\s|_dot_)"
 _NAME = r"[A-Za-z0-9+-](?:_?(?!at_|dot_)[A-Za-z0-9+-]){0,63}"
-_MAILY = re.compile(rf"(?<![\w.+-]){_NAME}(?:{_DOT}{_NAME}){{0,4}}{_AT}[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,5}}", re.I)
+#: What an at sign, said in any way, has in it, and where that lies inside it at most.
+_AT_CORE, _AT_LEAD = re.compile(r"[@\uff20]|(?<![A-Za-z0-9])at(?![A-Za-z0-9])|&#64;|%40", re.I), 3
+_AT_SIGN = re.compile(_AT, re.I)
+_BEFORE_AT = re.compile(rf"(?<![\w.+-]){_NAME}(?:{_DOT}{_NAME}){{0,4}}\Z", re.I)
+_AFTER_AT = re.compile(rf"[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,5}}", re.I)
+_MOST_BEFORE_AT = 5 * 64 + 4 * 7
 _MAIL_WHOLE = re.compile(rf"[A-Za-z0-9_+-]+(?:{_DOT}[A-Za-z0-9_+-]+)*{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)*{_DOT}[A-Za-z]{{2,}}", re.I)
 _QUAD = re.compile(r"([0-9]{1,3})(\s?\.\s?|\s?[(\[{](?:\.|dot)[)\]}]\s?|\sdot\s|,)([0-9]{1,3})\2([0-9]{1,3})\2([0-9]{1,3})", re.I)
 #: Quads of any number of digits; they may overlap.
 _QUADDY = re.compile(rf"(?<![0-9])(?={_QUAD.pattern}(?![0-9]))", re.I)
-#: Every match of _MAILY holds one, so a text without one needs no search.
-_MAIL_HINT = re.compile(_AT, re.I)
 _MORE_MAIL = re.compile(rf"(?:{_DOT}|{_AT})[A-Za-z0-9-]+", re.I)
 #: Cue words near a segment, by kind; fixed values.
 CUES = {
@@ -294,8 +297,12 @@ def regions_of(text: str, base: list[Span]) -> list[tuple[int, int]]:
     if any(map(text.__contains__, "0123456789")):
         found += [m.span() for m in _DIGITY.finditer(text)]
         found += [(m.start(), m.end(5)) for m in _QUADDY.finditer(text)]
-    if _MAIL_HINT.search(text):
-        found += [m.span() for m in _MAILY.finditer(text)]
+    for core in _AT_CORE.finditer(text):
+        sign = next((m for q in range(max(0, core.start() - _AT_LEAD), core.start() + 1) if (m := _AT_SIGN.match(text, q)) and m.end() >= core.end()), None)
+        host = _AFTER_AT.match(text, sign.end()) if sign else None
+        name = _BEFORE_AT.search(text, max(0, sign.start() - _MOST_BEFORE_AT), sign.start()) if host else None
+        if name:
+            found.append((name.start(), host.end()))
     merged: list[list[int]] = []
     for s, e in sorted(found):
         if merged and s <= merged[-1][1]:
