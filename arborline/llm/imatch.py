@@ -1,8 +1,9 @@
 """Operator 6: document fingerprints by I-Match with randomised lexicons (Chowdhury et al., 2002; Kolcz and Chowdhury, 2004).
 
-The lexicon is the terms whose document frequency lies in a band. A text's distinct lexicon terms, sorted, are hashed once for each of
-64 random subsets of the lexicon, which keep from all terms down to one in 256. The likeness of two fingerprints is a
-share of equal hashes: subsets of many terms tell small edits, those of few terms large ones.
+The lexicon is the terms whose document frequency lies in a band. A text's distinct terms, sorted, are hashed once for each of 144 random
+subsets of the lexicon, in 12 levels of twelve that keep one term in 2, in 4, and so on to one in 4096, each drawn for itself. The first two levels draw from a wider band without
+the lower edge, so that texts of rare terms have a fingerprint too, and the very first subset keeps every term. That is one rule
+for all texts. The likeness of two fingerprints is a share of equal hashes: subsets of many terms tell small edits, those of few terms large ones.
 """
 
 from __future__ import annotations
@@ -10,22 +11,24 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborline.llm.common import checkpointed
 from arborline.llm.words import in_chunks, mix64, word_hashes
 
-SUBSETS = 64
-#: A text with fewer lexicon terms is hashed by all its terms.
-LEAST_TERMS = 8
+LEVELS, EACH = 12, 12
+SUBSETS = LEVELS * EACH
+#: Levels that draw from the wider band.
+WIDE_LEVELS = 2
 LEAST_SUBSETS = 8
-#: Document shares of the lexicon's terms. The lower one bounds the lexicon: (mean distinct terms of a text) / LOW terms.
+#: Document shares of the lexicon's terms. The lower one bounds it: it has at most (mean distinct terms of a text) / LOW terms, and those above
+#: HIGH are at most (that mean) / HIGH, whatever the number of texts.
 LOW, HIGH = 0.002, 0.25
-MOST_LEXICON = 8_000_000
 _FLUSH_TERMS = 1 << 20
 
 
@@ -44,50 +47,62 @@ def distinct_terms(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return words[new], owner[new]
 
 
-def subset_masks(terms: np.ndarray) -> np.ndarray:
-    """Which subsets keep each term, as bits: bit 0 all terms; of byte j the others keep one in 2^(j + 1)."""
-    kept = np.full(len(terms), ~np.uint64(0))
-    mask = np.zeros(len(terms), np.uint64)
-    for j in range(8):
-        kept &= mix64(terms, 50 + j)
-        mask |= kept & np.uint64(0xFF << (8 * j))
-    return mask | np.uint64(1)
+@dataclass(frozen=True)
+class Lexicon:
+    """Sorted term hashes: those inside the band, and those too frequent for it."""
 
+    band: np.ndarray
+    frequent: np.ndarray
 
-def fingerprints(texts: Sequence[str], lexicon: np.ndarray) -> np.ndarray:
-    """A row of SUBSETS 16-bit hashes for each text; 0 where a subset keeps none of its terms. lexicon is sorted."""
+
+def _among(terms: np.ndarray, known: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(terms), bool)
+    return known[np.minimum(np.searchsorted(known, terms), len(known) - 1)] == terms
+
+
+def fingerprints(texts: Sequence[str], lexicon: Lexicon) -> np.ndarray:
+    """A row of SUBSETS 16-bit hashes for each text; 0 where a subset keeps none of its terms."""
     terms, owner = distinct_terms(texts)
-    known = np.zeros(len(terms), bool)
-    if len(lexicon):
-        known = lexicon[np.minimum(np.searchsorted(lexicon, terms), len(lexicon) - 1)] == terms
-    few = np.bincount(owner[known], minlength=len(texts)) < LEAST_TERMS
-    use = known | few[owner]
-    terms, owner = terms[use], owner[use]
-    mask, value = subset_masks(terms), mix64(terms, 41)
-    starts = np.searchsorted(owner, np.arange(len(texts)))
     out = np.zeros((len(texts), SUBSETS), np.uint16)
-    for r in range(SUBSETS):
-        inside = (mask >> np.uint64(r)) & np.uint64(1)
-        total = np.add.reduceat(value * inside, starts)
-        some = np.add.reduceat(inside, starts) > 0
-        out[:, r] = np.where(some, mix64(total, 60) % np.uint64(0xFFFF) + np.uint64(1), 0)
+    groups = np.arange(len(texts) + 1)
+
+    def fill(r: int, value: np.ndarray, owner: np.ndarray) -> None:
+        upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
+        at = np.searchsorted(owner, groups)
+        total = upto[at[1:]] - upto[at[:-1]]
+        out[:, r] = np.where(at[1:] > at[:-1], mix64(total, 60) % np.uint64(0xFFFF) + np.uint64(1), 0)
+
+    fill(0, mix64(terms, 41), owner)
+    rest = ~_among(terms, lexicon.frequent)
+    terms, owner = terms[rest], owner[rest]
+    value = mix64(terms, 41)
+    for level in range(LEVELS):
+        if level == WIDE_LEVELS:
+            known = _among(terms, lexicon.band)
+            terms, owner, value = terms[known], owner[known], value[known]
+        for r in range(level == 0, EACH):
+            # four 16-bit numbers come of one hash
+            draws = draws if r % 4 and r > (level == 0) else mix64(terms, 100 + (level * EACH + r) // 4)
+            inside = (draws >> np.uint64(16 * (r % 4))) & np.uint64(0xFFFF) < np.uint64(0x10000 >> (level + 1))
+            fill(level * EACH + r, value[inside], owner[inside])
     return out
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Of rows of fingerprints: the share of equal hashes among the subsets that keep a term of either, in the best pool of subsets.
 
-    The pools are all subsets, all but the finest eight, and so on, as long as LEAST_SUBSETS keep a term: fine subsets differ at the first edit.
+    The pools are all subsets, all but the finest level, and so on, as long as LEAST_SUBSETS keep a term: fine subsets differ at the first edit.
     """
     some = (a != 0) | (b != 0)
-    upto = lambda x: x.reshape(len(x), 8, -1).sum(axis=2)[:, ::-1].cumsum(axis=1)[:, ::-1]
+    upto = lambda x: x.reshape(len(x), LEVELS, -1).sum(axis=2)[:, ::-1].cumsum(axis=1)[:, ::-1]
     same, n = upto((a == b) & some), upto(some)
     share = same / np.maximum(n, 1)
     return np.maximum(share[:, 0], np.where(n >= LEAST_SUBSETS, share, 0).max(axis=1))
 
 
-def lexicon_of(df: DataFrame, text: str, low: float, high: float) -> np.ndarray:
-    """The sorted hashes of the terms that between low and high of all texts contain."""
+def lexicon_of(df: DataFrame, text: str, low: float, high: float) -> Lexicon:
+    """The terms that between low and high of all texts contain, and those that more do; for the bound of their number see LOW."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -111,10 +126,10 @@ def lexicon_of(df: DataFrame, text: str, low: float, high: float) -> np.ndarray:
 
     total = df.count()
     counts = df.select(text).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    band = checkpointed(counts.where((F.col("n") >= math.ceil(low * total)) & (F.col("n") <= math.floor(high * total))).select("term"))
-    if (size := band.count()) > MOST_LEXICON:
-        raise ValueError(f"the lexicon has {size} terms; choose a narrower band")
-    return np.sort(band.toArrow().column(0).to_numpy().view(np.uint64))
+    often = F.col("n") > math.floor(high * total)
+    rows = checkpointed(counts.where(F.col("n") >= math.ceil(low * total)).select("term", often.alias("often"))).toArrow()
+    terms, often = rows.column(0).to_numpy().view(np.uint64), rows.column(1).to_numpy()
+    return Lexicon(np.sort(terms[~often]), np.sort(terms[often]))
 
 
 def edited(text: str, following: str) -> str:
@@ -123,25 +138,58 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+#: Sampled (key, text hash) pairs for each bucket whose bounds they give.
+SAMPLED_EACH = 64
+_LEAST_KEY = -(1 << 63)
+
+
+def _bounds(pairs: DataFrame, n: int, buckets: int) -> list[tuple[int, int]]:
+    """Rising pairs (k, h) that part the rows into about ``buckets`` of equal size, from a sample by hash of at most about SAMPLED_EACH x buckets pairs."""
+    share = F.xxhash64(F.lit(99), "k", "h") / F.lit(2.0**64) + F.lit(0.5) < F.lit(min(1.0, SAMPLED_EACH * buckets / max(1, n)) + 1e-12)
+    sample = sorted((r.k, r.h, r["count"]) for r in pairs.where(share).groupBy("k", "h").count().collect())
+    whole, upto, cuts = sum(c for *_, c in sample), 0, []
+    for k, h, c in sample:
+        if cuts and (k, h) == cuts[-1]:
+            continue
+        if upto * buckets >= (len(cuts) + 1) * whole:
+            cuts.append((k, h))
+        upto += c
+    return cuts
+
+
+def _place(k: Column, h: Column, cuts: list[tuple[int, int]]) -> Column:
+    """How many of the rising cuts are at or before (k, h), by halving."""
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+    padded = cuts + [(2**63 - 1, 2**63 - 1)] * (2 * steps[0] - 1 - len(cuts)) if steps else cuts
+    if not steps:
+        return F.lit(0)
+    ks, hs = F.lit([c[0] for c in padded]), F.lit([c[1] for c in padded])
+
+    def halve(at: Column, step: Column) -> Column:
+        to = at + step
+        below = (F.element_at(ks, to) < k) | ((F.element_at(ks, to) == k) & (F.element_at(hs, to) <= h))
+        return F.when(below & (to <= len(cuts)), to).otherwise(at)
+
+    return F.aggregate(F.lit(steps), F.lit(0), halve)
+
+
 def with_following(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(bucket, tail, key, h, text): rows dealt by ranges of the key into buckets; the row that follows a bucket's last one is added as its tail.
+    """(bucket, tail, key, h, text): rows dealt by ranges of key and text hash into buckets; the row that follows a bucket's last one is added as its tail.
 
     A bucket is in order when sorted by key descending, then h descending. Texts are moved once, tails are one row a bucket.
     """
     spark = df.sparkSession
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted(set(df.where(F.col(key).isNotNull()).select(F.col(key).cast("double").alias("k")).approxQuantile("k", [i / buckets for i in range(1, buckets)], 0.25 / buckets)))
-    number = F.lit(0)
-    if cuts:
-        number = F.when(F.col(key).isNull(), 0).otherwise(F.lit(1) + F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(key))))
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = df.select(number.cast("int").alias("bucket"), F.lit(0).alias("tail"), F.col(key).cast("long").alias(key), F.xxhash64(body).alias("h"), body.alias(text))
-    first = rows.groupBy("bucket").agg(F.max(F.struct(F.coalesce(F.col(key), F.lit(-(1 << 63))).alias("k"), "h")).alias("f")).orderBy("bucket").collect()
+    k, h = F.coalesce(F.col(key).cast("long"), F.lit(_LEAST_KEY)), F.xxhash64(body)
+    cuts = _bounds(df.select(k.alias("k"), h.alias("h")), df.count(), buckets)
+    rows = df.select(_place(k, h, cuts).cast("int").alias("bucket"), F.lit(0).alias("tail"), F.col(key).cast("long").alias(key), h.alias("h"), body.alias(text))
+    first = rows.groupBy("bucket").agg(F.max(F.struct(F.coalesce(F.col(key), F.lit(_LEAST_KEY)).alias("k"), "h")).alias("f")).orderBy("bucket").collect()
     if not first:
         return rows
     to = {b.bucket: first[i + 1].bucket if i + 1 < len(first) else first[0].bucket for i, b in enumerate(first)}
     asked = spark.createDataFrame([(b.bucket, b.f.k, b.f.h, to[b.bucket]) for b in first], "b int, k long, hh long, dest int")
-    same = (F.col("bucket") == F.col("b")) & (F.coalesce(F.col(key), F.lit(-(1 << 63))) == F.col("k")) & (F.col("h") == F.col("hh"))
+    same = (F.col("bucket") == F.col("b")) & (F.coalesce(F.col(key), F.lit(_LEAST_KEY)) == F.col("k")) & (F.col("h") == F.col("hh"))
     tails = rows.join(F.broadcast(asked), same).dropDuplicates(["b"]).select(F.col("dest").alias("bucket"), F.lit(1).alias("tail"), key, "h", text)
     return rows.union(tails)
 
@@ -151,8 +199,8 @@ def fingerprint_edits(df: DataFrame, key: str, text: str, low: float = LOW, high
 
     Returns key, n_chars, edited_sha256, fingerprint, edited_fingerprint (hex), near_edited, near_next. The next document is that of
     the next smaller key, after the last the first. Cases: a null text is empty; a text without a word has itself as its one
-    term; a null key comes last; rows that share a key are ordered by a hash of their texts; a single document follows itself; an empty table
-    stays empty; other columns are left out.
+    term; a null key comes last; rows that share a key are ordered by a hash of their texts, those that share both in any way; texts of any
+    length are read whole; a single document follows itself; an empty table stays empty; other columns are left out.
     """
     shared = df.sparkSession.sparkContext.broadcast(lexicon_of(df, text, low, high))
 

@@ -14,13 +14,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborline.llm.common import checkpointed, gapless_rank
-
-#: The pre-tokenizer of public byte-level BPE files that use the library's own pattern; fixed value.
-BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+from arborline.llm.sharding import next_state
+from arborline.llm.tokencount import WORD_PATTERN
 
 Pattern = tuple[int, tuple[tuple[int, int], ...]]  # sequences, ((length, pieces of it), ...)
 
@@ -56,7 +55,7 @@ def load_encoder(spec: str) -> Callable[[str], np.ndarray]:
     import tiktoken
 
     ranks = {bytes(letters[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
-    fast = tiktoken.Encoding("file", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+    fast = tiktoken.Encoding("file", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
     return lambda text: slow(text) if any(x in text for x in special) else fast.encode_to_numpy(text)
 
 
@@ -201,10 +200,16 @@ def solve(counts: dict[int, int], capacity: int) -> list[Pattern]:
 PART_ROWS, MOST_PARTS = 2_000, 500_000
 
 
-def pack(pieces: DataFrame, capacity: int, spread: list[str]) -> DataFrame:
+def scattered(number: Column, seed: int) -> Column:
+    """A number in a fixed random order: different numbers get different 64-bit ones."""
+    x = next_state(number.cast("long").bitwiseXOR(F.lit(seed).cast("long")))
+    return next_state(x.bitwiseXOR(F.shiftrightunsigned(x, 32)))
+
+
+def pack(pieces: DataFrame, capacity: int, spread: list[str], seed: int = 29) -> DataFrame:
     """Add sequence_id and offset (gapless from 0 in each sequence) to rows with a ``length`` of 1 to capacity.
 
-    Rows of one length are interchangeable: each gets a rank (``spread`` names the columns that tell rows apart and
+    sequence_id is unique and random: in its order sequences are shuffled, whatever their pattern. Rows of one length are interchangeable: each gets a rank (``spread`` names the columns that tell rows apart and
     deal them into parts), and the solution's runs of ranks say where it goes. The histogram on the driver and the
     runs have at most ``capacity`` lengths. pieces is read several times: pass a table or a checkpointed DataFrame. Cases: an
     empty table stays empty; rows that tie in ``spread`` are packed like others; a length out of range raises
@@ -233,7 +238,7 @@ def pack(pieces: DataFrame, capacity: int, spread: list[str]) -> DataFrame:
     where = (F.col("p.length") == F.col("s.length")) & (F.col("rank_") >= F.col("s.first")) & (F.col("rank_") < F.col("s.beyond"))
     return ranked.alias("p").join(F.broadcast(solution).alias("s"), where).select(
         *[F.col(f"p.`{c}`") for c in pieces.columns],
-        (F.col("s.base") + F.floor(run / F.col("s.each"))).cast("long").alias("sequence_id"),
+        scattered(F.col("s.base") + F.floor(run / F.col("s.each")), seed).alias("sequence_id"),
         (F.col("s.at") + F.pmod(run, F.col("s.each")) * F.col("s.length")).cast("long").alias("offset"),
     )
 

@@ -29,7 +29,7 @@ def op1_jump_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     text = F.coalesce("text", F.lit(""))
     sized = docs.select("doc_id", (F.octet_length(text) + F.lit(1)).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("key").alias("law"))
-    return sharding.shard(sized, "doc_id", SHARDS).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    return sharding.shard(sized, "doc_id", SHARDS, F.col("text_crc32")).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in every}
 
 
-SQL_OP1 = """
+SQL_OP1 = f"""
 WITH RECURSIVE crc_step(i, k, c) AS (
   SELECT i, 0, i::BIGINT FROM range(256) r(i)
   UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_step WHERE k < 8),
@@ -103,7 +103,7 @@ jump(key, s, b, j) AS (
 placed AS (
   SELECT key, max(j) FILTER (WHERE j < 8)::INTEGER AS shard, max(j) FILTER (WHERE j < 9)::INTEGER AS grown_shard FROM jump GROUP BY key),
 part AS (
-  SELECT *, ((key * 2862933555777941757::UHUGEINT + 1) % 18446744073709551616::UHUGEINT) // 18014398509481984 AS bucket FROM sized JOIN placed USING (key))
+  SELECT *, ((key * 2862933555777941757::UHUGEINT + 1) % 18446744073709551616::UHUGEINT) // 72057594037927936 * {sharding.SPREAD} + text_crc32 % {sharding.SPREAD} AS bucket FROM sized JOIN placed USING (key))
 SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard,
   row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id) - 1 AS slot, grown_shard
 FROM part
@@ -129,12 +129,14 @@ WITH RECURSIVE own AS (
   SELECT source, sum(octet_length(encode(coalesce(text, ''))) + 1)::DOUBLE AS n FROM documents GROUP BY source),
 rates AS (
   SELECT source, round(pow(n, {MIX_ALPHA}) * (sum(n) OVER () / sum(pow(n, {MIX_ALPHA})) OVER ()) / n, 9) AS rate FROM own),
+shared AS (SELECT source, greatest(ceil(rate / {mixing.MOST_RATE}), 1)::INTEGER AS parts, rate / greatest(ceil(rate / {mixing.MOST_RATE}), 1) AS rate FROM rates),
 cdf(source, rate, k, l, c) AS (
-  SELECT source, rate, 0, -rate, exp(-rate) FROM rates
+  SELECT source, rate, 0, -rate, exp(-rate) FROM shared
   UNION ALL
   SELECT source, rate, k + 1, l + ln(rate) - ln(k + 1), c + exp(l + ln(rate) - ln(k + 1)) FROM cdf WHERE k < ceil(rate + 12 * sqrt(rate) + 30)),
 drawn AS (
-  SELECT *, ('0x' || substr(md5('{MIX_SEED}|' || coalesce(doc_id::VARCHAR, '\\N')), 1, 13))::BIGINT::DOUBLE / 4503599627370496 AS u FROM documents),
+  SELECT doc_id, text, lang, source, n_chars, ('0x' || substr(md5('{MIX_SEED}|' || coalesce(doc_id::VARCHAR, '\\N') || CASE WHEN part > 0 THEN '|' || part ELSE '' END), 1, 13))::BIGINT::DOUBLE / 4503599627370496 AS u
+  FROM (SELECT d.*, unnest(range(parts)) AS part FROM documents d JOIN shared s ON s.source IS NOT DISTINCT FROM d.source)),
 counted AS (
   SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, count(*) AS times
   FROM drawn d JOIN cdf ON cdf.source IS NOT DISTINCT FROM d.source AND cdf.c <= d.u GROUP BY ALL)

@@ -51,15 +51,24 @@ def jump_shard(key: Column, shards: int, most_jumps: int = 128) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(min(shards, most_jumps))), start, jump, lambda acc: acc["b"].cast("int"))
 
 
-def shard(df: DataFrame, key: str, shards: int, buckets: int = 1024) -> DataFrame:
+#: Parts into which rows of one key are dealt for ranking.
+SPREAD = 16
+
+
+def shard(df: DataFrame, key: str, shards: int, spread: Column | None = None, buckets: int = 256) -> DataFrame:
     """Add shard, grown_shard (with one shard more) and slot (gapless from 0 in each shard) to df.
 
-    Cases: a null key counts as 0; equal keys share a shard and get slots of their own; an empty table stays
-    empty; no column but ``key`` matters, and input columns with the names of the three outputs are replaced.
-    buckets: a power of two up to 2^20; each shard's rows are ranked in so many parts.
+    spread: a whole number that tells rows of one key apart, such as a checksum; by default a hash of the whole row. Each shard's rows are ranked in
+    ``buckets`` (a power of two up to 2^20) parts by key times SPREAD by spread, so that a key with many rows isn't one task's;
+    numbers of rows by shard and part are broadcast.
+
+    Cases: a null key counts as 0, a null spread too; equal keys share a shard and get slots of their own; rows equal in key and spread tie
+    and get slots in any order; texts matter neither empty nor long; an empty table stays empty; no column but
+    ``key`` decides the shard, and input columns with the names of the three outputs are replaced.
     """
     df = df.drop("shard", "grown_shard", "slot")
     k = key_of(df, key)
     placed = df.withColumns({"shard": jump_shard(k, shards), "grown_shard": jump_shard(k, shards + 1)})
-    part = F.shiftrightunsigned(next_state(k), 64 - (buckets.bit_length() - 1)).cast("int")
+    apart = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) if spread is None else F.coalesce(spread.cast("long"), F.lit(0).cast("long"))
+    part = F.shiftrightunsigned(next_state(k), 64 - (buckets.bit_length() - 1)).cast("int") * F.lit(SPREAD) + F.pmod(apart, F.lit(SPREAD)).cast("int")
     return gapless_rank(placed, ["shard"], part, [F.col(key)], "slot")

@@ -1,13 +1,15 @@
 """Operator 5: exact top-k inner-product search by distributed histogram selection.
 
-Queries and candidates are dealt into a grid of cells of bounded size; a cell scores all its pairs by one matrix product. Each
-round adds the cells' score histograms up for every query and finds the bin that holds the query's k-th best score; the
-next round splits that bin only, until a bin is one score wide. A last pass keeps scores from the k-th value up and ranks them.
+Queries are dealt into blocks of bounded size, and each block is broadcast to the candidates, which stay where they are: vectors are never
+shuffled. A task scores all its candidates against the block by matrix products and hands on each query's k best of them; what it leaves
+out cannot be among the k best of all. Then the scores' histograms are added up for every query, the bin that holds the k-th best
+is found, and the next round splits that bin only, until a bin is one score wide. Scores from the k-th value up are ranked.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -15,22 +17,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborline.llm.common import checkpointed
-from arborline.llm.grouped import map_groups
 
-CELL_CANDIDATES, CELL_QUERIES = 2048, 512
+#: A block's queries, and the bytes of their vectors, at most; how many blocks one job reads the candidates for.
+BLOCK_QUERIES, BLOCK_BYTES, JOB_BLOCKS = 4096, 1 << 24, 16
+CHUNK = 1024
 #: A round splits a range into 2^BIN_BITS bins.
 BIN_BITS = 12
 SALTS = 16
-_KEYS = ["dim", "gc", "gq"]
-_COLUMNS = ["id", "is_query", "lo", "v"]
+_NOTHING = np.iinfo(np.int64).min
 
 
 def quantised(df: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
-    """(id, v, dim): components floor(scale * x), of rows with a key and whole finite vectors."""
+    """(id, v): components floor(scale * x), of rows with a key and whole finite vectors."""
     x = F.transform(F.col(vector), lambda c: c.cast("double"))
     finite = F.forall(x, lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), F.lit(False)))
     rows = df.where(F.col(key).isNotNull() & F.coalesce(finite, F.lit(False)))
-    return rows.select(F.col(key).cast("long").alias("id"), F.transform(x, lambda c: F.floor(c * F.lit(float(scale)))).alias("v")).withColumn("dim", F.size("v"))
+    return rows.select(F.col(key).cast("long").alias("id"), F.transform(x, lambda c: F.floor(c * F.lit(float(scale)))).alias("v"))
 
 
 def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -45,93 +47,129 @@ def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     raise OverflowError("an inner product may not fit in 64 bits")
 
 
-def _cells(rows: pa.Table, starts: np.ndarray):
-    """(query ids, their range starts, candidate ids, scores, own: candidate is the query's own row) of each cell."""
-    dim, ids, is_query, lo = (rows.column(i).to_numpy() for i in (0, 3, 4, 5))
-    vectors = rows.column(6).combine_chunks()
-    flat, at = vectors.values.to_numpy(), vectors.offsets.to_numpy()
-    for s, e in zip(starts[:-1], starts[1:]):
-        block = flat[at[s] : at[e]].reshape(e - s, int(dim[s]))
-        q = np.flatnonzero(is_query[s:e] == 1)
-        c = np.flatnonzero(is_query[s:e] == 0)
-        if len(q) and len(c):
-            q_ids, c_ids = ids[s:e][q], ids[s:e][c]
-            yield q_ids, lo[s:e][q], c_ids, _products(block[q], block[c]), q_ids[:, None] == c_ids[None, :]
-
-
-def _histograms(grid: DataFrame, k: int, shift: int, width: int) -> DataFrame:
-    """(query, bin, n): counts of scores from lo to lo + width, in bins of 2^shift; of each cell only a query's k best count.
-
-    Bins above the k-th best score are counted in full, as fewer than k scores lie there.
-    """
-
-    def work(rows: pa.Table, starts: np.ndarray) -> pa.Table:
-        out = [(np.zeros(0, np.int64),) * 3]
-        for q_ids, lo, _, scores, own in _cells(rows, starts):
-            bins = scores - lo[:, None]
-            bins = np.where(own | (bins < 0) | (bins >= width), -1, bins >> shift)
-            if bins.shape[1] > k:
-                bins = np.partition(bins, bins.shape[1] - k, axis=1)[:, bins.shape[1] - k :]
-            row, column = np.nonzero(bins >= 0)
-            pairs, n = np.unique(np.stack([row, bins[row, column]]), axis=1, return_counts=True)
-            out.append((q_ids[pairs[0]], pairs[1], n))
-        return pa.table(dict(zip(("query", "bin", "n"), map(np.concatenate, zip(*out)))))
-
-    return map_groups(grid, _KEYS, work, "query long, bin long, n long", _COLUMNS).groupBy("query", "bin").agg(F.sum("n").alias("n"))
-
-
-def _survivors(grid: DataFrame, k: int) -> DataFrame:
-    """(query, id, score) of scores from lo up; of each cell a query's k best, ties to the smaller id."""
-
-    def work(rows: pa.Table, starts: np.ndarray) -> pa.Table:
-        out = [(np.zeros(0, np.int64),) * 3]
-        for q_ids, lo, c_ids, scores, own in _cells(rows, starts):
-            row, column = np.nonzero((scores >= lo[:, None]) & ~own)
-            score, cand = scores[row, column], c_ids[column]
-            order = np.lexsort((cand, -score, row))
-            row, score, cand = row[order], score[order], cand[order]
-            best = np.arange(len(row)) - np.searchsorted(row, row) < k
-            out.append((q_ids[row[best]], cand[best], score[best]))
-        return pa.table(dict(zip(("query", "id", "score"), map(np.concatenate, zip(*out)))))
-
-    return map_groups(grid, _KEYS, work, "query long, id long, score long", _COLUMNS)
+@dataclass(frozen=True)
+class Block:
+    """Queries of one dimension, in order of id: their numbers, ids and vectors."""
+
+    number: np.ndarray
+    id: np.ndarray
+    v: np.ndarray
+
+
+def _blocks(rows: pa.Table) -> dict[int, Block]:
+    """The queries (q, id, v) by dimension."""
+    v = rows.column("v").combine_chunks()
+    flat, at = v.values.to_numpy(), v.offsets.to_numpy()
+    q, ids, size = rows.column("q").to_numpy(), rows.column("id").to_numpy(), np.diff(at)
+    out = {}
+    for d in np.unique(size):
+        pick = np.flatnonzero(size == d)
+        pick = pick[np.argsort(ids[pick], kind="stable")]
+        out[int(d)] = Block(q[pick], ids[pick], np.stack([flat[at[i] : at[i] + d] for i in pick]))
+    return out
+
+
+class _Best:
+    """The k best scores of each query of a block so far; ties to the smaller id."""
+
+    def __init__(self, block: Block, k: int) -> None:
+        self.block, self.k = block, k
+        self.row = self.id = self.score = np.zeros(0, np.int64)
+        self.least = np.full(len(block.id), _NOTHING)
+
+    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        block, k = self.block, self.k
+        scores = _products(block.v, vectors)
+        low, high = np.searchsorted(block.id, ids), np.searchsorted(block.id, ids, "right")
+        for c in np.flatnonzero(low < high):
+            own = low[c] + np.flatnonzero((block.v[low[c] : high[c]] == vectors[c]).all(axis=1))
+            scores[own, c] = _NOTHING
+        least = self.least
+        if len(ids) > k and (least == _NOTHING).any():
+            least = np.maximum(least, np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k])
+        row, column = np.nonzero((scores >= least[:, None]) & (scores != _NOTHING))
+        row, found, score = np.concatenate([self.row, row]), np.concatenate([self.id, ids[column]]), np.concatenate([self.score, scores[row, column]])
+        order = np.lexsort((found, -score, row))
+        row, found, score = row[order], found[order], score[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        best = place < k
+        self.row, self.id, self.score = row[best], found[best], score[best]
+        full = place == k - 1
+        self.least[row[full]] = score[full]
+
+    def table(self) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(self.block.number[self.row]), pa.array(self.id), pa.array(self.score)], names=["q", "id", "score"])
+
+
+def _scored(rows: DataFrame, queries: pa.Table, k: int) -> DataFrame:
+    """(q, id, score): each task's k best candidates of each query; a query's own row, the one with its id and vector, is none."""
+    shared = rows.sparkSession.sparkContext.broadcast(_blocks(queries))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = {d: _Best(b, k) for d, b in shared.value.items()}
+        for batch in batches:
+            for at in range(0, batch.num_rows, CHUNK):
+                part = batch.slice(at, CHUNK)
+                ids, v = part.column(0).to_numpy(), part.column(1)
+                flat, start = v.values.to_numpy(), v.offsets.to_numpy()
+                size = np.diff(start)
+                for d in np.unique(size):
+                    if int(d) in best:
+                        pick = np.flatnonzero(size == d)
+                        best[int(d)].add(ids[pick], flat[start[pick][:, None] + np.arange(d)])
+        yield from (b.table() for b in best.values())
+
+    return rows.select("id", "v").mapInArrow(run, "q long, id long, score long")
+
+
+def _kth_scores(scores: DataFrame, k: int) -> DataFrame:
+    """(q, kth): each query's k-th best score by rounds of histograms; its least possible score if there are fewer."""
+    low, high = scores.agg(F.min("score"), F.max("score")).first()
+    width = (high or 0) - (low or 0) + 1
+    shift = max(0, width.bit_length() - BIN_BITS)
+    state = scores.select("q").distinct().select("q", F.lit(low or 0).cast("long").alias("kth"), F.lit(k).cast("long").alias("need"))
+    while True:
+        step = F.lit(1 << shift).cast("long")
+        inside = scores.join(state, "q").where((F.col("score") >= F.col("kth")) & (F.col("score") - F.col("kth") < F.lit(width)))
+        counts = inside.groupBy("q", F.floor((F.col("score") - F.col("kth")) / step).cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+        down = Window.partitionBy("q").orderBy(F.desc("bin"))
+        found = counts.withColumn("upto", F.sum("n").over(down)).join(state, "q").where((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need")))
+        found = found.select("q", "bin", (F.col("upto") - F.col("n")).alias("above"))
+        start, left = F.col("kth") + F.coalesce("bin", F.lit(0)) * step, F.col("need") - F.coalesce("above", F.lit(0))
+        state = checkpointed(state.join(found, "q", "left").select("q", start.alias("kth"), left.alias("need")))
+        if not shift:
+            return state.select("q", "kth")
+        width, shift = 1 << shift, max(0, shift - BIN_BITS)
 
 
 def top_k(df: DataFrame, key: str, vector: str, is_query: Column, k: int = 10, scale: int = 1024) -> DataFrame:
     """(query_id, rank from 1, vec_id, score): each query row's k best other rows by integer inner product.
 
     Cases: rows with a null key, a null vector or a null or non-finite component take no part; only vectors of one length are
-    compared; a query with fewer than k candidates gets them all; ties go to the smaller key; rows that repeat a candidate's key
-    all count, rows that repeat a query's key are one query (its smallest vector) and never its candidates; an empty table gives
-    no row; a component or score beyond 64 bits raises; other columns don't matter.
+    compared, and empty ones score 0; a query with fewer than k candidates gets them all; ties go to the smaller key; rows that repeat a key all
+    count, as candidates and as queries, and of rows equal in key and vector each is the others' candidate; an empty table gives no
+    row; a component or score beyond 64 bits raises; other columns don't matter.
     """
     rows = quantised(df, key, vector, scale)
-    asked = quantised(df.where(is_query), key, vector, scale)
-    norm = F.aggregate(F.transform("v", lambda c: c.cast("double") * c.cast("double")), F.lit(0.0), lambda a, c: a + c)
-    n_rows, most = rows.agg(F.count(F.lit(1)), F.max(norm)).first()
-    bound = math.ceil((most or 0.0) * (1 + 1e-9)) + 1  # no score is larger: the product of two norms
-    state = checkpointed(asked.groupBy("id").agg(F.min("v").alias("v")).select("id", "v", F.size("v").alias("dim"), F.lit(-bound).cast("long").alias("lo"), F.lit(k).cast("long").alias("need")))
-    gc, gq = max(1, -(-n_rows // CELL_CANDIDATES)), max(1, -(-state.count() // CELL_QUERIES))
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    candidates = rows.select("dim", F.pmod(F.xxhash64("id"), F.lit(gc)).cast("int").alias("gc"), each(gq).alias("gq"), "id", F.lit(0).alias("is_query"), F.lit(0).cast("long").alias("lo"), "v")
-
-    def grid() -> DataFrame:
-        return candidates.union(state.select("dim", each(gc).alias("gc"), F.pmod(F.xxhash64("id"), F.lit(gq)).cast("int").alias("gq"), "id", F.lit(1), "lo", "v"))
-
-    width = 2 * bound + 1
-    shift = max(0, width.bit_length() - BIN_BITS)
-    while True:
-        down = Window.partitionBy("query").orderBy(F.desc("bin"))
-        counted = _histograms(grid(), k, shift, width).withColumn("upto", F.sum("n").over(down))
-        kth = counted.join(state.select(F.col("id").alias("query"), "need"), "query").where((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need")))
-        kth = kth.select(F.col("query").alias("id"), "bin", (F.col("upto") - F.col("n")).alias("above"))
-        start = F.col("lo") + F.coalesce("bin", F.lit(0)) * F.lit(1 << shift)
-        state = checkpointed(state.join(kth, "id", "left").select("id", "v", "dim", start.alias("lo"), (F.col("need") - F.coalesce("above", F.lit(0))).alias("need")))
-        if not shift:
-            break
-        width, shift = 1 << shift, max(0, shift - BIN_BITS)
+    asked = quantised(df.where(is_query), key, vector, scale).groupBy("id", "v").agg(F.count(F.lit(1)).alias("m"))
+    # the checkpoint fixes rows and their order, so each reading numbers them alike
+    queries = checkpointed(asked).withColumn("q", F.monotonically_increasing_id())
+    n, longest = queries.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    each = max(1, min(BLOCK_QUERIES, BLOCK_BYTES // (8 * max(1, longest or 1))))
+    blocks = -(-n // each)
+    dealt = queries.withColumn("block", F.pmod(F.xxhash64("q"), F.lit(max(1, blocks))))
+    square = F.aggregate(F.transform("v", lambda x: x * x), F.lit(0).cast("long"), lambda a, x: a + x)
+    copies = F.explode(F.sequence(F.lit(1), F.least(F.col("m") - 1, F.lit(k))))
+    scores = queries.where("m > 1").select("q", "id", square.alias("score"), copies).select("q", "id", "score")
+    for first in range(0, blocks, JOB_BLOCKS):
+        parts = [_scored(rows, dealt.where(F.col("block") == b).select("q", "id", "v").toArrow(), k) for b in range(first, min(blocks, first + JOB_BLOCKS))]
+        together = parts[0]
+        for p in parts[1:]:
+            together = together.union(p)
+        scores = scores.union(checkpointed(together))
     best = Window.orderBy(F.desc("score"), "id")
-    found = _survivors(grid(), k).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
-    found = found.withColumn("r", F.row_number().over(best.partitionBy("query", "salt"))).where(F.col("r") <= k)
-    found = found.withColumn("rank", F.row_number().over(best.partitionBy("query"))).where(F.col("rank") <= k)
-    return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+    found = scores.join(_kth_scores(scores, k), "q").where(F.col("score") >= F.col("kth")).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    found = found.withColumn("r", F.row_number().over(best.partitionBy("q", "salt"))).where(F.col("r") <= k)
+    found = found.withColumn("rank", F.row_number().over(best.partitionBy("q"))).where(F.col("rank") <= k)
+    named = found.select("q", "rank", F.col("id").alias("vec_id"), "score").join(queries.select("q", F.col("id").alias("query_id"), "m"), "q")
+    return named.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("m").cast("int")))).select("query_id", "rank", "vec_id", "score")

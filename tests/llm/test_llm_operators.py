@@ -185,42 +185,103 @@ def test_solution_holds_every_piece(seed):
     assert used == counts
 
 
+def test_high_rates_are_dealt_into_parts(spark):
+    df = spark.range(300).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3, "tiny").otherwise("big").alias("source"))
+    rows = mixing.mix(df, "doc_id", "source", F.lit(1), weights={"tiny": 9.0, "big": 1.0})
+    assert rows.select("doc_id", "copy").distinct().count() == rows.count()
+    tiny = [r["count"] for r in rows.where("source = 'tiny'").groupBy("doc_id").count().collect()]
+    assert len(tiny) == 3 and all(60 < n < 120 for n in tiny) and abs(rows.where("source = 'big'").count() - 30) < 25
+
+
+def test_slots_of_a_hot_key_are_ranked_in_parts(spark):
+    df = spark.range(4000).select(F.when(F.col("id") % 3 == 0, F.col("id")).alias("k"), F.col("id").alias("other"))
+    rows = sharding.shard(df, "k", 4)
+    for s in range(4):
+        mine = sorted(r.slot for r in rows.where(F.col("shard") == s).collect())
+        assert mine == list(range(len(mine)))
+
+
 def test_mix_meets_weights(spark):
     df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "big").otherwise(F.concat(F.lit("s"), (F.col("id") % 5).cast("string"))).alias("source"))
     rows = mixing.mix(df, "doc_id", "source", F.lit(1), weights={"big": 1.0, "s1": 1.0}).groupBy("source").count().collect()
     assert {r.source for r in rows} == {"big", "s1"} and all(abs(r["count"] - 10_000) < 500 for r in rows)
 
 
-def test_top_k_is_brute_force(spark):
+@pytest.mark.parametrize("block", [4096, 3])
+def test_top_k_is_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", block)
     r = np.random.default_rng(3)
-    vectors = [(i, [float(x) for x in r.normal(size=8)]) for i in range(0, 3000, 7)] + [(100 * i + 1, [0.5] * 8) for i in range(60)] + [(10_000, None), (20_000, [float("nan")] * 8), (30_000, [1.0] * 3), (None, [1.0] * 8)]
-    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    vectors = [(i, [float(x) for x in r.normal(size=8)]) for i in range(0, 3000, 7)] + [(100 * i + 1, [0.5] * 8) for i in range(60)] + [(10_000, None), (20_000, [float("nan")] * 8), (30_000, [1.0] * 3), (None, [1.0] * 8), (40_000, [None] * 8), (50_000, []), (50_100, [])]
+    vectors += [(700, [0.25] * 8), (700, [0.25] * 8), (1400, vectors[200][1]), (1400, vectors[200][1]), (1400, [9.0] * 8)]  # repeated keys, some with equal vectors
+    df = spark.createDataFrame([(*v, "x") for v in vectors], "vec_id long, embedding array<double>, q string").withColumns({c: F.lit("y") for c in ("id", "v", "score", "rank", "block")})
     got = sorted(tuple(x) for x in topk.top_k(df, "vec_id", "embedding", F.col("vec_id") % 100 == 0).collect())
-    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in vectors if i is not None and v and all(map(math.isfinite, v))]
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in vectors if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     want = []
-    for q, v in whole:
+    for at, (q, v) in enumerate(whole):
         if q % 100 == 0:
-            best = sorted(((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole if i != q and len(w) == len(v)))[:10]
+            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for k, (i, w) in enumerate(whole) if k != at and len(w) == len(v))[:10]
             want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
     assert got == sorted(want)
 
 
+def fingerprint_by_hand(text, band, frequent):
+    """Of each subset: the terms that it keeps, by sets."""
+    terms = set(imatch.distinct_terms([text])[0].tolist())
+    kept = [terms]
+    for r in range(1, imatch.SUBSETS):
+        level, k = divmod(r, imatch.EACH)
+        inside = []
+        for t in terms - frequent if level < imatch.WIDE_LEVELS else terms & band:
+            draw = int(words.mix64(np.array([t], np.uint64), 100 + r // 4)[0])
+            if (draw >> 16 * (k % 4)) % 65536 < 65536 >> (level + 1):
+                inside.append(t)
+        kept.append(set(inside))
+    return kept
+
+
 def test_fingerprints_are_brute_force(spark):
-    docs = [(5, "aa bb cc dd"), (1, "ee ff é😀"), (9, None), (3, "aa bb cc dd"), (7, "gg hh ii jj kk ll")]
-    rows = {r.doc_id: r for r in imatch.fingerprint_edits(spark.createDataFrame(docs, "doc_id int, text string"), "doc_id", "text").collect()}
+    """With a real band: terms in 2 to 4 of 12 documents."""
+    r = random.Random(8)
+    vocabulary = ["all", *(f"often{i}" for i in range(4)), *(f"some{i}" for i in range(30)), *(f"rare{i}" for i in range(200))]
+    docs = [(k, " ".join(["all"] + [r.choice(vocabulary) for _ in range(r.randint(0, 40))])) for k in (5, 1, 3, 7, 12, 13, 14, 15)]
+    docs += [(9, None), (16, docs[0][1]), (17, "all"), (18, "é😀 ff all")]
+    df = spark.createDataFrame(docs, "doc_id int, text string").withColumns({c: F.lit("x") for c in ("bucket", "tail", "h", "k", "term")})
+    rows = {x.doc_id: x for x in imatch.fingerprint_edits(df, "doc_id", "text", 2 / 12, 4 / 12).collect()}
     texts, order = {k: t or "" for k, t in docs}, sorted((k for k, _ in docs), reverse=True)
+    counts = {}
+    for t in texts.values():
+        for term in set(imatch.distinct_terms([t])[0].tolist()):
+            counts[term] = counts.get(term, 0) + 1
+    band, frequent = {t for t, n in counts.items() if 2 <= n <= 4}, {t for t, n in counts.items() if n > 4}
+    assert band and frequent and len(band) + len(frequent) < len(counts)
+    subsets = {k: fingerprint_by_hand(t, band, frequent) for k, t in texts.items()}
+    print_ = lambda k: np.frombuffer(bytes.fromhex(rows[k].fingerprint), np.uint16)
     for i, k in enumerate(order):
-        new = imatch.edited(texts[k], texts[order[(i + 1) % len(order)]])
-        own, change, after = (imatch.fingerprints([t], np.zeros(0, np.uint64)) for t in (texts[k], new, texts[order[(i + 1) % len(order)]]))
+        after = order[(i + 1) % len(order)]
+        new = imatch.edited(texts[k], texts[after])
         assert rows[k].edited_sha256 == hashlib.sha256(new.encode()).hexdigest() and rows[k].n_chars == len(texts[k])
-        assert rows[k].fingerprint == own[0].tobytes().hex() and rows[k].edited_fingerprint == change[0].tobytes().hex()
-        assert rows[k].near_edited == imatch.likeness(own, change)[0] and rows[k].near_next == imatch.likeness(own, after)[0]
-    assert rows[5].fingerprint == rows[3].fingerprint and rows[5].near_next == 1.0
+        change = np.frombuffer(bytes.fromhex(rows[k].edited_fingerprint), np.uint16)
+        for other, values in ((subsets[after], print_(after)), (fingerprint_by_hand(new, band, frequent), change)):
+            assert [bool(s) for s in other] == [v != 0 for v in values]
+            assert [bool(a) and a == b for a, b in zip(subsets[k], other)] == [bool(x) and x == y for x, y in zip(print_(k), values)]
+        assert rows[k].near_edited == imatch.likeness(print_(k)[None], change[None])[0] and rows[k].near_next == imatch.likeness(print_(k)[None], print_(after)[None])[0]
+    assert rows[5].fingerprint == rows[16].fingerprint
+
+
+def test_following_rows_with_a_hot_key(spark):
+    docs = [(7 if i % 3 else i, f"text {i * 7919 % 1000}") for i in range(300)] + [(None, f"null {i}") for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").select("*", F.xxhash64("text").alias("h"))
+    order = [r.text for r in df.orderBy(F.desc_nulls_last("doc_id"), F.desc("h")).collect()]
+    rows = imatch.fingerprint_edits(df, "doc_id", "text").collect()
+    want = sorted(hashlib.sha256(imatch.edited(a, b).encode()).hexdigest() for a, b in zip(order, order[1:] + order[:1]))
+    assert sorted(r.edited_sha256 for r in rows) == want
+    dealt = imatch.with_following(df, "doc_id", "text").where("tail = 0").groupBy("bucket").count().collect()
+    assert len(dealt) > 8 and max(r["count"] for r in dealt) < 90
 
 
 def test_likeness_tells_copies_from_others(spark):
-    rows = imatch.fingerprint_edits(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "doc_id", "text").select(F.avg("near_edited").alias("e"), F.avg("near_next").alias("n")).first()
-    assert rows.e > 0.2 and rows.n < 0.05
+    rows = imatch.fingerprint_edits(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "doc_id", "text").select(F.avg("near_edited").alias("e"), F.avg("near_next").alias("n"), F.avg((F.col("near_edited") > F.col("near_next")).cast("int")).alias("above")).first()
+    assert rows.e > 0.3 and rows.n < 0.05 and rows.above > 0.95
 
 
 def test_languages_held_out(spark):
