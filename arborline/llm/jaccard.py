@@ -266,7 +266,7 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     keep = often[column]
     owner, column = owner[keep], (np.cumsum(often) - 1)[column[keep]]
     out = np.zeros((n, n), np.float64)
-    step = max(64, 8_000_000 // n)
+    step = max(64, 4_000_000 // n)
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, step):
         lo, hi = np.searchsorted(column, [at, at + step])
         x = np.zeros((n, step), np.float32)

@@ -8,6 +8,7 @@ gives every piece its sequence and offset by a join with the solution.
 from __future__ import annotations
 
 import bisect
+import functools
 import json
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -35,15 +36,19 @@ def byte_letters() -> dict[str, int]:
 
 
 def load_encoder(spec: str) -> Callable[[str], np.ndarray]:
-    """An encoder of the tokenizer file's ids; texts with a special token's string go to the file's own library.
+    """An encoder of the tokenizer file's ids; texts with a special token's string go to the file's own library, loaded at the first such text.
 
     A byte-level BPE whose ids follow its merges is run by tiktoken, which gives the same ids faster; any other
     file is run by tokenizers.
     """
-    from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_str(spec)
-    slow = lambda text: np.array(whole.encode(text, add_special_tokens=False).ids, "<u4")
+    @functools.cache
+    def whole():
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(spec)
+
+    slow = lambda text: np.array(whole().encode(text, add_special_tokens=False).ids, "<u4")
     d = json.loads(spec)
     model, special = d["model"], [x["content"] for x in d.get("added_tokens", [])]
     pre = d.get("pre_tokenizer") or {}

@@ -27,7 +27,7 @@ def mix64(x: np.ndarray, salt: int = 0) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0 to n - 1 of the base and of its inverse modulo 2^64."""
     if len(_POWERS[0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 19)
         for k, base in enumerate((_BASE, _INVERSE)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
@@ -49,7 +49,7 @@ def word_hashes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(starts, begins)
 
 
-def in_chunks(texts: Sequence[str], chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def in_chunks(texts: Sequence[str], chars: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of about so many characters together; a longer text is a range of its own."""
     first, size = 0, 0
     for i, t in enumerate(texts):
