@@ -9,7 +9,11 @@ EPS = 1e-6
 
 @dataclass(frozen=True)
 class Settings:
-    """Everything a run can vary. features: cover2, slopes, greenup3 or one of one_feature's names."""
+    """Everything a run can vary.
+
+    strata: further columns within which periods are scaled; features: slopes, greenup3 or cover2, unless one_feature names a single slope
+    (intensity_slope, fill_slope, uniformity_slope); index_column: the summer index's column, found by its name if none is given; cluster_index: whether it is clustered into ages.
+    """
 
     trend_periods: tuple[int, ...] = (3, 4, 5, 6, 7)
     use_valid_fraction: bool = True
@@ -27,9 +31,22 @@ class Settings:
     label_schema: str = "likely"
     confidence_threshold: float = 0.6
     distance_threshold: float = 1.5
+    index_column: str | None = None
+    cluster_index: bool = True
+    index_ks: tuple[int, ...] = (2, 3)
+    index_select: str = "silhouette"
     ui_uncertain_threshold: float = 0.15
     season_mid: str = "-01-31"
 
+    @property
+    def feature_set(self) -> str:
+        return self.one_feature or self.features
+
+    @property
+    def cluster_method(self) -> str:
+        """BIC always means a mixture."""
+        return "gmm" if self.k_select == "bic" else self.method
+
 
 #: Winter windows (number, start month-day, end month-day exclusive); months before November belong to
 #: the next year. They overlap. Fixed values.

@@ -181,11 +181,6 @@ def clear_pixel(cloud: Column, nir: Column, most_cloud: float = 40, least_nir: f
     return ~((cloud > most_cloud) | (nir < least_nir))
 
 
-def summer_window(year: int) -> tuple[str, str]:
-    """The dates, end exclusive, between which a year's summer images lie."""
-    return (f"{year}-05-15", f"{year}-11-15") if year <= 2018 else (f"{year}-06-15", f"{year}-10-15")
-
-
 def ring_area(ring: Column) -> Column:
     """Square metres of a ring of [longitude, latitude] pairs on a sphere of radius 6378137 m, its sign dropped."""
     n = F.size(ring)
@@ -201,3 +196,30 @@ def typed(value: Column, kind: str) -> Column:
     if kind == "bool":
         return F.lower(v) == "true"
     return v.try_cast("double").cast("int") if kind == "int" else v.try_cast(kind)
+
+
+def ring_centroid(ring: Column) -> Column:
+    """[x, y] of the mean of a ring's points, the closing one left out; null for an empty ring."""
+    n = F.size(ring)
+    closed = (n > 1) & (F.element_at(ring, 1) == F.element_at(ring, -1))
+    points = F.slice(ring, F.lit(1), F.when(closed, n - 1).otherwise(n))
+    mean = lambda i: F.aggregate(points, num(0), lambda s, p: s + F.element_at(p, i)) / F.size(points)
+    return F.when(n > 0, F.array(mean(1), mean(2)))
+
+
+def acres_or_area(acres: Column, ring: Column) -> Column:
+    """The acres on record, or where they are missing or 0 those of the ring."""
+    return F.coalesce(F.nullif(acres, num(0)), ring_area(ring) / num(4046.8564224))
+
+
+def between_stops(x: Column, stops: Sequence[tuple[float, float]]) -> Column:
+    """Linear interpolation between (input, output) stops, in rising order of input; constant beyond the ends, null for null."""
+    out = num(stops[-1][1])
+    for (a, low), (b, high) in reversed(list(zip(stops, stops[1:]))):
+        out = F.when(x < b, num(low) + (x - num(a)) / num(b - a) * num(high - low)).otherwise(out)
+    return F.when(x.isNotNull(), F.when(x <= stops[0][0], num(stops[0][1])).otherwise(out))
+
+
+def missing_if_zero(x: Column, instead: float) -> Column:
+    """What exports write: the value, or ``instead`` where it is null or 0 (a true 0 counts as missing there)."""
+    return F.coalesce(F.nullif(x, num(0)), num(instead))

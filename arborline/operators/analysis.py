@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from arborline.functions.quantiles import exact_quantiles
+from arborline.functions.running import totals_below
 from arborline.functions.scalars import num
 
 
@@ -19,27 +21,52 @@ def group_medians(df: DataFrame, keys: Sequence[str], prefix: str = "CMI__") ->
     return df.dropna(subset=list(keys)).groupBy(*keys).agg(*[F.median(c).alias(prefix + c) for c in columns])
 
 
+def index_column(columns: Sequence[str], wanted: str | None = None) -> str | None:
+    """The summer index among a lookup's columns: the wanted one, with or without its prefix; else one named season_z, else the first CMI__ one; or none."""
+    if wanted is not None:
+        return next((c for c in (wanted, f"CMI__{wanted}") if c in columns), None)
+    found = [c for c in columns if c.startswith("CMI__")]
+    return next((c for c in found if "season_z" in c.lower()), found[0] if found else None)
+
+
 def coverage(trends: DataFrame, train: str, assigned: str) -> DataFrame:
-    """Per season: rows, rows trained on and assigned (flag columns), and the percentages lost, to one place, half to even."""
-    out = trends.groupBy("season_sort").agg(F.count(F.lit(1)).alias("n_trends"), F.count_if(train).alias("n_train"), F.count_if(assigned).alias("n_assigned_all"))
+    """Per season (season_sort, and season if it is there): rows, rows trained on and assigned (flag columns), and the percentages lost, to one place, half to even."""
+    out = trends.groupBy(*[c for c in ("season", "season_sort") if c in trends.columns]).agg(F.count(F.lit(1)).alias("n_trends"), F.count_if(train).alias("n_train"), F.count_if(assigned).alias("n_assigned_all"))
     lost = lambda n: F.bround(num(100) * (F.col("n_trends") - F.col(n)) / F.greatest("n_trends", F.lit(1)), 1)
     return out.withColumns({"lost_pct_train_only": lost("n_train"), "lost_pct_after_all": lost("n_assigned_all")})
 
 
+#: Columns of trends that cluster profiles describe, as far as they are there; fixed value.
+PROFILED = ("slope_Intensity", "slope_Fill", "slope_Uniformity", "r2_Intensity", "r2_Fill", "r2_Uniformity", "z_slope_Intensity", "z_slope_Fill", "z_slope_Uniformity", "z_level_Intensity_t5")
+
+
 def cluster_profiles(df: DataFrame, features: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Per cluster: rows, mean features, silhouette (if there) and uncertain rate; mean and quartiles of columns, means of CMI__ columns."""
     parts = [F.count(F.lit(1)).alias("n"), *[F.avg(f).alias(f"centroid_{f}") for f in features], F.avg("uncertain").alias("uncertain_rate")]
     if "silhouette" in df.columns:
         parts.append(F.avg("silhouette").alias("mean_silhouette"))
-    for c in columns:
-        parts += [F.avg(c).alias(f"mean_{c}"), F.percentile(c, num(0.25)).alias(f"p25_{c}"), F.percentile(c, num(0.75)).alias(f"p75_{c}")]
-    return df.groupBy("cluster").agg(*parts, *[F.avg(c).alias(f"mean_{c}") for c in df.columns if c.startswith("CMI__")])
+    parts += [F.avg(c).alias(f"mean_{c}") for c in [*columns, *(c for c in df.columns if c.startswith("CMI__"))]]
+    means = df.groupBy("cluster").agg(*parts)
+    quarters = exact_quantiles(df, ["cluster"], columns, (0.25, 0.75)).withColumnRenamed("cluster", "cluster__k")
+    ends = [f for c in columns for f in (F.col(f"{c}__q")[0].alias(f"p25_{c}"), F.col(f"{c}__q")[1].alias(f"p75_{c}"))]
+    return means.join(quarters, means["cluster"].eqNullSafe(quarters["cluster__k"]), "left").select(*means.columns, *ends)
+
+
+#: Columns that a crosstab can get.
+MOST_VALUES = 1000
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str] | None = None) -> DataFrame:
-    """Counts of each pair, and <value>_pct: their percentages of the row. Rows with a null in either are left out."""
+    """Counts of each pair, and <value>_pct: their percentages of the row. Rows with a null in either are left out.
+
+    values: the column's values; without them they are looked up, which more than MOST_VALUES refuse.
+    """
     whole = df.dropna(subset=[row, column])
-    values = list(values) if values is not None else [r[0] for r in whole.select(column).distinct().orderBy(column).collect()]
+    if values is None:
+        values = sorted(r[0] for r in whole.select(column).distinct().limit(MOST_VALUES + 1).collect())
+        if len(values) > MOST_VALUES:
+            raise ValueError(f"{column} has more than {MOST_VALUES} values")
+    values = list(values)
     counts = whole.groupBy(row).pivot(column, values).count().fillna(0, values)
     total = sum((F.col(f"`{v}`") for v in values[1:]), F.col(f"`{values[0]}`")) if values else F.lit(0)
     return counts.select(row, *[F.col(f"`{v}`") for v in values], *[F.try_divide(F.col(f"`{v}`") * num(100), total).alias(f"{v}_pct") for v in values])
@@ -55,13 +82,12 @@ def correlations(df: DataFrame, a: str, b: str, by: str) -> DataFrame:
 def auc(df: DataFrame, score: str, positive: str, keys: Sequence[str] = ()) -> DataFrame:
     """The area under the ROC curve by ranks, ties at their mean rank; null unless both classes are there.
 
-    Scores are counted by value first, so that equal scores cost one row.
+    Scores are counted by value first, so that equal scores cost one row, and negatives below a score are run up by ranges.
     """
     rows = df.where(F.col(score).isNotNull() & F.col(positive).isNotNull())
     counts = rows.groupBy(*keys, score).agg(F.count_if(positive).alias("p"), F.count_if(~F.col(positive)).alias("q"))
-    before = Window.partitionBy(*keys).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("q").over(before), F.lit(0))
-    sums = counts.withColumn("won", F.col("p") * (below + F.col("q") / num(2))).groupBy(*keys).agg(F.sum("won").alias("won"), F.sum("p").alias("np"), F.sum("q").alias("nq"))
+    won = F.col("p") * (F.col("q__below") + F.col("q") / num(2))
+    sums = totals_below(counts, keys, score, ["q"]).withColumn("won", won).groupBy(*keys).agg(F.sum("won").alias("won"), F.sum("p").alias("np"), F.sum("q").alias("nq"))
     return sums.select(*keys, F.try_divide(F.col("won"), (F.col("np") * F.col("nq")).cast("double")).alias("auc"))
 
 
@@ -102,3 +128,8 @@ def dominant(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFr
 
 def bounds(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.agg(F.min(x).alias("min_x"), F.min(y).alias("min_y"), F.max(x).alias("max_x"), F.max(y).alias("max_y"))
+
+
+def head(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+    """The first n rows in an order, as a report shows them."""
+    return df.orderBy(*order).limit(n)

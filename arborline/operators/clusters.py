@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborline.checkpoints import checkpointed
 from arborline.functions import scalars as S
+from arborline.functions.quantiles import exact_quantiles
+from arborline.functions.running import totals_below
 from arborline.functions.scalars import num
 
 #: Names of clusters by rising cover score, for two and three clusters; fixed values.
@@ -21,7 +24,10 @@ LABELS = {
     "likely": {2: ("Likely Not Cover Cropping", "Likely Cover Cropping"), 3: ("Likely Not Cover Cropping", "Likely Baseline", "Likely Cover Cropping")},
 }
 AGE_LABELS = {2: ("Young", "Old"), 3: ("Young", "Middle", "Old")}
+#: Points of a block; pairs of blocks are compared by numpy.
 SILHOUETTE_CELL = 2048
+#: Restarts of the two kinds of fits, and the distinct rows on which they start; all rows take part in the fits.
+KMEANS_STARTS, MIXTURE_STARTS, START_ROWS = 50, 5, 10_000
 
 
 @dataclass(frozen=True)
@@ -35,13 +41,88 @@ class Model:
     weights: list[float] | None = None
 
 
-def kmeans(df: DataFrame, columns: Sequence[str], k: int, seeds: int = 5) -> Model:
-    """The best of several seeded fits on rows with all columns."""
-    data = VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="skip").transform(df.select(*columns)).select("features").cache()
+def _sample(data: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The START_ROWS distinct rows of smallest hash, and how often each occurs: of a small table all."""
+    rows = data.groupBy(*columns).agg(F.count(F.lit(1)).alias("n__")).orderBy(F.xxhash64(*columns)).limit(START_ROWS).collect()
+    values = np.array([tuple(r) for r in rows], float).reshape(-1, len(columns) + 1)
+    return values[:, :-1], values[:, -1]
+
+
+def _nearest_sums(x: np.ndarray, w: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By cluster: weight, sums about the centre, cost."""
+    square = ((x[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
+    near = square.argmin(axis=1)
+    sums = np.stack([np.bincount(near, w * (x[:, k] - centers[near, k]), len(centers)) for k in range(x.shape[1])], axis=1)
+    return np.bincount(near, w, len(centers)), sums, np.bincount(near, w * square.min(axis=1), len(centers))
+
+
+def _starts(data: DataFrame, columns: Sequence[str], k: int, restarts: int, rounds: int = 100) -> np.ndarray:
+    """(restart, cluster, dimension): k-means++ draws from the sample, fitted on it."""
+    x, w = _sample(data, columns)
+    out = np.zeros((restarts, k, len(columns)))
+    for s in range(restarts):
+        rng = np.random.default_rng(s)
+        chosen = [x[rng.choice(len(x), p=w / w.sum())]]
+        while len(chosen) < k:
+            d = w * ((x[:, None, :] - np.array(chosen)[None, :, :]) ** 2).sum(axis=2).min(axis=1)
+            chosen.append(x[rng.choice(len(x), p=d / d.sum())] if d.sum() > 0 else x[rng.integers(len(x))])
+        out[s] = chosen
+        for _ in range(rounds):
+            n, sums, _ = _nearest_sums(x, w, out[s])
+            step = sums / np.maximum(n, 1)[:, None]
+            out[s] += step
+            if (step**2).sum() < 1e-18:
+                break
+    return out
+
+
+def _columns_of(batch: pa.RecordBatch) -> np.ndarray:
+    return np.stack([batch.column(i).to_numpy() for i in range(batch.num_columns)], axis=1).astype(float)
+
+
+def _lloyd_sums(data: DataFrame, columns: Sequence[str], centers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all restarts in one pass: (rows, sums about the centres) by restart and cluster, and costs by restart."""
+    d = len(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sums, cost = np.zeros(centers.shape[:2]), np.zeros(centers.shape), np.zeros(centers.shape[:2])
+        for batch in batches:
+            x = _columns_of(batch)
+            for r, c in enumerate(centers):
+                for total, more in zip((n, sums, cost), _nearest_sums(x, np.ones(len(x)), c)):
+                    total[r] += more
+        at = np.indices(n.shape).reshape(2, -1)
+        yield pa.record_batch([pa.array(at[0]), pa.array(at[1]), pa.array(n.ravel()), pa.array(cost.ravel()), *(pa.array(sums[:, :, k].ravel()) for k in range(d))], names=["r", "k", "n", "cost", *(f"s{k}" for k in range(d))])
+
+    parts = data.select(*columns).mapInArrow(run, "r long, k long, n double, cost double, " + ", ".join(f"s{k} double" for k in range(d)))
+    rows = parts.groupBy("r", "k").agg(*[F.sum(c).alias(c) for c in ("n", "cost", *(f"s{k}" for k in range(d)))]).collect()
+    n, sums, cost = np.zeros(centers.shape[:2]), np.zeros(centers.shape), np.zeros(len(centers))
+    for row in rows:
+        n[row.r, row.k] = row.n
+        cost[row.r] += row.cost
+        sums[row.r, row.k] = row[4:]
+    return n, sums, cost
+
+
+def _lloyd(data: DataFrame, columns: Sequence[str], k: int, restarts: int, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """(centres of every restart, their costs), fitted on all rows. An empty cluster keeps its centre."""
+    centers = _starts(data, columns, k, restarts)
+    for _ in range(rounds):
+        n, sums, cost = _lloyd_sums(data, columns, centers)
+        step = sums / np.maximum(n, 1)[:, :, None]
+        if (step**2).sum(axis=(1, 2)).max() < 1e-18:
+            break
+        centers = centers + step
+    return centers, cost
+
+
+def kmeans(df: DataFrame, columns: Sequence[str], k: int, restarts: int = KMEANS_STARTS) -> Model:
+    """The best of many fits on rows with all columns, run side by side: a round of all of them is one pass and one aggregation."""
+    data = df.select(*columns).dropna().cache()
     try:
-        fits = [KMeans(k=k, seed=s, maxIter=100, tol=1e-6).fit(data) for s in range(seeds)]
-        best = min(fits, key=lambda m: m.summary.trainingCost)
-        return Model(k, [list(map(float, c)) for c in best.clusterCenters()], float(best.summary.trainingCost))
+        centers, cost = _lloyd(data, columns, k, restarts)
+        best = int(cost.argmin())
+        return Model(k, centers[best].tolist(), float(cost[best]))
     finally:
         data.unpersist()
 
@@ -64,35 +145,82 @@ def posteriors(columns: Sequence[str], model: Model) -> tuple[Column, Column]:
     return F.transform(logs, lambda x: F.exp(x - top) / total), top + F.log(total)
 
 
-def gaussian_mixture(df: DataFrame, columns: Sequence[str], k: int, rounds: int = 25, floor: float = 1e-6) -> Model:
-    """Diagonal expectation-maximisation from the k-means fit; each round is one aggregation."""
+def _moments(x: np.ndarray, w: np.ndarray, model: Model, hard: bool) -> tuple[np.ndarray, float]:
+    """(by cluster: mass, sums about the centre, squares about it; the log-likelihood). hard: rows belong to the nearest centre wholly."""
+    away = x[:, None, :] - np.array(model.centers)[None, :, :]
+    likely = 0.0
+    if hard:
+        p = np.eye(model.k)[(away**2).sum(axis=2).argmin(axis=1)]
+    else:
+        var = np.array(model.variances)
+        logs = np.log(np.maximum(model.weights, 1e-300)) - 0.5 * (away**2 / var + np.log(2 * math.pi * var)).sum(axis=2)
+        top = logs.max(axis=1, keepdims=True)
+        p = np.exp(logs - top)
+        total = p.sum(axis=1, keepdims=True)
+        p, likely = p / total, float((w * (top + np.log(total))[:, 0]).sum())
+    p = p * w[:, None]
+    return np.concatenate([p[:, :, None], p[:, :, None] * away, p[:, :, None] * away**2], axis=2).sum(axis=0), likely
+
+
+def _stepped(model: Model, moments: np.ndarray, floor: float) -> Model:
+    d = len(model.centers[0])
+    mass = np.maximum(moments[:, :1], 1e-12)
+    step = moments[:, 1 : 1 + d] / mass
+    spread = np.maximum(moments[:, 1 + d :] / mass - step**2, 0.0) + floor
+    return Model(model.k, (np.array(model.centers) + step).tolist(), model.score, spread.tolist(), (mass[:, 0] / moments[:, 0].sum()).tolist())
+
+
+def _mixture_sums(data: DataFrame, columns: Sequence[str], models: list[Model]) -> tuple[np.ndarray, np.ndarray]:
+    """Moments and log-likelihoods of all models in one pass."""
+    k, width = models[0].k, 1 + 2 * len(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, likely = np.zeros((len(models), k, width)), np.zeros(len(models))
+        for batch in batches:
+            x = _columns_of(batch)
+            for r, m in enumerate(models):
+                more, ll = _moments(x, np.ones(len(x)), m, hard=False)
+                out[r], likely[r] = out[r] + more, likely[r] + ll
+        at = np.indices(out.shape[:2]).reshape(2, -1)
+        values = out.reshape(-1, width)
+        yield pa.record_batch([pa.array(at[0]), pa.array(at[1]), pa.array(likely[at[0]]), *(pa.array(values[:, c]) for c in range(width))], names=["r", "k", "ll", *(f"s{c}" for c in range(width))])
+
+    names = [f"s{c}" for c in range(width)]
+    parts = data.select(*columns).mapInArrow(run, "r long, k long, ll double, " + ", ".join(f"{c} double" for c in names))
+    out, likely = np.zeros((len(models), k, width)), np.zeros(len(models))
+    for row in parts.groupBy("r", "k").agg(*[F.sum(c).alias(c) for c in ("ll", *names)]).collect():
+        out[row.r, row.k], likely[row.r] = row[3:], row.ll
+    return out, likely
+
+
+def gaussian_mixture(df: DataFrame, columns: Sequence[str], k: int, restarts: int = MIXTURE_STARTS, rounds: int = 100, floor: float = 1e-6) -> Model:
+    """The likeliest of several diagonal mixtures, each from a k-means fit of its own: fitted on the sample first, then on all rows side by side.
+
+    Moments are taken about the last round's centres, so that large values don't cancel. A variance has ``floor`` added.
+    """
     data = df.select(*columns).dropna().cache()
     try:
-        start = kmeans(data, columns, k, seeds=2)
-        spread = data.agg(*[F.var_pop(c).alias(c) for c in columns]).first()
-        model = Model(k, start.centers, 0.0, [[float(spread[c] or 0.0) + floor for c in columns]] * k, [1.0 / k] * k)
-        last = -math.inf
+        x, w = _sample(data, columns)
+        models = []
+        for c in _starts(data, columns, k, restarts):
+            model = Model(k, c.tolist(), -math.inf, [[1.0] * len(columns)] * k, [1.0 / k] * k)
+            last = -math.inf
+            for round_ in range(rounds):
+                moments, likely = _moments(x, w, model, hard=not round_)
+                if round_ and likely - last < 1e-9 * abs(likely):
+                    break
+                last = likely if round_ else last
+                model = _stepped(model, moments, floor)
+            models.append(model)
+        last = np.full(restarts, -math.inf)
         for _ in range(rounds):
-            p, ll = posteriors(columns, model)
-            rows = data.withColumns({"p": p, "ll": ll})
-            sums = [F.sum("ll"), F.count(F.lit(1))]
-            for i in range(k):
-                sums += [F.sum(F.col("p")[i]), *[f for c in columns for f in (F.sum(F.col("p")[i] * F.col(c)), F.sum(F.col("p")[i] * F.col(c) * F.col(c)))]]
-            got = list(rows.agg(*sums).first())
-            total, n, width = float(got[0]), got[1], 1 + 2 * len(columns)
-            centers, variances, weights = [], [], []
-            for i in range(k):
-                part = got[2 + i * width : 2 + (i + 1) * width]
-                mass = max(part[0], 1e-12)
-                mean = [part[1 + 2 * j] / mass for j in range(len(columns))]
-                centers.append(mean)
-                variances.append([max(part[2 + 2 * j] / mass - mean[j] ** 2, 0.0) + floor for j in range(len(columns))])
-                weights.append(mass / n)
-            model = Model(k, centers, total, variances, weights)
-            if total - last < 1e-6 * abs(total):
+            moments, likely = _mixture_sums(data, columns, models)
+            models = [Model(m.k, m.centers, float(ll), m.variances, m.weights) for m, ll in zip(models, likely)]
+            if (likely - last).max() < 1e-6 * abs(likely).max():
                 break
-            last = total
-        return model
+            last = likely
+            models = [_stepped(m, part, floor) for m, part in zip(models, moments)]
+        return max(models, key=lambda m: m.score)
     finally:
         data.unpersist()
 
@@ -103,22 +231,40 @@ def information_criteria(model: Model, n: int, dimensions: int) -> tuple[float,
     return -2 * model.score + p * math.log(n), -2 * model.score + 2 * p
 
 
-def choose_k(df: DataFrame, columns: Sequence[str], ks: Sequence[int], select: str = "silhouette", method: str = "kmeans") -> tuple[Model, dict[int, float]]:
+@dataclass(frozen=True)
+class Choice:
+    """The chosen model, and each K's scores: (K, silhouette, bic, aic), with nulls for what was not asked."""
+
+    model: Model
+    scores: list[tuple[int, float | None, float | None, float | None]]
+
+    def score(self, k: int) -> float:
+        return next(s if s is not None else b for kk, s, b, _ in self.scores if kk == k)
+
+
+def choose_k(df: DataFrame, columns: Sequence[str], ks: Sequence[int], select: str = "silhouette", method: str = "kmeans") -> Choice:
     """The model of the K with the highest silhouette (ties: the smaller K), or with the lowest BIC, which always means a mixture."""
+    if select not in ("silhouette", "bic") or method not in ("kmeans", "gmm"):
+        raise ValueError(f"unknown choice {select!r} of {method!r}")
     rows = checkpointed(df.select(*columns).dropna().withColumn("row__", F.monotonically_increasing_id()))
     n = rows.count()
-    fits = {}
-    for k in (k for k in ks if k < n):
-        model = gaussian_mixture(rows, columns, k) if method == "gmm" or select == "bic" else kmeans(rows, columns, k)
+    fits: dict[int, tuple[Model, float]] = {}
+    scores = []
+    for k in sorted(k for k in set(ks) if k < n):
         if select == "bic":
-            fits[k] = (model, -information_criteria(model, n, len(columns))[0])
+            model = gaussian_mixture(rows, columns, k)
+            bic, aic = information_criteria(model, n, len(columns))
+            fits[k] = (model, -bic)
+            scores.append((k, None, bic, aic))
         else:
-            mean = silhouette(nearest(rows, columns, model.centers), "row__", columns, "cluster").agg(F.avg("silhouette")).first()[0]
+            model = gaussian_mixture(rows, columns, k) if method == "gmm" else kmeans(rows, columns, k)
+            own = mixture_assign(rows, columns, model) if method == "gmm" else nearest(rows, columns, model.centers)
+            mean = mean_silhouette(own, "row__", columns, "cluster")
             fits[k] = (model, -1.0 if mean is None else mean)
+            scores.append((k, mean, None, None))
     if not fits:
-        raise ValueError("no K is below the number of rows")
-    best = max(fits, key=lambda k: (fits[k][1], -k))
-    return fits[best][0], {k: (-s if select == "bic" else s) for k, (_, s) in fits.items()}
+        raise ValueError("no K is below the number of rows: ask for less quality, or add data")
+    return Choice(fits[max(fits, key=lambda k: (fits[k][1], -k))][0], scores)
 
 
 def nearest(df: DataFrame, columns: Sequence[str], centers: Sequence[Sequence[float]], confidence: float = 0.6, far: float = 1.5) -> DataFrame:
@@ -154,26 +300,68 @@ def mixture_assign(df: DataFrame, columns: Sequence[str], model: Model, confiden
 def silhouette(df: DataFrame, key: str, columns: Sequence[str], cluster: str, within: Sequence[str] = ()) -> DataFrame:
     """(within, key, cluster, silhouette) of every row with all columns, by Euclidean distance inside the groups of ``within``.
 
-    Rows meet in cells of some thousand points a side; sums of distances by cluster are added up before they are joined. A lone member gets 0; a
-    group of one cluster gets null.
+    A lone member gets 0; a group of one cluster gets null. cluster is a whole number. In one dimension sums of distances come of running totals. In
+    more, a group's points are dealt into blocks of SILHOUETTE_CELL, each pair of blocks is compared by numpy, and sums of distances
+    by cluster are added up: the comparisons go with the square of a group, rows moved with its square over a block's size.
     """
-    points = df.select(*within, F.col(key).alias("k"), F.col(cluster).alias("c"), F.array(*[F.col(x).cast("double") for x in columns]).alias("x")).where(F.forall("x", lambda v: v.isNotNull()))
-    cells = max(1, -(-points.count() // SILHOUETTE_CELL))
-    part = F.pmod(F.xxhash64("k"), F.lit(cells)).cast("int")
-    each = F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))
-    left = points.select(*within, F.col("k"), F.col("c"), F.col("x"), part.alias("i"), each.alias("j"))
-    right = points.select(*[F.col(w).alias(f"{w}__r") for w in within], F.col("k").alias("k2"), F.col("c").alias("c2"), F.col("x").alias("y"), part.alias("j2"), each.alias("i2"))
-    on = (F.col("i") == F.col("i2")) & (F.col("j") == F.col("j2"))
-    for w in within:
-        on = on & F.col(w).eqNullSafe(F.col(f"{w}__r"))
-    square = num(0)
-    for n in range(len(columns)):
-        square = square + (F.col("x")[n] - F.col("y")[n]) * (F.col("x")[n] - F.col("y")[n])
-    d = left.join(right, on).where("k <> k2").select(*within, "k", "c", "c2", F.sqrt(square).alias("d"))
-    means = d.groupBy(*within, "k", "c", "c2").agg(F.avg("d").alias("m"))
-    ab = means.groupBy(*within, "k", "c").agg(F.max(F.when(F.col("c") == F.col("c2"), F.col("m"))).alias("a"), F.min(F.when(F.col("c") != F.col("c2"), F.col("m"))).alias("b"))
+    names = [f"w{i}" for i in range(len(within))]
+    named = df.select(*[F.col(w).alias(n) for w, n in zip(within, names)], F.col(key).alias("key"), F.col(cluster).cast("long").alias("c"), F.array(*[F.col(x).cast("double") for x in columns]).alias("x"))
+    # the checkpoint fixes rows and their order, so each reading numbers them alike
+    points = checkpointed(named.where(F.col("c").isNotNull() & F.forall("x", lambda v: v.isNotNull()))).withColumn("r", F.monotonically_increasing_id())
+    groups = checkpointed(points.groupBy(*names).agg(F.count(F.lit(1)).alias("size"))).withColumn("g", F.monotonically_increasing_id())
+    on = F.lit(True)
+    for n in names:
+        on = on & points[n].eqNullSafe(groups[n])
+    placed = points.join(groups, on).select("r", "g", "size", "c", "x")
+    sizes = placed.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"))
+    sums = _line_sums(placed, sizes) if len(columns) == 1 else _block_sums(placed)
+    means = sums.join(sizes.withColumnRenamed("c", "c2"), ["g", "c2"]).withColumn("m", F.try_divide("total", F.when(F.col("c") == F.col("c2"), F.col("n") - 1).otherwise(F.col("n"))))
+    own, other = F.max(F.when((F.col("c") == F.col("c2")) & (F.col("n") > 1), F.col("m"))).alias("a"), F.min(F.when(F.col("c") != F.col("c2"), F.col("m"))).alias("b")
     s = F.when(F.col("b").isNull(), None).when(F.col("a").isNull(), num(0)).otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), num(0)))
-    return ab.select(*within, F.col("k").alias(key), F.col("c").alias(cluster), s.alias("silhouette"))
+    found = means.groupBy("r").agg(own, other).select("r", s.alias("silhouette"))
+    return points.join(found, "r").select(*[F.col(n).alias(w) for w, n in zip(within, names)], F.col("key").alias(key), F.col("c").cast("int").alias(cluster), "silhouette")
+
+
+def _line_sums(placed: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(r, g, c, c2, total): sums of distances to each cluster of the group, of points on a line: sum |x - y| from the points below x and their sum."""
+    at = checkpointed(placed.select("r", "g", "c", F.col("x")[0].alias("v")))
+    names = [r[0] for r in sizes.select("c").distinct().orderBy("c").collect()]  # a model's clusters: a handful
+    per = at.groupBy("g", "v").agg(*[F.count_if(F.col("c") == c).alias(f"n{i}") for i, c in enumerate(names)])
+    per = per.withColumns({f"s{i}": F.col(f"n{i}") * F.col("v") for i in range(len(names))})
+    values = [f"{a}{i}" for i in range(len(names)) for a in "ns"]
+    all_ = per.groupBy("g").agg(*[F.sum(v).alias(f"{v}__all") for v in values])
+    run = totals_below(per, ["g"], "v", values).join(all_, "g")
+    total = lambda i: F.col("v") * F.col(f"n{i}__below") - F.col(f"s{i}__below") + (F.col(f"s{i}__all") - F.col(f"s{i}__below") - F.col(f"s{i}")) - F.col("v") * (F.col(f"n{i}__all") - F.col(f"n{i}__below") - F.col(f"n{i}"))
+    each = F.array(*[F.struct(F.lit(c).cast("long").alias("c2"), total(i).alias("total")) for i, c in enumerate(names)])
+    return at.join(run.select("g", "v", each.alias("each")), ["g", "v"]).select("r", "g", "c", F.explode("each").alias("e")).select("r", "g", "c", "e.*")
+
+
+def _block_sums(placed: DataFrame) -> DataFrame:
+    """(r, g, c, c2, total): sums of distances to each cluster of the group, by pairs of blocks."""
+    blocks = F.ceil(F.col("size") / F.lit(SILHOUETTE_CELL)).cast("int")
+    block = F.pmod(F.xxhash64("r"), blocks).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least(o, block).alias("i"), F.greatest(o, block).alias("j")))
+    dealt = placed.select("r", "g", "c", "x", block.alias("block"), F.explode(pairs).alias("pair")).select("g", "pair.i", "pair.j", "block", "r", "c", "x")
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        x, r, c = np.stack(part["x"].to_numpy()), part["r"].to_numpy(), part["c"].to_numpy()
+        first = part["block"].to_numpy() == part["i"].iloc[0]
+        names, member = np.unique(c, return_inverse=True)
+        one_hot = np.eye(len(names))[member]
+        out = []
+        for mine, theirs in [(first, first)] if part["i"].iloc[0] == part["j"].iloc[0] else [(first, ~first), (~first, first)]:
+            a, b = x[mine], x[theirs]
+            total = np.concatenate([np.sqrt(((a[s : s + 256, None, :] - b[None, :, :]) ** 2).sum(axis=2)) @ one_hot[theirs] for s in range(0, len(a), 256)] or [np.zeros((0, len(names)))])
+            out.append(pd.DataFrame({"r": np.repeat(r[mine], len(names)), "c": np.repeat(c[mine], len(names)), "c2": np.tile(names, len(a)), "total": total.ravel()}))
+        return pd.concat(out).assign(g=part["g"].iloc[0])[["r", "g", "c", "c2", "total"]]
+
+    found = dealt.groupBy("g", "i", "j").applyInPandas(compare, "r long, g long, c long, c2 long, total double")
+    return found.groupBy("r", "g", "c", "c2").agg(F.sum("total").alias("total"))
+
+
+def mean_silhouette(df: DataFrame, key: str, columns: Sequence[str], cluster: str) -> float | None:
+    """The mean silhouette; null with one cluster."""
+    return silhouette(df, key, columns, cluster).agg(F.avg("silhouette")).first()[0]
 
 
 def label_map(centers: Sequence[Sequence[float]], schema: str = "likely") -> dict[int, str]:
@@ -198,13 +386,13 @@ def labelled(df: DataFrame, labels: dict[int, str], cluster: str = "cluster", ou
 
 
 def softness(df: DataFrame, soft: str = "best_soft") -> DataFrame:
-    """Fill best_soft: held to 0..1 with the median for gaps; without such a column from silhouette, else from the cover score's rank."""
+    """Fill best_soft: held to 0..1 with the median for gaps; without such a column from silhouette, else from the cover score's place between its 5th and 95th percentile."""
     if soft in df.columns:
-        middle = df.agg(F.median(S.clip01(F.col(soft))).alias("m__"))
-        return df.crossJoin(F.broadcast(middle)).withColumn(soft, F.coalesce(S.clip01(F.col(soft)), F.col("m__"))).drop("m__")
+        middle = F.broadcast(exact_quantiles(df.select(S.clip01(F.col(soft)).alias("s")), [], ["s"], [0.5]))
+        return df.crossJoin(middle).withColumn(soft, F.coalesce(S.clip01(F.col(soft)), F.col("s__q")[0])).drop("s__q")
     if "silhouette" in df.columns:
         return df.withColumn(soft, (F.col("silhouette") + num(1)) / num(2))
     score = df.withColumn("s__", S.cover_score(F.col("z_slope_Intensity"), F.col("z_level_Intensity_t5")))
-    ends = F.broadcast(score.agg(F.percentile("s__", F.array(num(0.05), num(0.95))).alias("q__")))
+    ends = F.broadcast(exact_quantiles(score.select("s__"), [], ["s__"], [0.05, 0.95]).withColumnRenamed("s____q", "q__"))
     place = F.when(F.col("q__")[1] - F.col("q__")[0] > 1e-9, S.clip01((F.col("s__") - F.col("q__")[0]) / (F.col("q__")[1] - F.col("q__")[0])))
     return score.crossJoin(ends).withColumn(soft, F.coalesce(place, num(0))).drop("s__", "q__")

@@ -13,21 +13,46 @@ def upsert(documents: DataFrame, key: list[str], order: str) -> DataFrame:
 
 
 def changed_files(files: DataFrame, state: DataFrame) -> DataFrame:
-    """Files (folder, file, content) whose md5 is not in the state (folder, file, hash); adds hash."""
-    hashed = files.withColumn("hash", F.md5("content"))
-    return hashed.join(state.select("folder", "file", "hash"), ["folder", "file", "hash"], "left_anti")
+    """Files (folder, file, hash, content) whose hash is not in the state (folder, file, hash)."""
+    return files.join(state.select("folder", "file", "hash"), ["folder", "file", "hash"], "left_anti")
 
 
 def next_state(state: DataFrame, files: DataFrame) -> DataFrame:
     """The state after a run: new hashes over old ones."""
-    new = files.select("folder", "file", F.md5("content").alias("hash"), F.lit(1).alias("run"))
+    new = files.select("folder", "file", "hash", F.lit(1).alias("run")).distinct()
     return upsert(state.select("folder", "file", "hash", F.lit(0).alias("run")).union(new), ["folder", "file"], "run").drop("run")
 
 
-def merge_onto(previous: DataFrame, changed: DataFrame, key: list[str], folder: str = "folder") -> DataFrame:
-    """Rows of changed folders over the previous result: a folder's old rows go, other folders' stay. Both keep ``folder``."""
-    kept = previous.join(changed.select(folder).distinct(), folder, "left_anti")
-    return upsert(kept.unionByName(changed), key, folder)
+def layered(previous: DataFrame, new: DataFrame, changed: DataFrame) -> DataFrame:
+    """Rows of changed files (folder, file) over the previous rows: a changed file's old rows go, other files' stay."""
+    kept = previous.join(changed.select("folder", "file").distinct(), ["folder", "file"], "left_anti")
+    return kept.unionByName(new)
+
+
+def merge_onto(previous: DataFrame, changed: DataFrame, key: list[str]) -> DataFrame:
+    """layered, and of rows that share the key the one of the last folder by name. Both have folder and file."""
+    return upsert(layered(previous, changed, changed), key, "folder")
+
+
+#: The file that holds a folder's seasons rather than entities; fixed value.
+MANIFEST = "manifest.json"
+
+
+def entries(files: DataFrame) -> DataFrame:
+    """(folder, file, orch_id, value) of each key of the files' JSON objects; value is JSON text. A file is one object or lines of objects; what is no object is skipped."""
+    text = F.col("content").cast("string")
+    whole = F.from_json(text, "map<string,string>")
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda line: F.from_json(line, "map<string,string>")), lambda m: m.isNotNull())
+    maps = F.when(F.instr(F.trim(text), "\n") == 0, F.filter(F.array(whole), lambda m: m.isNotNull())).when(F.size(lines) > 0, lines).otherwise(F.filter(F.array(whole), lambda m: m.isNotNull()))
+    rows = files.select("folder", "file", F.explode(maps).alias("m__"))
+    return rows.select("folder", "file", F.explode("m__").alias("orch_id", "value"))
+
+
+def manifests(entries_: DataFrame) -> DataFrame:
+    """(folder, years, schema_version, ui_uncertain_threshold, bit_order) of the manifests among entries."""
+    own = entries_.where(F.col("file") == MANIFEST).groupBy("folder").agg(F.map_from_entries(F.collect_list(F.struct("orch_id", "value"))).alias("m"))
+    value = lambda k: F.try_element_at("m", F.lit(k))
+    return own.select("folder", F.from_json(value("years"), "array<int>").alias("years"), value("schema_version").try_cast("int").alias("schema_version"), value("ui_uncertain_threshold").try_cast("double").alias("ui_uncertain_threshold"), value("bit_order").alias("bit_order"))
 
 
 def merged_manifest(manifests: DataFrame) -> DataFrame:
@@ -46,3 +71,19 @@ def parse_keyed(documents: DataFrame, text: str, value_schema: str) -> DataFrame
 def merge_report(merged: DataFrame) -> DataFrame:
     """Per file: entities, sources and the size of the merged rows (file, folder, orch_id, bytes) in KB to one place."""
     return merged.groupBy("file").agg(F.count(F.lit(1)).alias("orchards"), F.countDistinct("folder").alias("n_sources"), F.bround(F.sum("bytes") / F.lit(1024.0), 1).alias("size_kb"))
+
+
+def run_report(documents: DataFrame, files: DataFrame) -> DataFrame:
+    """One row: the time, folders and files read, the merged files' statistics, their total size and most entities of a season, and the seasons in order.
+
+    documents: (folder, file, orch_id, value); a file named by a year is a season. There is one struct a file: files are kinds and seasons, a handful.
+    """
+    sized = documents.withColumn("bytes", F.octet_length("orch_id") + F.octet_length("value") + F.lit(4))
+    year = F.regexp_extract("file", r"^(\d{4})\.json$", 1).try_cast("int")
+    stats = merge_report(sized).withColumn("year", year)
+    summary = stats.agg(
+        F.array_sort(F.collect_list(F.struct("file", "orchards", "n_sources", "size_kb"))).alias("files"), F.bround(F.sum("size_kb"), 1).alias("total_size_kb"),
+        F.max(F.when(F.col("year").isNotNull(), F.col("orchards"))).alias("most_orchards"), F.array_sort(F.array_compact(F.collect_list("year"))).alias("years"),
+    )
+    read = files.agg(F.array_sort(F.collect_set("folder")).alias("folders"), F.count_distinct("folder", "file").alias("n_files"))
+    return summary.crossJoin(read).withColumn("generated_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))

@@ -17,6 +17,12 @@ def winter_windows(spark, start_year: int) -> DataFrame:
     return spark.createDataFrame(rows, "time_period int, start string, end string").select("time_period", F.to_date("start").alias("start"), F.to_date("end").alias("end"))
 
 
+def in_summer(day: Column) -> Column:
+    """Whether a date lies in its year's summer window: from 15 May to before 15 November up to 2018, then from 15 June to before 15 October."""
+    at = F.date_format(day, "MM-dd")
+    return F.when(F.year(day) <= 2018, (at >= "05-15") & (at < "11-15")).otherwise((at >= "06-15") & (at < "10-15"))
+
+
 def first_match(images: DataFrame, clouds: DataFrame, key: str, order: str) -> DataFrame:
     """Images with the first of their matches in clouds; images without one go."""
     first = Window.partitionBy(key).orderBy(order)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborline.config import EPS
@@ -19,15 +19,15 @@ def _z(c: str) -> Column:
     return clamp((F.col(c) - q[1]) / F.greatest(q[2] - q[0], num(EPS)), -3, 3)
 
 
-def robust_z(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str], large_groups: bool = False) -> DataFrame:
+def robust_z(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
     """Add (x - median) / interquartile range, held to -3..3, of each column (input name -> output name) within groups of keys."""
-    out = with_quantiles(df, keys, list(columns), QUARTILES, large_groups)
+    out = with_quantiles(df, keys, list(columns), QUARTILES)
     return out.withColumns({new: _z(c) for c, new in columns.items()}).drop(*[f"{c}__q" for c in columns])
 
 
-def robust_scale01(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str], inverted: Sequence[str] = (), large_groups: bool = False) -> DataFrame:
+def robust_scale01(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str], inverted: Sequence[str] = ()) -> DataFrame:
     """Add the robust z mapped to 0..1; of the columns in ``inverted`` one less it."""
-    out = with_quantiles(df, keys, list(columns), QUARTILES, large_groups)
+    out = with_quantiles(df, keys, list(columns), QUARTILES)
     scaled = {c: (_z(c) + num(3)) / num(6) for c in columns}
     return out.withColumns({new: num(1) - scaled[c] if c in inverted else scaled[c] for c, new in columns.items()}).drop(*[f"{c}__q" for c in columns])
 
@@ -45,8 +45,12 @@ def robust_minmax(df: DataFrame, keys: Sequence[str], column: str, out: str, low
 def season_z(df: DataFrame, keys: Sequence[str], column: str, out: str) -> DataFrame:
     """Add (x - mean) / population deviation; with no deviation (x - median) / (range of quartiles / 1.349), by 1 if that is 0 too."""
     joined = with_quantiles(df, keys, [column], QUARTILES)
-    w = Window.partitionBy(*keys)
-    q, mean, sd = F.col(f"{column}__q"), F.avg(column).over(w), F.stddev_pop(column).over(w)
+    moments = df.groupBy(*keys).agg(F.avg(column).alias("mean__"), F.stddev_pop(column).alias("sd__")).select(*[F.col(k).alias(f"{k}__k") for k in keys], "mean__", "sd__")
+    on = F.lit(True)
+    for k in keys:
+        on = on & joined[k].eqNullSafe(moments[f"{k}__k"])
+    joined = joined.join(moments, on).drop(*[f"{k}__k" for k in keys])
+    q, mean, sd = F.col(f"{column}__q"), F.col("mean__"), F.col("sd__")
     spread = (q[2] - q[0]) / num(1.349)
     robust = (F.col(column) - q[1]) / F.when(spread > 0, spread).otherwise(num(1))
-    return joined.withColumn(out, F.when(sd > 0, F.try_divide(F.col(column) - mean, sd)).otherwise(robust)).drop(f"{column}__q")
+    return joined.withColumn(out, F.when(sd > 0, F.try_divide(F.col(column) - mean, sd)).otherwise(robust)).drop(f"{column}__q", "mean__", "sd__")

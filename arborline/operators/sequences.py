@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from arborline.checkpoints import checkpointed
 from arborline.functions import scalars as S
 from arborline.functions.scalars import num
 
 MOST_STREAK = 8
+#: Bits of a mask.
+MOST_SEASONS = 63
 
 
 def _order():
@@ -66,11 +69,14 @@ def cover_masks(served: DataFrame, seasons: Sequence[int], threshold: float = 0.
     Bit i of the mask is the i-th of all seasons, the earliest first; a missing season ends a run. Only if no row is a confident cover,
     all entities are listed, with zeros.
     """
+    if len(seasons) > MOST_SEASONS:
+        raise ValueError(f"a mask has {MOST_SEASONS} seasons at most, not {len(seasons)}")
     index = F.array_position(F.array(*[F.lit(int(s)) for s in seasons]), F.col("season_sort")).cast("int") - 1
     sure = served.where((F.col("cluster_role") == "Cover Crops") & (F.coalesce("best_soft_norm", num(0)) > threshold)).select("orch_id", index.alias("i")).where("i >= 0 and orch_id is not null").distinct()
     island = F.col("i") - F.row_number().over(Window.partitionBy("orch_id").orderBy("i"))
     runs = sure.withColumn("g", island).groupBy("orch_id", "g").agg(F.count(F.lit(1)).alias("n"), F.expr("bit_or(shiftleft(1L, i))").alias("m"))
     found = runs.groupBy("orch_id").agg(F.expr("bit_or(m)").alias("mask"), F.max("n").alias("longest"), F.sum("n").alias("years_active"))
+    found = checkpointed(found)
     if found.isEmpty():
         zero = F.lit(0).cast("long")
         found = served.where("orch_id is not null").select("orch_id").distinct().select("orch_id", zero.alias("mask"), zero.alias("longest"), zero.alias("years_active"))

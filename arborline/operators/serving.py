@@ -13,8 +13,15 @@ from arborline.operators.clusters import softness
 from arborline.operators.robust import robust_minmax
 from arborline.operators.sequences import streaks_so_far
 
+#: Columns of an attributes shard and of the wide table, in order; fixed values.
 ATTRIBUTES = ("orch_id", "cluster_role_mapped", "best_soft_norm", "uncertain", "flipped_this_season", "streak_len_current", "time_since_last_flip", "npts_total", "env_z_season", "stratum")
 
+WIDE = {
+    "orch_id": "string", "season": "string", "season_sort": "int", "season_mid": "string", "county": "string", "cluster": "int", "label": "string", "cluster_role": "string", "cluster_color": "string",
+    "best_soft": "double", "best_soft_norm": "double", "alpha100": "int", "confidence": "double", "p_cover": "double", "stratum": "string", "env_z_season": "double", "npts_total": "int", "z_slope_Intensity": "double",
+    "z_level_Intensity_t5": "double", "streak_len_current": "int", "time_since_last_flip": "double", "flip_style_last": "string", "delta_last": "double", **{f"cover_streak_{n}y": "int" for n in range(1, 9)},
+}
+
 
 def served(assigned: DataFrame, features: Sequence[str], ages: DataFrame | None = None, month_day: str = "-01-31") -> DataFrame:
     """The wide table of assignments (orch_id, season, season_sort, cluster, label, best_soft, n_periods_used, features).
@@ -54,6 +61,11 @@ def manifest(wide: DataFrame, threshold: float = 0.15) -> DataFrame:
     return wide.agg(F.lit(1).alias("schema_version"), years.alias("years"), num(threshold).alias("ui_uncertain_threshold"), F.lit("earliest=bit0").alias("bit_order"))
 
 
+def wide_table(served: DataFrame) -> DataFrame:
+    """The wide table's columns, those that are missing as nulls, in order of season and entity."""
+    return with_all_columns(served, WIDE).orderBy("season_sort", "orch_id")
+
+
 def with_all_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Exactly these columns (name -> type); those that df lacks are null."""
     return df.select(*[F.col(c).cast(t).alias(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in columns.items()])
@@ -68,6 +80,12 @@ def tile_properties(polygons: DataFrame, first_year: int = 16, last_year: int =
     return polygons.select(F.col("orch_id").cast("string").alias("orch_id"), F.col("CNTY").cast("string").alias("county"), ranked[0]["v"].alias("dominant_crop"), F.col(f"CROP{last_year}").cast("string").alias("current_crop"), F.col("stability_score").cast("double").alias("stability_score"), F.col("ACRES").cast("double").alias("acres"))
 
 
+def with_acres(rows: DataFrame, polygons: DataFrame) -> DataFrame:
+    """rows with acres and centroid of their polygon (orch_id, acres, ring); acres missing on record come from the ring. Rows without a polygon get nulls."""
+    known = polygons.select("orch_id", S.acres_or_area(F.col("acres"), F.col("ring")).alias("acres"), S.ring_centroid(F.col("ring")).alias("centroid"))
+    return rows.join(known, "orch_id", "left")
+
+
 def require_keys(df: DataFrame, key: str) -> DataFrame:
     """df, after a check that no row lacks the key."""
     missing = df.where(F.col(key).isNull()).count()

@@ -22,14 +22,11 @@ def drop_missing(panel: DataFrame) -> DataFrame:
     return panel.where(~S.row_is_missing(*[F.col(m) for m in MEASURES]))
 
 
-def rewards(panel: DataFrame, strata: Sequence[str] = (), large_groups: bool = True) -> DataFrame:
-    """Add savi_rz, bsi_green, cv_savi, cv_bsi and the three rewards, scaled within season, period and strata.
-
-    panel is read twice: pass a table, or a checkpointed DataFrame.
-    """
+def rewards(panel: DataFrame, strata: Sequence[str] = ()) -> DataFrame:
+    """Add savi_rz, bsi_green, cv_savi, cv_bsi and the three rewards, scaled within season, period and strata."""
     rows = drop_missing(panel).withColumns({"cv_savi": S.variation(F.col("savi_mean"), F.col("savi_sd")), "cv_bsi": S.variation(F.col("bsi_mean"), F.col("bsi_sd"))})
     names = {"savi_mean": "savi_rz", "bsi_mean": "bsi_green", "cv_savi": "even_savi", "cv_bsi": "even_bsi"}
-    scaled = robust_scale01(rows, ["season_sort", *strata, "time_period"], names, ("bsi_mean", "cv_savi", "cv_bsi"), large_groups)
+    scaled = robust_scale01(rows, ["season_sort", *strata, "time_period"], names, ("bsi_mean", "cv_savi", "cv_bsi"))
     return scaled.withColumns({
         "Intensity": S.intensity(F.col("time_period"), F.col("savi_rz"), F.col("bsi_green")),
         "Fill": S.fill_reward(F.col("savi_rz"), F.col("bsi_green")),
@@ -75,7 +72,7 @@ def trends(rewarded: DataFrame, settings: Settings = Settings(), keys: Sequence[
     weight = S.row_weight(F.col("valid_pixel_fraction"), F.col("savi_sd"), F.col("bsi_sd"), settings.use_valid_fraction)
     fits = weighted_trend(rewarded, keys, "time_period", REWARDS, weight, F.col("time_period").isin(*settings.trend_periods))
     level = checkpointed(fits.withColumn("pred_Intensity_t5", F.col("intercept_Intensity") + num(5) * F.col("slope_Intensity")))
-    return robust_z(level, ["season_sort"], {f"slope_{r}": f"z_slope_{r}" for r in REWARDS} | {"pred_Intensity_t5": "z_level_Intensity_t5"}, large_groups=True)
+    return robust_z(level, ["season_sort"], {f"slope_{r}": f"z_slope_{r}" for r in REWARDS} | {"pred_Intensity_t5": "z_level_Intensity_t5"})
 
 
 def with_quality(df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from arborline.config import Settings
 from arborline.functions import scalars as S
 from arborline.operators import clusters, trends
 from arborline.operators.analysis import group_medians
+from arborline.operators.robust import robust_z
 from arborline.operators.serving import served
 
 #: Frozen centres of (slope, level), and of the summer index.
@@ -26,21 +27,26 @@ def season(year) -> F.Column:
     return F.concat(year.cast("string"), F.lit("_"), (year + 1).cast("string"))
 
 
+def window(day: F.Column) -> F.Column:
+    """Twelve months on eight windows; the last four come round to the first."""
+    return ((F.month(day) - F.lit(1)) % F.lit(8) + F.lit(1)).cast("int")
+
+
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row an entity, season and window, with mean and deviation of two measures and the valid fraction."""
-    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_extendedprice", "l_discount", "l_returnflag").where(F.month("l_shipdate") <= 8)
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_extendedprice", "l_discount", "l_returnflag")
     price, valid = F.col("l_extendedprice") / F.lit(1e5), F.when(F.col("l_returnflag") != "N", 1.0).otherwise(0.0)
-    return lines.groupBy(F.col("l_suppkey").cast("string").alias("orch_id"), F.year("l_shipdate").alias("season_sort"), F.month("l_shipdate").alias("time_period")).agg(
+    return lines.groupBy(F.col("l_suppkey").cast("string").alias("orch_id"), F.year("l_shipdate").alias("season_sort"), window(F.col("l_shipdate")).alias("time_period")).agg(
         F.avg(price).alias("savi_mean"), F.stddev_pop(price).alias("savi_sd"), F.avg("l_discount").alias("bsi_mean"), F.stddev_pop("l_discount").alias("bsi_sd"), F.avg(valid).alias("valid_pixel_fraction"),
     )
 
 
 def rewarded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checkpointed(trends.rewards(checkpointed(panel(spark, sf_dir))))
+    return trends.rewards(checkpointed(panel(spark, sf_dir)))
 
 
 def trended(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checkpointed(trends.with_quality(trends.trends(rewarded(spark, sf_dir), SETTINGS)).withColumn("season", season(F.col("season_sort"))))
+    return trends.with_quality(trends.trends(rewarded(spark, sf_dir), SETTINGS)).withColumn("season", season(F.col("season_sort")))
 
 
 def assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,11 +58,9 @@ def assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(season, orch_id, CMI_z, cmi_cluster, cmi_label): the summer index, here the median quantity, by its nearest centre."""
-    from arborline.operators.robust import robust_z
-
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("orch_id"), F.year("l_shipdate").alias("season_sort"), "l_quantity")
-    index = robust_z(group_medians(lines, ["season_sort", "orch_id"]), ["season_sort"], {"CMI__l_quantity": "CMI_z"})
-    near = clusters.nearest(index.where("CMI_z is not null and orch_id <> '7'"), ["CMI_z"], [[c] for c in AGE_CENTERS])
+    index = robust_z(checkpointed(group_medians(lines, ["season_sort", "orch_id"])), ["season_sort"], {"CMI__l_quantity": "CMI_z"})
+    near = clusters.nearest(index.where("CMI_z is not null"), ["CMI_z"], [[c] for c in AGE_CENTERS])
     named = clusters.labelled(near, clusters.age_labels(AGE_CENTERS), out="cmi_label")
     return checkpointed(named.select(season(F.col("season_sort")).alias("season"), "season_sort", "orch_id", "CMI_z", F.col("cluster").alias("cmi_cluster"), "cmi_label"))
 
@@ -75,8 +79,8 @@ _each = lambda text: ", ".join(text.format(r=r) for r in _RW)
 _D = lambda a, b: f"sqrt((f_1 - {a}) * (f_1 - {a}) + (f_2 - {b}) * (f_2 - {b}))"
 
 STEPS = {
-    "obs": """SELECT l_suppkey::VARCHAR AS orch_id, year(l_shipdate)::INTEGER AS season_sort, month(l_shipdate)::INTEGER AS time_period, avg(l_extendedprice / 1e5) AS savi_mean, stddev_pop(l_extendedprice / 1e5) AS savi_sd,
-  avg(l_discount) AS bsi_mean, stddev_pop(l_discount) AS bsi_sd, avg(CASE WHEN l_returnflag <> 'N' THEN 1.0::DOUBLE ELSE 0.0 END) AS valid_pixel_fraction FROM lineitem WHERE month(l_shipdate) <= 8 GROUP BY ALL""",
+    "obs": """SELECT l_suppkey::VARCHAR AS orch_id, year(l_shipdate)::INTEGER AS season_sort, ((month(l_shipdate) - 1) % 8 + 1)::INTEGER AS time_period, avg(l_extendedprice / 1e5) AS savi_mean, stddev_pop(l_extendedprice / 1e5) AS savi_sd,
+  avg(l_discount) AS bsi_mean, stddev_pop(l_discount) AS bsi_sd, avg(CASE WHEN l_returnflag <> 'N' THEN 1.0::DOUBLE ELSE 0.0 END) AS valid_pixel_fraction FROM lineitem GROUP BY ALL""",
     "kept": """SELECT *, savi_sd / (abs(savi_mean) + 1e-6) AS cv_savi, bsi_sd / (abs(bsi_mean) + 1e-6) AS cv_bsi FROM obs WHERE NOT (abs(savi_mean) <= 1e-6 AND abs(bsi_mean) <= 1e-6 AND abs(savi_sd) <= 1e-6 AND abs(bsi_sd) <= 1e-6)""",
     "quart": """SELECT season_sort, time_period, quantile_cont(savi_mean, [.25, .5, .75]) AS qs, quantile_cont(bsi_mean, [.25, .5, .75]) AS qb, quantile_cont(cv_savi, [.25, .5, .75]) AS qcs, quantile_cont(cv_bsi, [.25, .5, .75]) AS qcb FROM kept GROUP BY ALL""",
     "scaled": f"""SELECT kept.*, {_ONE("savi_mean", "qs")} AS savi_rz, 1 - {_ONE("bsi_mean", "qb")} AS bsi_green, 0.5 * (1 - {_ONE("cv_savi", "qcs")}) + 0.5 * (1 - {_ONE("cv_bsi", "qcb")}) AS Uniformity, 0.3 + 0.4 * (least(7.0, greatest(2.0, time_period)) - 2) / 5 AS pw FROM kept JOIN quart USING (season_sort, time_period)""",
@@ -100,7 +104,7 @@ STEPS = {
     "idx": """SELECT year(l_shipdate)::INTEGER AS season_sort, l_suppkey::VARCHAR AS orch_id, median(l_quantity) AS v FROM lineitem GROUP BY ALL""",
     "idxq": "SELECT season_sort, quantile_cont(v, [.25, .5, .75]) AS q FROM idx GROUP BY ALL",
     "age": f"""SELECT *, CASE WHEN abs(CMI_z - {AGE_CENTERS[0]}) <= abs(CMI_z - {AGE_CENTERS[1]}) THEN 0 ELSE 1 END AS cmi_cluster, CASE WHEN abs(CMI_z - {AGE_CENTERS[0]}) <= abs(CMI_z - {AGE_CENTERS[1]}) THEN 'Young' ELSE 'Old' END AS cmi_label
-  FROM (SELECT season_sort || '_' || (season_sort + 1) AS season, season_sort, orch_id, {_Z.format(c="v", q="q")} AS CMI_z FROM idx JOIN idxq USING (season_sort) WHERE orch_id <> '7')""".replace("- -", "+ "),
+  FROM (SELECT season_sort || '_' || (season_sort + 1) AS season, season_sort, orch_id, {_Z.format(c="v", q="q")} AS CMI_z FROM idx JOIN idxq USING (season_sort))""".replace("- -", "+ "),
     "strat": """SELECT asg.*, cmi_label AS stratum, CMI_z AS env_z_season, CASE WHEN label = 'Likely Cover Cropping' THEN 'Cover Crops' ELSE 'Bare Soil' END AS cluster_role FROM asg LEFT JOIN age USING (season, orch_id)""".replace("asg.*", "asg.*"),
     "sq": "SELECT season_sort, stratum, quantile_cont(best_soft, [.1, .9]) AS q FROM strat GROUP BY ALL",
     "norm": """SELECT strat.*, CASE WHEN strat.stratum IS NOT NULL AND sq.q[2] - sq.q[1] > 1e-9 THEN least(1.0, greatest(0.0, (best_soft - sq.q[1]) / (sq.q[2] - sq.q[1]))) ELSE 0 END AS best_soft_norm

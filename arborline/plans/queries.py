@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arborline.checkpoints import checkpointed
 from arborline.functions import quantiles
 from arborline.functions import scalars as S
 from arborline.operators import analysis, clusters, merging, pixels, robust, sequences, serving, trends
 from arborline.plans import panel as P
+from arborline.plans import run as R
 from arborline.plans.panel import sql, table
 from arborline.sources import readers, writers
 
@@ -55,9 +57,9 @@ def panel_build(spark, d):
     return P.panel(spark, d).select(*KEYS, "time_period", *nudged("savi_mean", "savi_sd", "bsi_mean", "bsi_sd", "valid_pixel_fraction"))
 
 
-@query(sql("SELECT season_sort, count(*) AS n FROM obs WHERE NOT coalesce(orch_id::INT % 5 = 0 AND time_period = 8, false) GROUP BY ALL", "obs"))
+@query(sql("SELECT season_sort, count(*) AS n FROM obs WHERE valid_pixel_fraction >= 0.3 GROUP BY ALL", "obs"))
 def missing_row_filter(spark, d):
-    gone = (F.col("orch_id").cast("int") % 5 == 0) & (F.col("time_period") == 8)
+    gone = F.col("valid_pixel_fraction") < 0.3
     zeroed = P.panel(spark, d).withColumns({m: F.when(gone, 0.0).otherwise(F.col(m)) for m in trends.MEASURES})
     return trends.drop_missing(zeroed).groupBy("season_sort").agg(F.count(F.lit(1)).alias("n"))
 
@@ -200,12 +202,16 @@ def manifest_row(spark, d):
 @query(sql("SELECT season_sort, count(*) AS n_trends, count_if(Q >= 0.2 AND n_periods_used >= 2)::BIGINT AS n_train, count_if(n_periods_used >= 2)::BIGINT AS n_assigned_all, round_even(100.0::DOUBLE * (count(*) - count_if(Q >= 0.2 AND n_periods_used >= 2)) / count(*), 1) AS lost_pct_train_only, round_even(100.0::DOUBLE * (count(*) - count_if(n_periods_used >= 2)) / count(*), 1) AS lost_pct_after_all FROM qual GROUP BY ALL", "qual"))
 def season_coverage(spark, d):
     flagged = P.trended(spark, d).withColumns({"train": (F.col("Q") >= 0.2) & (F.col("n_periods_used") >= 2), "assigned": F.col("n_periods_used") >= 2})
-    return analysis.coverage(flagged, "train", "assigned")
+    return analysis.coverage(flagged.drop("season"), "train", "assigned")
 
 
-@query(sql(f"SELECT cluster, count(*) AS n, round(avg(f_1), 6) AS centroid_f_1, round(avg(f_2), 6) AS centroid_f_2, round(avg(uncertain), 6) AS uncertain_rate, round(avg(slope_Intensity), 6) AS mean_slope_Intensity, round(quantile_cont(slope_Intensity, .25), 6) AS p25_slope_Intensity, round(quantile_cont(slope_Intensity, .75), 6) AS p75_slope_Intensity FROM asg GROUP BY cluster", "asg"))
+_PROFILE = ", ".join(f"round(avg({c}), 6) + 0.0 AS mean_{c}, round(quantile_cont({c}, .25), 6) + 0.0 AS p25_{c}, round(quantile_cont({c}, .75), 6) + 0.0 AS p75_{c}" for c in analysis.PROFILED)
+
+
+@query(sql(f"SELECT cluster, count(*) AS n, round(avg(f_1), 6) + 0.0 AS centroid_f_1, round(avg(f_2), 6) + 0.0 AS centroid_f_2, round(avg(uncertain), 6) + 0.0 AS uncertain_rate, round(avg(best_soft), 6) AS mean_silhouette, round(avg(Q), 6) + 0.0 AS mean_CMI__Q, {_PROFILE} FROM asg GROUP BY cluster", "asg"))
 def cluster_profile(spark, d):
-    out = analysis.cluster_profiles(P.assigned(spark, d), ["f_1", "f_2"], ["slope_Intensity"])
+    rows = P.assigned(spark, d).withColumns({"silhouette": F.col("best_soft"), "CMI__Q": F.col("Q")})
+    out = analysis.cluster_profiles(rows, ["f_1", "f_2"], analysis.PROFILED)
     return out.select("cluster", "n", *r6(*[c for c in out.columns if c not in ("cluster", "n")]))
 
 
@@ -230,6 +236,22 @@ def rank_auc(spark, d):
     return analysis.auc(rows, "l_quantity", "y", ["l_linestatus"]).withColumn("auc", F.round("auc", 6))
 
 
+@query("""WITH r AS (SELECT l_returnflag = 'R' AS y, rank() OVER (ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_extendedprice) - 1) / 2.0::DOUBLE AS ar FROM lineitem)
+SELECT round((sum(ar) FILTER (y) - count_if(y) * (count_if(y) + 1) / 2.0::DOUBLE) / nullif(count_if(y) * count_if(NOT y), 0), 6) AS auc FROM r""")
+def rank_auc_global(spark, d):
+    rows = table(spark, d, "lineitem").select("l_extendedprice", (F.col("l_returnflag") == "R").alias("y"))
+    return analysis.auc(rows, "l_extendedprice", "y").select(F.round("auc", 6).alias("auc"))
+
+
+@query(sql("""SELECT orch_id, season_sort, round(coalesce(least(1.0, greatest(0.0, z_slope_Fill)), (SELECT median(least(1.0, greatest(0.0, z_slope_Fill))) FROM asg)), 6) + 0.0 AS filled, round((best_soft + 1) / 2, 6) AS by_silhouette,
+  round(least(1.0, greatest(0.0, (s - q[1]) / (q[2] - q[1]))), 6) + 0.0 AS by_score FROM (SELECT *, z_slope_Intensity + 0.8 * z_level_Intensity_t5 AS s FROM asg), (SELECT quantile_cont(z_slope_Intensity + 0.8 * z_level_Intensity_t5, [.05, .95]) AS q FROM asg)""", "asg"))
+def softness_branches(spark, d):
+    rows = P.assigned(spark, d).select(*KEYS, "z_slope_Intensity", "z_slope_Fill", "z_level_Intensity_t5", F.col("best_soft").alias("soft"))
+    filled = clusters.softness(rows.withColumn("best_soft", F.col("z_slope_Fill")))
+    both = filled.select(*KEYS, F.col("best_soft").alias("filled")).join(clusters.softness(rows.withColumn("silhouette", F.col("soft"))).select(*KEYS, F.col("best_soft").alias("by_silhouette")), list(KEYS))
+    return both.join(clusters.softness(rows).select(*KEYS, F.col("best_soft").alias("by_score")), list(KEYS)).select(*KEYS, *r6("filled", "by_silhouette", "by_score"))
+
+
 @query("SELECT year(l_shipdate)::INTEGER AS season_sort, l_suppkey, round(median(l_quantity), 6) AS CMI__l_quantity, round(median(l_extendedprice), 6) AS CMI__l_extendedprice FROM lineitem GROUP BY ALL")
 def summer_summary_median(spark, d):
     rows = table(spark, d, "lineitem").select(F.year("l_shipdate").alias("season_sort"), "l_suppkey", "l_quantity", "l_extendedprice")
@@ -299,14 +321,13 @@ def images_per_window(spark, d):
     return pixels.images_per_window(table(spark, d, "events").where("event_type = 'view'").select("ts"), "ts", _windows(spark))
 
 
-@query(f"""WITH m AS (SELECT event_type, time_period, avg(value) AS mean FROM events JOIN {_WINDOW_SQL} ON ts >= s AND ts < e WHERE user_id % 3 = 0 AND time_period < 7 GROUP BY ALL)
-SELECT z.event_type, w.time_period, round(coalesce(mean, 0), 6) AS mean FROM (SELECT DISTINCT event_type FROM events) z CROSS JOIN {_WINDOW_SQL} LEFT JOIN m ON m.event_type = z.event_type AND m.time_period = w.time_period""")
+@query(f"""WITH m AS (SELECT user_id, time_period, avg(value) AS mean FROM events JOIN {_WINDOW_SQL} ON ts >= s AND ts < e GROUP BY ALL)
+SELECT z.user_id, w.time_period, round(coalesce(mean, 0), 6) AS mean FROM (SELECT DISTINCT user_id FROM events) z CROSS JOIN {_WINDOW_SQL} LEFT JOIN m ON m.user_id = z.user_id AND m.time_period = w.time_period""")
 def zone_window_cross(spark, d):
-    events = table(spark, d, "events")
-    seen = pixels.in_windows(events.where("user_id % 3 = 0"), "ts", _windows(spark)).where("time_period < 7")
-    measured = seen.groupBy("event_type", "time_period").agg(F.avg("value").alias("mean"))
-    out = pixels.zone_windows(events.select("event_type").distinct(), _windows(spark), measured, ["event_type", "time_period"])
-    return out.select("event_type", "time_period", *r6("mean"))
+    events = table(spark, d, "events").select("user_id", "ts", "value")
+    measured = pixels.in_windows(events, "ts", _windows(spark)).groupBy("user_id", "time_period").agg(F.avg("value").alias("mean"))
+    out = pixels.zone_windows(events.select("user_id").distinct(), _windows(spark), measured, ["user_id", "time_period"])
+    return out.select("user_id", "time_period", *r6("mean"))
 
 
 @query("SELECT l_partkey, l_suppkey, count(l_extendedprice) AS n_obs, CASE WHEN count(l_extendedprice) >= 3 THEN round(quantile_cont(l_extendedprice, .9), 6) END AS p90, round(median(l_extendedprice), 6) AS median FROM lineitem GROUP BY 1, 2")
@@ -363,12 +384,50 @@ def cover_share(spark, d):
     return analysis.cover_share(rows, ["s_nationkey"], "cover", "acres").select("s_nationkey", *r6("pct_count", "pct_acres"))
 
 
-@query("SELECT round(min(s_acctbal), 6) AS min_x, round(min(s_suppkey), 6)::BIGINT AS min_y, round(max(s_acctbal), 6) AS max_x, max(s_suppkey) AS max_y FROM supplier WHERE s_nationkey BETWEEN 3 AND 20 AND s_suppkey BETWEEN 2 AND 900")
+@query("SELECT round(min(s_acctbal), 6) AS min_x, min(s_suppkey) AS min_y, round(max(s_acctbal), 6) AS max_x, max(s_suppkey) AS max_y FROM supplier WHERE s_nationkey BETWEEN 3 AND 20 AND s_acctbal BETWEEN -500 AND 9000")
 def bounding_box(spark, d):
-    inside = table(spark, d, "supplier").where(pixels.within_box(F.col("s_nationkey"), F.col("s_suppkey"), (3, 2, 20, 900)))
+    inside = table(spark, d, "supplier").where(pixels.within_box(F.col("s_nationkey"), F.col("s_acctbal"), (3, -500, 20, 9000)))
     return analysis.bounds(inside, "s_acctbal", "s_suppkey").select(*r6("min_x"), "min_y", *r6("max_x"), "max_y")
 
 
+@query("""WITH q AS (SELECT s_suppkey, s_acctbal, s_nationkey::DOUBLE - 110 AS x, s_acctbal / 200 AS y FROM supplier),
+area AS (SELECT s_suppkey, abs(sum(radians(bx - ax) * (2 + sin(radians(ay)) + sin(radians(by_))))) * 6378137.0::DOUBLE ^ 2 / 2 / 4046.8564224 AS acres FROM (
+  SELECT s_suppkey, x + a AS ax, y + b AS ay, x + c AS bx, y + e AS by_ FROM q, (VALUES (0, 0, 0.01, 0), (0.01, 0, 0.01, 0.02), (0.01, 0.02, 0, 0.01), (0, 0.01, 0, 0)) s(a, b, c, e)) GROUP BY 1)
+SELECT c_custkey, s_suppkey::VARCHAR AS orch_id, round(CASE WHEN s_acctbal > 2000 THEN s_acctbal ELSE acres END, 4) AS acres, round(x + 0.005, 6) AS cx, round(y + 0.0075, 6) AS cy
+FROM customer LEFT JOIN q ON s_suppkey = c_nationkey + 1 LEFT JOIN area USING (s_suppkey)""")
+def acres_lookup(spark, d):
+    x, y = F.col("s_nationkey").cast("double") - F.lit(110.0), F.col("s_acctbal") / F.lit(200.0)
+    ring = F.array(*[F.array(x + F.lit(float(a)), y + F.lit(float(b))) for a, b in ((0, 0), (0.01, 0), (0.01, 0.02), (0, 0.01), (0, 0))])
+    polygons = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("orch_id"), F.when(F.col("s_acctbal") > 2000, F.col("s_acctbal")).otherwise(0.0).alias("acres"), ring.alias("ring"))
+    rows = table(spark, d, "customer").select("c_custkey", (F.col("c_nationkey") + 1).cast("string").alias("orch_id"))
+    out = serving.with_acres(rows, polygons)
+    known = F.when(F.col("acres").isNotNull(), F.col("orch_id"))
+    return out.select("c_custkey", known.alias("orch_id"), F.round("acres", 4).alias("acres"), F.round(F.col("centroid")[0], 6).alias("cx"), F.round(F.col("centroid")[1], 6).alias("cy"))
+
+
+@query("SELECT l_orderkey, l_linenumber, round(CASE WHEN x <= 0 THEN 0.2 WHEN x < 5 THEN 0.2 + x / 5 * 0.5 WHEN x < 8 THEN 0.7 + (x - 5) / 3 * 0.3 ELSE 1.0 END, 6) AS opacity FROM (SELECT *, l_discount * 100 - 1 AS x FROM lineitem)")
+def opacity_stops(spark, d):
+    x = F.col("l_discount") * F.lit(100.0) - F.lit(1.0)
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(S.between_stops(x, [(0, 0.2), (5, 0.7), (8, 1.0)]), 6).alias("opacity"))
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_tax = 0 THEN -9999.0 ELSE l_tax END AS tax FROM lineitem")
+def zero_as_missing(spark, d):
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", S.missing_if_zero(F.col("l_tax"), -9999.0).alias("tax"))
+
+
+@query("""SELECT o_orderkey FROM (SELECT *, year(o_orderdate) + 22 AS y, strftime(o_orderdate, '%m-%d') AS md FROM orders)
+WHERE CASE WHEN y <= 2018 THEN md >= '05-15' AND md < '11-15' ELSE md >= '06-15' AND md < '10-15' END""")
+def summer_images(spark, d):
+    later = F.add_months(F.to_date("o_orderdate"), 22 * 12)
+    return table(spark, d, "orders").where(pixels.in_summer(later)).select("o_orderkey")
+
+
+@query("SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
+def head_report(spark, d):
+    return analysis.head(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), F.asc("o_orderkey")], 20).select("o_orderkey", *r6("o_totalprice"))
+
+
 # ---------------------------------------------------------------- keys, labels, documents
 
 
@@ -404,10 +463,18 @@ def filename_season(spark, d):
     return table(spark, d, "pages").select("page_id", S.season_from_path(path).alias("season"))
 
 
-@query("SELECT event_id, (nullif(props, '')->>'k')::INTEGER AS k, (props->>'k')::INTEGER > 50 AS big FROM events")
+@query("SELECT event_type AS folder, event_id::VARCHAR AS file, j.key AS orch_id, j.value::VARCHAR AS value FROM events, json_each(props) j")
 def json_parse(spark, d):
-    k = S.typed(F.get_json_object("props", "$.k"), "int")
-    return table(spark, d, "events").select("event_id", k.alias("k"), (k > 50).alias("big"))
+    files = table(spark, d, "events").select(F.col("event_type").alias("folder"), F.col("event_id").cast("string").alias("file"), F.col("props").cast("binary").alias("content"))
+    return merging.entries(files)
+
+
+@query("""WITH c AS (SELECT c_custkey, CASE c_nationkey % 5 WHEN 0 THEN ' True' WHEN 1 THEN 'false' WHEN 2 THEN ' ' WHEN 3 THEN round(c_acctbal, 0)::BIGINT || '.0' ELSE 'x' END AS cell FROM customer)
+SELECT c_custkey, CASE WHEN trim(cell) <> '' THEN lower(trim(cell)) = 'true' END AS b, try_cast(nullif(trim(cell), '') AS DOUBLE)::INTEGER AS i, try_cast(nullif(trim(cell), '') AS DOUBLE) AS f FROM c""")
+def typed_cells(spark, d):
+    k = F.col("c_nationkey") % 5
+    cell = F.when(k == 0, " True").when(k == 1, "false").when(k == 2, " ").when(k == 3, F.concat(F.round("c_acctbal", 0).cast("long").cast("string"), F.lit(".0"))).otherwise("x")
+    return table(spark, d, "customer").select("c_custkey", S.typed(cell, "bool").alias("b"), S.typed(cell, "int").alias("i"), S.typed(cell, "double").alias("f"))
 
 
 @query("SELECT source, lang, doc_id, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY lang, doc_id % 50 ORDER BY source DESC, doc_id DESC) AS r FROM documents) WHERE r = 1")
@@ -417,13 +484,13 @@ def upsert_merge(spark, d):
 
 
 def _files(spark, d) -> DataFrame:
-    return table(spark, d, "documents").select(F.col("source").alias("folder"), F.col("doc_id").cast("string").alias("file"), F.col("text").cast("binary").alias("content"), "doc_id")
+    return table(spark, d, "documents").select(F.col("source").alias("folder"), F.col("doc_id").cast("string").alias("file"), F.md5("text").alias("hash"), F.col("text").cast("binary").alias("content"), "lang")
 
 
-@query("SELECT source AS folder, doc_id::VARCHAR AS file, md5(text) AS hash FROM documents WHERE doc_id % 3 <> 0")
+@query("SELECT source AS folder, doc_id::VARCHAR AS file, md5(text) AS hash FROM documents WHERE lang IS DISTINCT FROM 'en'")
 def incremental_anti_join(spark, d):
     files = _files(spark, d)
-    state = merging.next_state(spark.createDataFrame([], "folder string, file string, hash string"), files.where("doc_id % 3 = 0"))
+    state = merging.next_state(spark.createDataFrame([], "folder string, file string, hash string"), files.where("lang = 'en'"))
     return merging.changed_files(files, state).select("folder", "file", "hash")
 
 
@@ -452,39 +519,111 @@ def year_sequence(spark, d):
     return readers.years(spark, 1993, 2003).join(counts, "year", "left").fillna(0, ["n"])
 
 
-# ---------------------------------------------------------------- without SQL: order of keys, fits
+@query("""WITH e AS (SELECT o_orderstatus AS folder, year(o_orderdate) || '.json' AS file, o_custkey::VARCHAR AS orch_id, max(o_orderkey)::VARCHAR AS value FROM orders GROUP BY ALL)
+SELECT folder, file, orch_id, value FROM e WHERE folder <> 'F' QUALIFY row_number() OVER (PARTITION BY file, orch_id ORDER BY folder DESC) = 1""")
+def merged_documents(spark, d):
+    rows = _order_entries(spark, d)
+    changed = rows.where("folder <> 'F'")
+    # what the last run knew of the changed folders' files goes, and F's files are theirs no more
+    old = changed.withColumn("value", F.lit("old"))
+    return merging.merge_onto(old, changed, ["file", "orch_id"]).select("folder", "file", "orch_id", "value")
 
 
-@query()
+def _order_entries(spark, d) -> DataFrame:
+    o = table(spark, d, "orders")
+    return o.groupBy(F.col("o_orderstatus").alias("folder"), F.concat(F.year("o_orderdate").cast("string"), F.lit(".json")).alias("file"), F.col("o_custkey").cast("string").alias("orch_id")).agg(F.max("o_orderkey").cast("string").alias("value"))
+
+
+@query("""WITH e AS (SELECT o_orderstatus AS folder, year(o_orderdate) || '.json' AS file, o_custkey::VARCHAR AS orch_id, max(o_orderkey)::VARCHAR AS value FROM orders GROUP BY ALL),
+per AS (SELECT file, count(*) AS n, round_even(sum(length(orch_id) + length(value) + 4) / 1024.0::DOUBLE, 1) AS kb FROM e GROUP BY 1)
+SELECT round_even(sum(kb), 1) AS total_size_kb, max(n) AS most_orchards, string_agg(file[1:4], ',' ORDER BY file) AS years, (SELECT string_agg(DISTINCT folder, ',' ORDER BY folder) FROM e) AS folders, (SELECT count(*) FROM (SELECT DISTINCT folder, file FROM e)) AS n_files FROM per""")
+def merge_totals(spark, d):
+    rows = checkpointed(_order_entries(spark, d))
+    out = merging.run_report(rows, rows)
+    return out.select("total_size_kb", "most_orchards", F.array_join(F.col("years").cast("array<string>"), ",").alias("years"), F.array_join("folders", ",").alias("folders"), "n_files")
+
+
+_J = lambda name, value: f"'\"{name}\":' || coalesce({value}, 'null')"
+_ENTRY = " || ',' || ".join([_J("cluster_role_mapped", "'\"' || CASE WHEN cluster_role = 'Cover Crops' THEN 'Cover' ELSE 'Bare' END || '\"'"), _J("uncertain", "(best_soft_norm <= 0.15)::VARCHAR"), _J("flipped_this_season", "coalesce(time_since_last_flip = 0, false)::VARCHAR"), _J("streak_len_current", "streak_len_current::VARCHAR"), _J("npts_total", "n_periods_used::VARCHAR"), _J("stratum", "'\"' || stratum || '\"'")])
+
+
+@query(sql(f"SELECT season_sort, orch_id, '\"' || orch_id || '\":{{' || {_ENTRY} || '}}' AS entry FROM seq", "seq"))
 def keyed_json_doc(spark, d):
-    return writers.keyed_document(serving.attributes(P.wide(spark, d)), "orch_id", "season_sort")
+    """One entry a row: the document of a season is its entries between braces."""
+    rows = serving.attributes(P.wide(spark, d)).drop("best_soft_norm", "time_since_last_flip", "env_z_season")
+    return writers.keyed_entries(rows, "orch_id", ["season_sort"])
+
+
+# ---------------------------------------------------------------- fits: SQL goes on from given centres to the same fixed point
+
+
+def _lloyd_sql(columns: list[str], starts: list[list[float]], source: str, upto: str, out: str, rounds: int = 40) -> str:
+    """Rounds of k-means from given centres, over the steps of the panel."""
+    centres = "c0 AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, {', '.join(f'{x}::DOUBLE' for x in c)})" for i, c in enumerate(starts)) + f") v(k, {', '.join(f'm{i}' for i in range(len(columns)))}))"
+    square = " + ".join(f"({c} - m{i}) ^ 2" for i, c in enumerate(columns))
+    steps = [f"c{r} AS MATERIALIZED (SELECT k, {', '.join(f'avg({c}) AS m{i}' for i, c in enumerate(columns))} FROM (SELECT {', '.join(f'any_value({c}) AS {c}' for c in columns)}, arg_min(k, {square}) AS k FROM pts, c{r - 1} GROUP BY id) GROUP BY k)" for r in range(1, rounds + 1)]
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    body = f"pts AS MATERIALIZED (SELECT row_number() OVER () AS id, {', '.join(columns)} FROM {source} WHERE {whole}), {centres}, " + ", ".join(steps)
+    return sql(out.format(last=f"c{rounds}"), upto).replace("\n" + out.format(last=f"c{rounds}"), ", " + body + "\n" + out.format(last=f"c{rounds}"))
+
+
+@query(_lloyd_sql(["f_1", "f_2"], P.CENTERS, "asg", "asg", "SELECT CASE WHEN k = arg_max_k THEN 'Likely Cover Cropping' ELSE 'Likely Not Cover Cropping' END AS label, round(m0, 4) + 0.0 AS f_1, round(m1, 4) + 0.0 AS f_2 FROM {last}, (SELECT arg_max(k, m0 + 0.8 * m1) AS arg_max_k FROM {last})"))
+def kmeans_fit(spark, d):
+    model = clusters.kmeans(P.assigned(spark, d).select("f_1", "f_2"), ["f_1", "f_2"], 2)
+    labels = clusters.label_map(model.centers)
+    return spark.createDataFrame([(labels[i], *c) for i, c in enumerate(model.centers)], "label string, f_1 double, f_2 double").select("label", *[(F.round(c, 4) + F.lit(0.0)).alias(c) for c in ("f_1", "f_2")])
+
+
+@query(_lloyd_sql(["CMI_z"], [[c] for c in P.AGE_CENTERS], "age", "age", "SELECT CASE WHEN m0 = (SELECT min(m0) FROM {last}) THEN 'Young' ELSE 'Old' END AS cmi_label, round(m0, 4) + 0.0 AS center FROM {last}"))
+def age_fit(spark, d):
+    model = clusters.kmeans(P.ages(spark, d).select("CMI_z"), ["CMI_z"], 2)
+    names = clusters.age_labels([c[0] for c in model.centers])
+    return spark.createDataFrame([(names[i], c[0]) for i, c in enumerate(model.centers)], "cmi_label string, center double").select("cmi_label", (F.round("center", 4) + F.lit(0.0)).alias("center"))
+
+
+@query(sql("""SELECT cmi_label, round(avg(CASE WHEN b IS NULL THEN NULL WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM (SELECT x.orch_id, x.season_sort, x.cmi_label,
+  avg(abs(x.CMI_z - y.CMI_z)) FILTER (x.cmi_label = y.cmi_label) AS a, avg(abs(x.CMI_z - y.CMI_z)) FILTER (x.cmi_label <> y.cmi_label) AS b
+  FROM age x JOIN age y ON x.orch_id <> y.orch_id OR x.season_sort <> y.season_sort GROUP BY ALL) GROUP BY 1""", "age"))
+def age_silhouette(spark, d):
+    rows = P.ages(spark, d).select(F.concat_ws("/", "season", "orch_id").alias("k"), "CMI_z", "cmi_cluster", "cmi_label")
+    each = clusters.silhouette(rows, "k", ["CMI_z"], "cmi_cluster").select("k", "silhouette")
+    return rows.join(each, "k").groupBy("cmi_label").agg(F.round(F.avg("silhouette"), 6).alias("silhouette"))
+
+
+# ---------------------------------------------------------------- without SQL: choices and fits
 
 
 @query()
 def kmeans_choice(spark, d):
-    rows = P.assigned(spark, d).select("f_1", "f_2")
-    model, scores = clusters.choose_k(rows, ["f_1", "f_2"], (2, 3))
-    labels = clusters.label_map(model.centers)
-    return spark.createDataFrame([(labels[i], *c, float(scores[model.k])) for i, c in enumerate(model.centers)], "label string, f_1 double, f_2 double, silhouette double")
+    choice = clusters.choose_k(P.assigned(spark, d).select("f_1", "f_2"), ["f_1", "f_2"], (2, 3))
+    labels = clusters.label_map(choice.model.centers)
+    return spark.createDataFrame([(labels[i], *c, choice.score(choice.model.k)) for i, c in enumerate(choice.model.centers)], "label string, f_1 double, f_2 double, silhouette double")
 
 
 @query()
 def mixture_choice(spark, d):
-    rows = P.assigned(spark, d).select("f_1", "f_2")
-    model, scores = clusters.choose_k(rows, ["f_1", "f_2"], (2, 3), "bic")
-    return spark.createDataFrame([(i, *c, float(scores[model.k])) for i, c in enumerate(model.centers)], "cluster int, f_1 double, f_2 double, bic double")
+    choice = clusters.choose_k(P.assigned(spark, d).select("f_1", "f_2"), ["f_1", "f_2"], (2, 3), "bic")
+    return spark.createDataFrame([(i, *c, choice.score(choice.model.k)) for i, c in enumerate(choice.model.centers)], "cluster int, f_1 double, f_2 double, bic double")
 
 
 @query()
 def age_cluster_choice(spark, d):
-    rows = P.ages(spark, d).select("CMI_z")
-    model, scores = clusters.choose_k(rows, ["CMI_z"], (2, 3))
-    centers = [c[0] for c in model.centers]
-    return spark.createDataFrame([(name, centers[i], float(scores[model.k])) for i, name in clusters.age_labels(centers).items()], "cmi_label string, center double, silhouette double")
+    choice = clusters.choose_k(P.ages(spark, d).select("CMI_z"), ["CMI_z"], (2, 3))
+    centers = [c[0] for c in choice.model.centers]
+    return spark.createDataFrame([(name, centers[i], choice.score(choice.model.k)) for i, name in clusters.age_labels(centers).items()], "cmi_label string, center double, silhouette double")
 
 
 @query()
 def cross_validated_auc(spark, d):
     joined = P.assigned(spark, d).join(P.ages(spark, d).select("season", "orch_id", "CMI_z"), ["season", "orch_id"])
-    rows = joined.select(F.concat_ws("/", "season", "orch_id").alias("k"), "CMI_z", (F.col("label") == "Likely Cover Cropping").alias("cover"))
+    rows = checkpointed(joined.select(F.concat_ws("/", "season", "orch_id").alias("k"), "CMI_z", (F.col("label") == "Likely Cover Cropping").alias("cover")))
     return analysis.auc(analysis.cross_validated_scores(rows, "k", "CMI_z", "cover"), "score", "cover")
+
+
+@query()
+def whole_run(spark, d):
+    """The run's attributes, with everything fitted on the panel itself."""
+    winter = P.panel(spark, d).withColumns({"season": P.season(F.col("season_sort")), **{old: F.col(new) for old, new in R.MEASURES.items()}})
+    summer = table(spark, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("orch_id"), P.season(F.year("l_shipdate")).alias("season"), F.year("l_shipdate").alias("season_sort"), F.col("l_quantity").alias("EVI2_p90_summer_mean"))
+    tables, _ = R.analyse(checkpointed(winter), summer)
+    return tables["attrs"]

@@ -20,16 +20,33 @@ STREAKS = "orch_id string, mask int, longest int, years_active int, ever_cover b
 SENTINEL = -9999.0
 
 
+def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of paths by their header lines, told by one job over all of them."""
+    files = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"), "value")
+    first = files.where("start = 0").groupBy("path").agg(F.min_by("value", "n").alias("line"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for r in first.orderBy("path").collect():
+        found.setdefault(tuple(c.strip().strip('"').lstrip("\ufeff") for c in (r.line or "").split(",")), []).append(r.path)
+    return found
+
+
 def _csv(spark: SparkSession, paths: Sequence[str], schema: str) -> DataFrame:
-    """CSV files by the names in their headers; columns a file lacks are null, and a missing season comes from startyear or the path."""
+    """CSV files by the names in their headers; columns a file lacks are null, and a missing season comes from startyear or the path.
+
+    Files with one header are one scan. Headers are short lists of names without commas inside.
+    """
+    if not paths:
+        raise ValueError("no input files")
     df = None
-    for path in paths:
-        part = spark.read.csv(path, header=True).withColumn("source_csv", F.col("_metadata.file_path"))
+    for names, files in headers(spark, paths).items():
+        part = spark.read.schema(", ".join(f"`{n}` string" for n in names)).csv(files, header=True, enforceSchema=True).withColumn("source_csv", F.col("_metadata.file_path"))
         df = part if df is None else df.unionByName(part, allowMissingColumns=True)
     if df is None:
         raise ValueError("no input files")
     if "valid_fraction" in df.columns and "valid_pixel_fraction" not in df.columns:
-        df = df.withColumn("valid_pixel_fraction", F.col("valid_fraction").try_cast("double"))
+        df = df.withColumn("valid_pixel_fraction", F.col("valid_fraction"))
+    if "valid_pixel_fraction" in df.columns:
+        df = df.withColumn("valid_pixel_fraction", null_if_nan(F.col("valid_pixel_fraction").try_cast("double")))
     for field in schema.split(", "):
         name, kind = field.split(" ")
         value = F.col(name).try_cast(kind) if name in df.columns else F.lit(None).cast(kind)
@@ -62,16 +79,38 @@ def read_attributes(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(ATTRIBUTES).csv(f"{folder}/*.csv", header=True).withColumn("season_sort", stem.try_cast("int"))
 
 
+def read_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Shards as writers.write_shards leaves them, one folder a season."""
+    return spark.read.schema(f"{ATTRIBUTES}, season_sort int").csv(folder, header=True)
+
+
 def read_streaks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STREAKS).csv(path, header=True)
 
 
-def discover(spark: SparkSession, root: str, skip: Sequence[str] = ("webapp", "output", "temp")) -> DataFrame:
-    """(folder, file, content) of the JSON files in root's folders and their attrs folders; hidden and skipped folders are left out, and an attrs file goes before one of its name beside it."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(root)
-    found = files.select(F.regexp_extract("path", r"([^/]+)/(?:attrs/)?([^/]+\.json)$", 1).alias("folder"), F.regexp_extract("path", r"([^/]+\.json)$", 1).alias("file"), F.col("path").rlike(r"/attrs/[^/]+$").alias("deep"), "content")
+#: Folders of output and scratch, which are no input; fixed values.
+SKIPPED = ("webapp", "output", "temp")
+
+
+def discover(spark: SparkSession, root: str, skip: Sequence[str] = SKIPPED) -> DataFrame:
+    """(folder, file, hash, content) of the JSON files in root's folders and their attrs folders, as single files or as folders of parts.
+
+    Hidden and skipped folders are left out, and an attrs file goes before one of its name beside it. hash is the md5 of a file's content, of a file in parts
+    that of the parts' hashes in order; every part is a row.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).where(F.col("path").rlike(_DOCUMENT) & (F.col("length") > 0))
+    part = lambda k: F.regexp_extract("path", _DOCUMENT, k)
+    found = files.select(part(1).alias("folder"), part(3).alias("file"), (part(2) != "").alias("deep"), "path", "content", F.md5("content").alias("md5"))
     kept = found.where(~F.col("folder").startswith(".") & ~F.lower("folder").isin(*skip))
-    return kept.groupBy("folder", "file").agg(F.max_by("content", "deep").alias("content"))
+    hashes = F.transform(F.array_sort(F.collect_list(F.struct("path", "md5"))), lambda p: p["md5"])
+    whole = kept.groupBy("folder", "file", "deep").agg(hashes.alias("parts"))
+    named = whole.select("folder", "file", "deep", F.when(F.size("parts") == 1, F.col("parts")[0]).otherwise(F.md5(F.array_join("parts", "").cast("binary"))).alias("hash"))
+    first = named.groupBy("folder", "file").agg(F.max("deep").alias("deep"), F.max_by("hash", "deep").alias("hash"))
+    return kept.join(first, ["folder", "file", "deep"]).select("folder", "file", "hash", "content")
+
+
+#: .../folder/[attrs/][file=]name.json, as a file or with the parts of one below it.
+_DOCUMENT = r"([^/]+)/(attrs/)?(?:file=)?([^/]+\.json)(?:/part-[^/]*)?$"
 
 
 def read_features(spark: SparkSession, path: str, properties: str) -> DataFrame:
@@ -87,16 +126,29 @@ def county_of_file(name: Column) -> Column:
     return F.when(stem == "FresnoAlmondOrchards", "fresno").otherwise(F.lower(F.regexp_replace(stem, "_almonds_stable_orchards$", "")))
 
 
-def read_state(spark: SparkSession, path: str) -> DataFrame:
-    """The hashes of the last run, or none."""
+def _parquet_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     from pyspark.errors import AnalysisException
 
     try:
-        return spark.read.parquet(path).select("folder", "file", "hash")
+        return spark.read.parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return spark.createDataFrame([], "folder string, file string, hash string")
+        return None
+
+
+def last_run(spark: SparkSession, path: str) -> int:
+    """The number of the last run=k below path; 0 if there is none."""
+    df = _parquet_or_none(spark, path)
+    return 0 if df is None else df.agg(F.max("run")).first()[0] or 0
+
+
+def read_runs(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table of the last run=k below path, or an empty one of this schema."""
+    df = _parquet_or_none(spark, path)
+    if df is None:
+        return spark.createDataFrame([], schema)
+    return df.where(F.col("run") == last_run(spark, path)).drop("run")
 
 
 def years(spark: SparkSession, first: int, last: int) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,12 +21,12 @@ def write_shards(attributes: DataFrame, path: str) -> None:
     attributes.write.mode("overwrite").partitionBy("season_sort").csv(path, header=True)
 
 
-def keyed_entries(df: DataFrame, key: str) -> DataFrame:
-    """(key, entry): one ``"key":{...}`` text a row, nulls included; commas and braces make them one document."""
-    others = [c for c in df.columns if c != key]
+def keyed_entries(df: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by, key, entry): one ``"key":{...}`` text a row, nulls included; commas and braces make those of one ``by`` one document."""
+    others = [c for c in df.columns if c != key and c not in by]
     quoted = F.to_json(F.array(F.col(key).cast("string")))
-    name = F.substring(quoted, 2, F.length(quoted) - 2)
-    return df.select(key, F.concat(name, F.lit(":"), F.to_json(F.struct(*others), {"ignoreNullFields": "false"})).alias("entry"))
+    name = F.substring(quoted, F.lit(2), F.length(quoted) - F.lit(2))
+    return df.select(*by, key, F.concat(name, F.lit(":"), F.to_json(F.struct(*others), {"ignoreNullFields": "false"})).alias("entry"))
 
 
 def write_keyed_lines(df: DataFrame, key: str, path: str) -> None:
@@ -32,14 +34,28 @@ def write_keyed_lines(df: DataFrame, key: str, path: str) -> None:
     keyed_entries(df, key).select(F.concat(F.lit("{"), F.col("entry"), F.lit("}")).alias("value")).write.mode("overwrite").text(path)
 
 
-def keyed_document(df: DataFrame, key: str, by: str) -> DataFrame:
-    """(by, document): one compact JSON object a shard, keys in order. A shard, such as a season of a county, has to fit in one task; else write lines."""
-    others = [c for c in df.columns if c not in (key, by)]
+def write_raw_keyed_files(df: DataFrame, key: str, value: str, file: str, path: str) -> None:
+    """For each ``file`` a folder of JSON lines of one-key objects, in one pass; value is JSON text already. A large file's rows are dealt by key."""
     quoted = F.to_json(F.array(F.col(key).cast("string")))
-    entry = F.concat(F.substring(quoted, 2, F.length(quoted) - 2), F.lit(":"), F.to_json(F.struct(*others), {"ignoreNullFields": "false"}))
-    entries = df.select(by, key, entry.alias("entry"))
-    listed = F.transform(F.array_sort(F.collect_list(F.struct(key, "entry"))), lambda e: e["entry"])
-    return entries.groupBy(by).agg(F.concat(F.lit("{"), F.array_join(listed, ","), F.lit("}")).alias("document"))
+    name = F.substring(quoted, F.lit(2), F.length(quoted) - F.lit(2))
+    lines = df.select(F.concat(F.lit("{"), name, F.lit(":"), F.coalesce(F.col(value), F.lit("null")), F.lit("}")).alias("value"), F.col(file).alias("file"))
+    lines.write.mode("overwrite").partitionBy("file").text(path)
+
+
+def keyed_values(df: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
+    """(by, key, value): the other columns as JSON text, nulls included."""
+    others = [c for c in df.columns if c != key and c not in by]
+    return df.select(*by, key, F.to_json(F.struct(*others), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def write_text_row(spark: SparkSession, text: str, path: str) -> None:
+    """One line of text, such as a model as JSON."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def copy_text(spark: SparkSession, source: str, path: str) -> None:
+    """A small text file or folder of one, as it is."""
+    spark.read.text(source).coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_json_row(df: DataFrame, path: str) -> None:
