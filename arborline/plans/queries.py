@@ -244,7 +244,7 @@ def rank_auc_global(spark, d):
 
 
 @query(sql("""SELECT orch_id, season_sort, round(coalesce(least(1.0, greatest(0.0, z_slope_Fill)), (SELECT median(least(1.0, greatest(0.0, z_slope_Fill))) FROM asg)), 6) + 0.0 AS filled, round((best_soft + 1) / 2, 6) AS by_silhouette,
-  round(least(1.0, greatest(0.0, (s - q[1]) / (q[2] - q[1]))), 6) + 0.0 AS by_score FROM (SELECT *, z_slope_Intensity + 0.8 * z_level_Intensity_t5 AS s FROM asg), (SELECT quantile_cont(z_slope_Intensity + 0.8 * z_level_Intensity_t5, [.05, .95]) AS q FROM asg)""", "asg"))
+  round(least(1.0, greatest(0.0, (s - ends[1]) / (ends[2] - ends[1]))), 6) + 0.0 AS by_score FROM (SELECT *, z_slope_Intensity + 0.8 * z_level_Intensity_t5 AS s FROM asg), (SELECT quantile_cont(z_slope_Intensity + 0.8 * z_level_Intensity_t5, [.05, .95]) AS ends FROM asg)""", "asg"))
 def softness_branches(spark, d):
     rows = P.assigned(spark, d).select(*KEYS, "z_slope_Intensity", "z_slope_Fill", "z_level_Intensity_t5", F.col("best_soft").alias("soft"))
     filled = clusters.softness(rows.withColumn("best_soft", F.col("z_slope_Fill")))
@@ -561,9 +561,9 @@ def _lloyd_sql(columns: list[str], starts: list[list[float]], source: str, upto:
     """Rounds of k-means from given centres, over the steps of the panel."""
     centres = "c0 AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, {', '.join(f'{x}::DOUBLE' for x in c)})" for i, c in enumerate(starts)) + f") v(k, {', '.join(f'm{i}' for i in range(len(columns)))}))"
     square = " + ".join(f"({c} - m{i}) ^ 2" for i, c in enumerate(columns))
-    steps = [f"c{r} AS MATERIALIZED (SELECT k, {', '.join(f'avg({c}) AS m{i}' for i, c in enumerate(columns))} FROM (SELECT {', '.join(f'any_value({c}) AS {c}' for c in columns)}, arg_min(k, {square}) AS k FROM pts, c{r - 1} GROUP BY id) GROUP BY k)" for r in range(1, rounds + 1)]
+    steps = [f"c{r} AS MATERIALIZED (SELECT k, {', '.join(f'avg({c}) AS m{i}' for i, c in enumerate(columns))} FROM (SELECT {', '.join(f'any_value({c}) AS {c}' for c in columns)}, arg_min(k, {square}) AS k FROM kpts, c{r - 1} GROUP BY id) GROUP BY k)" for r in range(1, rounds + 1)]
     whole = " AND ".join(f"{c} IS NOT NULL" for c in columns)
-    body = f"pts AS MATERIALIZED (SELECT row_number() OVER () AS id, {', '.join(columns)} FROM {source} WHERE {whole}), {centres}, " + ", ".join(steps)
+    body = f"kpts AS MATERIALIZED (SELECT row_number() OVER () AS id, {', '.join(columns)} FROM {source} WHERE {whole}), {centres}, " + ", ".join(steps)
     return sql(out.format(last=f"c{rounds}"), upto).replace("\n" + out.format(last=f"c{rounds}"), ", " + body + "\n" + out.format(last=f"c{rounds}"))
 
 
@@ -574,7 +574,9 @@ def kmeans_fit(spark, d):
     return spark.createDataFrame([(labels[i], *c) for i, c in enumerate(model.centers)], "label string, f_1 double, f_2 double").select("label", *[(F.round(c, 4) + F.lit(0.0)).alias(c) for c in ("f_1", "f_2")])
 
 
-@query(_lloyd_sql(["CMI_z"], [[c] for c in P.AGE_CENTERS], "age", "age", "SELECT CASE WHEN m0 = (SELECT min(m0) FROM {last}) THEN 'Young' ELSE 'Old' END AS cmi_label, round(m0, 4) + 0.0 AS center FROM {last}"))
+@query(sql("""SELECT unnest(['Young', 'Old']) AS cmi_label, unnest([round(s / i, 4) + 0.0, round((t - s) / (n - i), 4) + 0.0]) AS center FROM (
+  SELECT *, s * s / i + (t - s) * (t - s) / (n - i) AS kept FROM (SELECT row_number() OVER w AS i, sum(CMI_z) OVER w AS s, sum(CMI_z) OVER () AS t, count(*) OVER () AS n FROM age WINDOW w AS (ORDER BY CMI_z ROWS UNBOUNDED PRECEDING)) WHERE i < n)
+QUALIFY row_number() OVER (ORDER BY kept DESC, i) <= 1""", "age"))
 def age_fit(spark, d):
     model = clusters.kmeans(P.ages(spark, d).select("CMI_z"), ["CMI_z"], 2)
     names = clusters.age_labels([c[0] for c in model.centers])

@@ -9,7 +9,7 @@ import pytest
 
 from arborline.plans.queries import QUERIES, SQL
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = os.environ.get("ARBORLINE_TEST_TABLES", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="module")
