@@ -18,11 +18,11 @@ def _group_starts(batch: pa.Table, keys: int) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def map_groups(df: DataFrame, keys: list[str], work: Callable[[pa.Table, np.ndarray], pa.Table], schema: str, columns: list[str]) -> DataFrame:
+def map_groups(df: DataFrame, keys: list[str], work: Callable[[pa.Table, np.ndarray], pa.Table], schema: str, columns: list[str], parts: int | None = None) -> DataFrame:
     """Call work(rows, starts) on runs of whole groups of ``keys`` (non-null numbers); starts has an end mark.
 
     Every group must be small enough for one task's memory: callers bound its size. Rows come hashed by the keys and
-    sorted; a run is what one Arrow batch completes.
+    sorted; a run is what one Arrow batch completes. parts: into how many partitions, however small, for groups that are dear to work on.
     """
     names = [*keys, *columns]
     width = len(keys)
@@ -42,4 +42,5 @@ def map_groups(df: DataFrame, keys: list[str], work: Callable[[pa.Table, np.ndar
         if kept is not None and kept.num_rows:
             yield from work(kept.combine_chunks(), np.array([0, kept.num_rows])).to_batches()
 
-    return df.select(*names).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    by = keys if parts is None else [parts, *keys]
+    return df.select(*names).repartition(*by).sortWithinPartitions(*keys).mapInArrow(run, schema)

@@ -298,7 +298,7 @@ def verified(blocks: DataFrame, threshold: float) -> DataFrame:
             nodes.append(node[at]), links.append(similar @ copies[at]), parents.append(node[at][_forest(similar)])
         return pa.table({"node": np.concatenate(nodes), "parent": np.concatenate(parents), "links": np.concatenate(links).astype(np.int64)})
 
-    return map_groups(blocks, ["cluster", "i", "j"], work, "node long, parent long, links long", ["block", "node", "copies", "n", "shingles"])
+    return map_groups(blocks, ["cluster", "i", "j"], work, "node long, parent long, links long", ["block", "node", "copies", "n", "shingles"], int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _sets(rows: DataFrame, width: int) -> DataFrame:

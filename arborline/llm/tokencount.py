@@ -113,7 +113,7 @@ class _Memo(dict):
 def count_tokens(df: DataFrame, text: str, vocabulary_file: str, pattern: str = WORD_PATTERN) -> DataFrame:
     """Add n_words (pieces of the pattern) and n_tokens (greedy longest-match tokens of their bytes) to df.
 
-    Cases: a null text has null counts, an empty one none; a word with a byte outside the vocabulary is one token; an empty table
+    Cases: a null text has null counts, an empty one none; repeated rows get equal counts, texts of any length are read whole; a word with a byte outside the vocabulary is one token; an empty table
     stays empty; other columns are carried, those with the outputs' names replaced. The vocabulary is read on the
     driver and its automaton broadcast: its size doesn't follow the data.
     """

@@ -139,6 +139,18 @@ def test_texts_under_one_key_have_links_of_their_own(spark):
     assert all(number[i] == min(number[j] for j in range(len(rows)) if root[j] == root[i]) for i in at) and kept.count((None, None)) == 2
 
 
+def test_recall_against_all_pairs_with_small_buckets(spark):
+    """All documents of sf0.01, every bucket of more than 8 classes split to the last depth."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    root, links = brute_classes(texts)
+    got = {x.doc_id: (x.class_id, x.n_links) for x in jaccard.jaccard_join(docs, "doc_id", "text", bucket_limit=8).collect()}
+    found, whole = sum(n for _, n in got.values()), sum(links)
+    print(f"{found} of {whole} links, {sum(got[i][0] == root[i] for i in range(len(texts)))} of {len(texts)} classes")
+    assert found >= 0.998 * whole and all(got[i][1] <= links[i] for i in range(len(texts)))
+    assert sum(got[i][0] == root[i] for i in range(len(texts))) >= 0.998 * len(texts)
+
+
 def test_recall_holds_at_the_deepest_paths(spark):
     r, n = np.random.default_rng(6), 3000
     one = r.integers(0, 1 << 32, (n, jaccard.COORDINATES), dtype=np.uint32)
@@ -201,6 +213,53 @@ def test_slots_of_a_hot_key_are_ranked_in_parts(spark):
         assert mine == list(range(len(mine)))
 
 
+def fewest(items, capacity):
+    """The fewest sequences for a few pieces, by trying every place of each."""
+    best = len(items)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(items):
+            best = len(rooms)
+            return
+        for r in sorted({r for r in rooms if r >= items[i]}):
+            left = list(rooms)
+            left.remove(r)
+            place(i + 1, [*left, r - items[i]])
+        place(i + 1, [*rooms, capacity - items[i]])
+
+    place(0, [])
+    return best
+
+
+@pytest.mark.parametrize("seed", range(150))
+def test_reduction_keeps_the_optimum(seed):
+    r = random.Random(seed)
+    items = sorted((r.randint(1, 20) for _ in range(r.randint(1, 9))), reverse=True)
+    fixed, left = packing.reduce_dominated({x: items.count(x) for x in items}, 20)
+    rest = sorted((x for x, n in left.items() for _ in range(n)), reverse=True)
+    assert sum(n for n, _ in fixed) + fewest(rest, 20) == fewest(items, 20)
+
+
+def test_ids_of_long_and_unbroken_texts():
+    from tokenizers import Tokenizer
+
+    spec = open(queries.tokenizer_file("byte_bpe_50k.json"), encoding="utf-8").read()
+    whole, encode = Tokenizer.from_str(spec), packing.load_encoder(spec)
+    r = random.Random(3)
+    for text in ("a" * 20_000, "ab" * 9_000, "é" * 6_000, "😀" * 3_000, "1" * 20_000, " " * 20_000, "\n" * 9_000, "!?" * 9_000, "x" + " " * 999 + "y", "<|endoftext|>" * 3, "\u2028\u00a0\t a\r\n  b", "".join(chr(r.choice([r.randint(1, 127), r.randint(128, 0xD7FF), r.randint(0xE000, 0x1FFFF)])) for _ in range(20_000))):
+        assert encode(text).tolist() == whole.encode(text, add_special_tokens=False).ids, text[:20]
+
+
+def test_sequences_are_shuffled(spark):
+    pieces = spark.range(4000).select(F.col("id"), (F.pmod(F.xxhash64("id"), F.lit(900)) + 50).alias("length"))
+    rows = packing.pack(pieces.withColumn("ids_crc32", F.col("id")), 1024, ["id"]).groupBy("sequence_id").agg(F.max("length").alias("longest")).collect()
+    ids, longest = np.array([x.sequence_id for x in rows], float), np.array([x.longest for x in rows], float)
+    assert len(set(ids)) == len(rows) and abs(np.corrcoef(ids, longest)[0, 1]) < 0.1
+
+
 def test_mix_meets_weights(spark):
     df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "big").otherwise(F.concat(F.lit("s"), (F.col("id") % 5).cast("string"))).alias("source"))
     rows = mixing.mix(df, "doc_id", "source", F.lit(1), weights={"big": 1.0, "s1": 1.0}).groupBy("source").count().collect()
@@ -291,6 +350,24 @@ def test_languages_held_out(spark):
     assert langid.identify(docs.withColumn("lang", F.lit(None).cast("string")), "doc_id", "text", "lang").where("lang_pred <> 'und'").count() == 0
 
 
+def test_regression_with_all_landmarks_is_kernel_ridge():
+    r = random.Random(2)
+    letters = {"de": "aeiouäöünrstch", "en": "aeiouthsrndlw", "fr": "aeiouéèçlrstq"}
+    made = [(lang, " ".join("".join(r.choice(letters[lang]) for _ in range(r.randint(2, 8))) for _ in range(r.randint(2, 12)))) for lang in letters for _ in range(20 + 10 * (lang == "en"))]
+    labels, texts = [m[0] for m in made], [m[1] for m in made]
+    model = langid.fit([np.packbits(row).tobytes() for row in langid.presence(texts)], labels, landmarks=len(texts), ridge=1e-2)
+    x = langid.presence(texts).astype(float)
+    x /= np.sqrt(x.sum(axis=1))[:, None]
+    kernel = x @ x.T
+    y = np.where(np.array(labels)[:, None] == np.array(sorted(letters))[None, :], 1.0, -1.0)
+    w = np.array([1 / labels.count(k) for k in labels])
+    w /= w.sum()
+    centre = np.eye(len(w)) - np.outer(np.ones(len(w)), w)
+    centred, half = centre @ kernel @ centre.T, np.sqrt(w)
+    alpha = half[:, None] * np.linalg.solve(half[:, None] * centred * half[None, :] + 1e-2 * np.eye(len(w)), half[:, None] * (y - w @ y))
+    assert np.abs(langid.score(model, texts) - (centred @ alpha + w @ y)).max() < 5e-3
+
+
 def test_language_sample_holds_a_repeated_key_once(spark, monkeypatch):
     sizes = []
     monkeypatch.setattr(langid, "fit", lambda packed, labels, **_: sizes.append(sorted(labels)))
@@ -491,12 +568,27 @@ def test_licenses(spark):
 
 
 def test_pipeline_stages(spark, odd, tmp_path):
-    docs = odd.select(*corpus_pipeline.COLUMNS)
+    """Each stage on nulls, repeated rows, empty and long texts and clashing columns; what it keeps."""
+    docs, kept = odd, {}
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         stage(spark, docs, FOLDER).write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
         assert k == len(corpus_pipeline.STAGES) - 1 or docs.columns == list(corpus_pipeline.COLUMNS)
-    assert docs.count() > 0 and len(pq.read_table(str(tmp_path / "near_duplicates")).to_pylist()) == 4
+        kept[name] = docs.collect()
+    assert sorted(r.doc_id for r in kept["language"]) == [1, 1, 5, 6, 7] and all(r.lang in ("en", "fr") for r in kept["language"])
+    assert sorted(r.doc_id for r in kept["near_duplicates"]) == [1, 5, 6, 7]
+    clean = {r.doc_id: r for r in kept["personal_data"]}
+    assert clean[7].text == "mail [EMAIL] <|endoftext|> é😀" and clean[5].text == "alpha beta gamma delta " * 20_000 and all(r.n_chars == len(r.text) for r in clean.values())
+    assert {r.doc_id for r in kept["mix"]} <= {1, 5, 6, 7} and {(r.doc_id, r.text) for r in kept["mix"]} <= {(r.doc_id, r.text) for r in clean.values()}
+    assert {r.doc_id for r in kept["pack"]} == {r.doc_id for r in kept["mix"]} and max(r.length for r in kept["pack"]) <= 1024
+
+
+def test_pipeline_stages_on_nulls_and_nothing(spark):
+    nulls = spark.createDataFrame([(None, None, None, None, None), (1, None, None, "a", None), (1, "", "en", None, 0)], SCHEMA)
+    kept = {name: stage(spark, nulls, FOLDER).collect() for name, stage in corpus_pipeline.STAGES}
+    assert kept["language"] == [] and len(kept["near_duplicates"]) == 3 and [r.text for r in sorted(kept["personal_data"], key=str)] == ["", None, None]
+    assert len(kept["pack"]) == 3 and all((r.length, r.start, r.piece) == (1, 0, 0) for r in kept["pack"])
+    assert all(stage(spark, nulls.limit(0), FOLDER).count() == 0 for _, stage in corpus_pipeline.STAGES)
 
 
 def test_pipeline_is_its_parts(spark):
