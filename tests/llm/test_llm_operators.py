@@ -575,7 +575,7 @@ def test_pipeline_stages(spark, odd, tmp_path):
         docs = spark.read.parquet(str(tmp_path / name))
         assert k == len(corpus_pipeline.STAGES) - 1 or docs.columns == list(corpus_pipeline.COLUMNS)
         kept[name] = docs.collect()
-    assert sorted(r.doc_id for r in kept["language"]) == [1, 1, 5, 6, 7] and all(r.lang in ("en", "fr") for r in kept["language"])
+    assert sorted(r.doc_id for r in kept["language"]) == [1, 1, 5, 6, 7] and all(r.lang in ("en", "fr", "xx") for r in kept["language"])
     assert sorted(r.doc_id for r in kept["near_duplicates"]) == [1, 5, 6, 7]
     clean = {r.doc_id: r for r in kept["personal_data"]}
     assert clean[7].text == "mail [EMAIL] <|endoftext|> é😀" and clean[5].text == "alpha beta gamma delta " * 20_000 and all(r.n_chars == len(r.text) for r in clean.values())
