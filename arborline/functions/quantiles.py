@@ -86,7 +86,16 @@ def with_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str], p
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """One row a group, by percentile or by brackets as the largest group asks."""
+    """One row a group, by percentile or by brackets as the largest group asks; null arrays for a group without a value."""
     if largest_group(df, keys) <= SMALL_GROUP:
         return group_quantiles(df, keys, columns, probs)
-    return bracketed_quantiles(checkpointed(df), keys, columns, probs)
+    df = checkpointed(df)
+    found = bracketed_quantiles(df, keys, columns, probs)
+    if not keys:
+        return found
+    whole = df.select(*keys).distinct()
+    renamed = found.select(*[F.col(k).alias(f"{k}__k") for k in keys], *[f"{c}__q" for c in columns])
+    on: Column = F.lit(True)
+    for k in keys:
+        on = on & whole[k].eqNullSafe(F.col(f"{k}__k"))
+    return whole.join(renamed, on, "left").drop(*[f"{k}__k" for k in keys])

@@ -18,7 +18,8 @@ from arborline.functions.scalars import num
 def group_medians(df: DataFrame, keys: Sequence[str], prefix: str = "CMI__") -> DataFrame:
     """The median of every numeric column by keys, under prefixed names; rows with a null key are left out."""
     columns = [f.name for f in df.schema if f.name not in keys and f.dataType.typeName() in ("double", "float", "integer", "long", "short", "byte")]
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(*[F.median(c).alias(prefix + c) for c in columns])
+    found = exact_quantiles(df.dropna(subset=list(keys)).select(*keys, *columns), keys, columns, (0.5,))
+    return found.select(*keys, *[F.col(f"{c}__q")[0].alias(prefix + c) for c in columns])
 
 
 def index_column(columns: Sequence[str], wanted: str | None = None) -> str | None:

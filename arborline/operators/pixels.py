@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborline.config import WINTER_WINDOWS
+from arborline.functions.quantiles import exact_quantiles
 
 
 def winter_windows(spark, start_year: int) -> DataFrame:
@@ -42,8 +43,13 @@ def composites(pixels: DataFrame, keys: Sequence[str], value: str, least: int =
 
 
 def zonal(pixels: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Per zone: mean, median and population deviation."""
-    return pixels.groupBy(*keys).agg(F.avg(value).alias("mean"), F.median(value).alias("median"), F.stddev_pop(value).alias("sd"))
+    """Per zone, of any size: mean, median and population deviation."""
+    moments = pixels.groupBy(*keys).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("sd"))
+    middle = exact_quantiles(pixels.select(*keys, value), keys, [value], (0.5,)).select(*[F.col(k).alias(f"{k}__k") for k in keys], F.col(f"{value}__q")[0].alias("median"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & moments[k].eqNullSafe(middle[f"{k}__k"])
+    return moments.join(middle, on).select(*keys, "mean", "median", "sd")
 
 
 def zone_windows(zones: DataFrame, windows: DataFrame, measured: DataFrame, keys: Sequence[str], default: float = 0.0) -> DataFrame:

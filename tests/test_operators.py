@@ -119,6 +119,9 @@ def test_quantiles_go_by_the_largest_group(spark, monkeypatch):
     plain = sorted(map(tuple, quantiles.with_quantiles(df, ["g"], ["v"], [0.5]).collect()), key=str)
     monkeypatch.setattr(quantiles, "SMALL_GROUP", 3)
     assert sorted(map(tuple, quantiles.with_quantiles(df, ["g"], ["v"], [0.5]).collect()), key=str) == plain
+    more = df.union(spark.createDataFrame([(9, None)], "g int, v double"))
+    got = {r.g: r.v__q for r in quantiles.exact_quantiles(more, ["g"], ["v"], [0.5]).collect()}
+    assert got == {0: [19.0], 1: [20.0], None: [7.0], 9: None}
 
 
 def test_season_z_with_and_without_spread(spark):
