@@ -57,18 +57,17 @@ class Template:
 
 def panel_of(winter: DataFrame) -> DataFrame:
     """Winter rows under the names of the analytics; rows without a period, which no window holds, go."""
-    known = [c for c in ("valid_pixel_fraction",) if c in winter.columns]
-    named = winter.withColumns({new: F.col(old) for old, new in MEASURES.items()}).withColumns({c: F.lit(None).cast("double") for c in ("valid_pixel_fraction",) if c not in known})
-    return named.where("time_period is not null")
+    valid = F.col("valid_pixel_fraction") if "valid_pixel_fraction" in winter.columns else F.lit(None).cast("double")
+    return winter.withColumns({new: F.col(old) for old, new in MEASURES.items()} | {"valid_pixel_fraction": valid}).where("time_period is not null")
 
 
-def _in_set(rows: DataFrame, quality: float, periods: int) -> Column:
+def _in_set(quality: float, periods: int) -> Column:
     return (F.col("Q") >= quality) & (F.col("n_periods_used") >= periods)
 
 
 def assigned(rows: DataFrame, t: Template) -> DataFrame:
     """Rows with enough periods and quality for phase two, by the template's model: features, cluster, best_soft, uncertain, label."""
-    featured = trends.features(rows, t.feature_set, t.shrink, t.shrink_level).where(_in_set(rows, t.assign_min_quality, t.min_periods))
+    featured = trends.features(rows, t.feature_set, t.shrink, t.shrink_level).where(_in_set(t.assign_min_quality, t.min_periods))
     how = (t.columns, t.model, t.confidence_threshold, t.distance_threshold)
     placed = clusters.mixture_assign(featured, *how) if t.method == "gmm" else clusters.nearest(featured, how[0], t.model.centers, *how[2:])
     return clusters.labelled(placed, t.label_map or {}).withColumn("K", F.lit(t.model.k))
@@ -78,7 +77,7 @@ def fit(trended: DataFrame, settings: Settings) -> tuple[Template, DataFrame]:
     """(the template fitted on rows of enough quality, the metrics of each K)."""
     name = settings.feature_set
     columns = [f"f_{i}" for i in range(1, len(trends.FEATURE_SETS[name]) + 1)]
-    train = trends.features(trended, name, settings.shrink, settings.shrink_level).where(_in_set(trended, settings.min_quality, settings.min_periods))
+    train = trends.features(trended, name, settings.shrink, settings.shrink_level).where(_in_set(settings.min_quality, settings.min_periods))
     choice = clusters.choose_k(train, columns, settings.ks, settings.k_select, settings.cluster_method)
     model = choice.model
     labels = clusters.label_map(model.centers, settings.label_schema) if name == "cover2" and model.k in (2, 3) else None
@@ -137,7 +136,7 @@ def analyse(winter: DataFrame, summer: DataFrame | None = None, settings: Settin
     template, metrics = fit(trended, settings)
     columns = template.columns
     every = checkpointed(assigned(trended, template).withColumn("CMI", F.col(f"`{column}`") if column else F.lit(None).cast("double")))
-    train = every.where(_in_set(every, settings.min_quality, settings.min_periods))
+    train = every.where(_in_set(settings.min_quality, settings.min_periods))
     if template.method == "gmm":
         p, _ = clusters.posteriors(columns, template.model)
         train = train.withColumn("p__", p).withColumns({f"p_{i}": F.col("p__")[i] for i in range(template.model.k)}).drop("p__")
@@ -146,7 +145,7 @@ def analyse(winter: DataFrame, summer: DataFrame | None = None, settings: Settin
     profiled = train.join(each, "key__", "left")
     by_season = clusters.silhouette(train, "key__", columns, "cluster", ["season"]).groupBy("season").agg(F.avg("silhouette").alias("s"), F.count_distinct("cluster").alias("k"), F.count(F.lit(1)).alias("n"))
     profiles = analysis.cluster_profiles(profiled, columns, [c for c in analysis.PROFILED if c in profiled.columns])
-    flagged = trended.withColumns({"train": _in_set(trended, settings.min_quality, settings.min_periods), "assigned": _in_set(trended, settings.assign_min_quality, settings.min_periods)})
+    flagged = trended.withColumns({"train": _in_set(settings.min_quality, settings.min_periods), "assigned": _in_set(settings.assign_min_quality, settings.min_periods)})
     spark = winter.sparkSession
     names = template.label_map or {}
     centroids = spark.createDataFrame([(i, *map(float, c), names.get(i)) for i, c in enumerate(template.model.centers)], "cluster int, " + ", ".join(f"{c} double" for c in columns) + ", label string")
