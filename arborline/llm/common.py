@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ctypes
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arborline.checkpoints import checkpointed, ensure_checkpoint_dir
 
-__all__ = ["checkpointed", "ensure_checkpoint_dir", "fresh", "gapless_rank", "table"]
+__all__ = ["checkpointed", "ensure_checkpoint_dir", "fresh", "gapless_rank", "table", "tidy"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +19,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """run, giving what it freed back to the system at its task's end: workers are reused, and an executor's limit counts what they hold."""
+
+    def bounded(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return bounded
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name like base that df does not have, whatever its letter case."""
     taken = {c.lower() for c in df.columns}

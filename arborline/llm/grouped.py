@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from arborline.llm.common import tidy
+
 
 def _group_starts(batch: pa.Table, keys: int) -> np.ndarray:
     new = np.zeros(batch.num_rows, bool)
@@ -43,4 +45,4 @@ def map_groups(df: DataFrame, keys: list[str], work: Callable[[pa.Table, np.ndar
             yield from work(kept.combine_chunks(), np.array([0, kept.num_rows])).to_batches()
 
     by = keys if parts is None else [parts, *keys]
-    return df.select(*names).repartition(*by).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return df.select(*names).repartition(*by).sortWithinPartitions(*keys).mapInArrow(tidy(run), schema)

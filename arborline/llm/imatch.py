@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arborline.llm.common import checkpointed
+from arborline.llm.common import checkpointed, tidy
 from arborline.llm.words import in_chunks, mix64, word_hashes
 
 LEVELS, EACH = 12, 12
@@ -125,7 +125,7 @@ def lexicon_of(df: DataFrame, text: str, low: float, high: float) -> Lexicon:
             yield flush()
 
     total = df.count()
-    counts = df.select(text).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counts = df.select(text).mapInArrow(tidy(run), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     often = F.col("n") > math.floor(high * total)
     rows = checkpointed(counts.where(F.col("n") >= math.ceil(low * total)).select("term", often.alias("often"))).toArrow()
     terms, often = rows.column(0).to_numpy().view(np.uint64), rows.column(1).to_numpy()
@@ -235,4 +235,4 @@ def fingerprint_edits(df: DataFrame, key: str, text: str, low: float = LOW, high
 
     dealt = with_following(df, key, text)
     ordered = dealt.repartition("bucket").sortWithinPartitions("bucket", "tail", F.desc_nulls_last(key), F.desc("h"))
-    return ordered.select("tail", key, text).mapInArrow(run, f"`{key}` long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return ordered.select("tail", key, text).mapInArrow(tidy(run), f"`{key}` long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arborline.llm.common import checkpointed, fresh
+from arborline.llm.common import checkpointed, fresh, tidy
 from arborline.llm.components import components
 from arborline.llm.grouped import map_groups
 from arborline.llm.words import in_chunks, mix64, shingle_sets
@@ -123,7 +123,7 @@ def sketch(df: DataFrame, key: str, text: str, width: int) -> DataFrame:
                 nulls = [pa.nulls(len(none), t) for t in (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary())]
                 yield pa.record_batch([batch.column(0).take(pa.array(none)), *nulls], names=names)
 
-    return df.select(key, text, F.md5(text)).mapInArrow(run, f"`{key}` {kind}, `{mark}` string, set_a long, set_b long, n long, sig binary")
+    return df.select(key, text, F.md5(text)).mapInArrow(tidy(run), f"`{key}` {kind}, `{mark}` string, set_a long, set_b long, n long, sig binary")
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -142,7 +142,7 @@ def first_paths(classes: DataFrame, runs: range, threshold: float) -> DataFrame:
                 at, path = children(np.full(len(node), mix64(np.array([r], np.uint64), 35)[0]), rows, threshold)
                 yield pa.record_batch([pa.array(path.view(np.int64)), pa.array(node[at])], names=["path", "node"])
 
-    return classes.select("node", "sig").mapInArrow(run, "path long, node long")
+    return classes.select("node", "sig").mapInArrow(tidy(run), "path long, node long")
 
 
 def next_paths(members: DataFrame, threshold: float) -> DataFrame:
@@ -154,7 +154,7 @@ def next_paths(members: DataFrame, threshold: float) -> DataFrame:
                 at, path = children(batch.column(0).to_numpy().view(np.uint64), _matrix(batch.column(2)), threshold)
                 yield pa.record_batch([pa.array(path.view(np.int64)), pa.array(batch.column(1).to_numpy()[at])], names=["path", "node"])
 
-    return members.select("path", "node", "sig").mapInArrow(run, "path long, node long")
+    return members.select("path", "node", "sig").mapInArrow(tidy(run), "path long, node long")
 
 
 def _forest(similar: np.ndarray) -> np.ndarray:
@@ -315,7 +315,7 @@ def _sets(rows: DataFrame, width: int) -> DataFrame:
                 took = part.take(pa.array(same))
                 yield pa.record_batch([*took.columns[3:], pa.array([sets[k].astype("<u8").tobytes() for k in same], pa.binary())], names=["cluster", "blocks", "node", "copies", "n", "shingles"])
 
-    return rows.select("text", "set_a", "set_b", "cluster", "blocks", "node", "copies", "n").mapInArrow(run, "cluster long, blocks int, node long, copies long, n long, shingles binary")
+    return rows.select("text", "set_a", "set_b", "cluster", "blocks", "node", "copies", "n").mapInArrow(tidy(run), "cluster long, blocks int, node long, copies long, n long, shingles binary")
 
 
 def _number(key: str) -> Column:

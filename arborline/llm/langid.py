@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from arborline.llm.common import tidy
 from arborline.llm.words import in_chunks, mix64
 
 GRAMS = (1, 2, 3)
@@ -101,7 +102,7 @@ def learn(df: DataFrame, key: str, text: str, lang: str, learnable: Column, per_
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(bits, pa.binary())], names=["l", "h", "bits"])
 
     rows = there.join(F.broadcast(chosen), (F.col(key) == F.col("k")) & (F.col(lang) == F.col("l"))).select("l", "h", text)
-    once = rows.mapInArrow(run, "l string, h long, bits binary").groupBy("l", "h").agg(F.min("bits").alias("bits"))
+    once = rows.mapInArrow(tidy(run), "l string, h long, bits binary").groupBy("l", "h").agg(F.min("bits").alias("bits"))
     sample = sorted(once.collect(), key=lambda r: (r.h, r.l, r.bits))
     return fit([bytes(r.bits) for r in sample], [r.l for r in sample]) if sample else None
 
@@ -133,7 +134,7 @@ def predict(df: DataFrame, text: str, model: LanguageModel | None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*part.schema.names, "lang_pred", "score"])
 
     added = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
-    return df.mapInArrow(run, StructType([*df.schema.fields, *added]))
+    return df.mapInArrow(tidy(run), StructType([*df.schema.fields, *added]))
 
 
 def score_shifted(model: LanguageModel, texts: Sequence[str]) -> np.ndarray:

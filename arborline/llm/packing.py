@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arborline.llm.common import checkpointed, gapless_rank
+from arborline.llm.common import checkpointed, gapless_rank, tidy
 from arborline.llm.sharding import next_state
 from arborline.llm.tokencount import WORD_PATTERN
 
@@ -93,7 +93,7 @@ def tokenize_pieces(df: DataFrame, key: str, text: str, tokenizer_file: str, cap
                 yield pa.record_batch([part.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary())], names=[key, "piece", "start", "length", "ids"])
 
     schema = f"`{key}` {kind.simpleString()}, piece int, start long, length long, ids binary"
-    return df.select(key, text).mapInArrow(cut, schema)
+    return df.select(key, text).mapInArrow(tidy(cut), schema)
 
 
 # ---------------------------------------------------------------- the histogram's solution

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from arborline.llm.common import tidy
+
 #: Kinds of personal data, in the order of the results; fixed values.
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]  # start, end (exclusive), kind; in code points
@@ -362,7 +364,7 @@ def _over_texts(df: DataFrame, place: int, added: list[StructField], work) -> Da
                 rows = [work(t) for t in part.column(place).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array([r[i] for r in rows], kinds.field(i).type) for i in range(len(names)))], names=[*part.schema.names, *names])
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, *added]))
+    return df.mapInArrow(tidy(run), StructType([*df.schema.fields, *added]))
 
 
 def scan(df: DataFrame, text: str) -> DataFrame:

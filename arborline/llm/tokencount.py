@@ -16,6 +16,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
+from arborline.llm.common import tidy
+
 #: The published split of byte-level vocabularies into words; fixed value.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SHIFT = 21  # bits of a code point
@@ -134,4 +136,4 @@ def count_tokens(df: DataFrame, text: str, vocabulary_file: str, pattern: str =
                     tokens.append(None if found is None else sum(map(memo.__getitem__, found)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], names=[*part.schema.names, "n_words", "n_tokens"])
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, StructField("n_words", LongType()), StructField("n_tokens", LongType())]))
+    return df.mapInArrow(tidy(run), StructType([*df.schema.fields, StructField("n_words", LongType()), StructField("n_tokens", LongType())]))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arborline.llm.common import checkpointed
+from arborline.llm.common import checkpointed, tidy
 
 #: A block's queries, and the bytes of their vectors, at most; how many blocks one job reads the candidates for.
 BLOCK_QUERIES, BLOCK_BYTES, JOB_BLOCKS = 4096, 1 << 24, 16
@@ -119,7 +119,7 @@ def _scored(rows: DataFrame, queries: pa.Table, k: int) -> DataFrame:
                         best[int(d)].add(ids[pick], flat[start[pick][:, None] + np.arange(d)])
         yield from (b.table() for b in best.values())
 
-    return rows.select("id", "v").mapInArrow(run, "q long, id long, score long")
+    return rows.select("id", "v").mapInArrow(tidy(run), "q long, id long, score long")
 
 
 def _kth_scores(scores: DataFrame, k: int) -> DataFrame:
