@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborline.llm import imatch, jaccard, langid, license, mixing, packing, pii, sharding, tokencount, topk
+from arborline.llm import fim, imatch, jaccard, langid, license, mixing, packing, pii, sharding, substrings, tokencount, topk, whitening
 from arborline.llm.common import table
 
 SHARDS = 8
@@ -16,6 +16,9 @@ CAPACITY = 1024
 END_ID = 2
 MIX_SEED, MIX_ALPHA = 17, 0.5
 TOP_K, SCALE, QUERY_EVERY = 10, 1024, 100
+FIM_SEED, FIM_RATE, SPM_RATE = 42, 50, 80
+REPEAT_WIDTH = 13
+WHITE_SCALE, COMPONENTS = 256, 4
 
 
 def tokenizer_file(name: str) -> str:
@@ -77,10 +80,28 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(docs, "text", tokenizer_file("byte_bpe_50k.tiktoken")).select("doc_id", "n_words", "n_tokens")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = fim.fill_in_middle(docs, "doc_id", "text", FIM_SEED, FIM_RATE, SPM_RATE)
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substrings.remove_repeats(docs, "doc_id", "text", REPEAT_WIDTH)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(rows, "embedding", COMPONENTS, WHITE_SCALE)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_jump_hash_sharding, op2_ngram_jaccard_join, op3_best_fit_packing, op4_mix_sources, op5_histogram_top_k,
         op6_imatch_fingerprints, op7_string_kernel_language, op8_semi_markov_pii, op9_license_scan, op10_token_counts,
+        op11_fill_in_middle, op12_substring_dedup, op13_embedding_whitening,
     )
     return {f.__name__: f for f in every}
 
@@ -158,5 +179,32 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 
+_HEX = lambda k: f"('0x' || substr(digest, {8 * k + 1}, 8))::BIGINT"
+SQL_OP11 = f"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS u,
+    sha256('{FIM_SEED}:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
+drawn AS (
+  SELECT *, least({_HEX(0)} % (len(u) + 1), {_HEX(1)} % (len(u) + 1)) AS low, greatest({_HEX(0)} % (len(u) + 1), {_HEX(1)} % (len(u) + 1)) AS high,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR {_HEX(2)} % 100 >= {FIM_RATE} THEN 'plain' WHEN {_HEX(3)} % 100 < {SPM_RATE} THEN 'spm' ELSE 'psm' END AS form FROM cut),
+parts AS (SELECT *, array_to_string(u[1:low], '') AS p, array_to_string(u[low + 1:high], '') AS m, array_to_string(u[high + 1:], '') AS s FROM drawn)
+SELECT doc_id, len(u)::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts
+"""
+
+SQL_OP12 = f"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, {substrings.NULL_KEY}) AS k, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+g AS (
+  SELECT r, k, i, array_to_string(ws[i:i + {REPEAT_WIDTH - 1}], ' ') AS s FROM (SELECT *, unnest(range(1, len(ws) - {REPEAT_WIDTH - 2})) AS i FROM w WHERE len(ws) >= {REPEAT_WIDTH})),
+least_key AS (SELECT s, min(k) AS m FROM g GROUP BY s HAVING min(k) < max(k)),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + {REPEAT_WIDTH})) AS p FROM g JOIN least_key USING (s) WHERE m < k),
+each AS (SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM each ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_jump_hash_sharding": SQL_OP1, "op2_ngram_jaccard_join": SQL_OP2, "op4_mix_sources": SQL_OP4, "op5_histogram_top_k": SQL_OP5, "op9_license_scan": license.sql()}
+    return {"op1_jump_hash_sharding": SQL_OP1, "op2_ngram_jaccard_join": SQL_OP2, "op4_mix_sources": SQL_OP4, "op5_histogram_top_k": SQL_OP5, "op9_license_scan": license.sql(), "op11_fill_in_middle": SQL_OP11, "op12_substring_dedup": SQL_OP12}
