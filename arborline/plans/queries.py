@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from arborline.checkpoints import checkpointed
 from arborline.functions import quantiles
 from arborline.functions import scalars as S
-from arborline.operators import analysis, clusters, merging, pixels, robust, sequences, serving, trends
+from arborline.operators import analysis, clusters, intervals, merging, pixels, robust, sequences, serving, spatial, trends
 from arborline.plans import panel as P
 from arborline.plans import run as R
 from arborline.plans.panel import sql, table
@@ -316,9 +316,82 @@ def interval_window_join(spark, d):
     return pixels.in_windows(table(spark, d, "events").select("event_id", "ts"), "ts", _windows(spark)).select("event_id", "time_period")
 
 
-@query(f"SELECT time_period, count(event_id) AS n FROM {_WINDOW_SQL} LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') e ON ts >= s AND ts < w.e GROUP BY 1")
+@query(f"SELECT time_period, count(event_id) AS n FROM {_WINDOW_SQL} LEFT JOIN events e ON ts >= s AND ts < w.e GROUP BY 1")
 def images_per_window(spark, d):
-    return pixels.images_per_window(table(spark, d, "events").where("event_type = 'view'").select("ts"), "ts", _windows(spark))
+    return pixels.images_per_window(table(spark, d, "events").select("ts"), "ts", _windows(spark))
+
+
+def _order_windows(spark, d) -> DataFrame:
+    """A window an order, of up to two hours, that begins in the minute which its key and price say; a third of the orders share a status."""
+    o = table(spark, d, "orders")
+    minute = F.pmod(F.col("o_orderkey") * F.lit(7919) + F.floor("o_totalprice"), F.lit(43_200))
+    start = F.unix_micros(F.lit("2024-01-01").cast("timestamp")) + minute * F.lit(60_000_000)
+    length = (F.pmod(F.col("o_orderkey"), F.lit(120)) + F.lit(1)) * F.lit(60_000_000)
+    return o.select("o_orderkey", (F.col("o_custkey") % 5).alias("kind"), F.timestamp_micros(start).cast("timestamp_ntz").alias("start"), F.timestamp_micros(start + length).cast("timestamp_ntz").alias("end"))
+
+
+_ORDER_WINDOWS = "(SELECT o_orderkey, o_custkey % 5 AS kind, s, s + to_minutes(o_orderkey % 120 + 1) AS e FROM (SELECT *, TIMESTAMP '2024-01-01' + to_minutes(((o_orderkey * 7919 + floor(o_totalprice)::BIGINT) % 43200)::BIGINT) AS s FROM orders)) w"
+
+
+@query(f"SELECT event_id, o_orderkey FROM events JOIN {_ORDER_WINDOWS} ON ts >= s AND ts < w.e AND user_id % 5 = kind")
+def bucketed_interval_join(spark, d):
+    """Every event with all order windows of its kind that hold it: thousands of overlapping windows a key."""
+    events = table(spark, d, "events").select("event_id", "ts", (F.col("user_id") % 5).alias("kind"))
+    return intervals.interval_join(events, "ts", _order_windows(spark, d), ["kind"]).select("event_id", "o_orderkey")
+
+
+#: An outline with a bay, and the hole in it, about a polygon's middle; the unit is the polygon's size.
+_OUTLINE = ((1, 0), (0.5, 0.9), (0.1, 0.3), (-0.4, 0.8), (-1, 0.1), (-0.6, -0.7), (0.2, -1), (0.7, -0.5))
+_HOLE = ((0.1, 0.1), (0.3, -0.2), (-0.2, -0.3))
+
+
+def _supplier_polygons(spark, d) -> DataFrame:
+    s = table(spark, d, "supplier")
+    x, y, size = F.col("s_nationkey") * F.lit(2.0) + F.lit(1.0), (F.col("s_acctbal") + F.lit(1000.0)) / F.lit(110.0), (F.col("s_suppkey") % 7 + F.lit(2)).cast("double")
+    ring = lambda shape: F.array(*[F.array(x + size * F.lit(float(a)), y + size * F.lit(float(b))) for a, b in (*shape, shape[0])])
+    return s.select("s_suppkey", F.array(ring(_OUTLINE), ring(_HOLE)).alias("rings"))
+
+
+def _line_points(spark, d) -> DataFrame:
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity") + F.col("l_tax") * F.lit(10.0)).alias("px"), (F.col("l_extendedprice") / F.lit(1000.0)).alias("py"), "l_discount")
+
+
+_EDGE_VALUES = ", ".join(f"({a[0]}::DOUBLE, {a[1]}::DOUBLE, {b[0]}::DOUBLE, {b[1]}::DOUBLE)" for shape in (_OUTLINE, _HOLE) for a, b in zip(shape, (*shape[1:], shape[0])))
+_IN_POLYGON = f"""poly AS (SELECT s_suppkey, s_nationkey * 2.0::DOUBLE + 1 AS cx, (s_acctbal + 1000) / 110 AS cy, (s_suppkey % 7 + 2)::DOUBLE AS size FROM supplier),
+edge AS (SELECT s_suppkey, CASE WHEN ay <= b_y THEN ax ELSE bx END AS x1, least(ay, b_y) AS y1, CASE WHEN ay <= b_y THEN bx ELSE ax END AS x2, greatest(ay, b_y) AS y2
+  FROM (SELECT s_suppkey, cx + size * a AS ax, cy + size * b AS ay, cx + size * c AS bx, cy + size * e AS b_y FROM poly, (VALUES {_EDGE_VALUES}) v(a, b, c, e))),
+pt AS (SELECT row_number() OVER () AS line, l_orderkey, l_linenumber, l_discount, l_quantity + l_tax * 10 AS px, l_extendedprice / 1000 AS py FROM lineitem),
+held AS (SELECT any_value(l_orderkey) AS l_orderkey, any_value(l_linenumber) AS l_linenumber, any_value(l_discount) AS l_discount, s_suppkey FROM pt JOIN edge ON y1 <= py AND y2 > py AND px < (x2 - x1) * (py - y1) / (y2 - y1) + x1 GROUP BY line, s_suppkey HAVING count(*) % 2 = 1)"""
+
+
+@query(f"WITH {_IN_POLYGON} SELECT l_orderkey, l_linenumber, s_suppkey FROM held")
+def points_in_polygons(spark, d):
+    """Every line's point with the suppliers' polygons, each with a bay and a hole, that hold it."""
+    points = _line_points(spark, d).select("l_orderkey", "l_linenumber", "px", "py")
+    return spatial.points_in_polygons(points, "px", "py", _supplier_polygons(spark, d), "s_suppkey").select("l_orderkey", "l_linenumber", "s_suppkey")
+
+
+@query(f"WITH {_IN_POLYGON} SELECT s_suppkey, round(avg(l_discount), 6) AS mean, round(median(l_discount), 6) AS median, round(stddev_pop(l_discount), 6) AS sd FROM held GROUP BY 1")
+def polygon_zonal_stats(spark, d):
+    return spatial.reduce_regions(_line_points(spark, d), "px", "py", "l_discount", _supplier_polygons(spark, d), "s_suppkey").select("s_suppkey", *r6("mean", "median", "sd"))
+
+
+_REGION = (((3, 10), (40, 20), (25, 80), (20, 30), (5, 60)), ((20, 20), (22, 26), (30, 22)))
+_REGION_EDGES = "(VALUES " + ", ".join(f"({a[0]}::DOUBLE, {a[1]}::DOUBLE, {b[0]}::DOUBLE, {b[1]}::DOUBLE)" for ring in _REGION for a, b in zip(ring, (*ring[1:], ring[0]))) + ") r(ax, ay, bx, b_y)"
+_SIDE = lambda a, b, c, e, x, y: f"(({c} - {a}) * ({y} - {b}) - ({e} - {b}) * ({x} - {a}))"
+
+
+@query(f"""WITH box AS (SELECT o_orderkey, (o_custkey % 97)::DOUBLE / 2 AS x, o_totalprice / 4000 AS y, (o_orderkey % 5 + 1)::DOUBLE AS size FROM orders),
+side AS (SELECT o_orderkey, x + size * a AS px, y + size * b AS py, x + size * c AS qx, y + size * e AS qy FROM box, (VALUES (0, 0, 1, 0), (1, 0, 1, 1), (1, 1, 0, 1), (0, 1, 0, 0)) v(a, b, c, e)),
+border AS (SELECT DISTINCT o_orderkey FROM side, {_REGION_EDGES} WHERE greatest(px, qx) >= least(ax, bx) AND greatest(ax, bx) >= least(px, qx) AND greatest(py, qy) >= least(ay, b_y) AND greatest(ay, b_y) >= least(py, qy)
+  AND {_SIDE("px", "py", "qx", "qy", "ax", "ay")} * {_SIDE("px", "py", "qx", "qy", "bx", "b_y")} <= 0 AND {_SIDE("ax", "ay", "bx", "b_y", "px", "py")} * {_SIDE("ax", "ay", "bx", "b_y", "qx", "qy")} <= 0),
+held AS (SELECT o_orderkey FROM box, {_REGION_EDGES} WHERE least(ay, b_y) <= y AND greatest(ay, b_y) > y AND x < (bx - ax) * (y - ay) / (b_y - ay) + ax GROUP BY 1 HAVING count(*) % 2 = 1)
+SELECT o_orderkey FROM border UNION SELECT o_orderkey FROM held UNION SELECT o_orderkey FROM box WHERE x <= {_REGION[0][0][0]} AND {_REGION[0][0][0]} < x + size AND y <= {_REGION[0][0][1]} AND {_REGION[0][0][1]} < y + size""")
+def filter_bounds(spark, d):
+    """The orders whose square footprint meets a region with a hole."""
+    x, y, size = (F.col("o_custkey") % 97).cast("double") / F.lit(2.0), F.col("o_totalprice") / F.lit(4000.0), (F.col("o_orderkey") % 5 + F.lit(1)).cast("double")
+    ring = F.array(*[F.array(x + size * F.lit(float(a)), y + size * F.lit(float(b))) for a, b in ((0, 0), (1, 0), (1, 1), (0, 1))])
+    return table(spark, d, "orders").where(spatial.intersects(F.array(ring), _REGION)).select("o_orderkey")
 
 
 @query(f"""WITH m AS (SELECT user_id, time_period, avg(value) AS mean FROM events JOIN {_WINDOW_SQL} ON ts >= s AND ts < e GROUP BY ALL)
