@@ -20,9 +20,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from arborline.llm.common import checkpointed, fresh, tidy
 from arborline.llm.grouped import map_groups
@@ -282,6 +283,19 @@ def repeated_pieces(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return map_groups(_pieces(docs, width, hot_grams, hot_edges, hot_keys), ["m"], _repeated, "k long, th long, at long, what long", ["k", "tp", "w"])
 
 
+def _shrunk(df: DataFrame, text: str) -> DataFrame:
+    """df with its texts compressed for a shuffle, one by one."""
+    place = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small = zstandard.ZstdCompressor()
+        for batch in batches:
+            made = [None if t is None else small.compress(t.encode()) for t in batch.column(place).to_pylist()]
+            yield batch.set_column(place, text, pa.array(made, pa.binary()))
+
+    return df.mapInArrow(run, StructType([StructField(f.name, BinaryType()) if f.name == text else f for f in df.schema.fields]))
+
+
 def _covered(words: Words, text: np.ndarray, place: np.ndarray, edge: np.ndarray, pieces: list, width: int) -> np.ndarray:
     """Which words lie on a path of repeated edges, by each text's pieces (at, what), which have to point at the edges they say."""
     begins = np.zeros(len(words.starts) + 1, np.int32)
@@ -350,10 +364,11 @@ def remove_repeats(df: DataFrame, key: str, text: str, width: int = WIDTH, with_
     # texts of so few bytes have no edge; they skip the join, and with them the null and empty ones, of which there may be many under one key
     short = F.coalesce(F.octet_length(text), F.lit(0)) < 2 * width - 1
     found = repeated_pieces(marked.where(~short).select(F.col(k).alias("k"), F.col(th).alias("th"), F.col(text).alias("text")), width)
-    paths = checkpointed(found.groupBy("k", "th").agg(F.collect_list(F.struct("at", "what")).alias(pieces)))
-    paths = paths.select(F.col("k").alias(k), F.col("th").alias(th), pieces)
-    whole = marked.where(~short).join(paths, [k, th], "left").select(*df.columns, pieces)
-    joined = whole.unionByName(marked.where(short).select(*df.columns), allowMissingColumns=True)
+    paths = found.groupBy("k", "th").agg(F.collect_list(F.struct("at", "what")).alias(pieces)).select(F.col("k").alias(k), F.col("th").alias(th), pieces)
+    # dealt once more, so that the join reads plain shuffles on both sides and may split a hot document's rows
+    paths = paths.repartition(k, th)
+    whole = _shrunk(marked.where(~short), text).join(paths, [k, th], "left").select(*df.columns, pieces)
+    joined = whole.unionByName(_shrunk(marked.where(short), text).select(*df.columns), allowMissingColumns=True)
     place = df.columns.index(text)
     added = [StructField("n_words", LongType()), StructField("n_removed", LongType())]
     added += [StructField("spans", ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())])))] * with_spans + [StructField("kept", StringType())]
@@ -361,7 +376,10 @@ def remove_repeats(df: DataFrame, key: str, text: str, width: int = WIDTH, with_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(place).to_pylist()]
+            full = zstandard.ZstdDecompressor()
+            known = [None if t is None else full.decompress(t).decode() for t in batch.column(place).to_pylist()]
+            batch = batch.set_column(place, batch.schema.names[place], pa.array(known, pa.string()))
+            texts = [t or "" for t in known]
             every = batch.column(batch.num_columns - 1)
             for a, b in in_chunks(texts):
                 words, own, at, edge, _ = edges(texts[a:b], width)
