@@ -39,7 +39,7 @@ def load_encoder(spec: str) -> Callable[[str], np.ndarray]:
     """An encoder of the tokenizer file's ids; texts with a special token's string go to the file's own library, loaded at the first such text.
 
     A byte-level BPE whose ids follow its merges is run by tiktoken, which gives the same ids faster; any other
-    file is run by tokenizers.
+    file is run by tokenizers, and so is any text at which tiktoken stops, as at a million blanks on end.
     """
 
     @functools.cache
@@ -61,7 +61,16 @@ def load_encoder(spec: str) -> Callable[[str], np.ndarray]:
 
     ranks = {bytes(letters[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
     fast = tiktoken.Encoding("file", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: slow(text) if any(x in text for x in special) else fast.encode_to_numpy(text)
+
+    def encode(text: str) -> np.ndarray:
+        if not any(x in text for x in special):
+            try:
+                return fast.encode_to_numpy(text)
+            except ValueError:
+                pass
+        return slow(text)
+
+    return encode
 
 
 def tokenize_pieces(df: DataFrame, key: str, text: str, tokenizer_file: str, capacity: int, end_id: int) -> DataFrame:
@@ -69,8 +78,9 @@ def tokenize_pieces(df: DataFrame, key: str, text: str, tokenizer_file: str, cap
 
     Returns key, piece (int from 0), start (ids before it), length and ids (little-endian unsigned 32-bit, binary).
     Only documents longer than the capacity are cut; all their pieces are full but the first, which may be shorter.
-    Cases: a null text is empty and gives one piece with end_id alone; repeated rows and null keys are packed like
-    any other; columns besides key and text are left out. The tokenizer file is read on the driver and broadcast: a
+    Cases: a null text is empty and gives one piece with end_id alone; texts of any length are read whole, such as have no blank, or
+    millions of them, too; repeated rows and null keys are packed like
+    any other; an empty table stays empty; columns besides key and text are left out. The tokenizer file is read on the driver and broadcast: a
     vocabulary, whose size doesn't follow the data.
     """
     with open(tokenizer_file, encoding="utf-8") as f:
@@ -249,7 +259,11 @@ def pack(pieces: DataFrame, capacity: int, spread: list[str], seed: int = 29) ->
 
 
 def pack_documents(df: DataFrame, key: str, text: str, tokenizer_file: str, capacity: int = 1024, end_id: int = 2, keep_ids: bool = True) -> DataFrame:
-    """Tokenise, cut and pack documents; one row a piece. keep_ids=False keeps ids_crc32 and leaves the ids out."""
+    """Tokenise, cut and pack documents; one row a piece. keep_ids=False keeps ids_crc32 and leaves the ids out.
+
+    Cases: as in tokenize_pieces and pack: a null or empty text is its end mark alone; texts of any length are cut whole; null keys, repeated rows and rows that
+    tie are packed like any other; an empty table stays empty; columns besides key and text are left out.
+    """
     pieces = tokenize_pieces(df, key, text, tokenizer_file, capacity, end_id).withColumn("ids_crc32", F.crc32("ids"))
     pieces = checkpointed(pieces if keep_ids else pieces.drop("ids"))
     return pack(pieces, capacity, [key, "piece", "start", "ids_crc32"])
