@@ -12,6 +12,7 @@ Base matches have no bound, in the result or as candidates.
 
 from __future__ import annotations
 
+import collections
 import functools
 import hashlib
 import math
@@ -33,7 +34,8 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 #: A match never begins inside a run of digits: one that begins at the run's start would have been found first.
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]+\.[0-9]+\.[0-9]+")
-_CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
+#: Repeats that nothing follows are possessive: the same matches, without a state for each turn.
+_CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 
@@ -83,7 +85,7 @@ _CONTEXT = 32
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|.", re.S)
 #: Marks inside a spelt-out number.
 _MARKS = r"[ ().\[\]/+_\u00a0\u00b7\u2010-\u2015-]"
-_DIGITY = re.compile(rf"[+(]?[0-9](?:{_MARKS}{{0,3}}[0-9]){{6,}}")
+_DIGITY = re.compile(rf"[+(]?[0-9](?:{_MARKS}{{0,3}}[0-9]){{6,}}+")
 _AT = r"(?:\s?[@\uff20]\s?|\s?[(\[{<]\s?at\s?[)\]}>]\s?|\s?\(@\)\s?|\sat\s|_at_|&#64;|%40)"
 _DOT = r"(?:\.|\s?[(\[{<]\s?dot\s?[)\]}>]\s?|\s?[(\[]\.[)\]]\s?|\sdot\s|_dot_)"
 _NAME = r"[A-Za-z0-9+-](?:_?(?!at_|dot_)[A-Za-z0-9+-]){0,63}"
@@ -126,34 +128,44 @@ def candidates(text: str, low: int = 0, high: int | None = None) -> list[tuple[i
     return out
 
 
-def features(text: str, start: int, end: int, base: dict[tuple[int, int], set[str]] | None = None) -> list[str]:
-    """Whole-span features of text[start:end]; base: the kinds of which the base patterns take a span."""
-    s = text[start:end]
+@functools.lru_cache(1 << 14)
+def _inner(s: str) -> tuple[str, ...]:
+    """Features of a segment's own text."""
+    if s[-1:].isalpha() and _MAIL_WHOLE.fullmatch(s):
+        f = ["mail shape", "mail odd at" if not re.search(r"\S@\S", s) else "mail plain", "mail words" if re.search(r"\sat\s", s) else "mail marks", "mail says dot" if re.search("dot", s, re.I) else "mail has point"]
+        return (*f, "mail end short" if len(re.findall("[A-Za-z]+", s)[-1]) <= 4 else "mail end long")
     groups = re.findall("[0-9]+", s)
     d = "".join(groups)
-    f = ["any"] + [f"base {k}" for k in sorted((base or {}).get((start, end), ()))]
-    if _MAIL_WHOLE.fullmatch(s):
-        f += ["mail shape", "mail odd at" if not re.search(r"\S@\S", s) else "mail plain", "mail words" if re.search(r"\sat\s", s) else "mail marks", "mail says dot" if re.search("dot", s, re.I) else "mail has point"]
-        f += ["mail goes on"] * bool(_MORE_MAIL.match(text, end))
-        f.append("mail end short" if len(re.findall("[A-Za-z]+", s)[-1]) <= 4 else "mail end long")
-    else:
-        quad = _QUAD.fullmatch(s)
-        f.append("quad" if quad and all(int(quad[i]) <= 255 for i in (1, 3, 4, 5)) else "no quad")
-        f += ["quad by commas"] * bool(quad and quad[2] == ",")
-        f.append("digits " + ("<9" if len(d) < 9 else "9" if len(d) == 9 else "10" if len(d) == 10 else "11" if len(d) == 11 else "12-13" if len(d) < 14 else "14-19"))
-        f.append("luhn" if 14 <= len(d) <= 19 and luhn(d) else "no luhn")
-        shape = "-".join(str(len(g)) for g in groups)
-        f.append("shape " + (shape if shape in ("3-3-4", "1-3-3-4", "4-4-4-4", "4-6-5", "3-4", "10", "16", "4-2-2", "2-2-4", "3-1-2-6-1", "2-2-2-2-2", "3-3-3", "4-3-3", "5-6", "4-7") else "other"))
-        inner = set(re.sub("[0-9]+", "", s))
-        f.append("joined by " + ("nothing" if not inner else min(inner) if len(inner) == 1 else "brackets" if "(" in inner else "several"))
-        f += ["plus"] * s.startswith("+") + ["bracket"] * s.startswith("(") + ["open bracket"] * (s.count("(") != s.count(")"))
-        f.append("first digit 0" if d[:1] in "01" else "first digit 2-9")
-    before = re.findall("[a-z]+", text[max(0, start - _CONTEXT) : start].lower())[-3:]
-    after = re.findall("[a-z]+", text[end : end + _CONTEXT].lower())[:3]
-    cues = [f"cue {k}" for k, words in CUES.items() if any(w in words for w in before)] + [f"cue after {k}" for k, words in CUES.items() if any(w in words for w in after)]
-    f += cues or ["no cue"]
-    f += ["digits go on"] * bool(re.match(r"[ ./()+-]{0,2}[0-9]", text[end : end + 3]) or re.search(r"[0-9][ ./()+-]{0,2}$", text[max(0, start - 3) : start]))
-    return f
+    quad = _QUAD.fullmatch(s)
+    f = ["quad" if quad and all(int(quad[i]) <= 255 for i in (1, 3, 4, 5)) else "no quad"]
+    f += ["quad by commas"] * bool(quad and quad[2] == ",")
+    f.append("digits " + ("<9" if len(d) < 9 else "9" if len(d) == 9 else "10" if len(d) == 10 else "11" if len(d) == 11 else "12-13" if len(d) < 14 else "14-19"))
+    f.append("luhn" if 14 <= len(d) <= 19 and luhn(d) else "no luhn")
+    shape = "-".join(str(len(g)) for g in groups)
+    f.append("shape " + (shape if shape in ("3-3-4", "1-3-3-4", "4-4-4-4", "4-6-5", "3-4", "10", "16", "4-2-2", "2-2-4", "3-1-2-6-1", "2-2-2-2-2", "3-3-3", "4-3-3", "5-6", "4-7") else "other"))
+    inner = set(re.sub("[0-9]+", "", s))
+    f.append("joined by " + ("nothing" if not inner else min(inner) if len(inner) == 1 else "brackets" if "(" in inner else "several"))
+    f += ["plus"] * s.startswith("+") + ["bracket"] * s.startswith("(") + ["open bracket"] * (s.count("(") != s.count(")"))
+    return (*f, "first digit 0" if d[:1] in "01" else "first digit 2-9")
+
+
+def _before(text: str, start: int) -> tuple[list[str], bool]:
+    """(cues in the words before a place, whether digits run up to it)."""
+    words = re.findall("[a-z]+", text[max(0, start - _CONTEXT) : start].lower())[-3:]
+    return [f"cue {k}" for k, known in CUES.items() if any(w in known for w in words)], bool(re.search(r"[0-9][ ./()+-]{0,2}$", text[max(0, start - 3) : start]))
+
+
+def _after(text: str, end: int) -> tuple[list[str], bool, bool]:
+    """(cues in the words after a place, whether digits go on there, whether an address does)."""
+    words = re.findall("[a-z]+", text[end : end + _CONTEXT].lower())[:3]
+    return [f"cue after {k}" for k, known in CUES.items() if any(w in known for w in words)], bool(re.match(r"[ ./()+-]{0,2}[0-9]", text[end : end + 3])), bool(_MORE_MAIL.match(text, end))
+
+
+def features(text: str, start: int, end: int, base: dict[tuple[int, int], set[str]] | None = None) -> list[str]:
+    """Whole-span features of text[start:end]; base: the kinds of which the base patterns take a span."""
+    own, (before, runs_up), (after, runs_on, more) = _inner(text[start:end]), _before(text, start), _after(text, end)
+    f = ["any", *(f"base {k}" for k in sorted((base or {}).get((start, end), ()))), *own, *((before + after) or ["no cue"])]
+    return f + ["mail goes on"] * (more and own[0] == "mail shape") + ["digits go on"] * (runs_up or runs_on)
 
 
 # ---------------------------------------------------------------- the field
@@ -187,19 +199,106 @@ def _compact(arcs: list) -> tuple[dict[int, list], list[int]]:
     return by_end, points
 
 
-def decode(lattice: list[tuple[int, int, list[str]]], weights: dict[tuple[str, str], float]) -> list[Span]:
-    """The entities of the best segmentation."""
-    by_end, points = _compact(_scores(lattice, weights))
-    best: dict[int, tuple[float, Span | None, int]] = {points[0]: (0.0, None, -1)}
-    for before, p in zip(points, points[1:]):
-        options = [(best[before][0], None, before)] + [(best[a][0] + s, (a, b, k), a) for a, b, k, s in by_end.get(p, ())]
-        best[p] = max(options, key=lambda o: o[0])
-    out, p = [], points[-1]
-    while p >= 0 and p in best:
-        _, span, back = best[p]
-        if span:
-            out.append(span)
-        p = back
+Sums = tuple[float, ...]  # a number a kind
+
+
+class _Scorer:
+    """Scores of segments by their parts: of the text inside, of what stands before and of what follows, each worked out once where segments share it."""
+
+    def __init__(self, weights: dict[tuple[str, str], float]) -> None:
+        self.weights = weights
+        self.inner = functools.lru_cache(1 << 14)(self._of_text)
+        self.any, self.mute, self.runs, self.mail = (self.total([x]) for x in ("any", "no cue", "digits go on", "mail goes on"))
+
+    def total(self, names) -> Sums:
+        return tuple(sum(self.weights.get((k, x), 0.0) for x in names) for k in KINDS)
+
+    def _of_text(self, s: str) -> tuple[Sums, bool]:
+        own = _inner(s)
+        return self.total(own), own[0] == "mail shape"
+
+    def before(self, text: str, at: int) -> tuple[Sums, bool, bool]:
+        cues, runs = _before(text, at)
+        return self.total(cues), bool(cues), runs
+
+    def after(self, text: str, at: int) -> tuple[Sums, bool, bool, bool]:
+        cues, runs, more = _after(text, at)
+        return self.total(cues), bool(cues), runs, more
+
+    def scores(self, s: str, before: tuple, after: tuple, base: set[str] | None) -> list[float]:
+        own, mail = self.inner(s)
+        out = [a + b + c + d for a, b, c, d in zip(self.any, own, before[0], after[0])]
+        for wanted, more in ((not (before[1] or after[1]), self.mute), (before[2] or after[2], self.runs), (mail and after[3], self.mail)):
+            if wanted:
+                out = [a + b for a, b in zip(out, more)]
+        return [a + b for a, b in zip(out, self.total([f"base {k}" for k in base]))] if base else out
+
+
+def decode(text: str, low: int, high: int, base: list[Span], scorer: _Scorer) -> list[Span]:
+    """The entities of the best segmentation of text[low:high], base matches among its candidates.
+
+    The text is gone through once. What is kept is the best segmentation up to each of the last MOST_TOKENS places and to where open base matches begin; segmentations
+    share what they have in common, so the memory is that of the entities found.
+    """
+    took: dict[tuple[int, int], set[str]] = {}
+    for a, b, k in base:
+        took.setdefault((a, b), set()).add(k)
+    ends: dict[int, list[int]] = {}
+    for a, b in sorted(took):
+        ends.setdefault(b, []).append(a)
+    begins = {a for a, _ in took}
+    marks = [x for ab in took for x in ab]
+    stops = iter(sorted(set(marks)))
+    stop = next(stops, None)
+    held: dict[int, tuple[float, tuple | None]] = {}  # where open base matches begin
+    best: tuple[float, tuple | None] = (0.0, None)
+    window: collections.deque = collections.deque(maxlen=MOST_TOKENS)  # (start, digits before, letters before, best up to it, what stands before) of tokens where a segment may begin
+    digits = letters = 0
+    number = 0
+
+    def arrive(at: int, starts: list) -> None:
+        """Arcs that end here: base matches, and (start, best up to it, what stands before) of candidates."""
+        nonlocal best
+        known = {a for a, _, _ in starts}
+        arcs = starts + [(a, held[a], None) for a in ends.get(at, ()) if a not in known]
+        if arcs:
+            after = scorer.after(text, at)
+            new = best
+            for a, (so_far, path), before in sorted(arcs, key=lambda x: x[0]):
+                before = before or scorer.before(text, a)
+                for k, s in zip(KINDS, scorer.scores(text[a:at], before, after, took.get((a, at)))):
+                    if so_far + s > new[0]:
+                        new = (so_far + s, ((a, at, k), path))
+            best = new
+        if at in begins:
+            held[at] = best
+
+    for m in _TOKEN.finditer(text, low, high):
+        a, b = m.span()
+        while stop is not None and stop < b:  # base matches that begin or end at a token's start or inside one
+            if stop != a or number == 0:
+                arrive(stop, [])
+            stop = next(stops, None)
+        number += 1
+        begin = (text[a].isalnum() or text[a] in "+(") and not (a and text[a - 1].isalnum())
+        window.append((a, digits, letters, best, [None]) if begin else None)
+        digits += (b - a) * text[a].isdigit()
+        letters += text[a].isalpha()
+        starts = []
+        if text[b - 1].isalnum() and not (b < len(text) and text[b].isalnum()):
+            for entry in window:
+                if entry is None:
+                    continue
+                start, d, w, so_far, before = entry
+                n, worded = digits - d, letters > w
+                if (7 <= n <= 19 and not worded) or (n > 3 and _QUAD.fullmatch(text, start, b)) or (worded and _MAIL_WHOLE.fullmatch(text, start, b)):
+                    before[0] = before[0] or scorer.before(text, start)
+                    starts.append((start, so_far, before[0]))
+        arrive(b, starts)
+    out, path = [], best[1]
+    while path:
+        span, path = path
+        out.append(span)
     return out[::-1]
 
 
@@ -314,7 +413,7 @@ def regions_of(text: str, base: list[Span]) -> list[tuple[int, int]]:
     return [(s, e) for s, e in merged]
 
 
-def added_spans(text: str, base: list[Span], weights: dict[tuple[str, str], float]) -> list[Span]:
+def added_spans(text: str, base: list[Span], scorer: _Scorer) -> list[Span]:
     """What the field finds apart from base spans."""
     out, first = [], 0
     taken = sorted(base)
@@ -325,7 +424,7 @@ def added_spans(text: str, base: list[Span], weights: dict[tuple[str, str], floa
         own, first = taken[first:last], last
         edges = sorted({(a, b) for a, b, _ in own})
         at = 0
-        for a, b, k in decode(_lattice(text, s, e, own), weights):
+        for a, b, k in decode(text, s, e, own, scorer):
             while at < len(edges) and edges[at][1] <= a and (at + 1 == len(edges) or edges[at + 1][0] <= a):
                 at += 1
             if not any(x < b and y > a for x, y in edges[max(0, at - len(KINDS)) : at + len(KINDS) + 1]):
@@ -333,10 +432,20 @@ def added_spans(text: str, base: list[Span], weights: dict[tuple[str, str], floa
     return out
 
 
+_SCORERS: list[tuple[dict, _Scorer]] = []
+
+
+def _scorer_of(weights: dict[tuple[str, str], float]) -> _Scorer:
+    """One scorer for all texts that are scored by the same weights."""
+    if not _SCORERS or _SCORERS[0][0] is not weights:
+        _SCORERS[:] = [(weights, _Scorer(weights))]
+    return _SCORERS[0][1]
+
+
 def find_spans(text: str, weights: dict[tuple[str, str], float]) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans), each in order."""
     base = base_spans(text)
-    return base, in_order(base + added_spans(text, base, weights))
+    return base, in_order(base + added_spans(text, base, _scorer_of(weights)))
 
 
 def named(spans: list[Span]) -> str:
