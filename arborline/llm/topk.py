@@ -1,9 +1,10 @@
 """Operator 5: exact top-k inner-product search by distributed histogram selection.
 
 Queries are dealt into blocks of bounded size, and each block is broadcast to the candidates, which stay where they are: vectors are never
-shuffled. A task scores all its candidates against the block by matrix products and hands on each query's k best of them; what it leaves
-out cannot be among the k best of all. Then the scores' histograms are added up for every query, the bin that holds the k-th best
-is found, and the next round splits that bin only, until a bin is one score wide. Scores from the k-th value up are ranked.
+shuffled. Every task scores all its candidates against the block by matrix products and counts the scores of each query in bins. The tasks' histograms are added
+up, the bin that holds the query's k-th best score of all is found, and the next sweep splits that bin only, until a bin is one score wide: that is
+the k-th score. A last sweep hands on the scores from there up, which are ranked. Of its histogram a task hands on what lies at or above its own k-th best, as the k-th best
+of all can't lie lower; of ties at the k-th score each task hands on those of smallest id.
 """
 
 from __future__ import annotations
@@ -21,10 +22,9 @@ from arborline.llm.common import checkpointed, tidy
 #: A block's queries, and the bytes of their vectors, at most; how many blocks one job reads the candidates for.
 BLOCK_QUERIES, BLOCK_BYTES, JOB_BLOCKS = 4096, 1 << 24, 16
 CHUNK = 1024
-#: A round splits a range into 2^BIN_BITS bins.
-BIN_BITS = 12
+#: A sweep splits a range into 2^BIN_BITS bins at most, and as many as COUNTERS counters a task allow.
+BIN_BITS, COUNTERS = 12, 1 << 21
 SALTS = 16
-_NOTHING = np.iinfo(np.int64).min
 
 
 def quantised(df: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
@@ -69,77 +69,124 @@ def _blocks(rows: pa.Table) -> dict[int, Block]:
     return out
 
 
-class _Best:
-    """The k best scores of each query of a block so far; ties to the smaller id."""
-
-    def __init__(self, block: Block, k: int) -> None:
-        self.block, self.k = block, k
-        self.row = self.id = self.score = np.zeros(0, np.int64)
-        self.least = np.full(len(block.id), _NOTHING)
-
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        block, k = self.block, self.k
-        scores = _products(block.v, vectors)
-        low, high = np.searchsorted(block.id, ids), np.searchsorted(block.id, ids, "right")
-        for c in np.flatnonzero(low < high):
-            own = low[c] + np.flatnonzero((block.v[low[c] : high[c]] == vectors[c]).all(axis=1))
-            scores[own, c] = _NOTHING
-        least = self.least
-        if len(ids) > k and (least == _NOTHING).any():
-            least = np.maximum(least, np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k])
-        row, column = np.nonzero((scores >= least[:, None]) & (scores != _NOTHING))
-        row, found, score = np.concatenate([self.row, row]), np.concatenate([self.id, ids[column]]), np.concatenate([self.score, scores[row, column]])
-        order = np.lexsort((found, -score, row))
-        row, found, score = row[order], found[order], score[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        best = place < k
-        self.row, self.id, self.score = row[best], found[best], score[best]
-        full = place == k - 1
-        self.least[row[full]] = score[full]
-
-    def table(self) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(self.block.number[self.row]), pa.array(self.id), pa.array(self.score)], names=["q", "id", "score"])
-
-
-def _scored(rows: DataFrame, queries: pa.Table, k: int) -> DataFrame:
-    """(q, id, score): each task's k best candidates of each query; a query's own row, the one with its id and vector, is none."""
-    shared = rows.sparkSession.sparkContext.broadcast(_blocks(queries))
+Chunks = Iterator[tuple[Block, np.ndarray, np.ndarray, np.ndarray]]
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], blocks: dict[int, Block]) -> Chunks:
+    """(block, ids, vectors, scores: query x candidate) of all candidates (id, v), piece by piece; only vectors of one length meet."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, CHUNK):
+            part = batch.slice(at, CHUNK)
+            ids, v = part.column(0).to_numpy(), part.column(1)
+            flat, start = v.values.to_numpy(), v.offsets.to_numpy()
+            size = np.diff(start)
+            for d in np.unique(size):
+                if block := blocks.get(int(d)):
+                    pick = np.flatnonzero(size == d)
+                    vectors = flat[start[pick][:, None] + np.arange(d)]
+                    yield block, ids[pick], vectors, _products(block.v, vectors)
+
+
+@dataclass
+class Search:
+    """A block of queries (table: q, id, v), by q: the low end of the range that holds the k-th best score, and the how manieth from the top of that range it is."""
+
+    queries: pa.Table
+    low: dict[int, int]
+    need: dict[int, int]
+
+
+def _bins(rows: DataFrame, search: Search, k: int, width: int, shift: int) -> DataFrame:
+    """(q, bin, n): each task's counts of scores in bins of 2^shift from the low end on, at and above the bin of its own k-th best."""
+    shared = rows.sparkSession.sparkContext.broadcast((_blocks(search.queries), search.low))
+    bins = -(-width >> shift)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks, low = shared.value
+        lows = {d: np.array([low[q] for q in b.number.tolist()]) for d, b in blocks.items()}
+        counts = {d: np.zeros(len(b.id) * bins, np.int64) for d, b in blocks.items()}
+        for block, _, vectors, scores in _chunks(batches, blocks):
+            d = vectors.shape[1]
+            above = scores - lows[d][:, None]
+            row, column = np.nonzero((above >= 0) & (above < width))
+            np.add(counts[d], np.bincount(row * bins + (above[row, column] >> shift), minlength=len(counts[d])), out=counts[d])
+        for d, block in blocks.items():
+            table = counts[d].reshape(-1, bins)
+            higher = table[:, ::-1].cumsum(axis=1)[:, ::-1] - table
+            # the query's own row may be among the counted, so one more than k
+            row, at = np.nonzero((table > 0) & (higher <= k))
+            yield pa.record_batch([pa.array(block.number[row]), pa.array(at), pa.array(table[row, at])], names=["q", "bin", "n"])
+
+    return rows.select("id", "v").mapInArrow(tidy(run), "q long, bin long, n long")
+
+
+def _narrowed(counts: DataFrame, searches: list[Search], own: DataFrame, width: int, shift: int) -> None:
+    """Move each search to the bin that holds its k-th best. own: (q, score) of the queries' own rows, which are counted but are no candidates."""
+    low = {q: v for s in searches for q, v in s.low.items()}
+    state = own.sparkSession.createDataFrame(list(low.items()), "q long, low long")
+    step = F.lit(1 << shift).cast("long")
+    mine = own.join(F.broadcast(state), "q").where((F.col("score") >= F.col("low")) & (F.col("score") - F.col("low") < F.lit(width)))
+    mine = mine.select("q", F.floor((F.col("score") - F.col("low")) / step).cast("long").alias("bin"), F.lit(-1).cast("long").alias("n"))
+    need = own.sparkSession.createDataFrame([(q, n) for s in searches for q, n in s.need.items()], "q long, need long")
+    added = counts.union(mine).groupBy("q", "bin").agg(F.sum("n").alias("n"))
+    down = Window.partitionBy("q").orderBy(F.desc("bin"))
+    found = added.withColumn("upto", F.sum("n").over(down)).join(F.broadcast(need), "q").where((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need")))
+    at = {r.q: (r.bin, r.above) for r in found.select("q", "bin", (F.col("upto") - F.col("n")).alias("above")).collect()}
+    for s in searches:
+        for q in s.low:
+            where, above = at.get(q, (0, 0))  # fewer candidates than are wanted: all are
+            s.low[q] += where << shift
+            s.need[q] -= above
+
+
+def _from(rows: DataFrame, search: Search, k: int) -> DataFrame:
+    """(q, id, score) of candidates from the k-th score up; of a task's ties at that score the k of smallest id. A query's own row, the one with its id and vector, is none."""
+    shared = rows.sparkSession.sparkContext.broadcast((_blocks(search.queries), search.low))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = {d: _Best(b, k) for d, b in shared.value.items()}
-        for batch in batches:
-            for at in range(0, batch.num_rows, CHUNK):
-                part = batch.slice(at, CHUNK)
-                ids, v = part.column(0).to_numpy(), part.column(1)
-                flat, start = v.values.to_numpy(), v.offsets.to_numpy()
-                size = np.diff(start)
-                for d in np.unique(size):
-                    if int(d) in best:
-                        pick = np.flatnonzero(size == d)
-                        best[int(d)].add(ids[pick], flat[start[pick][:, None] + np.arange(d)])
-        yield from (b.table() for b in best.values())
+        blocks, low = shared.value
+        lows = {d: np.array([low[q] for q in b.number.tolist()]) for d, b in blocks.items()}
+        ties: dict[int, tuple[np.ndarray, np.ndarray]] = {d: (np.zeros(0, np.int64), np.zeros(0, np.int64)) for d in blocks}
+        for block, ids, vectors, scores in _chunks(batches, blocks):
+            d, least = vectors.shape[1], lows[vectors.shape[1]][:, None]
+            first, last = np.searchsorted(block.id, ids), np.searchsorted(block.id, ids, "right")
+            taken = scores >= least
+            for c in np.flatnonzero(first < last):
+                taken[first[c] + np.flatnonzero((block.v[first[c] : last[c]] == vectors[c]).all(axis=1)), c] = False
+            row, column = np.nonzero(taken & (scores > least))
+            yield pa.record_batch([pa.array(block.number[row]), pa.array(ids[column]), pa.array(scores[row, column])], names=["q", "id", "score"])
+            row, column = np.nonzero(taken & (scores == least))
+            row, found = np.concatenate([ties[d][0], row]), np.concatenate([ties[d][1], ids[column]])
+            order = np.lexsort((found, row))
+            row, found = row[order], found[order]
+            keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+            ties[d] = row[keep], found[keep]
+        for d, (row, found) in ties.items():
+            yield pa.record_batch([pa.array(blocks[d].number[row]), pa.array(found), pa.array(lows[d][row])], names=["q", "id", "score"])
 
     return rows.select("id", "v").mapInArrow(tidy(run), "q long, id long, score long")
 
 
-def _kth_scores(scores: DataFrame, k: int) -> DataFrame:
-    """(q, kth): each query's k-th best score by rounds of histograms; its least possible score if there are fewer."""
-    low, high = scores.agg(F.min("score"), F.max("score")).first()
-    width = (high or 0) - (low or 0) + 1
-    shift = max(0, width.bit_length() - BIN_BITS)
-    state = scores.select("q").distinct().select("q", F.lit(low or 0).cast("long").alias("kth"), F.lit(k).cast("long").alias("need"))
+def _together(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
+
+
+def select(rows: DataFrame, searches: list[Search], own: DataFrame, k: int, reach: int) -> DataFrame:
+    """(q, id, score) of the searches' best candidates, k or more of each where there are so many; no score is above ``reach`` or below -reach."""
+    most = max((len(s.low) for s in searches), default=1)
+    bits = max(1, min(BIN_BITS, (COUNTERS // max(1, most)).bit_length() - 1))
+    width = 2 * reach + 1
+    for s in searches:
+        s.low, s.need = dict.fromkeys(s.low, -reach), dict.fromkeys(s.need, k)
+    shift = max(0, width.bit_length() - bits)
     while True:
-        step = F.lit(1 << shift).cast("long")
-        inside = scores.join(state, "q").where((F.col("score") >= F.col("kth")) & (F.col("score") - F.col("kth") < F.lit(width)))
-        counts = inside.groupBy("q", F.floor((F.col("score") - F.col("kth")) / step).cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-        down = Window.partitionBy("q").orderBy(F.desc("bin"))
-        found = counts.withColumn("upto", F.sum("n").over(down)).join(state, "q").where((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need")))
-        found = found.select("q", "bin", (F.col("upto") - F.col("n")).alias("above"))
-        start, left = F.col("kth") + F.coalesce("bin", F.lit(0)) * step, F.col("need") - F.coalesce("above", F.lit(0))
-        state = checkpointed(state.join(found, "q", "left").select("q", start.alias("kth"), left.alias("need")))
+        _narrowed(_together([_bins(rows, s, k, width, shift) for s in searches]), searches, own, width, shift)
         if not shift:
-            return state.select("q", "kth")
-        width, shift = 1 << shift, max(0, shift - BIN_BITS)
+            return checkpointed(_together([_from(rows, s, k) for s in searches]))
+        width, shift = 1 << shift, max(0, shift - bits)
 
 
 def top_k(df: DataFrame, key: str, vector: str, is_query: Column, k: int = 10, scale: int = 1024) -> DataFrame:
@@ -159,16 +206,24 @@ def top_k(df: DataFrame, key: str, vector: str, is_query: Column, k: int = 10, s
     blocks = -(-n // each)
     dealt = queries.withColumn("block", F.pmod(F.xxhash64("q"), F.lit(max(1, blocks))))
     square = F.aggregate(F.transform("v", lambda x: x * x), F.lit(0).cast("long"), lambda a, x: a + x)
+    own = queries.select("q", "id", "m", square.alias("score"))
     copies = F.explode(F.sequence(F.lit(1), F.least(F.col("m") - 1, F.lit(k))))
-    scores = queries.where("m > 1").select("q", "id", square.alias("score"), copies).select("q", "id", "score")
+    scores = own.where("m > 1").select("q", "id", "score", copies).select("q", "id", "score")
+    reach = (rows.agg(F.max(square)).first()[0] or 0) if blocks else 0  # by Cauchy and Schwarz
+    if reach >= 1 << 62:
+        raise OverflowError("an inner product may not fit in 64 bits")
     for first in range(0, blocks, JOB_BLOCKS):
-        parts = [_scored(rows, dealt.where(F.col("block") == b).select("q", "id", "v").toArrow(), k) for b in range(first, min(blocks, first + JOB_BLOCKS))]
-        together = parts[0]
-        for p in parts[1:]:
-            together = together.union(p)
-        scores = scores.union(checkpointed(together))
+        searches = []
+        for b in range(first, min(blocks, first + JOB_BLOCKS)):
+            asked = dealt.where(F.col("block") == b).select("q", "id", "v").toArrow()
+            numbers = asked.column("q").to_pylist()
+            searches.append(Search(asked, dict.fromkeys(numbers, 0), dict.fromkeys(numbers, k)))
+        mine = own.select("q", "score").where(F.pmod(F.xxhash64("q"), F.lit(blocks)).between(first, first + len(searches) - 1))
+        searches = [s for s in searches if s.low]
+        if searches:
+            scores = scores.union(select(rows, searches, mine, k, reach))
     best = Window.orderBy(F.desc("score"), "id")
-    found = scores.join(_kth_scores(scores, k), "q").where(F.col("score") >= F.col("kth")).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    found = scores.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
     found = found.withColumn("r", F.row_number().over(best.partitionBy("q", "salt"))).where(F.col("r") <= k)
     found = found.withColumn("rank", F.row_number().over(best.partitionBy("q"))).where(F.col("rank") <= k)
     named = found.select("q", "rank", F.col("id").alias("vec_id"), "score").join(queries.select("q", F.col("id").alias("query_id"), "m"), "q")
