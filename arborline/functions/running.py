@@ -1,33 +1,69 @@
-"""Running totals of groups of any size."""
+"""Running totals of groups of any size, by a distributed prefix scan."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from arborline.checkpoints import checkpointed
 
-PARTS = 64
+#: Rows of a range at most, about; and how few a task may get so that all cores work.
+RANGE_ROWS, LEAST_ROWS = 500_000, 5_000
+
+
+def same_keys(a: DataFrame, b: DataFrame, pairs: dict[str, str]) -> Column:
+    """Columns of a equal to columns of b, nulls to nulls."""
+    on: Column = F.lit(True)
+    for x, y in pairs.items():
+        on = on & a[x].eqNullSafe(b[y])
+    return on
 
 
 def totals_below(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str]) -> DataFrame:
-    """Add ``<value>__below``: the total of a column over the rows of the same keys with a lower ``order``, which is distinct within keys.
+    """Add ``<value>__below``: the total of a numeric column over the rows of the same keys that come before in ``order``; a null counts as 0.
 
-    A group is dealt into PARTS ranges of order by approximate quantiles of the whole table: totals are run inside a range, and moved up by those of the
-    ranges before it, of which a group has PARTS rows.
+    Rows are dealt into ranges of (keys, order), whose number follows the rows; each range is one sorted partition. A range's first group may have begun in ranges before:
+    of those groups the totals so far, one row a range at most, are broadcast. Then each range is run through once, in place, from there on. So neither a large
+    group nor many small ones gather in a task; rows that tie in order come one after another in any, but fixed, order.
     """
     df = checkpointed(df)
-    cuts = sorted(set(df.approxQuantile(order, [i / PARTS for i in range(1, PARTS)], 0.25 / PARTS)))
-    part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col(order))) if cuts else F.lit(0)
-    dealt = df.withColumn("part__", part)
-    sums = dealt.groupBy(*keys, "part__").agg(*[F.sum(v).alias(v) for v in values])
-    earlier = Window.partitionBy(*keys).orderBy("part__").rowsBetween(Window.unboundedPreceding, -1)
-    moved = sums.select(*[F.col(k).alias(f"{k}__k") for k in keys], F.col("part__").alias("part__k"), *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"{v}__from") for v in values])
-    on = dealt["part__"] == moved["part__k"]
-    for k in keys:
-        on = on & dealt[k].eqNullSafe(moved[f"{k}__k"])
-    inside = Window.partitionBy(*keys, "part__").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    run = dealt.join(moved, on).withColumns({f"{v}__below": F.col(f"{v}__from") + F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values})
-    return run.select(*df.columns, *[f"{v}__below" for v in values])
+    n = df.count()
+    parts = max(-(-n // RANGE_ROWS), min(df.sparkSession.sparkContext.defaultParallelism, -(-n // LEAST_ROWS)), 1)
+    by = [*[F.col(k) for k in keys], F.col(order)]
+    # the checkpoint fixes which rows a range holds, and their order
+    ranged = checkpointed(df.repartitionByRange(parts, *by).sortWithinPartitions(*by)).withColumn("range__", F.spark_partition_id())
+    kinds = {v: LongType() if df.schema[v].dataType.typeName() in ("byte", "short", "integer", "long") else DoubleType() for v in values}
+    sums = ranged.groupBy("range__", *keys).agg(*[F.coalesce(F.sum(F.col(v).cast(kinds[v])), F.lit(0).cast(kinds[v])).alias(v) for v in values])
+    before = Window.partitionBy(*keys).orderBy("range__").rowsBetween(Window.unboundedPreceding, -1)
+    begun = sums.select(F.col("range__").alias("range__k"), *[F.col(k).alias(f"{k}__k") for k in keys], *[F.sum(v).over(before).alias(f"{v}__from") for v in values], F.count(F.lit(1)).over(before).alias("n__")).where("n__ > 0").drop("n__")
+    placed = ranged.join(F.broadcast(begun), same_keys(ranged, begun, {"range__": "range__k"} | {k: f"{k}__k" for k in keys}), "left")
+    zero = {v: F.lit(0).cast(kinds[v]) for v in values}
+    group = F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("long")
+    fed = placed.select(*df.columns, group.alias("group__"), *[F.coalesce(F.col(v).cast(kinds[v]), zero[v]).alias(f"{v}__own") for v in values], *[F.coalesce(f"{v}__from", zero[v]).alias(f"{v}__from") for v in values])
+    width, wanted, names = len(df.columns), len(values), [*df.columns, *(f"{v}__below" for v in values)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, carried = None, [0] * wanted
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = batch.column(width).to_numpy()
+            begins = np.concatenate([[last is None or own[0] != last], own[1:] != own[:-1]])
+            at = np.maximum.accumulate(np.where(begins, np.arange(len(own)), 0))
+            out = []
+            for i in range(wanted):
+                x, start = batch.column(width + 1 + i).to_numpy(), batch.column(width + 1 + wanted + i).to_numpy()
+                upto = np.cumsum(x)
+                below = upto - x
+                base = np.where(begins[at], start[at] - below[at], carried[i])
+                out.append(below + base)
+                carried[i] = upto[-1] + base[-1]
+            last = own[-1]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *map(pa.array, out)], names=names)
+
+    return fed.mapInArrow(run, StructType([*df.schema.fields, *(StructField(f"{v}__below", kinds[v]) for v in values)]))

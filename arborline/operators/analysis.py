@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from arborline.checkpoints import checkpointed
 from arborline.functions.quantiles import exact_quantiles
-from arborline.functions.running import totals_below
+from arborline.functions.running import same_keys, totals_below
 from arborline.functions.scalars import num
 
 
@@ -92,26 +91,84 @@ def auc(df: DataFrame, score: str, positive: str, keys: Sequence[str] = ()) -> D
     return sums.select(*keys, F.try_divide(F.col("won"), (F.col("np") * F.col("nq")).cast("double")).alias("auc"))
 
 
-def cross_validated_scores(df: DataFrame, key: str, feature: str, positive: str, folds: int = 5) -> DataFrame:
-    """(key, positive, score): each row's probability under a logistic regression fitted on the other folds."""
-    rows = df.where(F.col(feature).isNotNull() & F.col(positive).isNotNull()).select(key, feature, F.col(positive).cast("double").alias("y"))
-    # folds are dealt by hash inside each class, so that no class has to be numbered in one task
-    rows = rows.withColumn("fold", F.pmod(F.xxhash64(key, "y"), F.lit(folds)))
-    rows = VectorAssembler(inputCols=[feature], outputCol="features").transform(rows).cache()
-    try:
-        out = None
-        for k in range(folds):
-            train = rows.where(F.col("fold") != k)
-            n = train.count()
-            if train.select("y").distinct().count() < 2:
-                continue
-            model = LogisticRegression(labelCol="y", regParam=1.0 / n, elasticNetParam=0.0, standardization=False, maxIter=1000).fit(train)
-            part = model.transform(rows.where(F.col("fold") == k)).select(key, (F.col("y") > 0).alias(positive), vector_to_array("probability")[1].alias("score"))
-            out = part if out is None else out.union(part)
-        empty = rows.limit(0).select(key, (F.col("y") > 0).alias(positive), num(0).alias("score"))
-        return empty if out is None else out
-    finally:
-        rows.unpersist()
+#: Newton steps of regressions at most, and steps below which they have settled.
+MOST_STEPS, SETTLED = 100, 1e-10
+
+
+def dealt_folds(rows: DataFrame, key: str, folds: int, scopes: Sequence[str] = ()) -> DataFrame:
+    """Add fold: rows (key, y) of each scope are ranked by class and the key's hash, and dealt in turn, so that folds have equally many rows of each class within one."""
+    ranked = rows.withColumns({"order__": F.struct("y", F.md5(F.col(key).cast("string"))), "one__": F.lit(1).cast("long")})
+    return totals_below(ranked, scopes, "order__", ["one__"]).withColumn("fold", F.pmod("one____below", F.lit(folds)).cast("int")).drop("order__", "one__", "one____below")
+
+
+def _next_step(m: int, penalty: float) -> dict[str, Column]:
+    """The columns of model m after a round: the trial if it is no worse than the best so far, with a Newton step from there; else half the last step."""
+    c = lambda name: F.col(f"{name}{m}")
+    loss = c("loss") + num(penalty / 2) * c("w") * c("w")
+    better = loss <= c("best") + F.abs(c("best")) * num(1e-13)
+    gw, hww = c("gw") + num(penalty) * c("w"), c("hww") + num(penalty)
+    spread = F.greatest(c("hbb") * hww - c("hbw") * c("hbw"), num(1e-300))
+    steps = {"w": (c("hbw") * c("gb") - c("hbb") * gw) / spread, "b": (c("hbw") * gw - hww * c("gb")) / spread}
+    fits = (c("pos") > 0) & (c("pos") < c("n"))
+    out = {f"best{m}": F.when(better, loss).otherwise(c("best")), f"fits{m}": fits}
+    for v in "wb":
+        step = F.when(~fits, num(0)).when(better, steps[v]).otherwise(c(f"s{v}") / num(2))
+        kept = F.when(better, c(v)).otherwise(c(f"p{v}"))
+        out |= {f"p{v}{m}": kept, f"s{v}{m}": step, f"{v}{m}": kept + step}
+    return out
+
+
+def fold_models(dealt: DataFrame, folds: int, scopes: Sequence[str] = (), penalty: float = 1.0) -> DataFrame:
+    """One row a scope: its mean x, and the logistic regressions w<m> * (x - mean) + b<m> fitted on the rows (x, y, fold) of all folds but m.
+
+    The penalty is on w alone. All models of all scopes go through Newton's method side by side: a round is one aggregation over the rows, whose
+    result, some sums a scope, becomes the next table of models; the driver learns the longest step only. fits<m> says whether both classes were there.
+    """
+    names = {k: f"{k}__k" for k in scopes}
+    means = dealt.groupBy(*scopes).agg(F.avg("x").alias("mean")).select(*[F.col(k).alias(n) for k, n in names.items()], "mean")
+    models = checkpointed(means.withColumns({f"{c}{m}": num(math.inf if c == "best" else 0) for m in range(folds) for c in ("w", "b", "pw", "pb", "sw", "sb", "best")}))
+    kept = [*names.values(), "mean", *(f"{c}{m}" for m in range(folds) for c in ("w", "b", "pw", "pb", "sw", "sb", "best", "fits"))]
+    for _ in range(MOST_STEPS):
+        both = dealt.join(models, same_keys(dealt, models, names))
+        parts = []
+        for m in range(folds):
+            x = F.col("x") - F.col("mean")
+            z = F.col(f"w{m}") * x + F.col(f"b{m}")
+            p = num(1) / (num(1) + F.exp(-z))
+            terms = {
+                "gb": p - F.col("y"), "gw": (p - F.col("y")) * x, "hbb": p * (num(1) - p), "hbw": p * (num(1) - p) * x, "hww": p * (num(1) - p) * x * x,
+                "loss": F.greatest(z, num(0)) + F.log1p(F.exp(-F.abs(z))) - F.col("y") * z, "n": num(1), "pos": F.col("y"),
+            }
+            parts += [F.coalesce(F.sum(F.when(F.col("fold") != m, t)), num(0)).alias(f"{c}{m}") for c, t in terms.items()]
+        sums = both.groupBy(*scopes).agg(*parts).withColumnsRenamed({k: f"{k}__s" for k in scopes})
+        joined = models.drop(*(f"fits{m}" for m in range(folds))).join(sums, same_keys(models, sums, {n: f"{k}__s" for k, n in names.items()}))
+        steps: dict[str, Column] = {}
+        for m in range(folds):
+            steps |= _next_step(m, penalty)
+        models = checkpointed(joined.withColumns(steps).select(*kept))
+        longest = F.greatest(*[F.greatest(F.abs(f"sw{m}"), F.abs(f"sb{m}")) / (num(1) + F.abs(f"pw{m}") + F.abs(f"pb{m}")) for m in range(folds)], num(0))
+        if (models.agg(F.max(longest)).first()[0] or 0.0) < SETTLED:
+            return models.withColumnsRenamed({n: k for k, n in names.items()}).select(*scopes, "mean", *(F.col(f"{c}{m}") for m in range(folds) for c in ("w", "b", "fits")))
+    raise RuntimeError("regressions did not settle")
+
+
+def cross_validated_scores(df: DataFrame, key: str, feature: str, positive: str, folds: int = 5, scopes: Sequence[str] = ()) -> DataFrame:
+    """(scopes, key, positive, score): each row's probability under a logistic regression fitted on the scope's other folds, which are stratified.
+
+    A scope has no scores if the rows outside one of its folds are of one class, or if neither class has a row for each fold. Rows with a null feature or class are left out.
+    """
+    rows = df.where(F.col(feature).isNotNull() & F.col(positive).isNotNull()).select(*scopes, F.col(key), F.col(feature).cast("double").alias("x"), F.col(positive).cast("double").alias("y"))
+    dealt = checkpointed(dealt_folds(rows, key, folds, scopes))
+    models = fold_models(dealt, folds, scopes).withColumnsRenamed({k: f"{k}__m" for k in scopes})
+    counts = dealt.groupBy(*scopes).agg(F.greatest(F.sum("y"), F.sum(num(1) - F.col("y"))).alias("larger__")).withColumnsRenamed({k: f"{k}__c" for k in scopes})
+    fits = F.col("larger__") >= folds
+    for m in range(folds):
+        fits = fits & F.col(f"fits{m}")
+    known = models.join(counts, same_keys(models, counts, {f"{k}__m": f"{k}__c" for k in scopes})).where(fits)
+    both = dealt.join(known, same_keys(dealt, known, {k: f"{k}__m" for k in scopes}))
+    own = lambda c: F.element_at(F.array(*[F.col(f"{c}{m}") for m in range(folds)]), F.col("fold") + F.lit(1))
+    score = num(1) / (num(1) + F.exp(-(own("w") * (F.col("x") - F.col("mean")) + own("b"))))
+    return both.select(*[dealt[k] for k in scopes], dealt[key], (F.col("y") > 0).alias(positive), score.alias("score"))
 
 
 def cover_share(df: DataFrame, keys: Sequence[str], cover: str, acres: str) -> DataFrame:

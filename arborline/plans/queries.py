@@ -688,11 +688,27 @@ def age_cluster_choice(spark, d):
     return spark.createDataFrame([(name, centers[i], choice.score(choice.model.k)) for i, name in clusters.age_labels(centers).items()], "cmi_label string, center double, silhouette double")
 
 
-@query()
+def _newton_sql(rounds: int = 14, folds: int = 5) -> str:
+    """Stratified folds and penalised regressions of every scope by Newton's method from zero, then areas by ranks."""
+    start = f"""x0 AS (SELECT season || '/' || orch_id AS k, season_sort, CMI_z AS x, (label = 'Likely Cover Cropping')::INTEGER AS y FROM asg JOIN age USING (season, season_sort, orch_id)),
+sc AS (SELECT unnest(['GLOBAL', 'SEASON_' || season_sort]) AS scope, k, x, y FROM x0),
+fo AS MATERIALIZED (SELECT *, (row_number() OVER (PARTITION BY scope ORDER BY y, md5(k)) - 1) % {folds} AS fold FROM sc),
+tr AS MATERIALIZED (SELECT scope, m, x, y FROM fo, (SELECT unnest(range({folds})) AS m) WHERE fold <> m),
+p0 AS (SELECT DISTINCT scope, m, 0.0::DOUBLE AS w, 0.0::DOUBLE AS b FROM tr)"""
+    steps = [f"""p{r} AS MATERIALIZED (SELECT scope, m, w + (hbw * gb - hbb * gw) / (hbb * hww - hbw * hbw) AS w, b + (hbw * gw - hww * gb) / (hbb * hww - hbw * hbw) AS b FROM (
+  SELECT scope, m, any_value(w) AS w, any_value(b) AS b, sum(p - y) AS gb, sum((p - y) * x) + any_value(w) AS gw, sum(p * (1 - p)) AS hbb, sum(p * (1 - p) * x) AS hbw, sum(p * (1 - p) * x * x) + 1 AS hww
+  FROM (SELECT *, 1 / (1 + exp(-(w * x + b))) AS p FROM tr JOIN p{r - 1} USING (scope, m)) GROUP BY scope, m))""" for r in range(1, rounds + 1)]
+    out = f"""SELECT scope, round((sum(ar) FILTER (y = 1) - count_if(y = 1) * (count_if(y = 1) + 1) / 2.0::DOUBLE) / nullif(count_if(y = 1) * count_if(y = 0), 0), 6) AS auc FROM (
+  SELECT *, rank() OVER (PARTITION BY scope ORDER BY s) + (count(*) OVER (PARTITION BY scope, s) - 1) / 2.0::DOUBLE AS ar FROM (SELECT scope, y, 1 / (1 + exp(-(w * x + b))) AS s FROM fo JOIN p{rounds} USING (scope) WHERE m = fold)) GROUP BY scope"""
+    return sql(out, "age").replace("\n" + out, ",\n" + ",\n".join([start, *steps]) + "\n" + out)
+
+
+@query(_newton_sql())
 def cross_validated_auc(spark, d):
+    """Areas of all seasons and of each, by regressions that are fitted side by side."""
     joined = P.assigned(spark, d).join(P.ages(spark, d).select("season", "orch_id", "CMI_z"), ["season", "orch_id"])
-    rows = checkpointed(joined.select(F.concat_ws("/", "season", "orch_id").alias("k"), "CMI_z", (F.col("label") == "Likely Cover Cropping").alias("cover")))
-    return analysis.auc(analysis.cross_validated_scores(rows, "k", "CMI_z", "cover"), "score", "cover")
+    rows = checkpointed(joined.select("season_sort", F.concat_ws("/", "season", "orch_id").alias("k"), "CMI_z", (F.col("label") == "Likely Cover Cropping").alias("cover")))
+    return R.cross_validated_areas(rows, "k", "CMI_z", "cover").select("scope", F.round("auc", 6).alias("auc"))
 
 
 @query()

@@ -108,19 +108,18 @@ def ages(trended: DataFrame, column: str, settings: Settings) -> tuple[DataFrame
     return own, centers, metrics
 
 
-def _two_classes(rows: DataFrame) -> bool:
-    return rows.where("CMI_z is not null and cover is not null").select("cover").distinct().count() > 1
-
-
 def index_analysis(joined: DataFrame, score: Column) -> DataFrame:
-    """(scope, n, corr_CMI_coverScore, auc_cmi_only): over all seasons and in each; the area is that of a cross-validated regression, null with one class."""
+    """(scope, n, corr_CMI_coverScore, auc_cmi_only): over all seasons and in each; the area is that of a cross-validated regression, null where it can't be fitted."""
     rows = checkpointed(joined.select("season_sort", "CMI_z", score.alias("score"), F.concat_ws("/", "season", "orch_id").alias("k"), F.lower("label").contains("cover").alias("cover")))
     out = analysis.correlations(rows, "CMI_z", "score", "season_sort").withColumnRenamed("corr", "corr_CMI_coverScore")
-    scopes = [("GLOBAL", rows)] + [(f"SEASON_{s}", rows.where(F.col("season_sort") == s)) for s in sorted(r[0] for r in rows.select("season_sort").distinct().collect())]
-    both = {r[0] for r in rows.where("CMI_z is not null and cover is not null").groupBy("season_sort").agg(F.count_distinct("cover").alias("n")).where("n > 1").select("season_sort").collect()}
-    areas = [(name, analysis.auc(analysis.cross_validated_scores(part, "k", "CMI_z", "cover"), "score", "cover").first()) for name, part in scopes if (name == "GLOBAL" and _two_classes(rows)) or name in {f"SEASON_{s}" for s in both}]
-    known = joined.sparkSession.createDataFrame([(name, a.auc if a else None) for name, a in areas], "scope string, auc_cmi_only double")
-    return out.join(known, "scope", "left")
+    return out.join(cross_validated_areas(rows, "k", "CMI_z", "cover").withColumnRenamed("auc", "auc_cmi_only"), "scope", "left")
+
+
+def cross_validated_areas(rows: DataFrame, key: str, feature: str, positive: str) -> DataFrame:
+    """(scope, auc) of GLOBAL and each SEASON_<season_sort>, all fitted side by side."""
+    scope = F.explode(F.array_compact(F.array(F.lit("GLOBAL"), F.concat(F.lit("SEASON_"), F.col("season_sort").cast("string")))))
+    scores = analysis.cross_validated_scores(rows.select(key, feature, positive, scope.alias("scope")), key, feature, positive, scopes=["scope"])
+    return analysis.auc(scores, "score", positive, ["scope"])
 
 
 def analyse(winter: DataFrame, summer: DataFrame | None = None, settings: Settings = Settings()) -> tuple[dict[str, DataFrame], Template]:
