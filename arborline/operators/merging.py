@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def upsert(documents: DataFrame, key: list[str], order: str) -> DataFrame:
-    """Of rows that share a key the one that is last in ``order``; order has to be distinct within a key."""
-    last = Window.partitionBy(*key).orderBy(F.desc(order))
-    return documents.withColumn("r__", F.row_number().over(last)).where("r__ = 1").drop("r__")
+    """Of rows that share a key the one that is last in ``order``, nulls first; order has to be distinct within a key.
+
+    An aggregation, so that each task keeps one row a key before the shuffle, however many rows a key has.
+    """
+    others = [c for c in documents.columns if c not in key]
+    last = documents.groupBy(*key).agg(F.max_by(F.struct(*others), F.struct(order)).alias("last__"))
+    return last.select(*[F.col(c) if c in key else F.col("last__")[c].alias(c) for c in documents.columns])
 
 
 def changed_files(files: DataFrame, state: DataFrame) -> DataFrame:
@@ -39,13 +43,17 @@ MANIFEST = "manifest.json"
 
 
 def entries(files: DataFrame) -> DataFrame:
-    """(folder, file, orch_id, value) of each key of the files' JSON objects; value is JSON text. A file is one object or lines of objects; what is no object is skipped."""
+    """(folder, file, orch_id, value) of each key of the files' JSON objects; value is JSON text. A file is one object or lines of objects; what is no object is skipped.
+
+    A key that repeats in a file counts once, with its last value, as JSON readers take it.
+    """
     text = F.col("content").cast("string")
     whole = F.from_json(text, "map<string,string>")
     lines = F.filter(F.transform(F.split(text, "\n"), lambda line: F.from_json(line, "map<string,string>")), lambda m: m.isNotNull())
     maps = F.when(F.instr(F.trim(text), "\n") == 0, F.filter(F.array(whole), lambda m: m.isNotNull())).when(F.size(lines) > 0, lines).otherwise(F.filter(F.array(whole), lambda m: m.isNotNull()))
-    rows = files.select("folder", "file", F.explode(maps).alias("m__"))
-    return rows.select("folder", "file", F.explode("m__").alias("orch_id", "value"))
+    rows = files.select("folder", "file", F.posexplode(maps).alias("line__", "m__"))
+    pairs = rows.select("folder", "file", "line__", F.posexplode("m__").alias("place__", "orch_id", "value"))
+    return pairs.groupBy("folder", "file", "orch_id").agg(F.max_by("value", F.struct("line__", "place__")).alias("value"))
 
 
 def manifests(entries_: DataFrame) -> DataFrame:
@@ -73,6 +81,12 @@ def merge_report(merged: DataFrame) -> DataFrame:
     return merged.groupBy("file").agg(F.count(F.lit(1)).alias("orchards"), F.countDistinct("folder").alias("n_sources"), F.bround(F.sum("bytes") / F.lit(1024.0), 1).alias("size_kb"))
 
 
+def merge_log(state: DataFrame) -> DataFrame:
+    """(folder, merged, n_files, file_hashes, last_merge): what a merge has taken in, a row a folder; file_hashes is JSON text of its files' hashes by name."""
+    hashes = F.to_json(F.map_from_entries(F.array_sort(F.collect_set(F.struct("file", "hash")))))
+    return state.groupBy("folder").agg(F.lit(True).alias("merged"), F.count_distinct("file").alias("n_files"), hashes.alias("file_hashes")).withColumn("last_merge", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+
+
 def run_report(documents: DataFrame, files: DataFrame) -> DataFrame:
     """One row: the time, folders and files read, the merged files' statistics, their total size and most entities of a season, and the seasons in order.
 

@@ -12,8 +12,8 @@ from arborline.functions import scalars as S
 from arborline.functions.scalars import num
 
 MOST_STREAK = 8
-#: Bits of a mask.
-MOST_SEASONS = 63
+#: Seasons of a mask that is one number, and bits of a word of longer masks.
+MOST_SEASONS, WORD_BITS = 63, 64
 
 
 def _order():
@@ -66,20 +66,23 @@ def streaks_so_far(assigned: DataFrame, columns: Sequence[str], role: str = "clu
 def cover_masks(served: DataFrame, seasons: Sequence[int], threshold: float = 0.15) -> DataFrame:
     """(orch_id, mask, longest, years_active, ever_cover, never_cover) of entities with a confident cover season.
 
-    Bit i of the mask is the i-th of all seasons, the earliest first; a missing season ends a run. Only if no row is a confident cover,
-    all entities are listed, with zeros.
+    Bit i of the mask is the i-th of all seasons, the earliest first; a missing season ends a run. Of more than MOST_SEASONS seasons the mask is an array of
+    words of WORD_BITS bits, the earliest first; runs go on from word to word. Only if no row is a confident cover, all entities are listed, with zeros.
     """
-    if len(seasons) > MOST_SEASONS:
-        raise ValueError(f"a mask has {MOST_SEASONS} seasons at most, not {len(seasons)}")
-    index = F.array_position(F.array(*[F.lit(int(s)) for s in seasons]), F.col("season_sort")).cast("int") - 1
-    sure = served.where((F.col("cluster_role") == "Cover Crops") & (F.coalesce("best_soft_norm", num(0)) > threshold)).select("orch_id", index.alias("i")).where("i >= 0 and orch_id is not null").distinct()
+    words = -(-len(seasons) // WORD_BITS) if len(seasons) > MOST_SEASONS else 0
+    at = F.map_from_arrays(F.array(*[F.lit(int(s)) for s in seasons]), F.array(*[F.lit(i) for i in range(len(seasons))])) if seasons else F.lit(None).cast("map<int,int>")
+    index = F.try_element_at(at, F.col("season_sort").cast("int"))
+    sure = served.where((F.col("cluster_role") == "Cover Crops") & (F.coalesce("best_soft_norm", num(0)) > threshold)).select("orch_id", index.alias("i")).where("i is not null and orch_id is not null").distinct()
     island = F.col("i") - F.row_number().over(Window.partitionBy("orch_id").orderBy("i"))
-    runs = sure.withColumn("g", island).groupBy("orch_id", "g").agg(F.count(F.lit(1)).alias("n"), F.expr("bit_or(shiftleft(1L, i))").alias("m"))
-    found = runs.groupBy("orch_id").agg(F.expr("bit_or(m)").alias("mask"), F.max("n").alias("longest"), F.sum("n").alias("years_active"))
-    found = checkpointed(found)
+    bits = [F.expr(f"bit_or(case when i div {WORD_BITS} = {w} then shiftleft(1L, i % {WORD_BITS}) else 0L end)").alias(f"m{w}") for w in range(max(1, words))]
+    runs = sure.withColumn("g", island).groupBy("orch_id", "g").agg(F.count(F.lit(1)).alias("n"), *bits)
+    whole = [F.expr(f"bit_or(m{w})") for w in range(max(1, words))]
+    mask = F.array(*whole) if words else whole[0]
+    found = checkpointed(runs.groupBy("orch_id").agg(mask.alias("mask"), F.max("n").alias("longest"), F.sum("n").alias("years_active")))
     if found.isEmpty():
         zero = F.lit(0).cast("long")
-        found = served.where("orch_id is not null").select("orch_id").distinct().select("orch_id", zero.alias("mask"), zero.alias("longest"), zero.alias("years_active"))
+        none = F.array(*[zero] * words) if words else zero
+        found = served.where("orch_id is not null").select("orch_id").distinct().select("orch_id", none.alias("mask"), zero.alias("longest"), zero.alias("years_active"))
     return found.withColumns({"ever_cover": F.col("years_active") > 0, "never_cover": F.col("years_active") == 0})
 
 

@@ -132,10 +132,24 @@ def test_season_z_with_and_without_spread(spark):
         assert row.z == pytest.approx((row.x - x.mean()) / x.std() if x.std() else 0.0)
 
 
-def test_masks_have_a_bound(spark):
-    df = spark.createDataFrame([("a", 1, "Cover Crops", 0.9)], "orch_id string, season_sort int, cluster_role string, best_soft_norm double")
-    with pytest.raises(ValueError):
-        sequences.cover_masks(df, range(64))
+@pytest.mark.parametrize("n", [1, 63, 64, 200])
+def test_masks_of_any_number_of_seasons(spark, n):
+    r = np.random.default_rng(n)
+    rows = [(k, 1900 + i, "Cover Crops" if r.random() < 0.7 else "Bare Soil", 0.9 if r.random() < 0.9 else 0.1) for k in "abcde" for i in range(n)] + [("a", 1900, "Cover Crops", 0.9), (None, 1900, "Cover Crops", 0.9), ("z", 3000, "Cover Crops", 0.9)]
+    df = spark.createDataFrame(rows, "orch_id string, season_sort int, cluster_role string, best_soft_norm double")
+    got = {x.orch_id: x for x in sequences.cover_masks(df, range(1900, 1900 + n)).collect()}
+    want = {}
+    for k, s, role, soft in rows:
+        if k and s < 3000 and role == "Cover Crops" and soft > 0.15:
+            want.setdefault(k, set()).add(s - 1900)
+    assert got.keys() == want.keys()
+    for k, seasons in want.items():
+        words = [got[k].mask] if n <= 63 else list(got[k].mask)
+        assert n <= 63 or len(words) == -(-n // 64)
+        assert {64 * w + i for w, m in enumerate(words) for i in range(64) if m >> i & 1} == seasons
+        text = "".join(str(int(i in seasons)) for i in range(n))
+        assert got[k].longest == max(map(len, text.split("0"))) and got[k].years_active == len(seasons)
+    assert {x.longest for x in sequences.cover_masks(df.where("best_soft_norm < 0.15"), range(1900, 1900 + n)).collect()} <= {0}
 
 
 def test_auc_with_ties(spark):
@@ -148,6 +162,14 @@ def test_merging(spark):
     old = spark.createDataFrame([("a", "f", "1", "1"), ("b", "f", "2", "2"), ("a", "g", "5", "5")], "folder string, file string, orch_id string, value string")
     new = spark.createDataFrame([("a", "f", "3", "3"), ("a", "f", "2", "9")], "folder string, file string, orch_id string, value string")
     assert {(r.file, r.orch_id, r.value) for r in merging.merge_onto(old, new, ["file", "orch_id"]).collect()} == {("f", "3", "3"), ("f", "2", "2"), ("g", "5", "5")}
+    twice = [("a", "f", '{"x":1,"y":2,"x":3}'), ("b", "manifest.json", '{"years":[1]}\n{"years":[2,3],"bit_order":"q"}'), ("c", "manifest.json", '{"years":[1,4],"years":[5]}')]
+    repeated = merging.entries(spark.createDataFrame(twice, "folder string, file string, content string"))
+    assert {(r.folder, r.orch_id): r.value for r in repeated.where("file = 'f'").collect()} == {("a", "x"): "3", ("a", "y"): "2"}
+    assert {r.folder: r.years for r in merging.manifests(repeated).collect()} == {"b": [2, 3], "c": [5]}
+    gaps = spark.createDataFrame([("k", None, "old"), ("k", 1, "new"), ("n", None, "only"), ("m", 2, None), ("m", 1, "x")], "key string, o int, v string")
+    assert {(r.key, r.o, r.v) for r in merging.upsert(gaps, ["key"], "o").collect()} == {("k", 1, "new"), ("n", None, "only"), ("m", 2, None)}
+    log = merging.merge_log(spark.createDataFrame([("a", "f", "h1"), ("a", "g", "h2"), ("b", "f", "h3")], "folder string, file string, hash string"))
+    assert {r.folder: (r.merged, r.n_files, json.loads(r.file_hashes)) for r in log.collect()} == {"a": (True, 2, {"f": "h1", "g": "h2"}), "b": (True, 1, {"f": "h3"})}
     docs = [("a", "f", '{"x": {"v": 1},\n "y": null}'), ("b", "f", "[1]"), ("c", "f", '{"x":{"v":2}}\n{"z":[1,2]}\n'), ("d", "f", "")]
     found = merging.entries(spark.createDataFrame(docs, "folder string, file string, content string"))
     assert {(r.folder, r.orch_id, r.value) for r in found.collect()} == {("a", "x", '{"v":1}'), ("a", "y", None), ("c", "x", '{"v":2}'), ("c", "z", "[1,2]")}
