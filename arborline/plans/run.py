@@ -15,7 +15,7 @@ from arborline.functions.scalars import num
 from arborline.operators import analysis, clusters, merging, sequences, serving, trends
 from arborline.operators.clusters import Model
 from arborline.operators.robust import robust_z
-from arborline.sources import readers, writers
+from arborline.sources import documents, readers, writers
 
 KEYS = ("season", "season_sort", "orch_id")
 #: Names of the winter export's columns here.
@@ -205,11 +205,11 @@ def run(spark: SparkSession, winter: Sequence[str], summer: Sequence[str], path:
 
 
 def convert(spark: SparkSession, path: str, out: str) -> None:
-    """Attributes, streaks and manifest of a run as keyed JSON: one document a season, streaks.json and manifest.json, in lines of one key each."""
+    """Attributes, streaks and manifest of a run as keyed JSON, one object a file: attrs/<season>.json, attrs/streaks.json and manifest.json."""
     seasons = readers.read_shards(spark, f"{path}/attrs").withColumn("file", F.concat(F.col("season_sort").cast("string"), F.lit(".json"))).drop("season_sort")
     streaks = readers.read_streaks(spark, f"{path}/streaks").withColumn("file", F.lit("streaks.json"))
     lines = writers.keyed_values(seasons, "orch_id", ["file"]).union(writers.keyed_values(streaks, "orch_id", ["file"]))
-    writers.write_raw_keyed_files(lines, "orch_id", "value", "file", f"{out}/attrs")
+    documents.write_documents(lines, "file", "orch_id", "value", f"{out}/attrs")
     writers.copy_text(spark, f"{path}/manifest.json", f"{out}/manifest.json")
 
 
@@ -217,7 +217,7 @@ def merge(spark: SparkSession, root: str, out: str, incremental: bool = True) ->
     """Merge the JSON files of root's folders, key by key, into ``out``; the report's row.
 
     Incremental: only files whose hash changed since the last run are parsed, and laid over what the last run knew of others. Every run writes its
-    own version under runs=k; documents are lines of one key each, of a file with no key nothing.
+    own version under run=k; a document is one object, of a file with no key there is none. The log has a row a folder.
     """
     files = checkpointed(readers.discover(spark, root))
     state, known, last = readers.read_runs(spark, f"{out}/state", "folder string, file string, hash string"), readers.read_runs(spark, f"{out}/entries", "folder string, file string, orch_id string, value string"), readers.last_run(spark, f"{out}/state")
@@ -225,13 +225,15 @@ def merge(spark: SparkSession, root: str, out: str, incremental: bool = True) ->
     entries = checkpointed(merging.layered(known if incremental else known.limit(0), merging.entries(changed), changed))
     merged = checkpointed(merging.upsert(entries, ["file", "orch_id"], "folder"))
     number = last + 1
-    merging.next_state(state, files).write.mode("overwrite").parquet(f"{out}/state/run={number}")
+    now = checkpointed(merging.next_state(state, files))
+    now.write.mode("overwrite").parquet(f"{out}/state/run={number}")
+    merging.merge_log(now).write.mode("overwrite").json(f"{out}/log/run={number}")
     entries.write.mode("overwrite").parquet(f"{out}/entries/run={number}")
-    documents = merged.where(F.col("file") != merging.MANIFEST)
-    writers.write_raw_keyed_files(documents, "orch_id", "value", "file", f"{out}/merged/run={number}")
+    kept = merged.where(F.col("file") != merging.MANIFEST)
+    documents.write_documents(kept, "file", "orch_id", "value", f"{out}/merged/run={number}")
     manifests = merging.manifests(entries)
     if not manifests.isEmpty():
         writers.write_json_row(merging.merged_manifest(manifests), f"{out}/merged/run={number}/manifest.json")
-    report = checkpointed(merging.run_report(documents, files))
+    report = checkpointed(merging.run_report(kept, files))
     writers.write_json_row(report, f"{out}/report/run={number}")
     return report

@@ -140,9 +140,7 @@ def test_documents_and_their_merging(spark, done, tmp_path):
     for name, (path, *_) in done.items():
         R.convert(spark, str(path / "out"), str(root / name))
     kern = readers.read_shards(spark, str(done["Kern"][0] / "out/attrs")).collect()
-    lines = {}
-    for r in spark.read.text(str(root / "Kern/attrs/file=2018.json")).collect():
-        lines |= json.loads(r[0])
+    lines = json.loads((root / "Kern/attrs/2018.json").read_text())
     assert lines == {r.orch_id: {c: r[c] for c in R.serving.ATTRIBUTES if c != "orch_id"} for r in kern if r.season_sort == 2018}
     # one key in two folders: the last folder by name wins
     (root / "Zeta").mkdir()
@@ -155,11 +153,10 @@ def test_documents_and_their_merging(spark, done, tmp_path):
     assert state["Zeta", "2018.json"] == hashlib.md5(text.encode()).hexdigest() and len(state) == 13
 
     def merged(run):
-        out = {}
-        for r in spark.read.text(str(tmp_path / f"merged/merged/run={run}/file=2018.json")).collect():
-            out |= json.loads(r[0])
-        return out
+        return json.loads((tmp_path / f"merged/merged/run={run}/2018.json").read_text())
 
+    log = {r.folder: r for r in spark.read.json(str(tmp_path / "merged/log/run=1")).collect()}
+    assert set(log) == {"Butte", "Kern", "Zeta"} and log["Zeta"].merged and json.loads(log["Zeta"].file_hashes) == {"2018.json": state["Zeta", "2018.json"]}
     assert merged(1)["00100000"] == {"v": 1} and merged(1)["zz"] == {"v": None} and merged(1)["00200001"] == lines["00200001"]
     assert json.loads(spark.read.text(str(tmp_path / "merged/merged/run=1/manifest.json")).first()[0])["years"] == [2018, 2019, 2020, 2021]
     (root / "Zeta/2018.json").write_text(json.dumps({"zz": {"v": 2}}))
