@@ -26,9 +26,9 @@ BUFFER = 1 << 20
 
 def opened(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     """The file system of a path or URI, and the path inside it."""
-    if "://" in path or path.startswith("file:"):
-        return pyarrow.fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
-    return pyarrow.fs.LocalFileSystem(), path
+    if path.startswith("file:"):  # as Spark writes them, blanks and all
+        return pyarrow.fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    return pyarrow.fs.FileSystem.from_uri(path) if "://" in path else (pyarrow.fs.LocalFileSystem(), path)
 
 
 def quoted(key: str) -> str:

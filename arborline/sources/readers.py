@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,26 +22,47 @@ STREAKS = "orch_id string, mask int, longest int, years_active int, ever_cover b
 SENTINEL = -9999.0
 
 
+#: Header lines that are asked for at a time.
+HEADER_THREADS = 16
+
+
+def _first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a file, compressed or not, of any store that Spark reads; no more than a buffer of it is read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(conf).open(at)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
+        text = jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")
+        return jvm.java.io.BufferedReader(text).readLine() or ""
+    finally:
+        stream.close()
+
+
 def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """The files of paths by their header lines, told by one job over all of them."""
-    files = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"), "value")
-    first = files.where("start = 0").groupBy("path").agg(F.min_by("value", "n").alias("line"))
+    """The files of paths, which may be folders and patterns, by the names in their header lines. Spark lists the files without reading them."""
+    files = sorted(r.path for r in spark.read.format("binaryFile").load(list(paths)).select("path").collect())
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        lines = list(pool.map(lambda p: _first_line(spark, p), files))
     found: dict[tuple[str, ...], list[str]] = {}
-    for r in first.orderBy("path").collect():
-        found.setdefault(tuple(c.strip().strip('"').lstrip("\ufeff") for c in (r.line or "").split(",")), []).append(r.path)
+    for path, line in zip(files, lines):
+        names = next(csv.reader([line.lstrip("\ufeff")]), [])
+        found.setdefault(tuple(n.strip() for n in names), []).append(path)
     return found
 
 
 def _csv(spark: SparkSession, paths: Sequence[str], schema: str) -> DataFrame:
     """CSV files by the names in their headers; columns a file lacks are null, and a missing season comes from startyear or the path.
 
-    Files with one header are one scan. Headers are short lists of names without commas inside.
+    Files with one header are one scan.
     """
     if not paths:
         raise ValueError("no input files")
     df = None
     for names, files in headers(spark, paths).items():
-        part = spark.read.schema(", ".join(f"`{n}` string" for n in names)).csv(files, header=True, enforceSchema=True).withColumn("source_csv", F.col("_metadata.file_path"))
+        if not names:  # an empty file
+            continue
+        part = spark.read.schema(", ".join(f"`{n.replace(chr(96), chr(96) * 2)}` string" for n in names)).csv(files, header=True, enforceSchema=True).withColumn("source_csv", F.col("_metadata.file_path"))
         df = part if df is None else df.unionByName(part, allowMissingColumns=True)
     if df is None:
         raise ValueError("no input files")
@@ -98,7 +121,13 @@ def discover(spark: SparkSession, root: str, skip: Sequence[str] = SKIPPED) -> D
     Hidden and skipped folders are left out, and an attrs file goes before one of its name beside it. hash is the md5 of a file's content, of a file in parts
     that of the parts' hashes in order; every part is a row.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).where(F.col("path").rlike(_DOCUMENT) & (F.col("length") > 0))
+    # files are chosen by their paths; only then are the chosen ones read
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length").where(F.col("path").rlike(_DOCUMENT) & (F.col("length") > 0))
+    folder = F.regexp_extract("path", _DOCUMENT, 1)
+    chosen = [r.path for r in listed.where(~folder.startswith(".") & ~F.lower(folder).isin(*skip)).select("path").collect()]
+    if not chosen:
+        return spark.createDataFrame([], "folder string, file string, hash string, content binary")
+    files = spark.read.format("binaryFile").load(chosen)
     part = lambda k: F.regexp_extract("path", _DOCUMENT, k)
     found = files.select(part(1).alias("folder"), part(3).alias("file"), (part(2) != "").alias("deep"), "path", "content", F.md5("content").alias("md5"))
     kept = found.where(~F.col("folder").startswith(".") & ~F.lower("folder").isin(*skip))

@@ -66,7 +66,7 @@ def test_features_in_splits_are_those_of_the_whole_text(spark, tmp_path, seed, s
     monkeypatch.setattr(geojson, "STEP", 50)
     text = collection(30, seed)
     (tmp_path / "a.geojson").write_text(text)
-    (tmp_path / "b.geojson").write_text(json.dumps({"features": [None, 3, {"properties": {"orch_id": "only"}}], "x": 1}))
+    (tmp_path / "b c.geojson").write_text(json.dumps({"features": [None, 3, {"properties": {"orch_id": "only"}}], "x": 1}))
     for name, empty in (("c", ""), ("d", "{}"), ("e", '{"features":[]}'), ("f", '{"features" : { "a" : [ { "properties" : {} } ] } }')):
         (tmp_path / f"{name}.geojson").write_text(empty)
     df = geojson.read_features(spark, str(tmp_path), "orch_id string, ACRES double", split)

@@ -207,6 +207,21 @@ def test_winter_reader(spark, tmp_path):
     assert (rows[0].orch_id, rows[0].orchard_savi_mean, rows[0].season_sort) == ("001", None, 2019) and rows[1].season_sort == 2018
 
 
+def test_headers_are_read_alone(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a.csv").write_text('\ufefforch_id,"time, period",v\n1,2,3\n')
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub/b c.csv").write_text("v,orch_id\n9,8")
+    (tmp_path / "sub/empty.csv").write_text("")
+    with gzip.open(tmp_path / "z.csv.gz", "wt") as f:
+        f.write("orch_id,v\n7,1\n")
+    found = readers.headers(spark, [str(tmp_path / "*.csv*"), str(tmp_path / "sub")])
+    assert {k: [p.rsplit("/", 1)[1].replace("%20", " ") for p in v] for k, v in found.items()} == {("orch_id", "time, period", "v"): ["a.csv"], ("v", "orch_id"): ["b c.csv"], ("orch_id", "v"): ["z.csv.gz"]}
+    rows = readers.read_winter(spark, [str(tmp_path / "a.csv"), str(tmp_path / "sub/b c.csv"), str(tmp_path / "z.csv.gz")])
+    assert sorted((r.orch_id, r.v, r["time, period"]) for r in rows.collect()) == [("1", "3", "2"), ("7", "1", None), ("8", "9", None)]
+
+
 def test_windows_overlap(spark):
     windows = pixels.winter_windows(spark, 2020)
     days = spark.createDataFrame([("2020-11-28",), ("2021-01-03",), ("2021-06-01",)], "d string").select(F.to_date("d").alias("d"))
