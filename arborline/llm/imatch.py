@@ -1,9 +1,9 @@
 """Operator 6: document fingerprints by I-Match with randomised lexicons (Chowdhury et al., 2002; Kolcz and Chowdhury, 2004).
 
-The lexicon is the terms whose document frequency lies in a band. A text's distinct terms, sorted, are hashed once for each of 144 random
-subsets of the lexicon, in 12 levels of twelve that keep one term in 2, in 4, and so on to one in 4096, each drawn for itself. The first two levels draw from a wider band without
-the lower edge, so that texts of rare terms have a fingerprint too, and the very first subset keeps every term. That is one rule
-for all texts. The likeness of two fingerprints is a share of equal hashes: subsets of many terms tell small edits, those of few terms large ones.
+The lexicon is the terms whose document frequency lies in a band. A text's distinct terms that are in it, sorted, are hashed once for each of 144 random
+subsets of the lexicon, in 12 levels of twelve that keep one term in 2, in 4, and so on to one in 4096, each drawn for itself. The likeness of two
+fingerprints is a share of equal hashes: subsets of many terms tell small edits, those of few terms large ones. A text none of whose terms is in
+the lexicon has the hash of all its terms throughout.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +22,8 @@ from arborline.llm.words import in_chunks, mix64, word_hashes
 
 LEVELS, EACH = 12, 12
 SUBSETS = LEVELS * EACH
-#: Levels that draw from the wider band.
-WIDE_LEVELS = 2
 LEAST_SUBSETS = 8
-#: Document shares of the lexicon's terms. The lower one bounds it: it has at most (mean distinct terms of a text) / LOW terms, and those above
-#: HIGH are at most (that mean) / HIGH, whatever the number of texts.
+#: Document shares of the lexicon's terms. The lower one bounds it: it has at most (mean distinct terms of a text) / LOW terms, whatever the number of texts.
 LOW, HIGH = 0.002, 0.25
 _FLUSH_TERMS = 1 << 20
 
@@ -47,45 +43,35 @@ def distinct_terms(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return words[new], owner[new]
 
 
-@dataclass(frozen=True)
-class Lexicon:
-    """Sorted term hashes: those inside the band, and those too frequent for it."""
-
-    band: np.ndarray
-    frequent: np.ndarray
-
-
 def _among(terms: np.ndarray, known: np.ndarray) -> np.ndarray:
     if not len(known):
         return np.zeros(len(terms), bool)
     return known[np.minimum(np.searchsorted(known, terms), len(known) - 1)] == terms
 
 
-def fingerprints(texts: Sequence[str], lexicon: Lexicon) -> np.ndarray:
-    """A row of SUBSETS 16-bit hashes for each text; 0 where a subset keeps none of its terms."""
+def fingerprints(texts: Sequence[str], lexicon: np.ndarray) -> np.ndarray:
+    """A row of SUBSETS 16-bit hashes for each text; 0 where a subset keeps none of its terms. lexicon: sorted term hashes."""
     terms, owner = distinct_terms(texts)
     out = np.zeros((len(texts), SUBSETS), np.uint16)
     groups = np.arange(len(texts) + 1)
 
-    def fill(r: int, value: np.ndarray, owner: np.ndarray) -> None:
+    def hashed(value: np.ndarray, owner: np.ndarray) -> np.ndarray:
         upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
         at = np.searchsorted(owner, groups)
         total = upto[at[1:]] - upto[at[:-1]]
-        out[:, r] = np.where(at[1:] > at[:-1], mix64(total, 60) % np.uint64(0xFFFF) + np.uint64(1), 0)
+        return np.where(at[1:] > at[:-1], mix64(total, 60) % np.uint64(0xFFFF) + np.uint64(1), 0).astype(np.uint16)
 
-    fill(0, mix64(terms, 41), owner)
-    rest = ~_among(terms, lexicon.frequent)
-    terms, owner = terms[rest], owner[rest]
+    known = _among(terms, lexicon)
+    strange = np.bincount(owner[known], minlength=len(texts)) == 0
+    if strange.any():
+        out[strange] = hashed(mix64(terms, 41), owner)[strange, None]
+    terms, owner = terms[known], owner[known]
     value = mix64(terms, 41)
-    for level in range(LEVELS):
-        if level == WIDE_LEVELS:
-            known = _among(terms, lexicon.band)
-            terms, owner, value = terms[known], owner[known], value[known]
-        for r in range(level == 0, EACH):
-            # four 16-bit numbers come of one hash
-            draws = draws if r % 4 and r > (level == 0) else mix64(terms, 100 + (level * EACH + r) // 4)
-            inside = (draws >> np.uint64(16 * (r % 4))) & np.uint64(0xFFFF) < np.uint64(0x10000 >> (level + 1))
-            fill(level * EACH + r, value[inside], owner[inside])
+    for r in range(SUBSETS):
+        # four 16-bit numbers come of one hash
+        draws = draws if r % 4 else mix64(terms, 100 + r // 4)
+        inside = (draws >> np.uint64(16 * (r % 4))) & np.uint64(0xFFFF) < np.uint64(0x10000 >> (r // EACH + 1))
+        out[~strange, r] = hashed(value[inside], owner[inside])[~strange]
     return out
 
 
@@ -101,8 +87,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(share[:, 0], np.where(n >= LEAST_SUBSETS, share, 0).max(axis=1))
 
 
-def lexicon_of(df: DataFrame, text: str, low: float, high: float) -> Lexicon:
-    """The terms that between low and high of all texts contain, and those that more do; for the bound of their number see LOW."""
+def lexicon_of(df: DataFrame, text: str, low: float, high: float) -> np.ndarray:
+    """The sorted hashes of terms that between low and high of all texts contain; for the bound of their number see LOW."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -126,10 +112,8 @@ def lexicon_of(df: DataFrame, text: str, low: float, high: float) -> Lexicon:
 
     total = df.count()
     counts = df.select(text).mapInArrow(tidy(run), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    often = F.col("n") > math.floor(high * total)
-    rows = checkpointed(counts.where(F.col("n") >= math.ceil(low * total)).select("term", often.alias("often"))).toArrow()
-    terms, often = rows.column(0).to_numpy().view(np.uint64), rows.column(1).to_numpy()
-    return Lexicon(np.sort(terms[~often]), np.sort(terms[often]))
+    band = counts.where(F.col("n").between(math.ceil(low * total), math.floor(high * total))).select("term")
+    return np.sort(checkpointed(band).toArrow().column(0).to_numpy().view(np.uint64))
 
 
 def edited(text: str, following: str) -> str:
@@ -199,7 +183,7 @@ def fingerprint_edits(df: DataFrame, key: str, text: str, low: float = LOW, high
 
     Returns key, n_chars, edited_sha256, fingerprint, edited_fingerprint (hex), near_edited, near_next. The next document is that of
     the next smaller key, after the last the first. Cases: a null text is empty; a text without a word has itself as its one
-    term; a null key comes last; rows that share a key are ordered by a hash of their texts, those that share both in any way; texts of any
+    term; a text of no term in the lexicon is like equal ones only; a null key comes last; rows that share a key are ordered by a hash of their texts, those that share both in any way; texts of any
     length are read whole; a single document follows itself; an empty table stays empty; other columns are left out.
     """
     shared = df.sparkSession.sparkContext.broadcast(lexicon_of(df, text, low, high))

@@ -310,18 +310,15 @@ def test_top_k_is_brute_force(spark, monkeypatch, block):
     assert got == sorted(want)
 
 
-def fingerprint_by_hand(text, band, frequent):
-    """Of each subset: the terms that it keeps, by sets."""
+def fingerprint_by_hand(text, band):
+    """Of each subset: the terms that it keeps, by sets; of a text of no term in the band: all terms, each time."""
     terms = set(imatch.distinct_terms([text])[0].tolist())
-    kept = [terms]
-    for r in range(1, imatch.SUBSETS):
+    if not terms & band:
+        return [("all", *sorted(terms))] * imatch.SUBSETS
+    kept = []
+    for r in range(imatch.SUBSETS):
         level, k = divmod(r, imatch.EACH)
-        inside = []
-        for t in terms - frequent if level < imatch.WIDE_LEVELS else terms & band:
-            draw = int(words.mix64(np.array([t], np.uint64), 100 + r // 4)[0])
-            if (draw >> 16 * (k % 4)) % 65536 < 65536 >> (level + 1):
-                inside.append(t)
-        kept.append(set(inside))
+        kept.append({t for t in terms & band if (int(words.mix64(np.array([t], np.uint64), 100 + r // 4)[0]) >> 16 * (k % 4)) % 65536 < 65536 >> (level + 1)})
     return kept
 
 
@@ -338,20 +335,20 @@ def test_fingerprints_are_brute_force(spark):
     for t in texts.values():
         for term in set(imatch.distinct_terms([t])[0].tolist()):
             counts[term] = counts.get(term, 0) + 1
-    band, frequent = {t for t, n in counts.items() if 2 <= n <= 4}, {t for t, n in counts.items() if n > 4}
-    assert band and frequent and len(band) + len(frequent) < len(counts)
-    subsets = {k: fingerprint_by_hand(t, band, frequent) for k, t in texts.items()}
+    band = {t for t, n in counts.items() if 2 <= n <= 4}
+    assert 0 < len(band) < len(counts)
+    subsets = {k: fingerprint_by_hand(t, band) for k, t in texts.items()}
     print_ = lambda k: np.frombuffer(bytes.fromhex(rows[k].fingerprint), np.uint16)
     for i, k in enumerate(order):
         after = order[(i + 1) % len(order)]
         new = imatch.edited(texts[k], texts[after])
         assert rows[k].edited_sha256 == hashlib.sha256(new.encode()).hexdigest() and rows[k].n_chars == len(texts[k])
         change = np.frombuffer(bytes.fromhex(rows[k].edited_fingerprint), np.uint16)
-        for other, values in ((subsets[after], print_(after)), (fingerprint_by_hand(new, band, frequent), change)):
+        for other, values in ((subsets[after], print_(after)), (fingerprint_by_hand(new, band), change)):
             assert [bool(s) for s in other] == [v != 0 for v in values]
             assert [bool(a) and a == b for a, b in zip(subsets[k], other)] == [bool(x) and x == y for x, y in zip(print_(k), values)]
         assert rows[k].near_edited == imatch.likeness(print_(k)[None], change[None])[0] and rows[k].near_next == imatch.likeness(print_(k)[None], print_(after)[None])[0]
-    assert rows[5].fingerprint == rows[16].fingerprint
+    assert rows[5].fingerprint == rows[16].fingerprint and imatch.likeness(print_(9)[None], print_(9)[None])[0] == 1
 
 
 def test_following_rows_with_a_hot_key(spark):
