@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from arborline.llm.common import tidy
+from arborline.llm.common import checkpointed, tidy
 from arborline.llm.words import in_chunks, mix64
 
 GRAMS = (1, 2, 3)
@@ -77,18 +77,23 @@ def fit(packed: Sequence[bytes], labels: Sequence[str], landmarks: int = 256, ri
     return LanguageModel(languages, (marks.T @ (root @ beta).astype(np.float32)), (y_mean - mean @ beta).astype(np.float32))
 
 
-def learn(df: DataFrame, key: str, text: str, lang: str, learnable: Column, per_language: int = 400) -> LanguageModel | None:
+def learn(df: DataFrame, key: str, text: str, lang: str, learnable: Column, per_language: int = 400, most_rows: int = 25_600) -> LanguageModel | None:
     """Fit on a bounded sample: of each language the learnable keys with the smallest hashes, one row a key, of texts with a letter.
 
-    Every language is learnt; the driver gets at most per_language rows of 4 kB for each, however often a key
-    repeats: of its rows the one with the least presence bits counts.
+    Every language is learnt; the driver gets at most per_language rows of 4 kB for each, and most_rows in all: of more than most_rows / per_language
+    languages each gets its equal share of them. More languages than most_rows raise ValueError, as such a column names no languages. However often a key
+    repeats, of its rows the one with the least presence bits counts.
     """
     whole = df.where(learnable).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     key, text, lang = "key", "text", "lang"
     there = whole.dropna().where(F.col(text).rlike(r"\p{L}"))
     rank = Window.partitionBy("l").orderBy("h", "k")
     keyed = there.select(F.col(key).alias("k"), F.col(lang).alias("l"), F.xxhash64(F.lit(7), F.col(key)).alias("h")).distinct()
-    counts = keyed.groupBy("l").count()
+    counts = checkpointed(keyed.groupBy("l").count())
+    languages = counts.count()
+    if languages > most_rows:
+        raise ValueError(f"{languages} labels can't be languages: at most {most_rows} are learnt")
+    per_language = min(per_language, most_rows // max(1, languages))
     # of a large language only hashes that can be among the smallest go on: about four times as many as are wanted
     near = F.col("h") / F.lit(2.0**64) + F.lit(0.5) < F.lit(4.0 * per_language) / F.col("count")
     keyed = keyed.join(F.broadcast(counts), "l").where(near)
@@ -152,7 +157,8 @@ def identify(df: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     """Add lang_pred (a learnt language or ``und``) and score to df, having learnt from df's own rows that aren't held out.
 
     Cases: a null text and one without a letter are ``und`` with score 0, and so is every text if no row has a language; a null language is
-    not learnt from; equal texts get equal predictions; an empty table stays empty; other columns are carried, those with the
+    not learnt from; equal texts get equal predictions, repeated rows too; of equal scores the first language by name stands; texts of any length are read
+    whole; an empty table stays empty; more labels than learn allows raise ValueError; other columns are carried, those with the
     outputs' names replaced.
     """
     return predict(df, text, learn(df, key, text, lang, ~held_out(F.col(key))))

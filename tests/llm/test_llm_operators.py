@@ -410,6 +410,17 @@ def test_language_sample_counts_keys_and_learns_every_label(spark, monkeypatch):
     assert seen == [{"en": 10, "fr": 10} | {f"x{k}": 1 for k in range(6000, 6070)}]
 
 
+def test_language_sample_has_a_bound_in_all(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda packed, labels, **_: seen.append(labels))
+    rows = [(k, f"word {k}", f"l{k % 12}") for k in range(600)]
+    df = spark.createDataFrame(rows, "k long, t string, l string")
+    langid.learn(df, "k", "t", "l", F.lit(True), per_language=20, most_rows=60)
+    assert {x: seen[0].count(x) for x in seen[0]} == {f"l{k}": 5 for k in range(12)}
+    with pytest.raises(ValueError, match="labels"):
+        langid.learn(df, "k", "t", "l", F.lit(True), most_rows=11)
+
+
 def naive_spans(t):
     out = [(m.start(), m.end(), "email") for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [(m.start(), m.end(), "ip") for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
