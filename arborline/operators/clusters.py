@@ -26,8 +26,10 @@ LABELS = {
 AGE_LABELS = {2: ("Young", "Old"), 3: ("Young", "Middle", "Old")}
 #: Points of a block; pairs of blocks are compared by numpy.
 SILHOUETTE_CELL = 2048
-#: Restarts of the two kinds of fits, and the distinct rows on which they start; all rows take part in the fits.
+#: Restarts of the two kinds of fits, and the distinct rows up to which they start on all of them; of larger tables rounds of oversampling give the rows to start on.
 KMEANS_STARTS, MIXTURE_STARTS, START_ROWS = 50, 5, 10_000
+#: Rounds of oversampling, and the rows that each is expected to draw for every cluster.
+SEED_ROUNDS, SEED_ROWS = 5, 20
 
 
 @dataclass(frozen=True)
@@ -41,13 +43,68 @@ class Model:
     weights: list[float] | None = None
 
 
-def _sample(data: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The START_ROWS distinct rows of smallest hash, and how often each occurs: of a small table all."""
-    rows = data.groupBy(*columns).agg(F.count(F.lit(1)).alias("n__")).orderBy(F.xxhash64(*columns)).limit(START_ROWS).collect()
+def _few(data: DataFrame, columns: Sequence[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Up to n distinct rows, those of smallest hash, and how often each occurs."""
+    rows = data.groupBy(*columns).agg(F.count(F.lit(1)).alias("n__")).orderBy(F.xxhash64(*columns)).limit(n).collect()
     values = np.array([tuple(r) for r in rows], float).reshape(-1, len(columns) + 1)
     return values[:, :-1], values[:, -1]
 
 
+def _square(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    return ((x[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
+
+
+def _passed(data: DataFrame, columns: Sequence[str], work, schema: str) -> DataFrame:
+    """work(rows as a matrix, their hashes) -> columns of the schema, batch by batch."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    d = len(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SILHOUETTE_CELL):
+                part = batch.slice(at, SILHOUETTE_CELL)
+                x = np.stack([part.column(i).to_numpy() for i in range(d)], axis=1).astype(float)
+                yield pa.record_batch([pa.array(c) for c in work(x, part.column(d).to_numpy())], names=names)
+
+    return data.select(*columns, F.xxhash64(*columns).alias("h__")).mapInArrow(run, schema)
+
+
+def _sample(data: DataFrame, columns: Sequence[str], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted rows to start on: of a table of up to START_ROWS distinct rows all; else those that rounds of k-means|| draw from the whole table, each with the rows nearest to it.
+
+    A round draws every row on its own with a chance in proportion to its squared distance from the rows drawn so far (Bahmani et al., 2012), so that far groups are found
+    however few rows they have. The driver gets some SEED_ROWS x k rows a round.
+    """
+    x, w = _few(data, columns, START_ROWS + 1)
+    if len(x) <= START_ROWS:
+        return x, w
+    drawn = x[:1]
+    for round_ in range(SEED_ROUNDS):
+        near = lambda x, h, c=drawn: (np.array([_square(x, c).min(axis=1).sum()]),)
+        cost = _passed(data, columns, near, "cost double").agg(F.sum("cost")).first()[0] or 0.0
+        if cost <= 0:
+            break
+        share = SEED_ROWS * k / cost
+
+        def draw(x: np.ndarray, h: np.ndarray, c=drawn, share=share, salt=np.uint64(0x9E3779B97F4A7C15 * (2 * round_ + 1) % (1 << 64))) -> list[np.ndarray]:
+            u = h.view(np.uint64) * salt
+            u = (u ^ (u >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+            u = (u ^ (u >> np.uint64(29))).astype(float) / 2.0**64
+            found = np.unique(x[u < share * _square(x, c).min(axis=1)], axis=0)
+            return [found[:, i] for i in range(found.shape[1])]
+
+        names = [f"x{i}" for i in range(len(columns))]
+        found = _passed(data, columns, draw, ", ".join(f"{n} double" for n in names)).distinct().orderBy(*names).collect()
+        drawn = np.unique(np.concatenate([drawn, np.array([tuple(r) for r in found], float).reshape(-1, len(columns))]), axis=0)
+
+    def count(x: np.ndarray, h: np.ndarray) -> list[np.ndarray]:
+        at, n = np.unique(_square(x, drawn).argmin(axis=1), return_counts=True)
+        return [at, n]
+
+    counts = {r.i: r.n for r in _passed(data, columns, count, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()}
+    return drawn, np.array([counts.get(i, 0) for i in range(len(drawn))], float)
+
+
 def _nearest_sums(x: np.ndarray, w: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By cluster: weight, sums about the centre, cost."""
     square = ((x[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
@@ -56,10 +113,11 @@ def _nearest_sums(x: np.ndarray, w: np.ndarray, centers: np.ndarray) -> tuple[np
     return np.bincount(near, w, len(centers)), sums, np.bincount(near, w * square.min(axis=1), len(centers))
 
 
-def _starts(data: DataFrame, columns: Sequence[str], k: int, restarts: int, rounds: int = 100) -> np.ndarray:
-    """(restart, cluster, dimension): k-means++ draws from the sample, fitted on it."""
-    x, w = _sample(data, columns)
-    out = np.zeros((restarts, k, len(columns)))
+def _starts(x: np.ndarray, w: np.ndarray, k: int, restarts: int, rounds: int = 100) -> np.ndarray:
+    """(restart, cluster, dimension): k-means++ draws from weighted rows, fitted on them."""
+    if not len(x):
+        raise ValueError("there is no row with all columns to fit clusters on")
+    out = np.zeros((restarts, k, x.shape[1]))
     for s in range(restarts):
         rng = np.random.default_rng(s)
         chosen = [x[rng.choice(len(x), p=w / w.sum())]]
@@ -106,7 +164,7 @@ def _lloyd_sums(data: DataFrame, columns: Sequence[str], centers: np.ndarray) ->
 
 def _lloyd(data: DataFrame, columns: Sequence[str], k: int, restarts: int, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
     """(centres of every restart, their costs), fitted on all rows. An empty cluster keeps its centre."""
-    centers = _starts(data, columns, k, restarts)
+    centers = _starts(*_sample(data, columns, k), k, restarts)
     for _ in range(rounds):
         n, sums, cost = _lloyd_sums(data, columns, centers)
         step = sums / np.maximum(n, 1)[:, :, None]
@@ -200,9 +258,9 @@ def gaussian_mixture(df: DataFrame, columns: Sequence[str], k: int, restarts: in
     """
     data = df.select(*columns).dropna().cache()
     try:
-        x, w = _sample(data, columns)
+        x, w = _sample(data, columns, k)
         models = []
-        for c in _starts(data, columns, k, restarts):
+        for c in _starts(x, w, k, restarts):
             model = Model(k, c.tolist(), -math.inf, [[1.0] * len(columns)] * k, [1.0 / k] * k)
             last = -math.inf
             for round_ in range(rounds):

@@ -104,6 +104,23 @@ def test_mixture_of_large_values(spark):
     assert (m1, m2) == (pytest.approx(0, abs=0.3), pytest.approx(20, abs=1)) and 0.7 < v1 < 1.4 and 5 < v2 < 14 and w1 == pytest.approx(2 / 3, abs=0.02)
 
 
+def test_a_rare_far_group_is_found(spark, monkeypatch):
+    """The rows by hash that a start could be drawn from hold none of it."""
+    monkeypatch.setattr(clusters, "START_ROWS", 50)
+    r = np.random.default_rng(6)
+    rows = [tuple(map(float, v)) for v in np.concatenate([r.normal(0, 1, (4000, 2)), r.normal(40, 0.1, (3, 2))])]
+    df = spark.createDataFrame([*rows, *[rows[0]] * 1000], "a double, b double").repartition(3)
+    x, w = clusters._few(df, ["a", "b"], 50)
+    assert x.max() < 20
+    x, w = clusters._sample(df, ["a", "b"], 2)
+    assert x.max() > 30 and w.sum() == len(rows) + 1000 and len(x) < 1000
+    model = clusters.kmeans(df, ["a", "b"], 2, 5)
+    assert sorted(round(c[0]) for c in model.centers) == [0, 40]
+    assert sorted(round(c[0]) for c in clusters.gaussian_mixture(df, ["a", "b"], 2, 3).centers) == [0, 40]
+    with pytest.raises(ValueError, match="no row"):
+        clusters.kmeans(df.limit(0), ["a", "b"], 2)
+
+
 def test_brackets_widen_until_they_hold(spark, monkeypatch):
     values = np.random.default_rng(5).normal(size=25_000)
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
