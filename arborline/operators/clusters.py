@@ -446,6 +446,8 @@ def labelled(df: DataFrame, labels: dict[int, str], cluster: str = "cluster", ou
 def softness(df: DataFrame, soft: str = "best_soft") -> DataFrame:
     """Fill best_soft: held to 0..1 with the median for gaps; without such a column from silhouette, else from the cover score's place between its 5th and 95th percentile."""
     if soft in df.columns:
+        if df.where(F.col(soft).isNull()).isEmpty():
+            return df.withColumn(soft, S.clip01(F.col(soft)))
         middle = F.broadcast(exact_quantiles(df.select(S.clip01(F.col(soft)).alias("s")), [], ["s"], [0.5]))
         return df.crossJoin(middle).withColumn(soft, F.coalesce(S.clip01(F.col(soft)), F.col("s__q")[0])).drop("s__q")
     if "silhouette" in df.columns:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arborline.checkpoints import checkpointed
 from arborline.functions import scalars as S
 from arborline.functions.scalars import num
 from arborline.operators.clusters import softness
@@ -35,7 +36,8 @@ def served(assigned: DataFrame, features: Sequence[str], ages: DataFrame | None
     else:
         named = ages.select(F.col("season").alias("s__"), F.col("orch_id").alias("o__"), F.replace(F.initcap("cmi_label"), F.lit("Middle"), F.lit("Mid")).alias("stratum"), F.col("CMI_z").alias("env_z_season"))
         df = df.join(named, (df.season == named.s__) & (df.orch_id == named.o__), "left").drop("s__", "o__")
-    df = robust_minmax(df, ["season_sort", "stratum"], "best_soft", "best_soft_norm")
+    # read three times: for the largest group, for quantiles, and to be joined with them
+    df = robust_minmax(checkpointed(df), ["season_sort", "stratum"], "best_soft", "best_soft_norm")
     df = df.withColumn("cluster_role", S.role_of(F.col("label"))).withColumns({
         "cluster_color": S.colour_of(F.col("cluster_role")), "alpha100": S.alpha100(F.col("best_soft_norm")), "season_mid": S.season_mid(F.col("season"), month_day),
         "confidence": F.bround("best_soft", 3), "npts_total": F.col("n_periods_used"), "county": F.lit(""),
