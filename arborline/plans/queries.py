@@ -186,9 +186,9 @@ def season_attributes(spark, d):
 
 
 @query(sql("""SELECT orch_id, season, season_sort, cluster_role, CASE WHEN cluster_role = 'Cover Crops' THEN '#2ca25f' ELSE '#8B4513' END AS cluster_color, round_even(best_soft_norm * 100, 0)::INTEGER AS alpha100, (season_sort + 1) || '-01-31' AS season_mid,
-  round(CASE WHEN cluster_role = 'Cover Crops' THEN best_soft ELSE 1 - best_soft END, 6) AS p_cover FROM norm""", "norm"))
+  round(CASE WHEN cluster_role = 'Cover Crops' THEN best_soft ELSE 1 - best_soft END, 6) AS p_cover, round_even(best_soft, 3) AS confidence FROM norm""", "norm"))
 def serving_table(spark, d):
-    return P.wide(spark, d).select("orch_id", "season", "season_sort", "cluster_role", "cluster_color", "alpha100", "season_mid", *r6("p_cover"))
+    return P.wide(spark, d).select("orch_id", "season", "season_sort", "cluster_role", "cluster_color", "alpha100", "season_mid", *r6("p_cover"), "confidence")
 
 
 @query(sql("SELECT 1 AS schema_version, array_to_string(list_sort(list(DISTINCT season_sort)), ',') AS years, 0.15::DOUBLE AS ui_uncertain_threshold, 'earliest=bit0' AS bit_order FROM norm", "norm"))
@@ -665,6 +665,20 @@ def age_silhouette(spark, d):
     return rows.join(each, "k").groupBy("cmi_label").agg(F.round(F.avg("silhouette"), 6).alias("silhouette"))
 
 
+_MIXTURE = clusters.Model(2, P.CENTERS, 0.0, [[0.8, 1.1], [0.5, 0.9]], [0.4, 0.6])
+_LOG = lambda i: f"ln({_MIXTURE.weights[i]}) - 0.5 * (" + " + ".join(f"(f_{j + 1} - {m}) * (f_{j + 1} - {m}) / {v} + ln(2 * pi() * {v})" for j, (m, v) in enumerate(zip(_MIXTURE.centers[i], _MIXTURE.variances[i]))).replace("- -", "+ ") + ")"
+
+
+@query(sql(f"""SELECT orch_id, season_sort, CASE WHEN p >= 0.5 THEN 0 ELSE 1 END AS cluster, round(greatest(p, 1 - p), 6) AS best_soft, (greatest(p, 1 - p) < 0.6)::INTEGER AS uncertain, round(p, 6) AS p_0, round(likely, 6) AS log_likelihood FROM (
+  SELECT *, exp(a - greatest(a, b)) / (exp(a - greatest(a, b)) + exp(b - greatest(a, b))) AS p, greatest(a, b) + ln(exp(a - greatest(a, b)) + exp(b - greatest(a, b))) AS likely FROM (SELECT *, {_LOG(0)} AS a, {_LOG(1)} AS b FROM asg))""", "asg"))
+def mixture_posteriors(spark, d):
+    """Every row's probabilities under a given mixture, its cluster by them, and its log-likelihood."""
+    rows = P.assigned(spark, d).select(*KEYS, "f_1", "f_2")
+    p, likely = clusters.posteriors(["f_1", "f_2"], _MIXTURE)
+    out = clusters.mixture_assign(rows.withColumns({"p_0": p[0], "log_likelihood": likely}), ["f_1", "f_2"], _MIXTURE)
+    return out.select(*KEYS, "cluster", F.round("best_soft", 6).alias("best_soft"), "uncertain", F.round("p_0", 6).alias("p_0"), F.round("log_likelihood", 6).alias("log_likelihood"))
+
+
 # ---------------------------------------------------------------- without SQL: choices and fits
 
 

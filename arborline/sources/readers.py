@@ -122,13 +122,13 @@ def discover(spark: SparkSession, root: str, skip: Sequence[str] = SKIPPED) -> D
     that of the parts' hashes in order; every part is a row.
     """
     # files are chosen by their paths; only then are the chosen ones read
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length").where(F.col("path").rlike(_DOCUMENT) & (F.col("length") > 0))
-    folder = F.regexp_extract("path", _DOCUMENT, 1)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length").where(F.col("path").rlike(DOCUMENT) & (F.col("length") > 0))
+    folder = F.regexp_extract("path", DOCUMENT, 1)
     chosen = [r.path for r in listed.where(~folder.startswith(".") & ~F.lower(folder).isin(*skip)).select("path").collect()]
     if not chosen:
         return spark.createDataFrame([], "folder string, file string, hash string, content binary")
     files = spark.read.format("binaryFile").load(chosen)
-    part = lambda k: F.regexp_extract("path", _DOCUMENT, k)
+    part = lambda k: F.regexp_extract("path", DOCUMENT, k)
     found = files.select(part(1).alias("folder"), part(3).alias("file"), (part(2) != "").alias("deep"), "path", "content", F.md5("content").alias("md5"))
     kept = found.where(~F.col("folder").startswith(".") & ~F.lower("folder").isin(*skip))
     hashes = F.transform(F.array_sort(F.collect_list(F.struct("path", "md5"))), lambda p: p["md5"])
@@ -139,7 +139,7 @@ def discover(spark: SparkSession, root: str, skip: Sequence[str] = SKIPPED) -> D
 
 
 #: .../folder/[attrs/][file=]name.json, as a file or with the parts of one below it.
-_DOCUMENT = r"([^/]+)/(attrs/)?(?:file=)?([^/]+\.json)(?:/part-[^/]*)?$"
+DOCUMENT = r"([^/]+)/(attrs/)?(?:file=)?([^/]+\.json)(?:/part-[^/]*)?$"
 
 
 def read_features(spark: SparkSession, path: str, properties: str) -> DataFrame:
@@ -155,7 +155,7 @@ def county_of_file(name: Column) -> Column:
     return F.when(stem == "FresnoAlmondOrchards", "fresno").otherwise(F.lower(F.regexp_replace(stem, "_almonds_stable_orchards$", "")))
 
 
-def _parquet_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def parquet_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     from pyspark.errors import AnalysisException
 
     try:
@@ -168,13 +168,13 @@ def _parquet_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 
 def last_run(spark: SparkSession, path: str) -> int:
     """The number of the last run=k below path; 0 if there is none."""
-    df = _parquet_or_none(spark, path)
+    df = parquet_or_none(spark, path)
     return 0 if df is None else df.agg(F.max("run")).first()[0] or 0
 
 
 def read_runs(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The table of the last run=k below path, or an empty one of this schema."""
-    df = _parquet_or_none(spark, path)
+    df = parquet_or_none(spark, path)
     if df is None:
         return spark.createDataFrame([], schema)
     return df.where(F.col("run") == last_run(spark, path)).drop("run")
