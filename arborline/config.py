@@ -12,7 +12,7 @@ class Settings:
     """Everything a run can vary.
 
     strata: further columns within which periods are scaled; features: slopes, greenup3 or cover2, unless one_feature names a single slope
-    (intensity_slope, fill_slope, uniformity_slope); index_column: the summer index's column, found by its name if none is given; cluster_index: whether it is clustered into ages.
+    (intensity_slope, fill_slope, uniformity_slope); silhouette_error: by how much a silhouette may be off so that cells of points can stand for them, or none; index_column: the summer index's column, found by its name if none is given; cluster_index: whether it is clustered into ages.
     """
 
     trend_periods: tuple[int, ...] = (3, 4, 5, 6, 7)
@@ -35,6 +35,7 @@ class Settings:
     cluster_index: bool = True
     index_ks: tuple[int, ...] = (2, 3)
     index_select: str = "silhouette"
+    silhouette_error: float | None = None
     ui_uncertain_threshold: float = 0.15
     season_mid: str = "-01-31"
 

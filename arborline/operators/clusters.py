@@ -17,6 +17,7 @@ from arborline.functions import scalars as S
 from arborline.functions.quantiles import exact_quantiles
 from arborline.functions.running import totals_below
 from arborline.functions.scalars import num
+from arborline.operators.cellsums import distance_sums
 
 #: Names of clusters by rising cover score, for two and three clusters; fixed values.
 LABELS = {
@@ -300,7 +301,7 @@ class Choice:
         return next(s if s is not None else b for kk, s, b, _ in self.scores if kk == k)
 
 
-def choose_k(df: DataFrame, columns: Sequence[str], ks: Sequence[int], select: str = "silhouette", method: str = "kmeans") -> Choice:
+def choose_k(df: DataFrame, columns: Sequence[str], ks: Sequence[int], select: str = "silhouette", method: str = "kmeans", error: float | None = None) -> Choice:
     """The model of the K with the highest silhouette (ties: the smaller K), or with the lowest BIC, which always means a mixture."""
     if select not in ("silhouette", "bic") or method not in ("kmeans", "gmm"):
         raise ValueError(f"unknown choice {select!r} of {method!r}")
@@ -317,7 +318,7 @@ def choose_k(df: DataFrame, columns: Sequence[str], ks: Sequence[int], select: s
         else:
             model = gaussian_mixture(rows, columns, k) if method == "gmm" else kmeans(rows, columns, k)
             own = mixture_assign(rows, columns, model) if method == "gmm" else nearest(rows, columns, model.centers)
-            mean = mean_silhouette(own, "row__", columns, "cluster")
+            mean = mean_silhouette(own, "row__", columns, "cluster", error)
             fits[k] = (model, -1.0 if mean is None else mean)
             scores.append((k, mean, None, None))
     if not fits:
@@ -355,12 +356,13 @@ def mixture_assign(df: DataFrame, columns: Sequence[str], model: Model, confiden
     }).drop("p__")
 
 
-def silhouette(df: DataFrame, key: str, columns: Sequence[str], cluster: str, within: Sequence[str] = ()) -> DataFrame:
+def silhouette(df: DataFrame, key: str, columns: Sequence[str], cluster: str, within: Sequence[str] = (), error: float | None = None) -> DataFrame:
     """(within, key, cluster, silhouette) of every row with all columns, by Euclidean distance inside the groups of ``within``.
 
     A lone member gets 0; a group of one cluster gets null. cluster is a whole number. In one dimension sums of distances come of running totals. In
     more, a group's points are dealt into blocks of SILHOUETTE_CELL, each pair of blocks is compared by numpy, and sums of distances
-    by cluster are added up: the comparisons go with the square of a group, rows moved with its square over a block's size.
+    by cluster are added up: the comparisons go with the square of a group, rows moved with its square over a block's size. With an ``error`` (of up to 1)
+    cells of points stand for their members where that changes no silhouette by more: then the comparisons grow far slower than the square.
     """
     names = [f"w{i}" for i in range(len(within))]
     named = df.select(*[F.col(w).alias(n) for w, n in zip(within, names)], F.col(key).alias("key"), F.col(cluster).cast("long").alias("c"), F.array(*[F.col(x).cast("double") for x in columns]).alias("x"))
@@ -372,7 +374,8 @@ def silhouette(df: DataFrame, key: str, columns: Sequence[str], cluster: str, wi
         on = on & points[n].eqNullSafe(groups[n])
     placed = points.join(groups, on).select("r", "g", "size", "c", "x")
     sizes = placed.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"))
-    sums = _line_sums(placed, sizes) if len(columns) == 1 else _block_sums(placed)
+    # sums within a share e are means within e, and (b - a) / max(a, b) within 2 e / (1 - e)
+    sums = _line_sums(placed, sizes) if len(columns) == 1 else _block_sums(placed) if error is None else distance_sums(placed, len(columns), error / (2 + error))
     means = sums.join(sizes.withColumnRenamed("c", "c2"), ["g", "c2"]).withColumn("m", F.try_divide("total", F.when(F.col("c") == F.col("c2"), F.col("n") - 1).otherwise(F.col("n"))))
     own, other = F.max(F.when((F.col("c") == F.col("c2")) & (F.col("n") > 1), F.col("m"))).alias("a"), F.min(F.when(F.col("c") != F.col("c2"), F.col("m"))).alias("b")
     s = F.when(F.col("b").isNull(), None).when(F.col("a").isNull(), num(0)).otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), num(0)))
@@ -417,9 +420,9 @@ def _block_sums(placed: DataFrame) -> DataFrame:
     return found.groupBy("r", "g", "c", "c2").agg(F.sum("total").alias("total"))
 
 
-def mean_silhouette(df: DataFrame, key: str, columns: Sequence[str], cluster: str) -> float | None:
+def mean_silhouette(df: DataFrame, key: str, columns: Sequence[str], cluster: str, error: float | None = None) -> float | None:
     """The mean silhouette; null with one cluster."""
-    return silhouette(df, key, columns, cluster).agg(F.avg("silhouette")).first()[0]
+    return silhouette(df, key, columns, cluster, error=error).agg(F.avg("silhouette")).first()[0]
 
 
 def label_map(centers: Sequence[Sequence[float]], schema: str = "likely") -> dict[int, str]:

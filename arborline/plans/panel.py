@@ -105,7 +105,7 @@ STEPS = {
     "idxq": "SELECT season_sort, quantile_cont(v, [.25, .5, .75]) AS q FROM idx GROUP BY ALL",
     "age": f"""SELECT *, CASE WHEN abs(CMI_z - {AGE_CENTERS[0]}) <= abs(CMI_z - {AGE_CENTERS[1]}) THEN 0 ELSE 1 END AS cmi_cluster, CASE WHEN abs(CMI_z - {AGE_CENTERS[0]}) <= abs(CMI_z - {AGE_CENTERS[1]}) THEN 'Young' ELSE 'Old' END AS cmi_label
   FROM (SELECT season_sort || '_' || (season_sort + 1) AS season, season_sort, orch_id, {_Z.format(c="v", q="q")} AS CMI_z FROM idx JOIN idxq USING (season_sort))""".replace("- -", "+ "),
-    "strat": """SELECT asg.*, cmi_label AS stratum, CMI_z AS env_z_season, CASE WHEN label = 'Likely Cover Cropping' THEN 'Cover Crops' ELSE 'Bare Soil' END AS cluster_role FROM asg LEFT JOIN age USING (season, orch_id)""".replace("asg.*", "asg.*"),
+    "strat": """SELECT asg.*, cmi_label AS stratum, CMI_z AS env_z_season, CASE WHEN label = 'Likely Cover Cropping' THEN 'Cover Crops' ELSE 'Bare Soil' END AS cluster_role FROM asg LEFT JOIN age USING (season, orch_id)""",
     "sq": "SELECT season_sort, stratum, quantile_cont(best_soft, [.1, .9]) AS q FROM strat GROUP BY ALL",
     "norm": """SELECT strat.*, CASE WHEN strat.stratum IS NOT NULL AND sq.q[2] - sq.q[1] > 1e-9 THEN least(1.0, greatest(0.0, (best_soft - sq.q[1]) / (sq.q[2] - sq.q[1]))) ELSE 0 END AS best_soft_norm
   FROM strat JOIN sq ON strat.season_sort = sq.season_sort AND strat.stratum IS NOT DISTINCT FROM sq.stratum""",

@@ -713,7 +713,9 @@ p0 AS (SELECT DISTINCT scope, m, 0.0::DOUBLE AS w, 0.0::DOUBLE AS b FROM tr)"""
   SELECT scope, m, any_value(w) AS w, any_value(b) AS b, sum(p - y) AS gb, sum((p - y) * x) + any_value(w) AS gw, sum(p * (1 - p)) AS hbb, sum(p * (1 - p) * x) AS hbw, sum(p * (1 - p) * x * x) + 1 AS hww
   FROM (SELECT *, 1 / (1 + exp(-(w * x + b))) AS p FROM tr JOIN p{r - 1} USING (scope, m)) GROUP BY scope, m))""" for r in range(1, rounds + 1)]
     out = f"""SELECT scope, round((sum(ar) FILTER (y = 1) - count_if(y = 1) * (count_if(y = 1) + 1) / 2.0::DOUBLE) / nullif(count_if(y = 1) * count_if(y = 0), 0), 6) AS auc FROM (
-  SELECT *, rank() OVER (PARTITION BY scope ORDER BY s) + (count(*) OVER (PARTITION BY scope, s) - 1) / 2.0::DOUBLE AS ar FROM (SELECT scope, y, 1 / (1 + exp(-(w * x + b))) AS s FROM fo JOIN p{rounds} USING (scope) WHERE m = fold)) GROUP BY scope"""
+  SELECT *, rank() OVER (PARTITION BY scope ORDER BY s) + (count(*) OVER (PARTITION BY scope, s) - 1) / 2.0::DOUBLE AS ar FROM (SELECT scope, y, 1 / (1 + exp(-(w * x + b))) AS s FROM fo JOIN p{rounds} USING (scope) WHERE m = fold AND scope IN (SELECT scope FROM fit))) GROUP BY scope"""
+    # a scope is fitted if the rows outside each fold are of both classes, and one class has a row for each fold
+    steps.append(f"fit AS (SELECT scope FROM (SELECT scope, m, min(y) < max(y) AS both_there FROM tr GROUP BY ALL) GROUP BY scope HAVING bool_and(both_there) INTERSECT SELECT scope FROM fo GROUP BY scope HAVING greatest(sum(y), count(*) - sum(y)) >= {folds})")
     return sql(out, "age").replace("\n" + out, ",\n" + ",\n".join([start, *steps]) + "\n" + out)
 
 

@@ -78,7 +78,7 @@ def fit(trended: DataFrame, settings: Settings) -> tuple[Template, DataFrame]:
     name = settings.feature_set
     columns = [f"f_{i}" for i in range(1, len(trends.FEATURE_SETS[name]) + 1)]
     train = trends.features(trended, name, settings.shrink, settings.shrink_level).where(_in_set(settings.min_quality, settings.min_periods))
-    choice = clusters.choose_k(train, columns, settings.ks, settings.k_select, settings.cluster_method)
+    choice = clusters.choose_k(train, columns, settings.ks, settings.k_select, settings.cluster_method, settings.silhouette_error)
     model = choice.model
     labels = clusters.label_map(model.centers, settings.label_schema) if name == "cover2" and model.k in (2, 3) else None
     template = Template(
@@ -140,9 +140,9 @@ def analyse(winter: DataFrame, summer: DataFrame | None = None, settings: Settin
         p, _ = clusters.posteriors(columns, template.model)
         train = train.withColumn("p__", p).withColumns({f"p_{i}": F.col("p__")[i] for i in range(template.model.k)}).drop("p__")
     train = checkpointed(train.withColumn("key__", F.concat_ws("/", "season", "orch_id")))
-    each = clusters.silhouette(train, "key__", columns, "cluster").select("key__", "silhouette")
+    each = clusters.silhouette(train, "key__", columns, "cluster", error=settings.silhouette_error).select("key__", "silhouette")
     profiled = train.join(each, "key__", "left")
-    by_season = clusters.silhouette(train, "key__", columns, "cluster", ["season"]).groupBy("season").agg(F.avg("silhouette").alias("s"), F.count_distinct("cluster").alias("k"), F.count(F.lit(1)).alias("n"))
+    by_season = clusters.silhouette(train, "key__", columns, "cluster", ["season"], settings.silhouette_error).groupBy("season").agg(F.avg("silhouette").alias("s"), F.count_distinct("cluster").alias("k"), F.count(F.lit(1)).alias("n"))
     profiles = analysis.cluster_profiles(profiled, columns, [c for c in analysis.PROFILED if c in profiled.columns])
     flagged = trended.withColumns({"train": _in_set(settings.min_quality, settings.min_periods), "assigned": _in_set(settings.assign_min_quality, settings.min_periods)})
     spark = winter.sparkSession

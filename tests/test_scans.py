@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arborline.functions import running
-from arborline.operators import analysis
+from arborline.operators import analysis, cellsums, clusters
 
 
 @pytest.mark.parametrize("rows_a_range", [500_000, 40])
@@ -82,3 +82,38 @@ def test_regressions_of_separable_rows_settle(spark):
     scores = analysis.cross_validated_scores(df, "k", "x", "y")
     assert analysis.auc(scores, "score", "y").first().auc > 0.99
     assert analysis.cross_validated_scores(df.limit(0), "k", "x", "y").count() == 0
+
+
+@pytest.mark.parametrize("error", [0.0, 0.02, 0.2])
+def test_silhouettes_by_cells_keep_their_bound(spark, monkeypatch, error):
+    monkeypatch.setattr(cellsums, "LEAF_POINTS", 4)
+    monkeypatch.setattr(cellsums, "BLOCK_POINTS", 7)
+    r = np.random.default_rng(9)
+    rows = [(g, i, int(c), *map(float, x)) for g, n in ((1, 150), (2, 40), (None, 9)) for i, (c, x) in enumerate(zip(r.integers(0, 3, n), r.normal(0, 1, (n, 2)) * r.choice([0.1, 1, 5], (n, 1))))]
+    rows += [(3, i, 0, 1.0, 2.0) for i in range(20)] + [(3, 100, 1, 1.0, 2.0), (4, 1, 0, 0.0, 0.0), (4, 2, 1, 1.0, 0.0), (5, 1, 0, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "g int, k int, c int, a double, b double").repartition(3)
+    exact = {(x.g, x.k): x.silhouette for x in clusters.silhouette(df, "k", ["a", "b"], "c", ["g"]).collect()}
+    got = {(x.g, x.k): x.silhouette for x in clusters.silhouette(df, "k", ["a", "b"], "c", ["g"], error).collect()}
+    assert got.keys() == exact.keys()
+    assert all((got[k] is None) == (exact[k] is None) and (exact[k] is None or abs(got[k] - exact[k]) <= error + 1e-9) for k in exact)
+
+
+def test_cells_spare_most_comparisons():
+    r = np.random.default_rng(2)
+    n, levels = 100_000, 6
+    x = r.normal(0, 1, (n, 2))
+    low, side = x.min(axis=0), np.ptp(x, axis=0)
+    cells = np.minimum(((x - low) / side * 2**levels).astype(int), 2**levels - 1)
+    up, at, size = np.unique(cells, axis=0, return_inverse=True, return_counts=True)
+    mean = np.stack([np.bincount(at.ravel(), x[:, k]) for k in (0, 1)], axis=1) / size[:, None]
+    v = np.bincount(at.ravel(), ((x - mean[at.ravel()]) ** 2).sum(axis=1)) / size
+    tree = cellsums.Tree(up, np.zeros(len(up), int), size.astype(float), mean, v, levels, side)
+    edge = side / 2**levels
+    held = {tuple(c): s for c, s in zip(up.tolist(), size.tolist())}
+    compared = 0
+    for q, s in held.items():
+        start = low + np.array(q) * edge
+        far, near = tree.split(start, start + edge, 0.05)
+        compared += s * (len(far) + sum(held[tuple(c.tolist())] for c, _ in near))
+        assert sum(f[1] for f in far) + sum(held[tuple(c.tolist())] for c, _ in near) == n
+    assert compared < n * n / 10
