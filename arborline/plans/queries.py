@@ -727,10 +727,23 @@ def cross_validated_auc(spark, d):
     return R.cross_validated_areas(rows, "k", "CMI_z", "cover").select("scope", F.round("auc", 6).alias("auc"))
 
 
+def _run_inputs(spark, d) -> tuple[DataFrame, DataFrame]:
+    """The panel as winter rows, and quantities as the summer index."""
+    winter = P.panel(spark, d).withColumns({"season": P.season(F.col("season_sort")), **{old: F.col(new) for old, new in R.MEASURES.items()}})
+    summer = table(spark, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("orch_id"), P.season(F.year("l_shipdate")).alias("season"), F.year("l_shipdate").alias("season_sort"), F.col("l_quantity").alias("EVI2_p90_summer_mean"))
+    return checkpointed(winter), summer
+
+
 @query()
 def whole_run(spark, d):
     """The run's attributes, with everything fitted on the panel itself."""
-    winter = P.panel(spark, d).withColumns({"season": P.season(F.col("season_sort")), **{old: F.col(new) for old, new in R.MEASURES.items()}})
-    summer = table(spark, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("orch_id"), P.season(F.year("l_shipdate")).alias("season"), F.year("l_shipdate").alias("season_sort"), F.col("l_quantity").alias("EVI2_p90_summer_mean"))
-    tables, _ = R.analyse(checkpointed(winter), summer)
+    tables, _ = R.analyse(*_run_inputs(spark, d))
     return tables["attrs"]
+
+
+@query(sql(f"SELECT season, season_sort, orch_id, {q6('f_1', 'f_2', 'Q', 'best_soft')}, cluster, uncertain, label, round(v, 6) AS CMI FROM asg LEFT JOIN idx USING (season_sort, orch_id)", "idx"))
+def templated_run(spark, d):
+    """A whole run's assignments by a template that was fitted before."""
+    template = R.Template("kmeans", "cover2", clusters.Model(2, P.CENTERS, 0.0), clusters.label_map(P.CENTERS), "sqrt", False, 0.2, 0.0, 2, 0.6, 1.5, P.SETTINGS.trend_periods)
+    tables, _ = R.analyse(*_run_inputs(spark, d), P.SETTINGS, R.Template.from_json(template.as_json()))
+    return tables["assign_all"].select("season", "season_sort", "orch_id", *r6("f_1", "f_2", "Q", "best_soft"), "cluster", "uncertain", "label", F.round("CMI", 6).alias("CMI"))

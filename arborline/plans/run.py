@@ -86,8 +86,7 @@ def fit(trended: DataFrame, settings: Settings) -> tuple[Template, DataFrame]:
         settings.confidence_threshold, settings.distance_threshold, settings.trend_periods,
     )
     rows = [(k, s, b, a, model.k, template.method, name, settings.k_select, settings.shrink, settings.shrink_level) for k, s, b, a in choice.scores]
-    schema = "K int, silhouette double, bic double, aic double, chosen_k int, method string, feature_set string, k_select string, shrink_by_r2 string, shrink_level boolean"
-    return template, trended.sparkSession.createDataFrame(rows, schema)
+    return template, trended.sparkSession.createDataFrame(rows, _METRICS)
 
 
 def ages(trended: DataFrame, column: str, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -122,8 +121,11 @@ def cross_validated_areas(rows: DataFrame, key: str, feature: str, positive: str
     return analysis.auc(scores, "score", positive, ["scope"])
 
 
-def analyse(winter: DataFrame, summer: DataFrame | None = None, settings: Settings = Settings()) -> tuple[dict[str, DataFrame], Template]:
-    """(every table of a run by name, the template). winter and summer: as read by sources.readers."""
+_METRICS = "K int, silhouette double, bic double, aic double, chosen_k int, method string, feature_set string, k_select string, shrink_by_r2 string, shrink_level boolean"
+
+
+def analyse(winter: DataFrame, summer: DataFrame | None = None, settings: Settings = Settings(), template: Template | None = None) -> tuple[dict[str, DataFrame], Template]:
+    """(every table of a run by name, the template). winter and summer: as read by sources.readers. With a template nothing is fitted but ages: rows are assigned by it, and there are no metrics."""
     ts = checkpointed(trends.rewards(panel_of(winter), settings.strata))
     trended = trends.with_quality(trends.trends(ts, settings, KEYS))
     column, out = None, {}
@@ -132,7 +134,7 @@ def analyse(winter: DataFrame, summer: DataFrame | None = None, settings: Settin
         ts, trended = ts.join(lookup, ["season", "orch_id"], "left"), trended.join(lookup, ["season", "orch_id"], "left")
         column = analysis.index_column(lookup.columns, settings.index_column)
     trended = checkpointed(trended)
-    template, metrics = fit(trended, settings)
+    template, metrics = fit(trended, settings) if template is None else (template, winter.sparkSession.createDataFrame([], _METRICS))
     columns = template.columns
     every = checkpointed(assigned(trended, template).withColumn("CMI", F.col(f"`{column}`") if column else F.lit(None).cast("double")))
     train = every.where(_in_set(settings.min_quality, settings.min_periods))
