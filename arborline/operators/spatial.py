@@ -15,7 +15,7 @@ from arborline.functions.cells import at_level, level_of, levels_in_use, meet
 from arborline.operators.pixels import zonal
 
 #: A polygon's longer side has up to 2^FINENESS cells.
-FINENESS = 2
+FINENESS = 3
 
 
 def rings_of(geometry: Column) -> Column:
@@ -47,7 +47,7 @@ def inside(x: Column, y: Column, edges: Column) -> Column:
 
 
 def cover(polygons: DataFrame, key: str, rings: str) -> DataFrame:
-    """(key, level__, ix__, iy__, edges__): the cells that a polygon's inside can touch, at the level that fits its size, so that there are at most some dozens.
+    """(key, level__, ix__, iy__, edges__): the cells that a polygon's inside can touch, at the level that fits its size, so that there are about a hundred at most.
 
     edges__: those that tell the cell's points inside from others, which are the edges at its height that reach it or lie to its right; null for a cell wholly inside.
     """
