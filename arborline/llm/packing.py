@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arborline.llm.common import checkpointed, gapless_rank, tidy
+from arborline.llm.common import checkpointed, fresh, gapless_rank, tidy
 from arborline.llm.sharding import next_state
 from arborline.llm.tokencount import WORD_PATTERN
 
@@ -212,7 +212,7 @@ def solve(counts: dict[int, int], capacity: int) -> list[Pattern]:
 
 
 #: Rows of one length are ranked in parts of at least so many rows, in so many parts altogether at most (and one a length): a broadcast's bound.
-PART_ROWS, MOST_PARTS = 2_000, 500_000
+PART_ROWS, MOST_PARTS = 500, 500_000
 
 
 def scattered(number: Column, seed: int) -> Column:
@@ -265,5 +265,7 @@ def pack_documents(df: DataFrame, key: str, text: str, tokenizer_file: str, capa
     tie are packed like any other; an empty table stays empty; columns besides key and text are left out.
     """
     pieces = tokenize_pieces(df, key, text, tokenizer_file, capacity, end_id).withColumn("ids_crc32", F.crc32("ids"))
-    pieces = checkpointed(pieces if keep_ids else pieces.drop("ids"))
-    return pack(pieces, capacity, [key, "piece", "start", "ids_crc32"])
+    # the task that cut a piece tells equal rows apart, of which there may be many
+    task = fresh(pieces, "task")
+    pieces = checkpointed((pieces if keep_ids else pieces.drop("ids")).withColumn(task, F.spark_partition_id()))
+    return pack(pieces, capacity, [key, "piece", "start", "ids_crc32", task]).drop(task)

@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from arborline.llm import fim, substrings, whitening
+import corpus_pipeline
+from arborline.llm import common, fim, packing, queries, substrings, whitening
 
 WHITE = " \t\n\x0b\x0c\r"
 CLASH = ("k", "th", "x", "i", "w", "m", "spans", "kept", "n", "form", "output", "component", "whitened", "__k", "__units")
@@ -205,3 +206,39 @@ def test_whitening_without_variance(spark):
     large = spark.createDataFrame([(i, [4e15 * i, 1.0]) for i in range(3)], "id long, v array<double>")
     with pytest.raises(Exception, match="64 bits|out of bounds|overflow|too large|int too big"):
         whitening.whiten(large, "v").collect()
+
+
+# ---------------------------------------------------------------- packing of odd texts
+
+
+@pytest.mark.parametrize("blank", [" ", "\t", "\n"])
+def test_packing_of_millions_of_blanks(spark, blank):
+    """Texts at which the fast encoder stops; in the operator and in the pipeline's stage."""
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    text = blank * 2_000_000
+    want = [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 2]
+    df = spark.createDataFrame([(1, text, "en", "a", len(text))], "doc_id long, text string, lang string, source string, n_chars long")
+    for out in (packing.pack_documents(df, "doc_id", "text", path), corpus_pipeline.pack(spark, df, "")):
+        rows = sorted(out.select("piece", "ids").collect())
+        assert np.concatenate([np.frombuffer(r.ids, "<u4") for r in rows]).tolist() == want
+
+
+def test_equal_rows_are_ranked_in_several_parts(spark, monkeypatch):
+    """A third of all rows have neither key nor text; no part of their length holds them all."""
+    monkeypatch.setattr(packing, "PART_ROWS", 20)
+    rows = [(None, None)] * 400 + [(i, f"some words {i}") for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    largest = []
+    real = common.gapless_rank
+
+    def watch(pieces, groups, bucket, order, out):
+        largest.append(pieces.where("length = 1").groupBy(bucket.alias("b")).count().agg(F.max("count")).first()[0])
+        return real(pieces, groups, bucket, order, out)
+
+    monkeypatch.setattr(packing, "gapless_rank", watch)
+    out = packing.pack_documents(df, "doc_id", "text", queries.tokenizer_file("byte_bpe_50k.json"), keep_ids=False)
+    got = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"), F.count_distinct("offset").alias("places"), F.count(F.lit(1)).alias("pieces")).collect()
+    assert sum(r.pieces for r in got) == 1200 and all(r.n == r.end <= 1024 and r.places == r.pieces for r in got)
+    assert largest[0] < 200
