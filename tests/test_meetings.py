@@ -57,6 +57,17 @@ def test_meetings_join_by_equality(spark):
         assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
 
 
+@pytest.mark.parametrize("many, few", [(3000, 1500), (40, 60_000)])
+def test_tasks_follow_the_pairs_that_meet(spark, monkeypatch, many, few):
+    """Small tables with many pairs in few cells are not one task's, whichever side is the larger."""
+    monkeypatch.setattr(cells, "PART_PAIRS", 200_000)
+    rows = spark.range(0, many, 1, 1).select((F.col("id") % 50 / 10.0).alias("t"), "id")
+    spans = spark.range(0, few, 1, 1).select(F.lit(0.0).alias("start"), F.lit(5.0).alias("end"), F.col("id").alias("w"))
+    found = intervals.interval_join(rows, "t", spans).groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id", "w").alias("d")).collect()
+    assert sum(r.n for r in found) == sum(r.d for r in found) == many * few
+    assert max(r.n for r in found) <= 0.5 * many * few
+
+
 def holds(rings, x, y):
     odd = False
     for ring in rings:
