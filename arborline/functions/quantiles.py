@@ -12,6 +12,8 @@ from arborline.checkpoints import checkpointed
 _ACCURACY = 10_000
 #: Groups of up to so many rows are ranked in one task each, by Spark's percentile; if any is larger, brackets are used.
 SMALL_GROUP = 200_000
+#: Brackets (a group's of a column) up to which they are broadcast; more are joined, and groups dealt into so many parts.
+MOST_BRACKETS, GROUP_PARTS = 10_000, 16
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
@@ -37,7 +39,14 @@ def _ranked(df: DataFrame, keys: Sequence[str], columns: Sequence[str], probs: S
     on = F.col("l.c") == F.col("r.c")
     for k in keys:
         on = on & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
-    marked = long.alias("l").join(brackets.withColumn("ranges", ranges).alias("r"), on).select("l.*", F.explode("r.ranges").alias("q"))
+    # a join by the groups' keys alone would bring whole groups to single tasks
+    ranged = checkpointed(brackets.withColumn("ranges", ranges))
+    if ranged.limit(MOST_BRACKETS + 1).count() <= MOST_BRACKETS:
+        left, right = long, F.broadcast(ranged.alias("r"))
+    else:
+        left = long.withColumn("part", F.pmod(F.xxhash64("v", F.monotonically_increasing_id()), F.lit(GROUP_PARTS)))
+        right, on = ranged.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(GROUP_PARTS - 1)))).alias("r"), on & (F.col("l.part") == F.col("r.part"))
+    marked = left.alias("l").join(right, on).select("l.*", F.explode("r.ranges").alias("q"))
     value = F.when(F.col("v") >= F.col("q.lo"), F.col("v"))  # null: below the bracket, counted only
     counted = marked.where(F.col("v") <= F.col("q.hi")).groupBy(*keys, "c", F.col("q.i").alias("i"), F.col("q.rank").alias("rank"), value.alias("v")).agg(F.count(F.lit(1)).alias("m"))
     ordered = Window.partitionBy(*keys, "c", "i").orderBy(F.col("v").asc_nulls_first())

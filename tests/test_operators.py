@@ -96,6 +96,17 @@ def test_silhouette_is_brute_force(spark, monkeypatch, cell):
         assert got.keys() == want.keys() and all(got[k] == (None if want[k] is None else pytest.approx(want[k], abs=1e-9)) for k in want)
 
 
+@pytest.mark.parametrize("most", [10_000, 1])
+def test_brackets_bring_no_group_to_a_task(spark, monkeypatch, most):
+    """Rows of a group are not gathered by its key, whether brackets are broadcast or joined; null keys and columns keep their quantiles."""
+    monkeypatch.setattr(quantiles, "MOST_BRACKETS", most, raising=False)
+    df = spark.range(0, 40_000, 1, 4).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), F.when(F.col("id") % 7 > 0, F.col("id") * 1.5).alias("a"), (F.col("id") % 50).alias("b"))
+    plan = quantiles._ranked(df, ["g"], ["a", "b"], [0.25, 0.5], 3e-4)._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan if most > 1 else "part" in plan
+    got = {r.g: (r.a__q, r.b__q) for r in quantiles.bracketed_quantiles(df, ["g"], ["a", "b"], [0.25, 0.5]).collect()}
+    assert got == {r.g: (r.a__q, r.b__q) for r in quantiles.group_quantiles(df, ["g"], ["a", "b"], [0.25, 0.5]).collect()}
+
+
 def test_mixture_of_large_values(spark):
     r = np.random.default_rng(4)
     rows = [(float(v),) for v in np.concatenate([r.normal(1e8, 1, 200), r.normal(1e8 + 20, 3, 100)])]
