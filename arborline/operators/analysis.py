@@ -40,16 +40,21 @@ def coverage(trends: DataFrame, train: str, assigned: str) -> DataFrame:
 PROFILED = ("slope_Intensity", "slope_Fill", "slope_Uniformity", "r2_Intensity", "r2_Fill", "r2_Uniformity", "z_slope_Intensity", "z_slope_Fill", "z_slope_Uniformity", "z_level_Intensity_t5")
 
 
-def cluster_profiles(df: DataFrame, features: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Per cluster: rows, mean features, silhouette (if there) and uncertain rate; mean and quartiles of columns, means of CMI__ columns."""
+def cluster_profiles(df: DataFrame, features: Sequence[str], columns: Sequence[str], silhouettes: DataFrame | None = None) -> DataFrame:
+    """Per cluster: rows, mean features, uncertain rate and silhouette (df's column, or of ``silhouettes`` (cluster, silhouette), which only the result reads); mean and quartiles of columns, means of CMI__ columns."""
     parts = [F.count(F.lit(1)).alias("n"), *[F.avg(f).alias(f"centroid_{f}") for f in features], F.avg("uncertain").alias("uncertain_rate")]
-    if "silhouette" in df.columns:
+    if silhouettes is None and "silhouette" in df.columns:
         parts.append(F.avg("silhouette").alias("mean_silhouette"))
-    parts += [F.avg(c).alias(f"mean_{c}") for c in [*columns, *(c for c in df.columns if c.startswith("CMI__"))]]
-    means = df.groupBy("cluster").agg(*parts)
+    described = [F.avg(c).alias(f"mean_{c}") for c in [*columns, *(c for c in df.columns if c.startswith("CMI__"))]]
+    means = df.groupBy("cluster").agg(*parts, *described)
     quarters = exact_quantiles(df, ["cluster"], columns, (0.25, 0.75)).withColumnRenamed("cluster", "cluster__k")
     ends = [f for c in columns for f in (F.col(f"{c}__q")[0].alias(f"p25_{c}"), F.col(f"{c}__q")[1].alias(f"p75_{c}"))]
-    return means.join(quarters, means["cluster"].eqNullSafe(quarters["cluster__k"]), "left").select(*means.columns, *ends)
+    shown = list(means.columns)
+    if silhouettes is not None:
+        own = silhouettes.groupBy(F.col("cluster").alias("cluster__s")).agg(F.avg("silhouette").alias("mean_silhouette"))
+        means = means.join(own, means["cluster"].eqNullSafe(own["cluster__s"]), "left").drop("cluster__s")
+        shown.insert(len(parts) + 1, "mean_silhouette")
+    return means.join(quarters, means["cluster"].eqNullSafe(quarters["cluster__k"]), "left").select(*shown, *ends)
 
 
 #: Columns that a crosstab can get.

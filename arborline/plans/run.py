@@ -142,19 +142,19 @@ def analyse(winter: DataFrame, summer: DataFrame | None = None, settings: Settin
         p, _ = clusters.posteriors(columns, template.model)
         train = train.withColumn("p__", p).withColumns({f"p_{i}": F.col("p__")[i] for i in range(template.model.k)}).drop("p__")
     train = checkpointed(train.withColumn("key__", F.concat_ws("/", "season", "orch_id")))
-    each = clusters.silhouette(train, "key__", columns, "cluster", error=settings.silhouette_error).select("key__", "silhouette")
-    profiled = train.join(each, "key__", "left")
+    # silhouettes are read by the tables that show them only: no other table waits for them
+    each = clusters.silhouette(train, "key__", columns, "cluster", error=settings.silhouette_error).select("cluster", "silhouette")
     by_season = clusters.silhouette(train, "key__", columns, "cluster", ["season"], settings.silhouette_error).groupBy("season").agg(F.avg("silhouette").alias("s"), F.count_distinct("cluster").alias("k"), F.count(F.lit(1)).alias("n"))
-    profiles = analysis.cluster_profiles(profiled, columns, [c for c in analysis.PROFILED if c in profiled.columns])
+    profiles = analysis.cluster_profiles(train, columns, [c for c in analysis.PROFILED if c in train.columns], each)
     flagged = trended.withColumns({"train": _in_set(settings.min_quality, settings.min_periods), "assigned": _in_set(settings.assign_min_quality, settings.min_periods)})
     spark = winter.sparkSession
     names = template.label_map or {}
     centroids = spark.createDataFrame([(i, *map(float, c), names.get(i)) for i, c in enumerate(template.model.centers)], "cluster int, " + ", ".join(f"{c} double" for c in columns) + ", label string")
     shown = ["season", "season_sort", "orch_id", *columns, "Q", "K", "cluster", "best_soft", "uncertain", "label", "CMI"]
-    chosen = profiled.agg(F.avg("silhouette")).first()[0]
+    chosen = each.agg(F.avg("silhouette").alias("chosen_silhouette"))
     out |= {
         "ts": ts, "trends": trended, "assign": train.select(*shown, *[f"p_{i}" for i in range(template.model.k)] if template.method == "gmm" else [F.col("d1").alias("Dmin"), F.col("d2").alias("D2")]),
-        "assign_all": every.select(*shown), "centroids": centroids, "metrics": metrics.withColumn("chosen_silhouette", F.lit(chosen).cast("double")),
+        "assign_all": every.select(*shown), "centroids": centroids, "metrics": metrics.crossJoin(F.broadcast(chosen)),
         "season_sil": by_season.select("season", F.when((F.col("n") > template.model.k) & (F.col("k") > 1), F.col("s")).alias("silhouette"), "n"),
         "profiles": clusters.labelled(profiles, names), "coverage": analysis.coverage(flagged, "train", "assigned"),
         "flips": sequences.flips(every, columns).orderBy("season_to", "orch_id"), "transitions": sequences.transitions(every), "orchard_profiles": sequences.profiles(every),

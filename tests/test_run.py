@@ -202,3 +202,28 @@ def test_a_run_from_files_to_files(spark, done, tmp_path):
     written = R.run(spark, ["nowhere.csv"], [], str(tmp_path), Settings(ks=(2,)), legacy=winter[:2])
     assert "cmi_assign" not in written and {"viz", "attrs", "streaks", "manifest", "template"} <= set(written)
     assert {r.stratum for r in readers.read_shards(spark, str(tmp_path / "attrs")).collect()} == {"Mid"}
+
+
+def test_no_table_waits_for_silhouettes_it_does_not_show(spark, monkeypatch):
+    """A run by a template gives assignments and attributes without comparing all pairs; the tables that show silhouettes still ask for them."""
+    from pyspark.sql import functions as F
+
+    from arborline.operators import clusters
+    from arborline.plans import queries as Q
+
+    line = clusters.silhouette
+
+    def refused(df, key, columns, cluster, within=(), error=None):
+        found = line(df, key, columns, cluster, within, error)
+        return found if len(columns) == 1 else df.select(*within, key, cluster, F.raise_error(F.lit("all pairs")).cast("double").alias("silhouette"))
+
+    monkeypatch.setattr(clusters, "silhouette", refused)
+    folder = "/root/testdata/sf0.001"
+    rows = Q.templated_run(spark, folder)
+    assert rows.count() > 0
+    model = clusters.Model(2, Q.P.CENTERS, 0.0)
+    template = Q.R.Template("kmeans", "cover2", model, clusters.label_map(Q.P.CENTERS), "sqrt", False, 0.2, 0.0, 2, 0.6, 1.5, Q.P.SETTINGS.trend_periods)
+    tables, _ = Q.R.analyse(*Q._run_inputs(spark, folder), Q.P.SETTINGS, template)
+    assert tables["attrs"].count() > 0
+    with pytest.raises(Exception, match="all pairs"):
+        tables["profiles"].collect()
