@@ -25,8 +25,10 @@ LABELS = {
     "likely": {2: ("Likely Not Cover Cropping", "Likely Cover Cropping"), 3: ("Likely Not Cover Cropping", "Likely Baseline", "Likely Cover Cropping")},
 }
 AGE_LABELS = {2: ("Young", "Old"), 3: ("Young", "Middle", "Old")}
-#: Points of a block; pairs of blocks are compared by numpy.
-SILHOUETTE_CELL = 2048
+#: Points of a block; pairs of blocks are compared by numpy. Groups of more than MANY_BLOCKS have blocks four times as large, so that fewer rows of sums are moved.
+SILHOUETTE_CELL, MANY_BLOCKS = 2048, 32
+#: Rows of a batch that fits pass to numpy, and choices of K whose silhouettes share their distances.
+BATCH_ROWS, SHARED_CHOICES = 2048, 3
 #: Restarts of the two kinds of fits, and the distinct rows up to which they start on all of them; of larger tables rounds of oversampling give the rows to start on.
 KMEANS_STARTS, MIXTURE_STARTS, START_ROWS = 50, 5, 10_000
 #: Rounds of oversampling, and the rows that each is expected to draw for every cluster.
@@ -62,8 +64,8 @@ def _passed(data: DataFrame, columns: Sequence[str], work, schema: str) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, SILHOUETTE_CELL):
-                part = batch.slice(at, SILHOUETTE_CELL)
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(at, BATCH_ROWS)
                 x = np.stack([part.column(i).to_numpy() for i in range(d)], axis=1).astype(float)
                 yield pa.record_batch([pa.array(c) for c in work(x, part.column(d).to_numpy())], names=names)
 
@@ -175,9 +177,14 @@ def _lloyd(data: DataFrame, columns: Sequence[str], k: int, restarts: int, round
     return centers, cost
 
 
+def _spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows with all columns, on all cores: a fit passes over them many times, and their bytes are too few to be split by."""
+    return df.select(*columns).dropna().repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def kmeans(df: DataFrame, columns: Sequence[str], k: int, restarts: int = KMEANS_STARTS) -> Model:
     """The best of many fits on rows with all columns, run side by side: a round of all of them is one pass and one aggregation."""
-    data = df.select(*columns).dropna().cache()
+    data = _spread(df, columns).cache()
     try:
         centers, cost = _lloyd(data, columns, k, restarts)
         best = int(cost.argmin())
@@ -257,7 +264,7 @@ def gaussian_mixture(df: DataFrame, columns: Sequence[str], k: int, restarts: in
 
     Moments are taken about the last round's centres, so that large values don't cancel. A variance has ``floor`` added.
     """
-    data = df.select(*columns).dropna().cache()
+    data = _spread(df, columns).cache()
     try:
         x, w = _sample(data, columns, k)
         models = []
@@ -309,18 +316,24 @@ def choose_k(df: DataFrame, columns: Sequence[str], ks: Sequence[int], select: s
     n = rows.count()
     fits: dict[int, tuple[Model, float]] = {}
     scores = []
-    for k in sorted(k for k in set(ks) if k < n):
-        if select == "bic":
+    wanted = sorted(k for k in set(ks) if k < n)
+    if select == "bic":
+        for k in wanted:
             model = gaussian_mixture(rows, columns, k)
             bic, aic = information_criteria(model, n, len(columns))
             fits[k] = (model, -bic)
             scores.append((k, None, bic, aic))
-        else:
-            model = gaussian_mixture(rows, columns, k) if method == "gmm" else kmeans(rows, columns, k)
-            own = mixture_assign(rows, columns, model) if method == "gmm" else nearest(rows, columns, model.centers)
-            mean = mean_silhouette(own, "row__", columns, "cluster", error)
-            fits[k] = (model, -1.0 if mean is None else mean)
-            scores.append((k, mean, None, None))
+    else:
+        models = {k: gaussian_mixture(rows, columns, k) if method == "gmm" else kmeans(rows, columns, k) for k in wanted}
+        for at in range(0, len(wanted), SHARED_CHOICES):
+            own, names = rows, {}
+            for k in wanted[at : at + SHARED_CHOICES]:
+                names[k] = f"cluster_{k}__"
+                placed = mixture_assign(own, columns, models[k]) if method == "gmm" else nearest(own, columns, models[k].centers)
+                own = placed.select("row__", *columns, *[c for c in names.values() if c in placed.columns], F.col("cluster").alias(names[k]))
+            for k, mean in zip(names, mean_silhouettes(own, "row__", columns, list(names.values()), error)):
+                fits[k] = (models[k], -1.0 if mean is None else mean)
+                scores.append((k, mean, None, None))
     if not fits:
         raise ValueError("no K is below the number of rows: ask for less quality, or add data")
     return Choice(fits[max(fits, key=lambda k: (fits[k][1], -k))][0], scores)
@@ -365,22 +378,38 @@ def silhouette(df: DataFrame, key: str, columns: Sequence[str], cluster: str, wi
     cells of points stand for their members where that changes no silhouette by more: then the comparisons grow far slower than the square.
     """
     names = [f"w{i}" for i in range(len(within))]
-    named = df.select(*[F.col(w).alias(n) for w, n in zip(within, names)], F.col(key).alias("key"), F.col(cluster).cast("long").alias("c"), F.array(*[F.col(x).cast("double") for x in columns]).alias("x"))
+    points, placed = _placed(df, key, columns, F.col(cluster).cast("long"), within)
+    found = _scores(_distance_sums(placed, columns, error), placed.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n")))
+    return points.join(found, "r").select(*[F.col(n).alias(w) for w, n in zip(within, names)], F.col("key").alias(key), F.col("c").cast("int").alias(cluster), "silhouette")
+
+
+def _placed(df: DataFrame, key: str, columns: Sequence[str], cluster: Column, within: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(points with within as w0, w1, ..., key, c, x and a number r; the same as r, g, size, c, x, g being the group's number)."""
+    names = [f"w{i}" for i in range(len(within))]
+    named = df.select(*[F.col(w).alias(n) for w, n in zip(within, names)], F.col(key).alias("key"), cluster.alias("c"), F.array(*[F.col(x).cast("double") for x in columns]).alias("x"))
     # the checkpoint fixes rows and their order, so each reading numbers them alike
     points = checkpointed(named.where(F.col("c").isNotNull() & F.forall("x", lambda v: v.isNotNull()))).withColumn("r", F.monotonically_increasing_id())
     groups = checkpointed(points.groupBy(*names).agg(F.count(F.lit(1)).alias("size"))).withColumn("g", F.monotonically_increasing_id())
     on = F.lit(True)
     for n in names:
         on = on & points[n].eqNullSafe(groups[n])
-    placed = points.join(groups, on).select("r", "g", "size", "c", "x")
-    sizes = placed.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"))
+    return points, points.join(groups, on).select("r", "g", "size", "c", "x")
+
+
+def _distance_sums(placed: DataFrame, columns: Sequence[str], error: float | None) -> DataFrame:
+    """(r, g, c, c2, total) of placed points."""
+    if len(columns) == 1:
+        return _line_sums(placed, placed.select("c").distinct())
     # sums within a share e are means within e, and (b - a) / max(a, b) within 2 e / (1 - e)
-    sums = _line_sums(placed, sizes) if len(columns) == 1 else _block_sums(placed) if error is None else distance_sums(placed, len(columns), error / (2 + error))
+    return _block_sums(placed, len(columns)) if error is None else distance_sums(placed, len(columns), error / (2 + error))
+
+
+def _scores(sums: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(r, silhouette) from the sums of distances (r, g, c, c2, total) and the clusters' sizes (g, c, n)."""
     means = sums.join(sizes.withColumnRenamed("c", "c2"), ["g", "c2"]).withColumn("m", F.try_divide("total", F.when(F.col("c") == F.col("c2"), F.col("n") - 1).otherwise(F.col("n"))))
     own, other = F.max(F.when((F.col("c") == F.col("c2")) & (F.col("n") > 1), F.col("m"))).alias("a"), F.min(F.when(F.col("c") != F.col("c2"), F.col("m"))).alias("b")
     s = F.when(F.col("b").isNull(), None).when(F.col("a").isNull(), num(0)).otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), num(0)))
-    found = means.groupBy("r").agg(own, other).select("r", s.alias("silhouette"))
-    return points.join(found, "r").select(*[F.col(n).alias(w) for w, n in zip(within, names)], F.col("key").alias(key), F.col("c").cast("int").alias(cluster), "silhouette")
+    return means.groupBy("r").agg(own, other).select("r", s.alias("silhouette"))
 
 
 def _line_sums(placed: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -397,26 +426,53 @@ def _line_sums(placed: DataFrame, sizes: DataFrame) -> DataFrame:
     return at.join(run.select("g", "v", each.alias("each")), ["g", "v"]).select("r", "g", "c", F.explode("each").alias("e")).select("r", "g", "c", "e.*")
 
 
-def _block_sums(placed: DataFrame) -> DataFrame:
-    """(r, g, c, c2, total): sums of distances to each cluster of the group, by pairs of blocks."""
-    blocks = F.ceil(F.col("size") / F.lit(SILHOUETTE_CELL)).cast("int")
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All distances of two small tables of points, dimension by dimension in place."""
+    out = np.subtract.outer(a[:, 0], b[:, 0])
+    out *= out
+    for k in range(1, a.shape[1]):
+        more = np.subtract.outer(a[:, k], b[:, k])
+        more *= more
+        out += more
+    return np.sqrt(out, out=out)
+
+
+def _pair_sums(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, rows: int = 256, columns: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """(sums of distances of a's points by b's clusters, of b's by a's); of_a and of_b hold a 1 at each point's cluster. Each distance is taken once, in tiles that a core's cache holds."""
+    to_b, to_a = np.zeros((len(a), of_b.shape[1])), np.zeros((len(b), of_a.shape[1]))
+    for s in range(0, len(a), rows):
+        for t in range(0, len(b), columns):
+            d = _distances(a[s : s + rows], b[t : t + columns])
+            to_b[s : s + rows] += d @ of_b[t : t + columns]
+            to_a[t : t + columns] += d.T @ of_a[s : s + rows]
+    return to_b, to_a
+
+
+def _block_sums(placed: DataFrame, dimensions: int) -> DataFrame:
+    """(r, g, c, c2, total): sums of distances to each cluster of the group, by pairs of blocks, on as many tasks as there are pairs of blocks for."""
+    block_rows = F.when(F.col("size") > SILHOUETTE_CELL * MANY_BLOCKS, F.lit(4 * SILHOUETTE_CELL)).otherwise(F.lit(SILHOUETTE_CELL))
+    blocks = F.ceil(F.col("size") / block_rows).cast("int")
     block = F.pmod(F.xxhash64("r"), blocks).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least(o, block).alias("i"), F.greatest(o, block).alias("j")))
-    dealt = placed.select("r", "g", "c", "x", block.alias("block"), F.explode(pairs).alias("pair")).select("g", "pair.i", "pair.j", "block", "r", "c", "x")
+    axis = [f"x{k}" for k in range(dimensions)]
+    # by its bytes, on which Spark would go, a small table's square is one task's
+    most = placed.groupBy("g").agg(F.max(blocks.cast("double") * (blocks + 1) / F.lit(2.0)).alias("n")).agg(F.sum("n")).first()[0] or 1.0
+    tasks = int(min(most, 12 * placed.sparkSession.sparkContext.defaultParallelism))
+    dealt = placed.select("r", "g", "c", *[F.col("x")[k].alias(x) for k, x in enumerate(axis)], block.alias("block"), F.explode(pairs).alias("pair")).select("g", "pair.i", "pair.j", "block", "r", "c", *axis)
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
-        x, r, c = np.stack(part["x"].to_numpy()), part["r"].to_numpy(), part["c"].to_numpy()
+        x, r, c = part[axis].to_numpy(float), part["r"].to_numpy(), part["c"].to_numpy()
         first = part["block"].to_numpy() == part["i"].iloc[0]
         names, member = np.unique(c, return_inverse=True)
         one_hot = np.eye(len(names))[member]
-        out = []
-        for mine, theirs in [(first, first)] if part["i"].iloc[0] == part["j"].iloc[0] else [(first, ~first), (~first, first)]:
-            a, b = x[mine], x[theirs]
-            total = np.concatenate([np.sqrt(((a[s : s + 256, None, :] - b[None, :, :]) ** 2).sum(axis=2)) @ one_hot[theirs] for s in range(0, len(a), 256)] or [np.zeros((0, len(names)))])
-            out.append(pd.DataFrame({"r": np.repeat(r[mine], len(names)), "c": np.repeat(c[mine], len(names)), "c2": np.tile(names, len(a)), "total": total.ravel()}))
+        if part["i"].iloc[0] == part["j"].iloc[0]:
+            sides = [(first, _pair_sums(x, x, one_hot[:, :0], one_hot)[0])]
+        else:
+            sides = list(zip((first, ~first), _pair_sums(x[first], x[~first], one_hot[first], one_hot[~first])))
+        out = [pd.DataFrame({"r": np.repeat(r[mine], len(names)), "c": np.repeat(c[mine], len(names)), "c2": np.tile(names, int(mine.sum())), "total": total.ravel()}) for mine, total in sides]
         return pd.concat(out).assign(g=part["g"].iloc[0])[["r", "g", "c", "c2", "total"]]
 
-    found = dealt.groupBy("g", "i", "j").applyInPandas(compare, "r long, g long, c long, c2 long, total double")
+    found = dealt.repartition(tasks, "g", "i", "j").groupBy("g", "i", "j").applyInPandas(compare, "r long, g long, c long, c2 long, total double")
     return found.groupBy("r", "g", "c", "c2").agg(F.sum("total").alias("total"))
 
 
@@ -425,6 +481,20 @@ def mean_silhouette(df: DataFrame, key: str, columns: Sequence[str], cluster: st
     return silhouette(df, key, columns, cluster, error=error).agg(F.avg("silhouette")).first()[0]
 
 
+def mean_silhouettes(df: DataFrame, key: str, columns: Sequence[str], clusters: Sequence[str], error: float | None = None) -> list[float | None]:
+    """The mean silhouette of each of several cluster columns of the same rows, whose clusters are below 1000: distances are summed once, by all columns' clusters together."""
+    together = sum((F.col(c).cast("long") * F.lit(1000**i) for i, c in enumerate(clusters[1:], 1)), F.col(clusters[0]).cast("long"))
+    _, placed = _placed(df, key, columns, together)
+    sums = checkpointed(_distance_sums(placed, columns, error))
+    out = []
+    for i in range(len(clusters)):
+        own = lambda c, i=i: F.pmod(F.floor(F.col(c) / F.lit(1000**i)), F.lit(1000)).cast("long").alias(c)
+        each = sums.groupBy("r", "g", own("c"), own("c2")).agg(F.sum("total").alias("total"))
+        sizes = placed.groupBy("g", own("c")).agg(F.count(F.lit(1)).alias("n"))
+        out.append(_scores(each, sizes).agg(F.avg("silhouette")).first()[0])
+    return out
+
+
 def label_map(centers: Sequence[Sequence[float]], schema: str = "likely") -> dict[int, str]:
     """Names of clusters of (slope, level) centres by their cover score."""
     order = sorted(range(len(centers)), key=lambda i: centers[i][0] + 0.8 * centers[i][1])

@@ -107,6 +107,21 @@ def test_brackets_bring_no_group_to_a_task(spark, monkeypatch, most):
     assert got == {r.g: (r.a__q, r.b__q) for r in quantiles.group_quantiles(df, ["g"], ["a", "b"], [0.25, 0.5]).collect()}
 
 
+def test_choices_share_their_distances(spark, monkeypatch):
+    """All pairs are compared once for several K, on several tasks though the table is small; each K's mean is that of its own silhouettes."""
+    monkeypatch.setattr(clusters, "SILHOUETTE_CELL", 16)
+    r = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, float(r.normal(i % 3)), float(r.normal())) for i in range(150)], "k int, a double, b double")
+    sums, calls = clusters._block_sums, []
+    monkeypatch.setattr(clusters, "_block_sums", lambda *a: calls.append(1) or sums(*a))
+    choice = clusters.choose_k(df, ["a", "b"], (2, 3))
+    assert len(calls) == 1 and [k for k, *_ in choice.scores] == [2, 3]
+    rows = clusters.nearest(df, ["a", "b"], choice.model.centers)
+    assert choice.score(choice.model.k) == pytest.approx(clusters.mean_silhouette(rows, "k", ["a", "b"], "cluster"), abs=1e-12)
+    plan = clusters.silhouette(rows, "k", ["a", "b"], "cluster")._jdf.queryExecution().toString()
+    assert "REPARTITION_BY_NUM" in plan
+
+
 def test_mixture_of_large_values(spark):
     r = np.random.default_rng(4)
     rows = [(float(v),) for v in np.concatenate([r.normal(1e8, 1, 200), r.normal(1e8 + 20, 3, 100)])]
