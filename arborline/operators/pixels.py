@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from arborline.config import WINTER_WINDOWS
 from arborline.functions.quantiles import exact_quantiles
+from arborline.functions.running import totals_below
 
 
 def winter_windows(spark, start_year: int) -> DataFrame:
@@ -52,6 +53,21 @@ def zonal(pixels: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return moments.join(middle, on).select(*keys, "mean", "median", "sd")
 
 
+def zonal_counts(counts: DataFrame, key: str, value: str, n: str) -> DataFrame:
+    """As zonal on one key, of rows that stand for n equal ones each; counts is checkpointed, with a row a key and value. Medians come of running totals, so zones may be of any size."""
+    known = counts.where(F.col(value).isNotNull()).select(F.col(key).alias("zone__"), F.col(value).cast("double").alias("v"), F.col(n).alias("n"))
+    means = known.groupBy(F.col("zone__").alias("mean__k")).agg(F.sum("n").alias("all"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"))
+    away = F.col("v") - F.col("mean")
+    spread = known.join(means, F.col("zone__").eqNullSafe(F.col("mean__k"))).groupBy(F.col("zone__").alias("sd__k")).agg(F.sqrt(F.sum(F.col("n") * away * away) / F.first("all")).alias("sd"))
+    placed = totals_below(known, ["zone__"], "v", ["n"]).join(means, F.col("zone__").eqNullSafe(F.col("mean__k")))
+    rank = (F.col("all") - F.lit(1)) / F.lit(2.0)
+    at = lambda r: F.max(F.when((F.col("n__below") <= r) & (r < F.col("n__below") + F.col("n")), F.col("v")))
+    middle = placed.groupBy(F.col("zone__").alias("middle__k")).agg(at(F.floor(rank)).alias("a"), at(F.ceil(rank)).alias("b"), F.first("mean").alias("mean"))
+    zones = counts.select(F.col(key).alias("zone__")).distinct()
+    out = zones.join(middle, F.col("zone__").eqNullSafe(F.col("middle__k")), "left").join(spread, F.col("zone__").eqNullSafe(F.col("sd__k")), "left")
+    return out.select(F.col("zone__").alias(key), "mean", (F.col("a") + (F.col("b") - F.col("a")) / F.lit(2.0)).alias("median"), "sd")
+
+
 def zone_windows(zones: DataFrame, windows: DataFrame, measured: DataFrame, keys: Sequence[str], default: float = 0.0) -> DataFrame:
     """Every zone in every window with its measures; a window without imagery gets the default, as exports write it."""
     values = [c for c in measured.columns if c not in keys]

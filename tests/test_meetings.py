@@ -118,3 +118,32 @@ def test_regions_and_geojson(spark):
     cases = [(square(5.0, 5.0, 1.0), False), (square(4.0, 4.0, 1.0), True), (square(-1.0, -1.0, 9.0), True), (square(1.2, 1.2, 0.5), False), (square(3.0, 3.0, 0.5), True), (square(1.5, 1.5, 1.0), True), (square(-2.0, 1.0, 3.0), True), ([], False), (None, False)]
     df = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(cases)], "i int, rings array<array<array<double>>>")
     assert {r.i for r in df.where(spatial.intersects(F.col("rings"), region)).collect()} == {i for i, (_, want) in enumerate(cases) if want}
+
+
+def test_border_cells_are_tested_by_compiled_code(spark, monkeypatch):
+    """Cells of few edges are compared without an array's lambda, which Spark interprets a pair; cells of more edges are added, and both give all pairs."""
+    r = random.Random(7)
+    points = [(i, r.uniform(-9, 9), r.uniform(-9, 9)) for i in range(400)]
+    shapes = [(i, [star(r, r.uniform(-5, 5), r.uniform(-5, 5), 5.0, 9)]) for i in range(12)]
+    df, polygons = spark.createDataFrame(points, "p int, x double, y double"), spark.createDataFrame(shapes, "k int, rings array<array<array<double>>>")
+    want = sorted((p, k) for p, x, y in points for k, rings in shapes if holds(rings, x, y))
+    for slots in (40, 2):
+        monkeypatch.setattr(spatial, "SLOTS", slots, raising=False)
+        found = spatial.points_in_polygons(df, "x", "y", polygons, "k")
+        assert sorted((q.p, q.k) for q in found.collect()) == want
+        assert ("lambda" in found._jdf.queryExecution().executedPlan().toString()) == (slots == 2)
+
+
+def test_regions_are_reduced_without_their_pairs(spark, monkeypatch):
+    """Means, medians and deviations of all pairs, of which no table is made; repeated points and null values count as before."""
+    import statistics
+
+    r = random.Random(8)
+    points = [(float(r.randint(-9, 9)), r.uniform(-9, 9), r.choice([None, 0.0, 0.5, 2.0, r.random()])) for _ in range(300)] * 2
+    shapes = [(i, [star(r, r.uniform(-5, 5), r.uniform(-5, 5), 5.0, 9)]) for i in range(10)]
+    df, polygons = spark.createDataFrame(points, "x double, y double, v double"), spark.createDataFrame(shapes, "k int, rings array<array<array<double>>>")
+    monkeypatch.setattr(spatial, "points_in_polygons", None)
+    got = {q.k: (q["mean"], q["median"], q["sd"]) for q in spatial.reduce_regions(df, "x", "y", "v", polygons, "k").collect()}
+    for k, rings in shapes:
+        held = [v for x, y, v in points if holds(rings, x, y) and v is not None]
+        assert got[k] == pytest.approx((statistics.mean(held), statistics.median(held), statistics.pstdev(held)), abs=1e-12)
