@@ -147,3 +147,33 @@ def test_regions_are_reduced_without_their_pairs(spark, monkeypatch):
     for k, rings in shapes:
         held = [v for x, y, v in points if holds(rings, x, y) and v is not None]
         assert got[k] == pytest.approx((statistics.mean(held), statistics.median(held), statistics.pstdev(held)), abs=1e-12)
+
+
+def test_level_edges_within_cells(spark):
+    """A cell that only a level edge crosses is not wholly inside, nor is one to whose right the number of edges changes."""
+    square = [[0.3, 0.3], [10.3, 0.3], [10.3, 10.3], [0.3, 10.3]]
+    steps = [[20.0, 0.0], [29.7, 0.0], [29.7, 4.3], [24.1, 4.3], [24.1, 9.9], [20.0, 9.9]]
+    shapes = [(1, [square]), (2, [steps]), (3, [square, [[2.2, 2.2], [8.2, 2.2], [8.2, 7.7], [2.2, 7.7]]])]
+    points = [(31 * i + j, i * 1.01 - 0.1, j * 0.37 - 0.1) for i in range(31) for j in range(31)]
+    df, polygons = spark.createDataFrame(points, "p int, x double, y double"), spark.createDataFrame(shapes, "k int, rings array<array<array<double>>>")
+    want = sorted((p, k) for p, x, y in points for k, rings in shapes if holds(rings, x, y))
+    assert sorted((q.p, q.k) for q in spatial.points_in_polygons(df, "x", "y", polygons, "k").collect()) == want
+    counts = {k: sum(q == k for _, q in want) for k, _ in shapes}
+    sums = spatial.reduce_regions(df.withColumn("v", F.lit(1.0)), "x", "y", "v", polygons, "k").collect()
+    assert {q.k for q in sums} == set(counts) and all(q["mean"] == 1.0 and q["sd"] == 0.0 for q in sums)
+
+
+def test_pairs_are_elements_of_arrays(spark, monkeypatch):
+    """Points meet arrays of polygons in the join, of some PACK_ROWS at most; compiled code runs through their elements."""
+    r = random.Random(9)
+    points = [(i, r.uniform(-9, 9), r.uniform(-9, 9)) for i in range(300)]
+    shapes = [(i, [star(r, r.uniform(-5, 5), r.uniform(-5, 5), 5.0, 9)]) for i in range(60)]
+    df, polygons = spark.createDataFrame(points, "p int, x double, y double"), spark.createDataFrame(shapes, "k int, rings array<array<array<double>>>")
+    want = sorted((p, k) for p, x, y in points for k, rings in shapes if holds(rings, x, y))
+    monkeypatch.setattr(cells, "FEW_PAIRS", 0)
+    for rows in (4096, 5):
+        monkeypatch.setattr(cells, "PACK_ROWS", rows, raising=False)
+        found = spatial.points_in_polygons(df, "x", "y", polygons, "k")
+        assert sorted((q.p, q.k) for q in found.collect()) == want
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate explode(few__" in plan and "collect_list" in plan and "lambda" not in plan
