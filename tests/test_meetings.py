@@ -177,3 +177,21 @@ def test_pairs_are_elements_of_arrays(spark, monkeypatch):
         assert sorted((q.p, q.k) for q in found.collect()) == want
         plan = found._jdf.queryExecution().optimizedPlan().toString()
         assert "Generate explode(few__" in plan and "collect_list" in plan and "lambda" not in plan
+
+
+def test_polygons_are_covered_by_all_cores(spark):
+    """A small file of polygons is one task's when it is read; their cells are not made there."""
+    shapes = spark.range(0, 400, 1, 1).select("id", F.array(F.array(*[F.array(F.col("id") + F.lit(x), F.lit(y)) for x, y in ((0.0, 0.0), (3.0, 0.1), (1.0, 2.5))])).alias("rings"))
+    rows = spatial._shaped(shapes, "id", "rings").groupBy(F.spark_partition_id()).count().collect()
+    assert len(rows) >= 4 and max(r["count"] for r in rows) <= 200 and sum(r["count"] for r in rows) == 400
+
+
+def test_rows_are_copied_for_few_lengths(spark, monkeypatch):
+    """Windows of many lengths share buckets, so that rows are not copied for each power of two; what is dealt out is a few times the input."""
+    met = []
+    monkeypatch.setattr(intervals, "meet", lambda many, few, *rest: met.append((many.count(), few.count())) or cells.meet(many, few, *rest))
+    rows = spark.range(2000).select((F.col("id") * 0.36).alias("t"), "id")
+    spans = spark.range(600).select((F.col("id") * 1.1).alias("start"), (F.col("id") * 1.1 + F.col("id") % 120 + 1).alias("end"), F.col("id").alias("w"))
+    assert intervals.interval_join(rows, "t", spans).count() == sum(w * 1.1 <= t * 0.36 < w * 1.1 + w % 120 + 1 for t in range(2000) for w in range(600))
+    [(many, few)] = met
+    assert many <= 2 * 2000 and few <= 6 * 600
